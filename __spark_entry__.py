@@ -385,8 +385,8 @@ def q_land_and_unpack(spark, sf):
     root = work_folder(spark)
     fx.write_archives(spark, sf, f"{root}/uploads")
     lake = pipeline.Lake(f"{root}/lake")
-    pipeline.land(spark, lake, f"{root}/uploads")
-    pipeline.land(spark, lake, f"{root}/uploads")
+    pipeline.land(spark, lake, f"{root}/uploads", fx.USER_IN_NAME)
+    pipeline.land(spark, lake, f"{root}/uploads", fx.USER_IN_NAME)
     landed = archives.read_catalog(spark, lake.bronze)
     archives.unpack_exports(landed, lake.staging, part_bytes=16 << 10).write.parquet(f"{root}/manifest")
     elements = export_xml.read_record_elements(spark, lake.staging)
@@ -399,7 +399,8 @@ def q_pipeline_activity(spark, sf):
     root = work_folder(spark)
     fx.write_archives(spark, sf, f"{root}/uploads")
     lake = pipeline.Lake(f"{root}/lake", record_buckets=8, gold_buckets=4)
-    stored = pipeline.run_pipeline(spark, lake, "all", source=f"{root}/uploads", now=later())
+    stored = pipeline.run_pipeline(spark, lake, "all", source=f"{root}/uploads",
+                                   user_pattern=fx.USER_IN_NAME, now=later())
     return shown(stored["daily_activity_summary"].drop("updated_at"))
 
 
@@ -408,7 +409,9 @@ def q_stream_workouts(spark, sf):
     root = work_folder(spark)
     fx.write_archives(spark, sf, f"{root}/uploads")
     lake = pipeline.Lake(f"{root}/lake", record_buckets=8, gold_buckets=4)
-    ingest_archives(spark, lake, f"{root}/uploads", f"{root}/checkpoint", now=later()).awaitTermination()
+    ingest_archives(
+        spark, lake, f"{root}/uploads", f"{root}/checkpoint", fx.USER_IN_NAME, now=later()
+    ).awaitTermination()
     return shown(tables.read_gold(spark, lake.gold, "workouts_summary").drop("updated_at"))
 
 

@@ -253,8 +253,11 @@ def workout_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+USER_IN_NAME = r"([^/]+)\.zip$"
+
+
 def write_archives(spark: SparkSession, sf_dir: str, folder: str, metrics: dict = MOVEMENT) -> None:
-    """One export archive per user below ``folder``, streamed row by row."""
+    """One export archive per user, ``folder/<user>.zip``, streamed row by row."""
     elements = record_xml(spark, sf_dir, metrics).select("user_id", F.lit(0).alias("kind"), F.col("event_id").alias("id"), "xml")
     elements = elements.unionByName(
         workout_xml(spark, sf_dir).select("user_id", F.lit(1).alias("kind"), F.col("workout_id").alias("id"), "xml")
@@ -278,8 +281,8 @@ def _archive_writer(folder: str):
                         member.close()
                         archive.close()
                     current = user
-                    os.makedirs(os.path.join(folder, user), exist_ok=True)
-                    archive = zipfile.ZipFile(os.path.join(folder, user, "upload.zip"), "w", zipfile.ZIP_DEFLATED)
+                    os.makedirs(folder, exist_ok=True)
+                    archive = zipfile.ZipFile(os.path.join(folder, f"{user}.zip"), "w", zipfile.ZIP_DEFLATED)
                     member = archive.open(zipfile.ZipInfo("data/export.xml"), "w")
                     member.write(b'<?xml version="1.0" encoding="UTF-8"?>\n<HealthData>\n')
                 member.write(xml.encode() + b"\n")

@@ -1,8 +1,6 @@
 """Overlap suppression between measurement sources of different rank."""
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import source_priority
 from ..schema import SOURCE_RANKING
@@ -29,7 +27,7 @@ def suppress_overlaps(
     1. starts and ends become points in time, merged where equal (map side
        first, so copies collapse before the shuffle);
     2. a running maximum over the points of one (keys, day) gives the reach,
-       and one row per earlier day brings in the reach from before that day;
+       and one extra row brings in the reach of all earlier days;
     3. rows look up the reach at their end with an equality join. Best-ranked
        rows always stay and skip the join.
 
@@ -38,36 +36,43 @@ def suppress_overlaps(
     day. A hot key is thus cut into days, and the lookup join is one that
     adaptive execution can split.
     """
-    ranked = df.withColumn("_rank", source_priority(F.col(source), ranking))
-    points = _merged_points(ranked, keys, start, end, len(ranking))
-    reach = _reach_at_ends(points, keys, end, len(ranking))
-
-    best = ranked.where(F.col("_rank") == 1)
-    others = ranked.where(F.col("_rank") > 1).join(reach, [*keys, end], "left")
-    reached = F.element_at(F.array(*[F.col(c) for c in _reach_columns(len(ranking))]), F.col("_rank") - 1)
+    ranks = len(ranking)
+    rank = source_priority(F.col(source), ranking)
+    points = _points(df, keys, start, end, rank, ranks)
+    reach = _reach_at_ends(points, keys, end, ranks)
+
+    best = df.where(rank == 1)
+    others = df.where(rank > 1).join(reach, [*keys, end], "left")
+    reached = F.element_at(F.array(*_reach_columns(ranks)), rank - 1)
     kept = others.where(~F.coalesce(reached > F.col(start), F.lit(False)))
-    return best.select(*df.columns).unionByName(kept.select(*df.columns))
+    return best.unionByName(kept.select(*df.columns))
 
 
 def _reach_columns(ranks: int) -> list[str]:
     return [f"_reach_{rank}" for rank in range(1, ranks + 1)]
 
 
-def _merged_points(ranked: DataFrame, keys, start, end, ranks: int) -> DataFrame:
-    """One row per (keys, time, kind): kind 1 = starts, kind 0 = ends.
+def _latest(ranks: int) -> list[Column]:
+    return [F.max(c).alias(c) for c in _reach_columns(ranks)]
+
+
+def _any_reach(ranks: int) -> Column:
+    return F.coalesce(*_reach_columns(ranks)).isNotNull()
+
+
+def _points(df: DataFrame, keys, start, end, rank: Column, ranks: int) -> DataFrame:
+    """Points in time of the rows: kind 1 = starts, kind 0 = ends.
 
-    A start carries, for each rank, the latest end among rows of that rank or
-    better. The worst rank suppresses nothing and the best rank is never
+    A start carries, for each rank, the row's end if the row has that rank or a
+    better one. The worst rank suppresses nothing and the best rank is never
     suppressed, so they give no starts and no ends respectively.
     """
-    rank, begins, finishes = F.col("_rank"), F.col(start), F.col(end)
+    begins, finishes = F.col(start), F.col(end)
     bounded = begins.isNotNull() & finishes.isNotNull()
-    nothing = F.when(F.lit(False), finishes)
 
     def point(at, kind, reaches):
         return F.struct(
-            at.alias("_at"),
-            F.lit(kind).alias("_kind"),
+            at.alias("_at"), F.lit(kind).alias("_kind"),
             *[r.alias(name) for name, r in zip(_reach_columns(ranks), reaches)],
         )
 
@@ -77,26 +82,23 @@ def _merged_points(ranked: DataFrame, keys, start, end, ranks: int) -> DataFrame
     )
     ends = point(
         F.when(bounded & (rank > 1), finishes), 0,
-        [nothing for _ in range(ranks)],
+        [F.when(F.lit(False), finishes)] * ranks,
     )
     return (
-        ranked.select(*keys, F.explode(F.array(starts, ends)).alias("_point"))
-        .select(*keys, "_point.*")
+        df.select(*keys, F.inline(F.array(starts, ends)))
         .where(F.col("_at").isNotNull())
         .withColumn("_day", F.col("_at").cast("date"))
-        .groupBy(*keys, "_day", "_at", "_kind")
-        .agg(*[F.max(c).alias(c) for c in _reach_columns(ranks)])
     )
 
 
 def _reach_at_ends(points: DataFrame, keys, end, ranks: int) -> DataFrame:
     """Reach of each rank at every end: latest end of rows started before it."""
-    reaches = _reach_columns(ranks)
+    merged = points.groupBy(*keys, "_day", "_at", "_kind").agg(*_latest(ranks))
     earlier_days = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        points.groupBy(*keys, "_day").agg(*[F.max(c).alias(c) for c in reaches])
-        .select(*keys, "_day", *[F.max(c).over(earlier_days).alias(c) for c in reaches])
-        .where(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in reaches]))
+        points.groupBy(*keys, "_day").agg(*_latest(ranks))
+        .select(*keys, "_day", *[F.max(c).over(earlier_days).alias(c) for c in _reach_columns(ranks)])
+        .where(_any_reach(ranks))
     )
     # The carried row has no time and sorts first. At equal times ends sort
     # before starts: touching intervals do not overlap.
@@ -106,9 +108,8 @@ def _reach_at_ends(points: DataFrame, keys, end, ranks: int) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        points.unionByName(carried, allowMissingColumns=True)
-        .select(*keys, "_at", "_kind", *[F.max(c).over(within_day).alias(c) for c in reaches])
-        .where(F.col("_kind") == 0)
-        .where(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in reaches]))
-        .select(*keys, F.col("_at").alias(end), *reaches)
+        merged.unionByName(carried, allowMissingColumns=True)
+        .select(*keys, F.col("_at").alias(end), "_kind", *[F.max(c).over(within_day).alias(c) for c in _reach_columns(ranks)])
+        .where((F.col("_kind") == 0) & _any_reach(ranks))
+        .drop("_kind")
     )

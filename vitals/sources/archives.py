@@ -144,9 +144,10 @@ def _copy(row, bronze: str):
 def unpack_exports(landed: DataFrame, staging: str, part_bytes: int = 64 << 20) -> DataFrame:
     """Write each archive's export XML as documents of about ``part_bytes``.
 
-    Parts go to ``staging/user_id=<user>/sha256=<digest>/``. Every part is a
-    whole document of its own (prolog, root element, some of the children), so
-    one user's export is read by many tasks however large it is. An archive
+    Every part is a whole document of its own (prolog, root element, some of
+    the children), so one user's export is read by many tasks however large it
+    is. Parts carry user and digest in their names and lie in 256 folders,
+    which list fast however many users there are. An archive
     with unsafe member names, or without an export, is an error. Returns one
     row per part; running it is up to the caller.
     """
@@ -167,13 +168,13 @@ def _unpack_task(staging: str, part_bytes: int):
 def _unpack(row, staging: str, part_bytes: int):
     source_fs, source_path = open_fs(row.source)
     target_fs, root = open_fs(staging)
-    folder = posixpath.join(root, f"user_id={quote(row.user_id, safe='')}", f"sha256={row.sha256}")
+    folder = posixpath.join(root, row.sha256[:2])
     target_fs.create_dir(folder, recursive=True)
     with source_fs.open_input_file(source_path) as raw, zipfile.ZipFile(raw) as archive:
         with archive.open(export_member(archive.namelist())) as xml:
             for number, part in enumerate(split_document(xml, part_bytes)):
-                name = f"part-{number:05d}.xml"
-                attempt = posixpath.join(folder, f".{name}.{uuid.uuid4().hex}")
+                name = part_name(row.user_id, row.sha256, number)
+                attempt = posixpath.join(folder, f".{uuid.uuid4().hex}.part")
                 with target_fs.open_output_stream(attempt) as out:
                     for block in part:
                         out.write(block)
@@ -182,6 +183,11 @@ def _unpack(row, staging: str, part_bytes: int):
                 yield row.user_id, row.sha256, posixpath.join(folder, name), size
 
 
+def part_name(user_id: str, sha256: str, number: int) -> str:
+    """Name of a part; the user id is in hexadecimal, safe in any path."""
+    return f"{user_id.encode().hex()}-{sha256}-{number:05d}.xml"
+
+
 def export_member(names: list[str]) -> str:
     """The export among an archive's members; refuses names that leave the archive."""
     for name in names:

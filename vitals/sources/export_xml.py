@@ -22,32 +22,34 @@ from ..schema import (
 # Attribute text is kept as written: no trimming, and the word "null" is a word.
 _VERBATIM = {"ignoreSurroundingSpaces": "false", "nullValue": "\u0000"}
 
-_LINEAGE = T.StructType([T.StructField("user_id", T.StringType()), T.StructField("sha256", T.StringType())])
 
-
-def _read(spark: SparkSession, path: str | list[str], row_tag: str, schema: T.StructType, base: str | None):
-    reader = (
+def _read(spark: SparkSession, path: str, row_tag: str, schema: T.StructType) -> DataFrame:
+    elements = (
         spark.read.format("xml")
-        .schema(T.StructType(schema.fields + _LINEAGE.fields))
-        .options(rowTag=row_tag, mode="FAILFAST", **_VERBATIM)
+        .schema(schema)
+        .options(rowTag=row_tag, mode="FAILFAST", recursiveFileLookup="true", pathGlobFilter="*.xml", **_VERBATIM)
+        .load(path)
+    )
+    name = F.split(F.col("_metadata.file_name"), "-")
+    return elements.select(
+        "*",
+        F.decode(F.unhex(name[0]), "UTF-8").alias("user_id"),
+        name[1].alias("sha256"),
     )
-    if base:
-        reader = reader.option("basePath", base)
-    return reader.load(path)
 
 
-def read_record_elements(spark: SparkSession, path: str | list[str], base: str | None = None) -> DataFrame:
-    """``Record`` elements of staged documents, attributes as text.
+def read_record_elements(spark: SparkSession, path: str) -> DataFrame:
+    """``Record`` elements of staged parts, attributes as text.
 
-    ``user_id`` and ``sha256`` come from the folder names. A document that is
-    not well-formed fails the read.
+    ``user_id`` and ``sha256`` come from the file names (see
+    ``archives.part_name``). A part that is not well-formed fails the read.
     """
-    return _read(spark, path, "Record", RECORD_XML_SCHEMA, base)
+    return _read(spark, path, "Record", RECORD_XML_SCHEMA)
 
 
-def read_workout_elements(spark: SparkSession, path: str | list[str], base: str | None = None) -> DataFrame:
+def read_workout_elements(spark: SparkSession, path: str) -> DataFrame:
     """``Workout`` elements with their statistics, attributes as text."""
-    return _read(spark, path, "Workout", WORKOUT_XML_SCHEMA, base)
+    return _read(spark, path, "Workout", WORKOUT_XML_SCHEMA)
 
 
 def parse_record_elements(df: DataFrame, xml: str) -> DataFrame:

@@ -26,6 +26,7 @@ def ingest_archives(
     """
     arrivals = (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("pathGlobFilter", "*.zip")
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files_per_batch)
