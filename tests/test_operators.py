@@ -1,0 +1,139 @@
+import datetime as dt
+import random
+from functools import reduce
+
+import pytest
+from pyspark.sql import functions as F
+
+from vitals.operators import (
+    Measure, daily_rollup, full_outer_by_key, insert_if_absent, keep_first, require_known_users,
+    top_n, upsert_by_key,
+)
+
+NOW = dt.datetime(2024, 6, 1)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows_of(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+# ------------------------------------------------------------ keep first, top n
+
+
+def test_keep_first_takes_earliest_and_is_repeatable(spark):
+    df = spark.createDataFrame(
+        [("a", 1.0, 3, "late"), ("a", 1.0, 1, "early"), ("a", 2.0, 9, "other value"),
+         (None, 1.0, 2, "null key"), (None, 1.0, 1, "null key first"),
+         ("n", float("nan"), 2, "nan"), ("n", float("nan"), 1, "nan first"),
+         ("z", -0.0, 1, "minus zero"), ("z", 0.0, 2, "zero")],
+        "k string, v double, at int, note string",
+    )
+    once = keep_first(df, ("k", "v"), ("at",))
+    notes = {r.note for r in once.collect()}
+    assert notes == {"early", "other value", "null key first", "nan first", "minus zero"}
+    twice = keep_first(once.unionByName(df), ("k", "v"), ("at",))
+    assert {r.note for r in twice.collect()} == notes
+
+
+def test_keep_first_breaks_ties_by_other_columns(spark):
+    df = spark.createDataFrame([("a", 1, "y"), ("a", 1, "x"), ("a", 1, None)], "k string, at int, note string")
+    for partitions in (1, 3):
+        assert keep_first(df.repartition(partitions), ("k",), ("at",)).first().note == "x"
+
+
+def test_ranking_limits_groups_before_the_shuffle(spark):
+    df = spark.range(1000).withColumn("k", F.col("id") % 2)
+    plan = plan_of(top_n(df, ("k",), 7, [F.desc("id")]))
+    before_exchange = plan[plan.index("Exchange"):]
+    assert "WindowGroupLimit" in before_exchange and "Partial" in before_exchange
+    assert sorted(r.id for r in top_n(df, ("k",), 7, [F.desc("id")]).collect()) == list(range(986, 1000))
+
+
+# ------------------------------------------------------------ rollup
+
+
+@pytest.fixture(scope="module")
+def records(spark):
+    rng = random.Random(5)
+    rows = []
+    for _ in range(800):
+        start = dt.datetime(2024, 1, 1) + dt.timedelta(hours=rng.randrange(200))
+        value = rng.choice([0.0, 0.0, 1.0, 2.0, 5.0, None])
+        rows.append((rng.choice("abc"), rng.choice(["s", "h", "t", "unused"]), start, value))
+    rows.append(("a", "s", None, 1.0))
+    return spark.createDataFrame(rows, "user_id string, type string, start_date timestamp_ntz, value double")
+
+
+MEASURES = [
+    Measure("total", "s", "sum", default=0.0),
+    Measure("mean", "t", "avg"),
+    Measure("low", "t", "min"),
+    Measure("hours", "h", "count_distinct", value="start_date", default=0, cast="int"),
+]
+
+
+def with_stand_filter():
+    return [m if m.name != "hours" else Measure(**{**m.__dict__, "only": F.col("value") == 0.0}) for m in MEASURES]
+
+
+def test_rollup_equals_full_outer_chain(spark, records):
+    got = daily_rollup(records, with_stand_filter())
+    day = F.col("start_date").cast("date").alias("date")
+
+    def one(metric, *aggregates, where=F.lit(True)):
+        return records.where((F.col("type") == metric) & where).groupBy("user_id", day).agg(*aggregates)
+
+    chain = reduce(lambda a, b: a.join(b, ["user_id", "date"], "full"), [
+        one("s", F.sum("value").alias("total")),
+        one("t", F.avg("value").alias("mean"), F.min("value").alias("low")),
+        one("h", F.count_distinct("start_date").alias("hours"), where=F.col("value") == 0.0),
+    ]).where(F.col("date").isNotNull()).select(
+        "user_id", "date", F.coalesce("total", F.lit(0.0)).alias("total"), "mean", "low",
+        F.coalesce("hours", F.lit(0)).cast("int").alias("hours"))
+    assert rows_of(got, "user_id", "date", "total", "mean", "low", "hours") == rows_of(chain, *chain.columns)
+
+
+def test_rollup_scans_once(spark, records):
+    assert plan_of(daily_rollup(records, with_stand_filter()[:3])).count("Exchange") == 1
+
+
+def test_full_outer_by_key(spark):
+    a = spark.createDataFrame([("x", 1, 1.0), ("y", 1, None), (None, 1, 5.0)], "u string, d int, a double")
+    b = spark.createDataFrame([("x", 1, "p"), ("z", 2, "q")], "u string, d int, b string")
+    got = full_outer_by_key([a, b], ("u", "d"))
+    assert rows_of(got, "u", "d", "a", "b") == sorted(
+        [("x", 1, 1.0, "p"), ("y", 1, None, None), ("z", 2, None, "q")], key=repr)
+
+
+# ------------------------------------------------------------ upsert and friends
+
+
+def test_upsert_replaces_whole_rows_and_is_idempotent(spark):
+    schema = "user_id string, date int, v double, w double, updated_at timestamp_ntz"
+    old = dt.datetime(2024, 1, 1)
+    existing = spark.createDataFrame([("a", 1, 1.0, 1.0, old), ("a", 2, 2.0, 2.0, old)], schema)
+    incoming = spark.createDataFrame([("a", 2, None, 7.0), ("b", 1, 3.0, None)], "user_id string, date int, v double, w double")
+    now = F.lit(NOW).cast("timestamp_ntz")
+    once = upsert_by_key(existing, incoming, ("user_id", "date"), now)
+    want = sorted([("a", 1, 1.0, 1.0, old), ("a", 2, None, 7.0, NOW), ("b", 1, 3.0, None, NOW)], key=repr)
+    assert rows_of(once, *once.columns) == want
+    assert rows_of(upsert_by_key(once, incoming, ("user_id", "date"), now), *once.columns) == want
+    empty = incoming.limit(0)
+    assert rows_of(upsert_by_key(existing, empty, ("user_id", "date"), now), "date") == [(1,), (2,)]
+
+
+def test_insert_if_absent(spark):
+    existing = spark.createDataFrame([("a", 1)], "username string, n int")
+    incoming = spark.createDataFrame([("a", 9), ("b", 3), ("b", 2)], "username string, n int")
+    assert rows_of(insert_if_absent(existing, incoming, ("username",)), "username", "n") == [("a", 1), ("b", 2)]
+
+
+def test_require_known_users(spark):
+    users = spark.createDataFrame([("a",)], "username string")
+    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "user_id string, n int")
+    known, unknown = require_known_users(rows, users)
+    assert rows_of(known, "n") == [(1,)] and rows_of(unknown, "n") == [(2,), (3,)]

@@ -262,7 +262,7 @@ class _Cutter:
             self.opening = self.pending[: self.children[0]] if self.children else b""
         else:
             yield self.opening
-        begin = self.offset
+        begin = self.children[0] if self.children else self.offset
         while True:
             cut = next((c for c in self.children if c - begin >= self.part_bytes), None)
             if cut is not None:

@@ -116,11 +116,11 @@ def _merge(spark, new, path, schema, keys, partitions, buckets) -> None:
     _write_partitioned(keep_first(batch, keys, ("ingested_at",)), staged, partitions, ("user_id", "start_date"), "overwrite")
     batch = spark.read.schema(schema).parquet(staged)
     # At most (number of metrics) x (number of buckets) rows.
-    touched = batch.select(*partitions).distinct().collect()
+    touched = batch.groupBy(*partitions).agg(F.min("ingested_at").alias("earliest")).collect()
     if not touched:
         return
+    earliest = min(row["earliest"] for row in touched)
     stored = spark.read.schema(schema).parquet(path).where(_in_partitions(touched, partitions))
-    earliest = batch.agg(F.min("ingested_at")).first()[0]
     if stored.where(F.col("ingested_at") > F.lit(earliest)).isEmpty():
         fresh = _anti_null_safe(batch, stored, keys)
         _write_partitioned(fresh, path, partitions, ("user_id", "start_date"), "append")
@@ -134,8 +134,8 @@ def _in_partitions(rows, partitions) -> Column:
     if len(partitions) == 1:
         return F.col(partitions[0]).isin([r[0] for r in rows])
     by_first = {}
-    for first, second in rows:
-        by_first.setdefault(first, []).append(second)
+    for row in rows:
+        by_first.setdefault(row[0], []).append(row[1])
     return reduce(
         lambda a, b: a | b,
         [(F.col(partitions[0]) == first) & F.col(partitions[1]).isin(seconds) for first, seconds in by_first.items()],
