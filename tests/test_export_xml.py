@@ -214,7 +214,7 @@ def test_one_decimal_like_python(spark):
               1e6 + 0.25, 123456789.45, -1.25, -0.35, 7.0]
     values += [round(rng.uniform(0, 500), 2) for _ in range(2000)] + [rng.uniform(0, 1e5) for _ in range(500)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    got = [r[0] for r in df.select(fixed1(F.col("v"))).collect()]
+    got = [r[0] for r in df.select(fixed1("v")).collect()]
     assert got == [f"{v:.1f}" for v in values]
 
 

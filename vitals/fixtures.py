@@ -216,11 +216,12 @@ def _element(tag: str, children: Column | None = None, **attributes: Column) ->
 def record_xml(spark: SparkSession, sf_dir: str, metrics: dict = MOVEMENT, texts: dict | None = None) -> DataFrame:
     """(user_id, event_id, xml): one ``Record`` element per event.
 
-    Values are the events' numbers, or ``texts`` by event type.
+    Values are the events' numbers, or ``texts`` by event type. The test table
+    is one file, so its rows are spread for the parsing that follows.
     """
     view = by_event_type({event: _VENDOR[metric] for event, metric in metrics.items()})
     value = F.col("value") if texts is None else case_column("event_type", texts)
-    return view.frame(spark, sf_dir).select(
+    return view.frame(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism).select(
         "user_id", F.col("row_id").alias("event_id"),
         _element(
             "Record", type=F.col("type"), sourceName=F.col("source_name"), sourceVersion=F.lit("1"),
@@ -241,7 +242,7 @@ def workout_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
                  sum=F.col("o_orderkey") % 20, unit=F.lit("km")),
     )
     ends = F.col("o_orderdate") + F.make_dt_interval(mins=minutes.cast("int"))
-    return orders.withColumn("_end", ends).select(
+    return orders.withColumn("_end", ends).repartition(spark.sparkContext.defaultParallelism).select(
         F.col("o_custkey").cast("string").alias("user_id"),
         F.col("o_orderkey").alias("workout_id"),
         _element(

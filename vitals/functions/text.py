@@ -3,23 +3,22 @@
 from pyspark.sql import Column, functions as F
 
 
-def fixed1(value: Column) -> Column:
-    """One decimal, rounded on the exact binary value, ties to the even digit.
+def fixed1(column: str) -> Column:
+    """A column with one decimal, rounded on its exact binary value, ties to even.
 
     Java's formatter rounds the shortest decimal text instead (0.15 -> 0.2),
     so the comparison with the midpoint is done here without rounding error:
     the fraction is cut into two parts short enough for exact products.
     """
-    size = F.abs(value)
-    whole = F.floor(size)
-    fraction = size - whole
-    tenths = F.floor(fraction * 10)
-    high = F.floor(fraction * F.lit(float(2**26))) / F.lit(float(2**26))
-    past_midpoint = (high * 20 - (tenths * 2 + 1)) + (fraction - high) * 20
-    up = (past_midpoint > 0) | ((past_midpoint == 0) & (tenths % 2 == 1))
-    rounded = whole * 10 + tenths + F.when(up, 1).otherwise(0)
-    sign = F.when(value < 0, F.lit("-")).otherwise(F.lit(""))
-    return F.concat(sign, F.floor(rounded / 10).cast("string"), F.lit("."), (rounded % 10).cast("string"))
+    x = f"`{column}`"
+    size = f"abs({x})"
+    fraction = f"({size} - floor({size}))"
+    tenths = f"floor({fraction} * 10)"
+    high = f"(floor({fraction} * 67108864D) / 67108864D)"  # the first 26 bits
+    past = f"({high} * 20 - ({tenths} * 2 + 1) + ({fraction} - {high}) * 20)"
+    up = f"if({past} > 0 OR ({past} = 0 AND {tenths} % 2 = 1), 1, 0)"
+    rounded = f"(floor({size}) * 10 + {tenths} + {up})"
+    return F.expr(f"concat(if({x} < 0, '-', ''), {rounded} div 10, '.', {rounded} % 10)")
 
 
 def grouped_int(value: Column) -> Column:

@@ -5,28 +5,33 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import round_half_away
 
 
+def _type_column(records: DataFrame) -> str:
+    """The stored table has the metric as its partition column, which costs no reading."""
+    return "records_type" if "records_type" in records.columns else "type"
+
+
 def _metric(records: DataFrame, name: str) -> DataFrame:
-    partition = "records_type" if "records_type" in records.columns else "type"
-    return records.where(F.col(partition) == name)
+    return records.where(F.col(_type_column(records)) == name)
 
 
 def available_types(records: DataFrame) -> DataFrame:
     """Rows, first and last day of each metric, over all users."""
-    return records.groupBy("type").agg(
+    return records.groupBy(F.col(_type_column(records)).alias("type")).agg(
         F.count("*").alias("records"),
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
     )
 
 
-def heart_rate_sample(records: DataFrame, n: int = 10) -> DataFrame:
-    """A small repeatable sample of heart-rate readings: the earliest ``n``."""
-    return (
-        _metric(records, "heart_rate")
-        .orderBy("creation_date", "user_id", "source_name", "value", "unit")
-        .limit(n)
-        .select("creation_date", "value", "unit", "source_name")
-    )
+def heart_rate_sample(records: DataFrame, n: int = 10, earliest: bool = True) -> DataFrame:
+    """A few heart-rate readings: the earliest ``n``, the same on every run.
+
+    ``earliest=False`` takes any ``n``, which reads only what it needs.
+    """
+    rows = _metric(records, "heart_rate")
+    if earliest:
+        rows = rows.orderBy("creation_date", "user_id", "source_name", "value", "unit")
+    return rows.limit(n).select("creation_date", "value", "unit", "source_name")
 
 
 def oxygen_by_day(records: DataFrame, days: int = 10) -> DataFrame:
@@ -68,7 +73,7 @@ def workouts_by_type(workouts: DataFrame) -> DataFrame:
 def records_by_type(records: DataFrame) -> DataFrame:
     """Stored records per metric, most frequent first."""
     return (
-        records.groupBy("type")
+        records.groupBy(F.col(_type_column(records)).alias("type"))
         .agg(F.count("*").alias("total_records"))
         .orderBy(F.desc("total_records"), "type")
     )

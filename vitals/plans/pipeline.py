@@ -68,7 +68,9 @@ def land_listed(spark: SparkSession, lake: Lake, listed: DataFrame, user_pattern
 
 def pending(spark: SparkSession, lake: Lake, users: DataFrame | None = None) -> DataFrame:
     """Landed archives that silver has not taken in."""
-    landed = tables.of_users(archives.read_catalog(spark, lake.bronze), users)
+    landed = archives.read_catalog(spark, lake.bronze)
+    if users is not None:
+        landed = landed.join(users.select("user_id"), "user_id", "left_semi")
     if not tables.exists(spark, lake.loaded):
         return landed
     loaded = spark.read.schema("user_id string, sha256 string").parquet(lake.loaded)
@@ -111,8 +113,22 @@ def load_silver(
     return counts
 
 
+def listed_users(spark: SparkSession, lake: Lake, users: DataFrame | None) -> DataFrame | None:
+    """A list of users written as a table, so that its size is known to the planner.
+
+    Otherwise Spark would guess the size from what the list was made of (whole
+    archives, say) and shuffle every stored record to join it.
+    """
+    if users is None:
+        return None
+    path = posixpath.join(lake.staging, "users", f"run={uuid.uuid4().hex}")
+    users.select("user_id").distinct().write.parquet(path)
+    return spark.read.schema("user_id string").parquet(path)
+
+
 def refresh_gold(spark: SparkSession, lake: Lake, now: Column, users: DataFrame | None = None) -> None:
     """Gold: recompute the summaries of some users, or all, and upsert them."""
+    users = listed_users(spark, lake, users)
     records = tables.read_silver(spark, lake.records, users=users)
     workouts = tables.read_silver_workouts(spark, lake.workouts, users=users)
     for table, rows in build_gold(records, workouts).items():

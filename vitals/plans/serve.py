@@ -42,9 +42,9 @@ def kpi_vs_goal(figures: DataFrame, goals: Goals = Goals()) -> DataFrame:
         .withColumn(
             "sleep_status",
             F.when(F.col("sleep_minutes").isNull(), F.lit("No Data"))
-            .otherwise(F.concat(fixed1(F.col("sleep_hours")), F.lit(" hrs"))),
+            .otherwise(F.concat(fixed1("sleep_hours"), F.lit(" hrs"))),
         )
-        .withColumn("resting_hr_text", or_na(rate, F.concat(fixed1(rate), F.lit(" bpm"))))
+        .withColumn("resting_hr_text", or_na(rate, F.concat(fixed1("resting_hr"), F.lit(" bpm"))))
         .withColumn(
             "resting_hr_label",
             F.when(F.isnan(rate), None)
@@ -176,12 +176,11 @@ WORKOUT_HEADING = "\n### RECENT WORKOUTS:\n"
 
 
 def _measure(column: str, unit: str) -> Column:
-    value = F.col(column)
-    return or_na(value, F.concat(fixed1(value), F.lit(unit)))
+    return or_na(F.col(column), F.concat(fixed1(column), F.lit(unit)))
 
 
 def _amount(column: str, unit: str) -> Column:
-    return F.coalesce(F.concat(fixed1(F.col(column)), F.lit(unit)), F.lit("N/A"))
+    return F.coalesce(F.concat(fixed1(column), F.lit(unit)), F.lit("N/A"))
 
 
 def _line(**parts: Column) -> Column:

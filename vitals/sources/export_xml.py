@@ -66,7 +66,9 @@ def _parse(df: DataFrame, xml: str, schema: T.StructType, row_tag: str) -> DataF
     options = {"rowTag": row_tag, "mode": "FAILFAST", **_VERBATIM}
     others = [c for c in df.columns if c != xml]
     parsed = F.from_xml(F.col(xml), schema.simpleString(), options)
-    return df.select(*others, parsed.alias("_element")).select(*others, "_element.*")
+    # As a generator the parse runs once per row. As a plain column, later
+    # filters on attributes would be pushed below it with a parse in each.
+    return df.select(*others, F.inline(F.array(parsed)))
 
 
 def _text(attribute: str, default: str = "") -> Column:

@@ -40,7 +40,7 @@ def user_bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
 
 
-def bucket_count(spark: SparkSession, path: str, buckets: int) -> int:
+def bucket_count(spark: SparkSession, path: str, buckets: int = 64) -> int:
     """Number of buckets the table was created with; ``buckets`` for a new one.
 
     Rows of a user are looked up by bucket, so the number is fixed for the
@@ -62,19 +62,27 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 def read_silver(
     spark: SparkSession, path: str, types: list[str] | None = None, users: DataFrame | None = None
 ) -> DataFrame:
-    """Records of some metrics (partition-pruned) and users; all by default."""
-    records = _read(spark, path, STORED_RECORDS)
-    if types is not None:
-        records = records.where(F.col("records_type").isin(*types))
-    return of_users(records, users)
+    """Records of some metrics and users, all by default; both prune partitions."""
+    records = of_users(spark, path, _read(spark, path, STORED_RECORDS), users)
+    return records if types is None else records.where(F.col("records_type").isin(*types))
 
 
 def read_silver_workouts(spark: SparkSession, path: str, users: DataFrame | None = None) -> DataFrame:
-    return of_users(_read(spark, path, STORED_WORKOUTS), users)
+    return of_users(spark, path, _read(spark, path, STORED_WORKOUTS), users)
 
 
-def of_users(rows: DataFrame, users: DataFrame | None) -> DataFrame:
-    return rows if users is None else rows.join(users.select("user_id"), "user_id", "left_semi")
+def of_users(spark: SparkSession, path: str, rows: DataFrame, users: DataFrame | None) -> DataFrame:
+    """Stored rows of the users listed in ``users.user_id``.
+
+    Only the users' buckets are read; at most one number per bucket is
+    collected for that. A list kept as a table has a known size, by which Spark
+    decides whether to broadcast it (see ``pipeline.listed_users``).
+    """
+    if users is None or not exists(spark, path):
+        return rows
+    users = users.select("user_id")
+    buckets = users.select(user_bucket(bucket_count(spark, path)).alias("bucket")).distinct().collect()
+    return rows.where(F.col("user_bucket").isin([r.bucket for r in buckets])).join(users, "user_id", "left_semi")
 
 
 def _write_partitioned(df: DataFrame, path: str, partitions, sort, mode: str, **options) -> None:
@@ -176,7 +184,8 @@ def read_gold(
     spark: SparkSession, root: str, table: str, users: DataFrame | None = None
 ) -> DataFrame:
     """One gold table; order is left to the reader."""
-    return of_users(_read(spark, posixpath.join(root, table), _stored_gold(table)), users).drop("user_bucket")
+    path = posixpath.join(root, table)
+    return of_users(spark, path, _read(spark, path, _stored_gold(table)), users).drop("user_bucket")
 
 
 def checked_widths(df: DataFrame) -> DataFrame:

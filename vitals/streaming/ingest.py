@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.pipeline import USER_FOLDER, Lake, land_listed, load_silver, pending, refresh_gold
+from ..plans.pipeline import USER_FOLDER, Lake, land_listed, listed_users, load_silver, pending, refresh_gold
 from ..sources.archives import with_user
 
 
@@ -39,7 +39,7 @@ def ingest_archives(
         stamp = F.current_timestamp() if now is None else now
         # What a failed attempt left undone is found again: silver by archives
         # landed but not loaded, gold by the users of this batch.
-        users = with_user(batch, user_pattern).select("user_id").distinct()
+        users = listed_users(session, lake, with_user(batch, user_pattern))
         land_listed(session, lake, batch, user_pattern)
         load_silver(session, lake, pending(session, lake, users), stamp)
         refresh_gold(session, lake, stamp, users)
