@@ -239,6 +239,10 @@ def test_stages_and_users(spark, tmp_path):
     run_pipeline(spark, lake, "silver", now=stamp(1))
     gold = run_pipeline(spark, lake, "gold", users=ann, now=stamp(1))
     assert [r.user_id for r in gold["daily_activity_summary"].collect()] == ["ann"]
+    bob = spark.createDataFrame([("bob",)], "username string")
+    gold = run_pipeline(spark, Lake(lake.root, 4, 2), "gold", registered=bob, now=stamp(2))
+    assert {r.user_id: r.updated_at.day for r in gold["daily_activity_summary"].collect()} == {"ann": 1, "bob": 2}
+    assert [r.user_id for r in spark.read.parquet(lake.rejected + "/workouts_summary").collect()] == ["ann"]
 
 
 def test_streaming_ingest(spark, tmp_path):

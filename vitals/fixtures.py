@@ -5,16 +5,18 @@ Every row of the table takes part; remainders of ids only spread metrics and
 source names over the rows.
 """
 
-import os
+import posixpath
 import sys
 import zipfile
 from collections.abc import Callable
+from contextlib import ExitStack
 from dataclasses import dataclass
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .schema import RECORD_SCHEMA, RECORD_TYPES, WORKOUT_SCHEMA
+from .sources.archives import open_fs
 
 SOURCES = ("Wrist Watch", "Zepp", "Phone")
 INGESTED = "2024-06-01 00:00:00"
@@ -273,27 +275,30 @@ def write_archives(spark: SparkSession, sf_dir: str, folder: str, metrics: dict
 
 def _archive_writer(folder: str):
     def run(batches):
-        current = archive = member = None
-        for batch in batches:
-            for user, xml in zip(batch["user_id"], batch["xml"]):
-                if user != current:
-                    if archive:
-                        member.write(b"</HealthData>")
-                        member.close()
-                        archive.close()
-                    current = user
-                    os.makedirs(folder, exist_ok=True)
-                    archive = zipfile.ZipFile(os.path.join(folder, f"{user}.zip"), "w", zipfile.ZIP_DEFLATED)
-                    member = archive.open(zipfile.ZipInfo("data/export.xml"), "w")
-                    member.write(b'<?xml version="1.0" encoding="UTF-8"?>\n<HealthData>\n')
-                member.write(xml.encode() + b"\n")
-            yield batch[["user_id"]].drop_duplicates()
-        if archive:
-            member.write(b"</HealthData>")
-            member.close()
-            archive.close()
+        user = None
+        with ExitStack() as open_files:
+            for batch in batches:
+                for row in batch.itertuples(index=False):
+                    if row.user_id != user:
+                        open_files.close()
+                        user = row.user_id
+                        member = _open_export(open_files, posixpath.join(folder, f"{user}.zip"))
+                    member.write(row.xml.encode() + b"\n")
+                yield batch[["user_id"]].drop_duplicates()
 
     return run
 
 
+def _open_export(open_files: ExitStack, path: str):
+    """An export inside a new archive; closing ``open_files`` completes both."""
+    fs, target = open_fs(path)
+    fs.create_dir(posixpath.dirname(target), recursive=True)
+    stream = open_files.enter_context(fs.open_output_stream(target))
+    archive = open_files.enter_context(zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED))
+    member = open_files.enter_context(archive.open(zipfile.ZipInfo("data/export.xml"), "w"))
+    member.write(b'<?xml version="1.0" encoding="UTF-8"?>\n<HealthData>\n')
+    open_files.callback(member.write, b"</HealthData>")
+    return member
+
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,10 +2,14 @@
 
 import posixpath
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from ..operators import require_known_users
 from ..schema import GOLD_SCHEMAS
 from ..sources import archives, export_xml, tables
 from .gold import build_gold
@@ -47,6 +51,10 @@ class Lake:
     def quarantine(self) -> str:
         return self._under("silver/quarantine")
 
+    @property
+    def rejected(self) -> str:
+        return self._under("gold_rejected")
+
     @property
     def loaded(self) -> str:
         return self._under("silver/loaded")
@@ -94,13 +102,9 @@ def load_silver(
     if done.isEmpty():
         return {"records": 0, "workouts": 0}
 
-    file_source = F.concat(F.col("sha256"), F.lit(".zip"))
-    counts = {}
-    for kind, read, conform, merge, path in (
-        ("records", export_xml.read_record_elements, export_xml.conform_records, tables.merge_records, lake.records),
-        ("workouts", export_xml.read_workout_elements, export_xml.conform_workouts, tables.merge_workouts, lake.workouts),
-    ):
+    def load(kind, read, conform, merge, path):
         counter = Observation(kind)
+        file_source = F.concat(F.col("sha256"), F.lit(".zip"))
         typed = conform(read(spark, staged), now, file_source).observe(counter, F.count(F.lit(1)).alias("n"))
         # Parse once, then split the stored rows.
         parsed = posixpath.join(lake.staging, f"typed_{kind}", f"run={run}")
@@ -108,11 +112,26 @@ def load_silver(
         good, bad = export_xml.readable(spark.read.schema(typed.schema).parquet(parsed))
         bad.write.mode("overwrite").parquet(posixpath.join(lake.quarantine, kind, f"run={run}"))
         merge(spark, good, path, lake.record_buckets)
-        counts[kind] = counter.get["n"]
+        return kind, counter.get["n"]
+
+    counts = dict(_together(spark, [
+        lambda: load("records", export_xml.read_record_elements, export_xml.conform_records,
+                     tables.merge_records, lake.records),
+        lambda: load("workouts", export_xml.read_workout_elements, export_xml.conform_workouts,
+                     tables.merge_workouts, lake.workouts),
+    ]))
     done.select("user_id", "sha256").distinct().write.mode("append").parquet(lake.loaded)
     return counts
 
 
+def _together(spark: SparkSession, calls: list[Callable]) -> list:
+    """Runs independent table loads side by side, so that the short last stages
+    of one do not leave the cluster idle. The first failure is raised."""
+    with ThreadPoolExecutor(len(calls)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]
+        return [each.result() for each in running]
+
+
 def listed_users(spark: SparkSession, lake: Lake, users: DataFrame | None) -> DataFrame | None:
     """A list of users written as a table, so that its size is known to the planner.
 
@@ -126,14 +145,32 @@ def listed_users(spark: SparkSession, lake: Lake, users: DataFrame | None) -> Da
     return spark.read.schema("user_id string").parquet(path)
 
 
-def refresh_gold(spark: SparkSession, lake: Lake, now: Column, users: DataFrame | None = None) -> None:
-    """Gold: recompute the summaries of some users, or all, and upsert them."""
+def refresh_gold(
+    spark: SparkSession,
+    lake: Lake,
+    now: Column,
+    users: DataFrame | None = None,
+    registered: DataFrame | None = None,
+) -> None:
+    """Gold: recompute the summaries of some users, or all, and upsert them.
+
+    With a table of ``registered`` users (column ``username``) rows of anyone
+    else are not stored but put aside under ``lake.rejected``.
+    """
     users = listed_users(spark, lake, users)
     records = tables.read_silver(spark, lake.records, users=users)
     workouts = tables.read_silver_workouts(spark, lake.workouts, users=users)
-    for table, rows in build_gold(records, workouts).items():
+    run = uuid.uuid4().hex
+
+    def store(table, rows):
+        if registered is not None:
+            rows, unknown = require_known_users(rows, registered)
+            unknown.write.parquet(posixpath.join(lake.rejected, table, f"run={run}"))
         tables.upsert_gold(spark, rows, lake.gold, table, now, lake.gold_buckets)
 
+    built = build_gold(records, workouts)
+    _together(spark, [lambda table=table, rows=rows: store(table, rows) for table, rows in built.items()])
+
 
 def run_pipeline(
     spark: SparkSession,
@@ -141,13 +178,15 @@ def run_pipeline(
     stage: str = "all",
     source: str | None = None,
     users: DataFrame | None = None,
+    registered: DataFrame | None = None,
     user_pattern: str = USER_FOLDER,
     now: Column | None = None,
 ) -> dict[str, DataFrame]:
     """Run one stage or all three; returns the gold tables as stored.
 
     ``users`` (column ``user_id``) limits silver and gold; by default silver
-    takes every archive not loaded yet and gold covers everyone.
+    takes every archive not loaded yet and gold covers everyone. ``registered``
+    limits whose rows gold accepts (see ``refresh_gold``).
     """
     if stage not in STAGES:
         raise ValueError(f"stage must be one of {STAGES}, not {stage!r}")
@@ -159,5 +198,5 @@ def run_pipeline(
     if stage in ("silver", "all"):
         load_silver(spark, lake, pending(spark, lake, users), now)
     if stage in ("gold", "all"):
-        refresh_gold(spark, lake, now, users)
+        refresh_gold(spark, lake, now, users, registered)
     return {table: tables.read_gold(spark, lake.gold, table) for table in GOLD_SCHEMAS}

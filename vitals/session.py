@@ -22,4 +22,4 @@ def local_session(cores: str | int = "*", app: str = "vitals", **conf) -> SparkS
 
 def shared_folder(spark: SparkSession) -> str | None:
     """Folder all executors reach, as the cluster names it; None when unset."""
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
