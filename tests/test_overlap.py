@@ -117,3 +117,15 @@ def test_plan_has_no_pairwise_join(spark):
     rows = spark.createDataFrame(random_rows(1), SCHEMA)
     plan = suppress_overlaps(rows)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+
+
+def test_windows_are_cut_by_day(spark):
+    """No step gathers the rows of one (user, metric) in one task."""
+    rows = spark.createDataFrame(random_rows(1), SCHEMA)
+    plan = suppress_overlaps(rows)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "hashpartitioning(" in line]
+    by_key_only = [e for e in exchanges if "_day" not in e and "end_date" not in e]
+    # The one exchange by key alone carries a row per day, already aggregated.
+    assert len(by_key_only) == 1
+    after = plan[plan.index("hashpartitioning(" + by_key_only[0]):].splitlines()
+    assert "HashAggregate(keys=[user_id" in after[1] and "_day" in after[1] and "_at" not in after[1].split("]")[0]

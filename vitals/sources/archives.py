@@ -23,6 +23,7 @@ from pyarrow import fs as arrow_fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators import keep_first
 from .tables import exists
 
 BLOCK = 1 << 20
@@ -99,7 +100,7 @@ def land_archives(spark: SparkSession, listed: DataFrame, bronze: str) -> DataFr
     # Same bytes under a new name are the same archive.
     run = uuid.uuid4().hex
     fresh = (
-        copied.dropDuplicates(["user_id", "sha256"])
+        keep_first(copied, ("user_id", "sha256"), ("source",))
         .join(known, ["user_id", "sha256"], "left_anti")
         .withColumn("run", F.lit(run))
     )
