@@ -149,6 +149,18 @@ def test_merge_keeps_first_and_adds_new(spark, tmp_path):
     assert ("b", "distance", 2, 2.0, "0") in stored(spark, path) and len(stored(spark, path)) == 6
 
 
+def test_compaction_keeps_rows_in_fewer_files(spark, tmp_path):
+    path = str(tmp_path / "records")
+    for day in (1, 2, 3):
+        tables.merge_records(spark, record_rows(spark, [("a", k, day, 1.0, "1") for k in ("hrv", "sleep")], day), path, buckets=1)
+    before = stored(spark, path)
+    assert len(list(tmp_path.glob("records/records_type=hrv/*/*.parquet"))) == 3
+    tables.compact_records(spark, path, ["hrv"])
+    assert stored(spark, path) == before and len(before) == 6
+    assert len(list(tmp_path.glob("records/records_type=hrv/*/*.parquet"))) == 1
+    assert len(list(tmp_path.glob("records/records_type=sleep/*/*.parquet"))) == 3
+
+
 def test_bucket_number_belongs_to_the_table(spark, tmp_path):
     path = str(tmp_path / "records")
     rows = record_rows(spark, [("a", "hrv", 1, 1.0, "1")], 1)

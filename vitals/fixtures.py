@@ -8,7 +8,6 @@ source names over the rows.
 import posixpath
 import sys
 import zipfile
-from collections.abc import Callable
 from contextlib import ExitStack
 from dataclasses import dataclass
 
@@ -53,56 +52,36 @@ def case_sql(column: str, values: dict) -> str:
     return f"CASE {column} {arms} END"
 
 
-def case_column(column: str, values: dict) -> Column:
-    chain = F
-    for key, value in values.items():
-        chain = chain.when(F.col(column) == key, F.lit(value))
-    return chain.otherwise(F.lit(None))
-
-
 def pick_sql(number: str, values: tuple) -> str:
     arms = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
     return f"CASE {number} % {len(values)} {arms} END"
 
 
-def pick_column(number: str, values: tuple) -> Column:
-    chain = F
-    for i, value in enumerate(values):
-        chain = chain.when(F.col(number) % len(values) == i, F.lit(value))
-    return chain
-
-
 @dataclass(frozen=True)
 class RecordView:
-    """``records`` made from ``events``: which metric and value an event gets.
-
-    Columns are given as functions, since they can be made only in a session.
-    """
+    """``records`` made from ``events``: SQL for the metric and value an event gets."""
 
-    metric: Callable[[], Column]
-    metric_sql: str
-    value: Callable[[], Column]
-    value_sql: str
+    metric: str
+    value: str
 
     def frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         events = spark.read.parquet(f"{sf_dir}/events.parquet")
-        length = F.make_dt_interval(secs=(F.floor("value") * SECONDS_PER_UNIT).cast("decimal(18,6)"))
-        return events.select(
-            F.col("event_id").alias("row_id"),
+        return events.selectExpr(
+            "event_id AS row_id",
             "event_type",
-            F.col("user_id").cast("string").alias("user_id"),
-            pick_column("event_id", SOURCES).alias("source_name"),
-            F.lit("1").alias("source_version"),
-            F.lit("").alias("device"),
-            F.lit("count").alias("unit"),
-            F.col("ts").alias("creation_date"),
-            F.col("ts").alias("start_date"),
-            (F.col("ts") + length).alias("end_date"),
-            self.value().cast("double").alias("value"),
-            self.metric().alias("type"),
-            F.lit(INGESTED).cast("timestamp_ntz").alias("ingested_at"),
-            F.lit("events").alias("file_source"),
-            F.col("ts").cast("date").alias("date"),
+            "CAST(user_id AS STRING) AS user_id",
+            f"{pick_sql('event_id', SOURCES)} AS source_name",
+            "'1' AS source_version",
+            "'' AS device",
+            "'count' AS unit",
+            "ts AS creation_date",
+            "ts AS start_date",
+            f"ts + make_dt_interval(0, 0, 0, CAST(floor(value) * {SECONDS_PER_UNIT} AS DECIMAL(18, 6))) AS end_date",
+            f"CAST({self.value} AS DOUBLE) AS value",
+            f"{self.metric} AS type",
+            f"TIMESTAMP_NTZ '{INGESTED}' AS ingested_at",
+            "'events' AS file_source",
+            "CAST(ts AS DATE) AS date",
         )
 
     def sql(self) -> str:
@@ -110,7 +89,7 @@ class RecordView:
             {pick_sql('event_id', SOURCES)} AS source_name, '1' AS source_version, '' AS device,
             'count' AS unit, ts AS creation_date, ts AS start_date,
             ts + to_seconds(CAST(floor(value) * {SECONDS_PER_UNIT} AS BIGINT)) AS end_date,
-            CAST({self.value_sql} AS DOUBLE) AS value, {self.metric_sql} AS type,
+            CAST({self.value} AS DOUBLE) AS value, {self.metric} AS type,
             TIMESTAMP '{INGESTED}' AS ingested_at, 'events' AS file_source, CAST(ts AS DATE) AS date
             FROM events"""
 
@@ -118,10 +97,7 @@ class RecordView:
 def by_event_type(metrics: dict, whole: bool = False) -> RecordView:
     """One metric per event type; ``whole`` cuts values to whole numbers, whose
     sums do not depend on the order of adding."""
-    return RecordView(
-        lambda: case_column("event_type", metrics), case_sql("event_type", metrics),
-        lambda: F.floor("value") if whole else F.col("value"), "floor(value)" if whole else "value",
-    )
+    return RecordView(case_sql("event_type", metrics), "floor(value)" if whole else "value")
 
 
 def movement(whole=False):
@@ -129,20 +105,13 @@ def movement(whole=False):
 
 
 def sleep_view() -> RecordView:
-    return RecordView(
-        lambda: F.lit("sleep"), "'sleep'",
-        lambda: case_column("event_type", STAGE_CODES), case_sql("event_type", STAGE_CODES),
-    )
+    return RecordView("'sleep'", case_sql("event_type", STAGE_CODES))
 
 
 def body_view() -> RecordView:
     """Eight metrics in turn; stand hours have values 0 and 1."""
-    metric_sql = pick_sql("event_id", BODY)
-    return RecordView(
-        lambda: pick_column("event_id", BODY), metric_sql,
-        lambda: F.when(pick_column("event_id", BODY) == "stand_hour", F.floor("value") % 2).otherwise(F.col("value")),
-        f"CASE WHEN {metric_sql} = 'stand_hour' THEN floor(value) % 2 ELSE value END",
-    )
+    metric = pick_sql("event_id", BODY)
+    return RecordView(metric, f"CASE WHEN {metric} = 'stand_hour' THEN floor(value) % 2 ELSE value END")
 
 
 def records(frame: DataFrame) -> DataFrame:
@@ -153,23 +122,22 @@ def records(frame: DataFrame) -> DataFrame:
 def workouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``workouts`` made from ``orders``."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    minutes = F.floor(F.col("o_totalprice") / 1000)
-    return orders.select(
-        F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("o_orderpriority").alias("workout_type"),
-        minutes.cast("double").alias("duration"),
-        F.lit("min").alias("duration_unit"),
-        (F.col("o_orderkey") % 20).cast("double").alias("total_distance"),
-        F.lit("km").alias("total_distance_unit"),
-        F.col("o_totalprice").alias("total_energy_burned"),
-        F.lit("kcal").alias("total_energy_burned_unit"),
-        pick_column("o_orderkey", SOURCES).alias("source_name"),
-        F.lit("1").alias("source_version"),
-        F.col("o_orderdate").alias("start_date"),
-        (F.col("o_orderdate") + F.make_dt_interval(mins=minutes.cast("int"))).alias("end_date"),
-        F.lit(INGESTED).cast("timestamp_ntz").alias("ingested_at"),
-        F.lit("orders").alias("file_source"),
-        F.col("o_orderdate").cast("date").alias("date"),
+    return orders.selectExpr(
+        "CAST(o_custkey AS STRING) AS user_id",
+        "o_orderpriority AS workout_type",
+        "CAST(floor(o_totalprice / 1000) AS DOUBLE) AS duration",
+        "'min' AS duration_unit",
+        "CAST(o_orderkey % 20 AS DOUBLE) AS total_distance",
+        "'km' AS total_distance_unit",
+        "o_totalprice AS total_energy_burned",
+        "'kcal' AS total_energy_burned_unit",
+        f"{pick_sql('o_orderkey', SOURCES)} AS source_name",
+        "'1' AS source_version",
+        "o_orderdate AS start_date",
+        "o_orderdate + make_dt_interval(0, 0, CAST(floor(o_totalprice / 1000) AS INT)) AS end_date",
+        f"TIMESTAMP_NTZ '{INGESTED}' AS ingested_at",
+        "'orders' AS file_source",
+        "CAST(o_orderdate AS DATE) AS date",
     ).to(WORKOUT_SCHEMA)
 
 
@@ -222,7 +190,7 @@ def record_xml(spark: SparkSession, sf_dir: str, metrics: dict = MOVEMENT, texts
     is one file, so its rows are spread for the parsing that follows.
     """
     view = by_event_type({event: _VENDOR[metric] for event, metric in metrics.items()})
-    value = F.col("value") if texts is None else case_column("event_type", texts)
+    value = F.col("value") if texts is None else F.expr(case_sql("event_type", texts))
     return view.frame(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism).select(
         "user_id", F.col("row_id").alias("event_id"),
         _element(
@@ -250,7 +218,7 @@ def workout_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         _element(
             "Workout", children=statistics, workoutActivityType=F.col("o_orderpriority"),
             duration=minutes, durationUnit=F.lit("min"), totalDistance=F.lit("-1"),
-            sourceName=pick_column("o_orderkey", SOURCES), sourceVersion=F.lit("1"),
+            sourceName=F.expr(pick_sql("o_orderkey", SOURCES)), sourceVersion=F.lit("1"),
             startDate=_clock("o_orderdate"), endDate=_clock("_end"),
         ).alias("xml"),
     )

@@ -121,7 +121,7 @@ def _merge(spark, new, path, schema, keys, partitions, buckets) -> None:
     batch = new.withColumn("user_bucket", user_bucket(buckets)).to(schema)
     staged = posixpath.join(path, "_batch")
     # One pass over the input; everything below reads the staged copy.
-    _write_partitioned(keep_first(batch, keys, ("ingested_at",)), staged, partitions, ("user_id", "start_date"), "overwrite")
+    keep_first(batch, keys, ("ingested_at",)).write.mode("overwrite").parquet(staged)
     batch = spark.read.schema(schema).parquet(staged)
     # At most (number of metrics) x (number of buckets) rows.
     touched = batch.groupBy(*partitions).agg(F.min("ingested_at").alias("earliest")).collect()
@@ -173,6 +173,12 @@ def finish_replacement(spark, path, schema, partitions, sort) -> None:
     _write_partitioned(contents, path, partitions, sort, "overwrite", partitionOverwriteMode="dynamic")
 
 
+def compact_records(spark: SparkSession, path: str, types: list[str] | None = None) -> None:
+    """Rewrite the partitions of some metrics, or all, in few sorted files."""
+    rows = read_silver(spark, path, types)
+    replace_partitions(spark, rows, path, STORED_RECORDS, RECORD_PARTITIONS, ("user_id", "start_date"))
+
+
 # ---------------------------------------------------------------- gold
 
 
@@ -211,7 +217,7 @@ def upsert_gold(
     batch = checked_widths(incoming).withColumn("updated_at", now.cast("timestamp_ntz"))
     batch = batch.withColumn("user_bucket", user_bucket(buckets)).to(schema)
     staged = posixpath.join(path, "_batch")
-    _write_partitioned(batch, staged, ("user_bucket",), keys, "overwrite")
+    batch.write.mode("overwrite").parquet(staged)
     batch = spark.read.schema(schema).parquet(staged)
     touched = batch.select("user_bucket").distinct().collect()  # at most one row per bucket
     if not touched:
