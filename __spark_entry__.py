@@ -12,6 +12,7 @@ import sys
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -98,11 +99,15 @@ def gold_workouts(spark, sf):
 
 # SQL of the same inputs, as common table expressions.
 
-RANK = "CASE WHEN {0}.source_name LIKE '%Watch%' THEN 1 WHEN {0}.source_name = 'Zepp' THEN 2 ELSE 3 END"
+def ranked(alias: str) -> str:
+    """Rank of a source: its place among the fixture's sources, best first."""
+    return f"list_position({list(fx.SOURCES)!r}, {alias}.source_name)"
+
+
 SURVIVES = f"""NOT EXISTS (
-    SELECT 1 FROM records p2 WHERE p2.user_id = p1.user_id AND p2.type = p1.type
-      AND {RANK.format('p2')} < {RANK.format('p1')}
-      AND p2.start_date < p1.end_date AND p1.start_date < p2.end_date)"""
+    FROM records better
+    WHERE better.user_id = p1.user_id AND better.type = p1.type AND {ranked('better')} < {ranked('p1')}
+      AND better.end_date > p1.start_date AND better.start_date < p1.end_date)"""
 
 
 def with_records(view: fx.RecordView, body: str) -> str:
@@ -124,7 +129,7 @@ ACTIVITY_BODY = f"""SELECT user_id, date,
 
 
 def stage_minutes(code: float) -> str:
-    return f"SUM(CASE WHEN value = {code} THEN (epoch(end_date) - epoch(start_date)) / 60.0 ELSE 0.0 END)"
+    return f"coalesce(SUM(date_diff('second', start_date, end_date) / 60) FILTER (WHERE value = {code}), 0)"
 
 
 SLEEP_BODY = f"""SELECT user_id, date,
@@ -311,6 +316,38 @@ def q_upsert_gold(spark, sf):
     return stamped(tables.read_gold(spark, root, table))
 
 
+# Every metric, so that each gold table gets rows: (table, body, a figure to add up).
+STORED_GOLD = (
+    ("daily_heart_rate_summary", HEART_RATE_BODY, "avg_heart_rate"),
+    ("daily_activity_summary", ACTIVITY_BODY, "step_count + active_energy_kcal + basal_energy_kcal + distance_km"),
+    ("workouts_summary", WORKOUTS_BODY, "duration_minutes"),
+    ("daily_sleep_summary", SLEEP_BODY, "awake_minutes"),
+    ("daily_cardiovascular_summary", CARDIO_BODY, "coalesce(avg_blood_oxygen, 0) + coalesce(avg_hrv_sdnn, 0)"),
+    ("daily_respiratory_summary", BREATH_BODY, "coalesce(max_respiratory_rate, 0)"),
+    ("daily_metrics_summary", METRICS_BODY, "stand_hours + coalesce(flights_climbed, 0)"),
+)
+STORED_GOLD_SQL = with_records(fx.all_metrics(), " UNION ALL ".join(
+    f"SELECT '{table}' AS name, COUNT(*) AS stored, round(SUM({figure}), 3) AS total FROM ({body}) b"
+    for table, body, figure in STORED_GOLD
+))
+
+
+def q_store_all_gold(spark, sf):
+    """All seven tables built and upserted, the second time over themselves."""
+    lake = pipeline.Lake(work_folder(spark), record_buckets=2, gold_buckets=2)
+    tables.merge_records(spark, fx.records(fx.all_metrics().frame(spark, sf)), lake.records, lake.record_buckets)
+    tables.merge_workouts(spark, fx.workouts(spark, sf), lake.workouts, lake.record_buckets)
+    for stamp in (F.lit(fx.INGESTED), later()):
+        pipeline.refresh_gold(spark, lake, stamp)
+    sums = [
+        tables.read_gold(spark, lake.gold, table).selectExpr(
+            f"'{table}' AS name", f"CAST({figure} AS DOUBLE) AS figure")
+        for table, _, figure in STORED_GOLD
+    ]
+    united = reduce(DataFrame.unionByName, sums)
+    return united.groupBy("name").agg(F.count("*").alias("stored"), F.round(F.sum("figure"), 3).alias("total"))
+
+
 def q_insert_if_absent(spark, sf):
     seen = movement(spark, sf).select(F.col("user_id").alias("username")).distinct()
     ordering = fx.workouts(spark, sf).select(F.col("user_id").alias("username")).distinct()
@@ -684,6 +721,7 @@ OPERATORS = {
     ),
     "upsert_by_key": (q_upsert_by_key, UPSERT_SQL),
     "upsert_gold": (q_upsert_gold, UPSERT_SQL),
+    "store_all_gold": (q_store_all_gold, STORED_GOLD_SQL),
     "insert_if_absent": (
         q_insert_if_absent,
         f"""WITH known AS ({fx.USERS_SQL}) SELECT username, {clock('created_at')} FROM (

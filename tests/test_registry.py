@@ -30,7 +30,7 @@ def test_entry(spark):
     assert registry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", [n for n in registry.queries() if not n.startswith(("land_", "pipeline_", "stream_", "merge_", "read_", "upsert_gold"))])
+@pytest.mark.parametrize("name", [n for n in registry.queries() if not n.startswith(("land_", "pipeline_", "stream_", "merge_", "read_", "upsert_gold", "store_"))])
 def test_plans_stay_in_the_jvm_and_off_pairwise_joins(spark, name):
     plan = registry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for word in ("NestedLoop", "CartesianProduct", "Python", "Pandas"):

@@ -69,10 +69,10 @@ def test_split_edges():
 
 def test_export_member():
     assert archives.export_member(["z/export.xml", "a/b/export.xml", "x.txt"]) == "z/export.xml"
-    with pytest.raises(FileNotFoundError):
+    with pytest.raises(archives.ExportError):
         archives.export_member(["a/other.xml", "myexport.xml"])
     for name in ("../export.xml", "/etc/export.xml", "a/../../x", "..\\x", "c:\\x"):
-        with pytest.raises(ValueError):
+        with pytest.raises(archives.ExportError):
             archives.export_member(["export.xml", name])
 
 
@@ -102,12 +102,23 @@ def test_landing_refuses_unsafe_users(spark, tmp_path):
         land(spark, Lake(str(tmp_path / "lake")), str(tmp_path / "in"), user_pattern=r"(\.)zip$").count()
 
 
-def test_traversal_aborts_the_load(spark, tmp_path):
-    put(tmp_path / "in", "eve", export(1), member="../export.xml")
-    lake = Lake(str(tmp_path / "lake"))
-    land(spark, lake, str(tmp_path / "in"))
-    with pytest.raises(Exception, match="outside its folder"):
-        load_silver(spark, lake, pending(spark, lake), stamp(1))
+def test_bad_archives_are_set_aside_and_hold_up_nobody(spark, tmp_path):
+    source, lake = tmp_path / "in", Lake(str(tmp_path / "lake"), record_buckets=2)
+    put(source, "ann", export(3))
+    put(source, "eve", export(1), member="../export.xml")
+    put(source, "non", export(1), member="other.xml")
+    put(source, "cut", export(60)[:-20])
+    (source / "raw").mkdir()
+    (source / "raw" / "export.zip").write_bytes(b"not a zip")
+    land(spark, lake, str(source))
+    with pytest.raises(Exception, match="outside its folder|no export.xml|not well-formed|no element|not a zip|unclosed"):
+        archives.unpack_exports(pending(spark, lake), str(tmp_path / "strict"), part_bytes=500).collect()
+    assert load_silver(spark, lake, pending(spark, lake), stamp(1)) == {"records": 3, "workouts": 1, "bad_archives": 4}
+    reasons = {r.user_id: r.error for r in spark.read.parquet(lake.quarantine + "/archives").collect()}
+    assert set(reasons) == {"eve", "non", "cut", "raw"}
+    assert "outside its folder" in reasons["eve"] and "no export.xml" in reasons["non"] and "BadZipFile" in reasons["raw"]
+    assert [r.user_id for r in tables.read_silver(spark, lake.records).select("user_id").distinct().collect()] == ["ann"]
+    assert pending(spark, lake).count() == 0
 
 
 # ------------------------------------------------------------ silver
@@ -230,7 +241,7 @@ def test_pipeline_takes_new_exports_and_repeats_nothing(spark, tmp_path):
     # Loading the same archives once more adds no rows.
     before = tables.read_silver(spark, lake.records).count()
     counts = load_silver(spark, lake, archives.read_catalog(spark, lake.bronze), stamp(2))
-    assert counts == {"records": 5, "workouts": 2}
+    assert counts == {"records": 5, "workouts": 2, "bad_archives": 0}
     assert tables.read_silver(spark, lake.records).count() == before == 5
     # A longer export of one user.
     put(source, "bob", export(4, day=7), name="later.zip")

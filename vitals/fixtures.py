@@ -114,6 +114,11 @@ def body_view() -> RecordView:
     return RecordView(metric, f"CASE WHEN {metric} = 'stand_hour' THEN floor(value) % 2 ELSE value END")
 
 
+def all_metrics() -> RecordView:
+    """Every metric in turn. Whole values, small enough to be sleep stages too."""
+    return RecordView(pick_sql("event_id", tuple(RECORD_TYPES.values())), "floor(value) % 6")
+
+
 def records(frame: DataFrame) -> DataFrame:
     """The view's rows with exactly the silver columns."""
     return frame.to(RECORD_SCHEMA)

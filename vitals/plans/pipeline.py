@@ -90,17 +90,19 @@ def load_silver(
 ) -> dict[str, int]:
     """Silver: unpack archives, type their elements, merge them into the tables.
 
-    Returns how many elements were read. Rows that cannot be used go to the
-    quarantine folder. An archive counts as loaded only after both merges, and
-    loading it again adds nothing.
+    Returns how many elements were read. Rows and archives that cannot be used
+    go to the quarantine folder and do not hold up the others. An archive counts
+    as loaded only after both merges, and loading it again adds nothing.
     """
     run = uuid.uuid4().hex
     staged = posixpath.join(lake.staging, f"run={run}")
     manifest = posixpath.join(staged, "_parts")
-    archives.unpack_exports(landed, staged).write.mode("overwrite").parquet(manifest)
-    done = spark.read.schema("user_id string, sha256 string, part string, bytes long").parquet(manifest)
+    archives.unpack_exports(landed, staged, set_aside=True).write.mode("overwrite").parquet(manifest)
+    done = spark.read.schema(archives.UNPACKED).parquet(manifest)
     if done.isEmpty():
-        return {"records": 0, "workouts": 0}
+        return {"records": 0, "workouts": 0, "bad_archives": 0}
+    bad = done.where(F.col("error").isNotNull())
+    bad.write.parquet(posixpath.join(lake.quarantine, "archives", f"run={run}"))
 
     def load(kind, read, conform, merge, path):
         counter = Observation(kind)
@@ -120,6 +122,7 @@ def load_silver(
         lambda: load("workouts", export_xml.read_workout_elements, export_xml.conform_workouts,
                      tables.merge_workouts, lake.workouts),
     ]))
+    counts["bad_archives"] = bad.count()
     done.select("user_id", "sha256").distinct().write.mode("append").parquet(lake.loaded)
     return counts
 

@@ -15,6 +15,7 @@ import posixpath
 import sys
 import uuid
 import zipfile
+import zlib
 from urllib.parse import quote
 from xml.parsers import expat
 
@@ -30,7 +31,7 @@ BLOCK = 1 << 20
 EXPORT_NAME = "export.xml"
 
 _LANDED = "user_id string, source string, length long, modified long, sha256 string, archive string"
-_UNPACKED = "user_id string, sha256 string, part string, bytes long"
+UNPACKED = "user_id string, sha256 string, part string, bytes long, error string"
 
 
 # Tasks carry this module's functions, so executors need no installed package.
@@ -142,46 +143,70 @@ def _copy(row, bronze: str):
     return row.user_id, row.source, row.length, row.modified, digest.hexdigest(), archive
 
 
-def unpack_exports(landed: DataFrame, staging: str, part_bytes: int = 64 << 20) -> DataFrame:
+class ExportError(ValueError):
+    """An archive that is not a usable export."""
+
+
+# What a bad archive raises, as opposed to storage that fails for the moment.
+_BAD_ARCHIVE = (
+    ExportError, zipfile.BadZipFile, zlib.error, EOFError, expat.ExpatError, RuntimeError, NotImplementedError,
+)
+
+
+def unpack_exports(
+    landed: DataFrame, staging: str, part_bytes: int = 64 << 20, set_aside: bool = False
+) -> DataFrame:
     """Write each archive's export XML as documents of about ``part_bytes``.
 
     Every part is a whole document of its own (prolog, root element, some of
     the children), so one user's export is read by many tasks however large it
     is. Parts carry user and digest in their names and lie in 256 folders,
-    which list fast however many users there are. An archive
-    with unsafe member names, or without an export, is an error. Returns one
-    row per part; running it is up to the caller.
+    which list fast however many users there are.
+
+    An archive that cannot be read, has unsafe member names, no export or XML
+    that is not well-formed is an error. With ``set_aside`` it leaves no parts
+    and gives one row with the reason, and the other archives go on. Returns
+    one row per part; running it is up to the caller.
     """
     archives = landed.select("user_id", "sha256", "length", F.col("archive").alias("source"))
-    return _spread(archives).mapInPandas(_unpack_task(staging, part_bytes), _UNPACKED)
+    return _spread(archives).mapInPandas(_unpack_task(staging, part_bytes, set_aside), UNPACKED)
 
 
-def _unpack_task(staging: str, part_bytes: int):
+def _unpack_task(staging: str, part_bytes: int, set_aside: bool):
     def run(batches):
         for batch in batches:
             for row in batch.itertuples(index=False):
-                parts = list(_unpack(row, staging, part_bytes))
-                yield pd.DataFrame(parts, columns=["user_id", "sha256", "part", "bytes"])
+                target_fs, root = open_fs(staging)
+                folder = posixpath.join(root, row.sha256[:2])
+                target_fs.create_dir(folder, recursive=True)
+                parts = []
+                try:
+                    for part in _unpack(row, target_fs, folder, part_bytes):
+                        parts.append(part)
+                except _BAD_ARCHIVE as error:
+                    if not set_aside:
+                        raise
+                    for written in parts:
+                        target_fs.delete_file(written[2])
+                    parts = [(row.user_id, row.sha256, None, None, f"{type(error).__name__}: {error}")]
+                yield pd.DataFrame(parts, columns=["user_id", "sha256", "part", "bytes", "error"])
 
     return run
 
 
-def _unpack(row, staging: str, part_bytes: int):
+def _unpack(row, target_fs, folder: str, part_bytes: int):
     source_fs, source_path = open_fs(row.source)
-    target_fs, root = open_fs(staging)
-    folder = posixpath.join(root, row.sha256[:2])
-    target_fs.create_dir(folder, recursive=True)
     with source_fs.open_input_file(source_path) as raw, zipfile.ZipFile(raw) as archive:
         with archive.open(export_member(archive.namelist())) as xml:
             for number, part in enumerate(split_document(xml, part_bytes)):
-                name = part_name(row.user_id, row.sha256, number)
+                path = posixpath.join(folder, part_name(row.user_id, row.sha256, number))
                 attempt = posixpath.join(folder, f".{uuid.uuid4().hex}.part")
                 with target_fs.open_output_stream(attempt) as out:
                     for block in part:
                         out.write(block)
                     size = out.tell()
-                target_fs.move(attempt, posixpath.join(folder, name))
-                yield row.user_id, row.sha256, posixpath.join(folder, name), size
+                target_fs.move(attempt, path)
+                yield row.user_id, row.sha256, path, size, None
 
 
 def part_name(user_id: str, sha256: str, number: int) -> str:
@@ -194,10 +219,10 @@ def export_member(names: list[str]) -> str:
     for name in names:
         clean = posixpath.normpath(name.replace("\\", "/"))
         if clean.startswith(("/", "../")) or clean == ".." or clean[1:2] == ":":
-            raise ValueError(f"archive member outside its folder: {name}")
+            raise ExportError(f"archive member outside its folder: {name}")
     exports = [n for n in names if posixpath.basename(n) == EXPORT_NAME]
     if not exports:
-        raise FileNotFoundError(f"no {EXPORT_NAME} in the archive")
+        raise ExportError(f"no {EXPORT_NAME} in the archive")
     return min(exports, key=lambda n: (n.count("/"), n))
 
 
