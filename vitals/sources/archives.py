@@ -20,7 +20,7 @@ from urllib.parse import quote
 from xml.parsers import expat
 
 import pandas as pd
-from pyarrow import fs as arrow_fs
+from pyarrow import ArrowInvalid, fs as arrow_fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -150,6 +150,7 @@ class ExportError(ValueError):
 # What a bad archive raises, as opposed to storage that fails for the moment.
 _BAD_ARCHIVE = (
     ExportError, zipfile.BadZipFile, zlib.error, EOFError, expat.ExpatError, RuntimeError, NotImplementedError,
+    ArrowInvalid,  # seeking in a file shorter than an archive's directory
 )
 
 
