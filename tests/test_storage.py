@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vitals.plans.pipeline import Lake, land, load_silver, pending, run_pipeline
-from vitals.schema import RECORD_SCHEMA
+from vitals.schema import RECORD_KEYS, RECORD_SCHEMA
 from vitals.sources import archives, tables
 from vitals.streaming import ingest_archives
 
@@ -199,6 +199,17 @@ def test_null_keys_match_when_merging(spark, tmp_path):
     assert tables.read_silver(spark, path).count() == 2
 
 
+def test_merge_joins_by_equality(spark):
+    rows = record_rows(spark, [("a", "hrv", 1, 1.0, "1")], 1)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = tables._anti_null_safe(rows, rows, RECORD_KEYS)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "NestedLoop" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 # ------------------------------------------------------------ gold
 
 

@@ -113,7 +113,7 @@ def load_silver(
         typed.write.mode("overwrite").parquet(parsed)
         good, bad = export_xml.readable(spark.read.schema(typed.schema).parquet(parsed))
         bad.write.mode("overwrite").parquet(posixpath.join(lake.quarantine, kind, f"run={run}"))
-        merge(spark, good, path, lake.record_buckets)
+        merge(spark, good, path, lake.record_buckets, written=True)
         return kind, counter.get["n"]
 
     counts = dict(_together(spark, [

@@ -97,18 +97,23 @@ def _write_partitioned(df: DataFrame, path: str, partitions, sort, mode: str, **
     )
 
 
-def merge_records(spark: SparkSession, new: DataFrame, path: str, buckets: int = 64) -> None:
-    """Add records that are not stored yet."""
+def merge_records(
+    spark: SparkSession, new: DataFrame, path: str, buckets: int = 64, written: bool = False
+) -> None:
+    """Add records that are not stored yet. ``written`` says that ``new`` is read
+    from a table, so that reading it several times is cheap."""
     placed = new.withColumn("records_type", F.col("type"))
-    _merge(spark, placed, path, STORED_RECORDS, RECORD_KEYS, RECORD_PARTITIONS, buckets)
+    _merge(spark, placed, path, STORED_RECORDS, RECORD_KEYS, RECORD_PARTITIONS, buckets, written)
 
 
-def merge_workouts(spark: SparkSession, new: DataFrame, path: str, buckets: int = 64) -> None:
+def merge_workouts(
+    spark: SparkSession, new: DataFrame, path: str, buckets: int = 64, written: bool = False
+) -> None:
     """Add workouts that are not stored yet."""
-    _merge(spark, new, path, STORED_WORKOUTS, WORKOUT_KEYS, WORKOUT_PARTITIONS, buckets)
+    _merge(spark, new, path, STORED_WORKOUTS, WORKOUT_KEYS, WORKOUT_PARTITIONS, buckets, written)
 
 
-def _merge(spark, new, path, schema, keys, partitions, buckets) -> None:
+def _merge(spark, new, path, schema, keys, partitions, buckets, written) -> None:
     """Keep-first merge by key, earliest ``ingested_at`` wins.
 
     Stored rows are earlier than the batch, so the merge is an append of the
@@ -116,13 +121,16 @@ def _merge(spark, new, path, schema, keys, partitions, buckets) -> None:
     nothing. Only partitions the batch has rows in are read, and of them only
     the key columns. If part of the table was ingested after the batch, its
     copies may lose; then the touched partitions are replaced instead.
+
+    An export repeats a user's whole history, so rows already stored are taken
+    out first and copies within the batch looked for in what is left.
     """
     buckets = bucket_count(spark, path, buckets)
     batch = new.withColumn("user_bucket", user_bucket(buckets)).to(schema)
-    staged = posixpath.join(path, "_batch")
-    # One pass over the input; everything below reads the staged copy.
-    keep_first(batch, keys, ("ingested_at",)).write.mode("overwrite").parquet(staged)
-    batch = spark.read.schema(schema).parquet(staged)
+    if not written:
+        staged = posixpath.join(path, "_batch")
+        batch.write.mode("overwrite").parquet(staged)
+        batch = spark.read.schema(schema).parquet(staged)
     # At most (number of metrics) x (number of buckets) rows.
     touched = batch.groupBy(*partitions).agg(F.min("ingested_at").alias("earliest")).collect()
     if not touched:
@@ -130,7 +138,7 @@ def _merge(spark, new, path, schema, keys, partitions, buckets) -> None:
     earliest = min(row["earliest"] for row in touched)
     stored = spark.read.schema(schema).parquet(path).where(_in_partitions(touched, partitions))
     if stored.where(F.col("ingested_at") > F.lit(earliest)).isEmpty():
-        fresh = _anti_null_safe(batch, stored, keys)
+        fresh = keep_first(_anti_null_safe(batch, stored, keys), keys, ("ingested_at",))
         _write_partitioned(fresh, path, partitions, ("user_id", "start_date"), "append")
     else:
         merged = keep_first(stored.unionByName(batch), keys, ("ingested_at",))
