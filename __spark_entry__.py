@@ -29,6 +29,14 @@ from vitals.session import shared_folder  # noqa: E402
 from vitals.sources import archives, export_xml, tables  # noqa: E402
 from vitals.streaming import ingest_archives  # noqa: E402
 
+try:  # these two folders may be taken out; everything else works without them
+    import corpus_pipeline  # noqa: E402
+    from vitals.llm import queries as training_data  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "vitals.llm"):
+        raise
+    corpus_pipeline = training_data = None
+
 TEST_DATA = "/root/testdata/sf0.001"
 
 
@@ -768,8 +776,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: query for name, (query, _) in _all().items()}
+    found = {name: query for name, (query, _) in _all().items()}
+    if training_data:
+        found |= {**training_data.QUERIES, "pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _all().items()}
+    found = {name: sql for name, (_, sql) in _all().items()}
+    if training_data:
+        found |= training_data.SQL
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
