@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 WORD = re.compile(r"\w+")
@@ -48,29 +49,51 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-class WordHashes:
-    """64-bit hashes of words, remembered up to a bound and then anew; the values never depend on the memory."""
+class Vocabulary:
+    """Numbers words as they come and keeps ``width`` hashes of each.
 
-    def __init__(self, limit: int = 300_000):
-        self.limit = limit
-        self.known: dict[str, int] = {}
+    ``hashes`` maps a list of words to a list of hashes per column. Memory is
+    bounded: beyond ``limit`` words it starts anew, which changes numbers but
+    no hash.
+    """
+
+    def __init__(self, hashes=None, width: int = 1, limit: int = 500_000):
+        self.hashes = hashes or (lambda words: [list(map(word_hash, words))])
+        self.width, self.limit = width, limit
+        self._reset()
+
+    def _reset(self):
+        self.numbers: dict[str, int] = {}
+        self.table = np.empty((1 << 12, self.width), np.uint64)
 
     def __call__(self, words: list[str]) -> np.ndarray:
-        known = self.known
-        if len(known) > self.limit:
-            known.clear()
+        """Numbers of the words; ``table[numbers]`` are their hashes."""
+        if len(self.numbers) > self.limit:
+            self._reset()
         try:
-            return np.array([known[w] for w in words], dtype=np.uint64)
+            return np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
         except KeyError:
-            for w in words:
-                if w not in known:
-                    known[w] = word_hash(w)
-        return np.array([known[w] for w in words], dtype=np.uint64)
-
-
-def word_hash(word: str) -> int:
-    import xxhash
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+            numbers, first = self.numbers, len(self.numbers)
+            new = list(dict.fromkeys(w for w in words if w not in numbers))
+            while first + len(new) > len(self.table):
+                self.table = np.concatenate([self.table, np.empty_like(self.table)])
+            for column, values in enumerate(self.hashes(new)):
+                self.table[first:first + len(new), column] = np.array(values, np.uint64)
+            numbers.update(zip(new, range(first, first + len(new))))
+        return np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+
+    def rows(self, words: list[str]) -> np.ndarray:
+        """All hashes of the words, a row for each."""
+        numbers = self(words)  # first: this may replace the table
+        return self.table[numbers]
+
+    def hash(self, words: list[str]) -> np.ndarray:
+        numbers = self(words)
+        return self.table[:, 0][numbers]
+
+
+def word_hash(word: str, digest=xxhash.xxh64_intdigest) -> int:
+    return digest(word.encode("utf-8", "surrogatepass"))
 
 
 def mix64(values: np.ndarray) -> np.ndarray:

@@ -7,10 +7,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitals.llm import curriculum
+from vitals.llm import curriculum, toxicity
 from vitals.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+    return scored.select(
+        "doc.doc_id", F.coalesce(toxicity.fold("doc.doc_id") == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_mix(spark: SparkSession, sf: str) -> DataFrame:
     mixed = curriculum.mix(table(spark, sf, "documents"))
     return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
@@ -42,5 +50,5 @@ SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(
 FROM laid JOIN targets ON laid.source IS NOT DISTINCT FROM targets.source"""
 
 
-QUERIES = {"op9_mix": op9_mix}
+QUERIES = {"op1_toxicity": op1_toxicity, "op9_mix": op9_mix}
 SQL = {"op9_mix": OP9_SQL}
