@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitals.llm import curriculum, toxicity
+from vitals.llm import curriculum, pii, toxicity
 from vitals.llm.common import table
 
 
@@ -19,6 +19,21 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    weights, _ = pii.fit(docs)
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return pii.find(docs, weights).select(
+        "doc.doc_id", *[count(k) for k in pii.BASE_KINDS], F.sha2(joined("base"), 256).alias("base_sha256"),
+        joined("spans").alias("spans"))
+
+
 def op9_mix(spark: SparkSession, sf: str) -> DataFrame:
     mixed = curriculum.mix(table(spark, sf, "documents"))
     return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
@@ -50,5 +65,5 @@ SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(
 FROM laid JOIN targets ON laid.source IS NOT DISTINCT FROM targets.source"""
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op9_mix": op9_mix}
+QUERIES = {"op1_toxicity": op1_toxicity, "op8_pii": op8_pii, "op9_mix": op9_mix}
 SQL = {"op9_mix": OP9_SQL}
