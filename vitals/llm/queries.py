@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitals.llm import curriculum, pii, toxicity
+from vitals.llm import curriculum, hnsw, pii, toxicity
 from vitals.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op9_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
+def op10_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf, "embeddings"))
+
+
 OP9_SQL = """WITH docs AS (
     SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), 'null')) AS turn,
         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents
@@ -65,5 +69,5 @@ SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(
 FROM laid JOIN targets ON laid.source IS NOT DISTINCT FROM targets.source"""
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op8_pii": op8_pii, "op9_mix": op9_mix}
+QUERIES = {"op1_toxicity": op1_toxicity, "op8_pii": op8_pii, "op9_mix": op9_mix, "op10_nearest": op10_nearest}
 SQL = {"op9_mix": OP9_SQL}
