@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitals.llm import curriculum, hnsw, pii, toxicity
+from vitals.llm import curriculum, hnsw, licenses, pii, toxicity
 from vitals.llm.common import table
 
 
@@ -19,6 +19,11 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf, "documents"))
+    return found.select("doc_id", "license", F.round("dice", 9).alias("dice"), "units")
+
+
 def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     weights, _ = pii.fit(docs)
@@ -43,6 +48,35 @@ def op10_nearest(spark: SparkSession, sf: str) -> DataFrame:
     return hnsw.nearest(table(spark, sf, "embeddings"))
 
 
+def _bigrams(words: str) -> str:
+    return f"list_distinct(list_transform(range(1, len({words})), lambda i: {words}[i] || ' ' || {words}[i + 1]))"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+OP5_SQL = f"""WITH templates AS (
+    SELECT license, {_bigrams("words")} AS template FROM (
+        SELECT license, string_split(trim(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ') AS words
+        FROM (VALUES {", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, ts in licenses.TEMPLATES.items() for t in ts)}) v(license, text))
+), units AS (
+    SELECT DISTINCT doc_id, text AS whole, unnest(list_concat(
+        string_split(coalesce(text, ''), chr(10)), regexp_split_to_array(coalesce(text, ''), '\\n[ \\t\\r]*\\n'))) AS unit
+    FROM documents
+), sets AS (
+    SELECT doc_id, {_bigrams("words")} AS bigrams FROM (
+        SELECT doc_id, string_split(trim(regexp_replace(lower(unit), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ') AS words FROM units)
+    WHERE len(words) > 1
+), scored AS (
+    SELECT doc_id, license, list_sort(bigrams) AS bigrams,
+        2.0::DOUBLE * len(list_intersect(bigrams, template)) / (len(bigrams) + len(template)) AS dice
+    FROM sets, templates
+)
+SELECT doc_id, license, round(max(dice), 9) AS dice, count(DISTINCT bigrams) AS units
+FROM scored WHERE dice >= {licenses.THRESHOLD}::DOUBLE GROUP BY doc_id, license"""
+
+
 OP9_SQL = """WITH docs AS (
     SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), 'null')) AS turn,
         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents
@@ -69,5 +103,5 @@ SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(
 FROM laid JOIN targets ON laid.source IS NOT DISTINCT FROM targets.source"""
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op8_pii": op8_pii, "op9_mix": op9_mix, "op10_nearest": op10_nearest}
-SQL = {"op9_mix": OP9_SQL}
+QUERIES = {"op1_toxicity": op1_toxicity, "op5_licenses": op5_licenses, "op8_pii": op8_pii, "op9_mix": op9_mix, "op10_nearest": op10_nearest}
+SQL = {"op5_licenses": OP5_SQL, "op9_mix": OP9_SQL}
