@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitals.llm import curriculum, hnsw, licenses, pii, toxicity
+from vitals.llm import curriculum, hnsw, licenses, pii, tokens, toxicity
 from vitals.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    return tokens.read_documents(spark, tokens.write(table(spark, sf, "documents")))
+
+
 def op5_licenses(spark: SparkSession, sf: str) -> DataFrame:
     found = licenses.scan(table(spark, sf, "documents"))
     return found.select("doc_id", "license", F.round("dice", 9).alias("dice"), "units")
@@ -103,5 +107,5 @@ SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(
 FROM laid JOIN targets ON laid.source IS NOT DISTINCT FROM targets.source"""
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op5_licenses": op5_licenses, "op8_pii": op8_pii, "op9_mix": op9_mix, "op10_nearest": op10_nearest}
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_tokens": op2_tokens, "op5_licenses": op5_licenses, "op8_pii": op8_pii, "op9_mix": op9_mix, "op10_nearest": op10_nearest}
 SQL = {"op5_licenses": OP5_SQL, "op9_mix": OP9_SQL}
