@@ -1,12 +1,13 @@
 """Helpers shared by the operators: tables in the shared folder, words, hashes."""
 
-from __future__ import annotations
-
 import re
 import tempfile
 import uuid
+import zlib
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -123,3 +124,37 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
 
 def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
+
+
+def summed_counts(rows: DataFrame, count_batch, size: int, chunk: int = 1 << 14) -> np.ndarray:
+    """Sum of vectors of ``size`` counts over all rows.
+
+    ``count_batch`` makes a function, in the task, that adds a batch of the
+    columns to a vector. Each task sends its vector once, squeezed and cut in
+    chunks, and the chunks are added up side by side; the driver gets one
+    vector, ``8 * size`` bytes whatever the data.
+    """
+    def partial(batches):
+        total, add = np.zeros(size, np.int64), count_batch()
+        for batch in batches:
+            add(total, batch)
+        for at in range(0, size, chunk):
+            part = total[at:at + chunk]
+            if part.any():
+                yield pa.RecordBatch.from_pydict({"chunk": pa.array([at], pa.int32()), "counts": [zlib.compress(part.tobytes(), 1)]})
+
+    def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = 0
+        for counts in pdf["counts"]:
+            total = total + np.frombuffer(zlib.decompress(counts), np.int64)
+        return pd.DataFrame({"chunk": [pdf["chunk"].iloc[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
+
+    kind = "chunk int, counts binary"
+    result = np.zeros(size, np.int64)
+    # a first sum over groups of tasks, so that no chunk gathers a row of every task at once
+    group = (F.spark_partition_id() / 32).cast("int").alias("tasks")
+    first = rows.mapInArrow(partial, kind).select("chunk", "counts", group).groupBy("chunk", "tasks").applyInPandas(add_up, kind)
+    for row in first.groupBy("chunk").applyInPandas(add_up, kind).collect():
+        part = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
+        result[row["chunk"]:row["chunk"] + len(part)] = part
+    return result
