@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitals.llm import curriculum, hnsw, licenses, pii, quality, tokens, toxicity
+from vitals.llm import curriculum, decontaminate, hnsw, licenses, pii, quality, tokens, toxicity
 from vitals.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op2_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.read_documents(spark, tokens.write(table(spark, sf, "documents")))
 
 
+def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op4_resample(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return quality.resample(docs, quality.fit(docs, table(spark, sf, "labels")))
@@ -112,5 +116,5 @@ SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(
 FROM laid JOIN targets ON laid.source IS NOT DISTINCT FROM targets.source"""
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_tokens": op2_tokens, "op4_resample": op4_resample, "op5_licenses": op5_licenses, "op8_pii": op8_pii, "op9_mix": op9_mix, "op10_nearest": op10_nearest}
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_tokens": op2_tokens, "op3_decontaminate": op3_decontaminate, "op4_resample": op4_resample, "op5_licenses": op5_licenses, "op8_pii": op8_pii, "op9_mix": op9_mix, "op10_nearest": op10_nearest}
 SQL = {"op5_licenses": OP5_SQL, "op9_mix": OP9_SQL}
