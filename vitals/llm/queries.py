@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitals.llm import curriculum, decontaminate, hnsw, licenses, minhash, pii, quality, tokens, toxicity
+from vitals.llm import curriculum, decontaminate, hnsw, licenses, minhash, pii, quality, suffixes, tokens, toxicity
 from vitals.llm.common import table
 
 
@@ -37,6 +37,14 @@ def op5_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "license", F.round("dice", 9).alias("dice"), "units")
 
 
+def op6_suffixes(spark: SparkSession, sf: str) -> DataFrame:
+    left = suffixes.deduplicated(table(spark, sf, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return left.select(
+        "kept.doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("rest", 256).alias("kept_sha256"))
+
+
 def op7_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return minhash.classes(docs).select("doc.doc_id", "class_id", (F.col("row") == F.col("class_row")).alias("kept"))
@@ -121,5 +129,5 @@ SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(
 FROM laid JOIN targets ON laid.source IS NOT DISTINCT FROM targets.source"""
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_tokens": op2_tokens, "op3_decontaminate": op3_decontaminate, "op4_resample": op4_resample, "op5_licenses": op5_licenses, "op7_near_duplicates": op7_near_duplicates, "op8_pii": op8_pii, "op9_mix": op9_mix, "op10_nearest": op10_nearest}
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_tokens": op2_tokens, "op3_decontaminate": op3_decontaminate, "op4_resample": op4_resample, "op5_licenses": op5_licenses, "op6_suffixes": op6_suffixes, "op7_near_duplicates": op7_near_duplicates, "op8_pii": op8_pii, "op9_mix": op9_mix, "op10_nearest": op10_nearest}
 SQL = {"op5_licenses": OP5_SQL, "op9_mix": OP9_SQL}
