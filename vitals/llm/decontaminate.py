@@ -1,10 +1,10 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Test items are taken in blocks of bounded size; a block is sent to the
-executors and met by every document, so texts never shuffle. Of each few
-neighbouring word trigrams of an item the one in the fewest documents is a
-seed (however frequent: none is dropped for being common). Where a document
-has a seed, the stretch around it is aligned with the item word by word:
+executors and met by every document, so texts never shuffle. Word trigrams of
+an item in at most ``RARE`` of all documents are its seeds, and of each few
+neighbouring ones the rarest, however frequent it is, so that no stretch of
+an item lacks a seed. Where a document has a seed, the stretch around it is aligned with the item word by word:
 a match counts 1, a replaced, missing or added word costs ``COST``. The score
 is the best local alignment's share of what the whole item would give.
 """
@@ -19,6 +19,7 @@ from vitals.llm.common import plain_text, summed_counts, words_of
 
 SEED = 3
 NEIGHBOURS = 3
+RARE = 0.02
 COST = 0.5
 THRESHOLD = 0.4
 BLOCK_CHARS = 8_000_000
@@ -56,12 +57,14 @@ class Items:
         same = among[at] == codes[positions]
         return positions[same], at[same]
 
-    def choose_seeds(self, documents: np.ndarray):
-        """``documents``: in how many documents each of ``grams`` occurs."""
+    def choose_seeds(self, documents: np.ndarray, total: int):
+        """``documents``: in how many of the ``total`` documents each of ``grams`` occurs."""
         places = defaultdict(set)
         for item, text in enumerate(self.texts):
             codes = self.codes(text)
             often = documents[np.searchsorted(self.grams, codes)]
+            for i in np.flatnonzero(often <= RARE * total).tolist():
+                places[int(codes[i])].add((item, i))
             for low in range(max(1, len(codes) - NEIGHBOURS + 1) if len(codes) else 0):
                 part = range(low, min(low + NEIGHBOURS, len(codes)))
                 best = min(part, key=lambda i: (often[i], codes[i]))
@@ -143,12 +146,14 @@ def prepare(docs: DataFrame, benchmark: DataFrame, text="text"):
             block = shared.value
 
             def add(total, batch):
+                total[-1] += batch.num_rows
                 for t in batch.column(0):
                     total[np.unique(block.found(block.codes(block.numbers(t.as_py())), block.grams)[1])] += 1
             return add
 
         if len(items.grams):
-            items.choose_seeds(summed_counts(texts, counter, len(items.grams)))
+            counts = summed_counts(texts, counter, len(items.grams) + 1)
+            items.choose_seeds(counts[:-1], int(counts[-1]))
         yield docs.sparkSession.sparkContext.broadcast(items)
 
 
