@@ -18,6 +18,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -46,47 +47,83 @@ _MARKS = ".,;:!?"
 
 
 class Encoder:
-    """Ids of texts as packed integers, remembering pieces up to a bound; results never depend on the memory."""
+    """Ids of texts as packed integers, remembering pieces; results never depend on the memory.
 
-    def __init__(self, path: str, limit: int = 500_000):
+    Pieces that start with a space are kept without it. At ``limit`` pieces
+    the memory becomes the older one and those of it still in use move over.
+    """
+
+    def __init__(self, path: str, limit: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.limit, self.pieces = limit, {"": b""}
+        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
+        self.type = np.dtype("<u4" if self.wide else "<u2")
+        self.limit, self.pieces, self.older = limit, {}, {}
 
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
-        cut = _CUT.split(text) if _SPACES.search(text) else text.split(" ")
-        if text[0] == " " and not cut[0]:  # a space at the start stays with what follows
-            cut = cut[1:]
-            cut[0] = " " + cut[0]
-        cut[1:] = [" " + c for c in cut[1:]]
+        pieces = _CUT.split(text) if _SPACES.search(text) else text.split(" ")
+        if text[0] == " " and not pieces[0]:  # a space at the start stays with what follows
+            first, pieces = " " + pieces[1], pieces[2:]
+        else:
+            first, pieces = pieces[0], pieces[1:]
+        head = self._ids([first])[0] if first else b""
         if len(self.pieces) > self.limit:
-            self.pieces = {"": b""}
+            self.pieces, self.older = {}, self.pieces
         try:
-            return b"".join(map(self.pieces.__getitem__, cut))
+            return head + b"".join(map(self.pieces.__getitem__, pieces))
         except KeyError:
-            self._learn({c for c in cut if c not in self.pieces})
-        return b"".join(map(self.pieces.__getitem__, cut))
+            self._learn({c for c in pieces if c not in self.pieces})
+        return head + b"".join(map(self.pieces.__getitem__, pieces))
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        code = "I" if self.wide else "H"
+        return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: set[str]):
-        pieces = self.pieces
-        ends, cores = {}, set()
+        pieces, older = self.pieces, self.older
+        cores, ends, unknown = {}, {}, set()
         for c in new:
+            if c in older:
+                pieces[c] = older[c]
+                continue
             core = c.rstrip(_MARKS)
             if core != c and core and core[-1].isalpha() and core[-1] < "ɐ":  # a mark after a letter starts a piece
-                ends[c] = (core, c[len(core):])
-                cores.update(ends[c])
+                ends[c] = core
+                if core not in pieces:
+                    if core in older:
+                        pieces[core] = older[core]
+                    else:
+                        unknown.add(core)
+                mark = c[len(core):]
+                if mark not in cores:
+                    cores[mark] = self._mark(mark)
             else:
-                cores.add(c)
-        cores = [c for c in cores if c not in pieces]
-        for core, encoding in zip(cores, self.tokenizer.encode_batch_fast(cores, add_special_tokens=False)):
-            pieces[core] = np.array(encoding.ids, self.type).tobytes()
-        for c, (core, end) in ends.items():
-            pieces[c] = pieces[core] + pieces[end]
+                unknown.add(c)
+        unknown = list(unknown)
+        pieces.update(zip(unknown, self._ids([" " + c for c in unknown])))
+        for c, core in ends.items():
+            pieces[c] = pieces[core] + cores[c[len(core):]]
+
+    def _mark(self, mark: str) -> bytes:
+        """Ids of marks that follow a letter, kept under a key no piece can have (it holds a space)."""
+        key = f"{mark} "
+        if key not in self.pieces:
+            self.pieces[key] = self._ids([mark])[0]
+        return self.pieces[key]
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """One encoder per Python worker, kept between tasks."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 # ------------------------------------------------------------ wavelet matrix
@@ -99,11 +136,12 @@ def pack(ids: np.ndarray, doc_ids: list, lengths: np.ndarray) -> bytes:
     levels = max(1, int(ids.max()).bit_length()) if len(ids) else 1
     planes, zeros, current = [], [], ids
     for level in range(levels - 1, -1, -1):
-        bits = (current >> level) & 1 != 0
+        bits = (current & current.dtype.type(1 << level)) != 0
         planes.append(np.packbits(bits, bitorder="little"))
-        low = current[~bits]
-        zeros.append(len(low))
-        current = np.concatenate([low, current[bits]]) if level else current
+        order = np.flatnonzero(~bits)
+        zeros.append(len(order))
+        if level:
+            current = np.concatenate([current.take(order), current.take(np.flatnonzero(bits))])
     offsets = np.zeros(len(lengths) + 1, np.int64)
     np.cumsum(lengths, out=offsets[1:])
     known = np.array([i is not None for i in doc_ids], np.uint8)
@@ -194,8 +232,8 @@ class Shard:
             # the order below this plane: zeros first, then ones
             before = np.empty(self.n, kind)
             if level < self.levels - 1:
-                before[~bits] = current[:self.zeros[level]]
-                before[bits] = current[self.zeros[level]:]
+                before[np.flatnonzero(~bits)] = current[:self.zeros[level]]
+                before[np.flatnonzero(bits)] = current[self.zeros[level]:]
             else:
                 before[:] = 0
             before |= bits.astype(kind) << kind(self.levels - 1 - level)
@@ -221,7 +259,7 @@ def write(docs: DataFrame, folder: str | None = None, doc_id="doc_id", text="tex
     path = path or vocabulary_file()
 
     def shards(batches):
-        encode, part, seq = Encoder(path), TaskContext.get().partitionId(), 0
+        encode, part, seq = encoder_of(path), TaskContext.get().partitionId(), 0
         end = np.array([END], encode.type).tobytes()
         ids, pieces, lengths, total = [], [], [], 0
 
