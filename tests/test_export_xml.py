@@ -222,3 +222,18 @@ def test_source_rank(spark):
     names = ["Ann's Watch", "watch", "Zepp", "Zepp Life", "", None]
     df = spark.createDataFrame([(n,) for n in names], "n string")
     assert [r[0] for r in df.select(source_priority(F.col("n"))).collect()] == [1, 3, 2, 3, 3, 3]
+
+
+def test_dates_are_read_whole(spark):
+    from vitals.functions.measures import local_timestamp
+    want = {
+        "2024-01-05 07:03:02 +0300": "2024-01-05 07:03:02", "2024-1-5 7:3:2": "2024-01-05 07:03:02",
+        "2024-01-05T07:03:02+03:00": "2024-01-05 07:03:02", "2024-01-05T07:03:02.987654Z": "2024-01-05 07:03:02",
+        "20240105": "2024-01-05 00:00:00", "20240105T070302-0300": "2024-01-05 07:03:02", "2024-01-05": "2024-01-05 00:00:00",
+        "2024-01-05T23": "2024-01-05 23:00:00", "2024-01-05T23:59+03": "2024-01-05 23:59:00",
+        "2024-01-05T07:03:02garbage": None, "2024": None, "2024-01": None, "2024-02-30": None, "2024-01-05T25:00:00": None,
+        "2024-01-05T07:03:02+3": None, "": None, "x": None, None: None,
+    }
+    frame = spark.createDataFrame([(t,) for t in want], "t string")
+    got = {r.t: r.at for r in frame.select("t", local_timestamp(F.col("t")).cast("string").alias("at")).collect()}
+    assert got == want

@@ -78,3 +78,42 @@ def test_sleep_target(spark):
     rows = [("a", D(2024, 1, 1), 400.0, 1.0, 2.0, 3.0, 4.0), ("a", D(2024, 1, 2), 500.0, 3.0, 2.0, 3.0, 4.0), ("b", D(2024, 1, 1), 449.0, 1.0, 1.0, 1.0, 1.0)]
     got = {r.user_id: (r.avg_sleep_hours, r.avg_deep_sleep_minutes, r.target_met) for r in serve.sleep_averages(sleep(spark, rows)).collect()}
     assert got["a"] == (7.5, 2.0, True) and got["b"][2] is False
+
+
+def test_odd_numbers_have_texts_and_stop_nobody(spark):
+    import datetime as dt
+    from decimal import Decimal
+    from pyspark.sql import functions as F
+    from vitals.functions import fixed1, grouped_int
+    values = [float("nan"), float("inf"), float("-inf"), 1e30, -1e30, 1e300, 123456789.25, 9e16, 2e17, None, 0.15, -0.05]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = {r.i: (r.a, r.b) for r in rows.select("i", fixed1("v").alias("a"), grouped_int(F.col("v")).alias("b")).collect()}
+    for i, v in enumerate(values):
+        if v is None:
+            assert got[i] == (None, None)
+        elif v != v:
+            assert got[i] == ("N/A", "N/A")
+        elif v == 1e300:
+            assert got[i] == ("1.0E300", "1.0E300")
+        elif abs(v) == float("inf"):
+            assert got[i] == (str(v), str(v))
+        else:
+            whole = Decimal(repr(v))  # large numbers are written from their shortest form
+            assert got[i] == (f"{whole:.1f}" if abs(v) >= 1e17 else f"{v:.1f}", f"{int(whole):,}")
+
+    day = dt.date(2024, 1, 1)
+    activity = spark.createDataFrame(
+        [("good", day, 5000.0, 300.0, 4.0), ("inf", day, float("inf"), float("nan"), 1e30)],
+        "user_id string, date date, step_count double, active_energy_kcal double, distance_km double")
+    sleep = spark.createDataFrame([("inf", day, float("inf"))], "user_id string, date date, total_sleep_minutes double")
+    cardio = spark.createDataFrame([("inf", day, float("inf"))], "user_id string, date date, avg_resting_heart_rate double")
+    kpis = {r.user_id: r for r in serve.latest_kpis(activity, sleep, cardio).collect()}
+    assert kpis["good"].steps == 5000 and kpis["inf"].steps is None
+    assert kpis["inf"].sleep_status == "inf hrs" and kpis["inf"].resting_hr_text == "inf bpm"
+
+    none = spark.createDataFrame([], "user_id string, date date, deep_sleep_minutes double, light_sleep_minutes double, rem_sleep_minutes double, awake_minutes double")
+    heart = spark.createDataFrame([], "user_id string, date date, avg_resting_heart_rate double, avg_hrv_sdnn double, avg_blood_oxygen double")
+    sport = spark.createDataFrame([], "user_id string, workout_type string, start_date timestamp_ntz, duration_minutes double, total_energy_kcal double, total_distance_km double")
+    texts = {r.user_id: r.context for r in serve.coach_context(activity, none, heart, sport).collect()}
+    assert "Steps: 5,000 | Active Energy: 300.0 kcal" in texts["good"]
+    assert "Steps: inf | Active Energy: N/A | Distance: 1000000000000000000000000000000.0 km" in texts["inf"]

@@ -96,10 +96,12 @@ def test_landing_is_by_content_and_keeps_what_is_there(spark, tmp_path):
         assert row.sha256 in row.archive
 
 
-def test_landing_refuses_unsafe_users(spark, tmp_path):
+def test_archives_without_a_safe_user_are_set_aside(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
     put(tmp_path / "in", "ann", export(1))
-    with pytest.raises(Exception, match="no safe user id"):
-        land(spark, Lake(str(tmp_path / "lake")), str(tmp_path / "in"), user_pattern=r"(\.)zip$").count()
+    assert land(spark, lake, str(tmp_path / "in"), user_pattern=r"(\.)zip$").count() == 0
+    assert spark.read.parquet(f"{lake.quarantine}/paths").first().error == "no safe user id in the path"
+    assert land(spark, lake, str(tmp_path / "in")).count() == 1
 
 
 def test_bad_archives_are_set_aside_and_hold_up_nobody(spark, tmp_path):
@@ -223,16 +225,81 @@ def test_gold_upsert_replaces_only_given_keys(spark, tmp_path):
     tables.upsert_gold(spark, spark.createDataFrame([], columns), root, table, stamp(3))
     got = {r.user_id: (r.awake_minutes, r.updated_at.day) for r in tables.read_gold(spark, root, table).collect()}
     assert got == {"a": (1.0, 1), "b": (None, 2), "c": (3.0, 2)}
-    # An interrupted swap can be repeated.
-    tables.finish_replacement(spark, f"{root}/{table}", tables._stored_gold(table), ("user_bucket",), ("user_id",))
-    assert tables.read_gold(spark, root, table).count() == 3
+    # Nothing is pending, and an old swap is not repeated.
+    with pytest.raises(ValueError, match="no swap"):
+        tables.finish_replacement(spark, f"{root}/{table}", tables._stored_gold(table), ("user_bucket",), ("user_id",))
+    assert not list((tmp_path / table).glob("_batch/*")) and not list((tmp_path / table).glob("_replacement/*"))
 
 
-def test_gold_refuses_wide_text(spark, tmp_path):
-    columns = "user_id string, date date, avg_heart_rate double, min_heart_rate double, max_heart_rate double, records_count int"
-    rows = spark.createDataFrame([("x" * 51, dt.date(2024, 1, 1), 1.0, 1.0, 1.0, 1)], columns)
-    with pytest.raises(Exception, match="longer than 50"):
-        tables.upsert_gold(spark, rows, str(tmp_path), "daily_heart_rate_summary", stamp(1))
+HEART = "user_id string, date date, avg_heart_rate double, min_heart_rate double, max_heart_rate double, records_count int"
+
+
+def heart(spark, *rows):
+    return spark.createDataFrame([(u, d and dt.date(2024, 1, d), v, v, v, 1) for u, d, v in rows], HEART)
+
+
+def test_gold_sets_aside_rows_that_break_the_contract(spark, tmp_path):
+    root, table = str(tmp_path / "gold"), "daily_heart_rate_summary"
+    registered = spark.createDataFrame([("a",), ("b",), ("x" * 51,)], "username string")
+    rows = heart(spark, ("a", 1, 1.0), ("x" * 51, 1, 2.0), (None, 1, 3.0), ("b", None, 4.0), ("b", 2, 6.0), ("b", 2, 5.0), ("c", 1, 7.0))
+    for _ in range(2):  # repeating the batch adds nothing
+        tables.upsert_gold(spark, rows, root, table, stamp(1), registered=registered)
+        got = sorted((r.user_id, r.date.day, r.avg_heart_rate) for r in tables.read_gold(spark, root, table).collect())
+        assert got == [("a", 1, 1.0), ("b", 2, 5.0)]
+    refused = {(r.user_id, r.avg_heart_rate): r.refused for r in spark.read.parquet(f"{root}_rejected/{table}").collect()}
+    assert refused == {
+        ("x" * 51, 2.0): "user_id is longer than 50 characters", (None, 3.0): "user_id is missing", ("b", 4.0): "date is missing",
+        ("b", 6.0): "the key is there twice", ("c", 7.0): "the user is not known"}
+
+
+def broken_swap(monkeypatch, after):
+    """Lets the swap into the table fail once, with the partition already taken out or not."""
+    write = tables._write_partitioned
+
+    def failing(df, path, partitions, sort, mode, **options):
+        if options.get("partitionOverwriteMode"):
+            monkeypatch.setattr(tables, "_write_partitioned", write)
+            after(path)
+            raise RuntimeError("broken off")
+        write(df, path, partitions, sort, mode, **options)
+
+    monkeypatch.setattr(tables, "_write_partitioned", failing)
+
+
+@pytest.mark.parametrize("taken_out", [False, True])
+def test_a_broken_swap_loses_nothing(spark, tmp_path, monkeypatch, taken_out):
+    root, table = str(tmp_path), "daily_heart_rate_summary"
+    tables.upsert_gold(spark, heart(spark, ("a", 1, 1.0)), root, table, stamp(1), buckets=1)
+
+    def after(path):
+        if taken_out:
+            for file in (tmp_path / table).glob("user_bucket=0/*.parquet"):
+                file.rename(file.with_name("_" + file.name))
+
+    broken_swap(monkeypatch, after)
+    with pytest.raises(RuntimeError):
+        tables.upsert_gold(spark, heart(spark, ("b", 1, 2.0)), root, table, stamp(2))
+    # The ordinary replay finishes the broken swap first.
+    tables.upsert_gold(spark, heart(spark, ("b", 1, 3.0)), root, table, stamp(3))
+    got = {r.user_id: r.avg_heart_rate for r in tables.read_gold(spark, root, table).collect()}
+    assert got == {"a": 1.0, "b": 3.0}
+
+
+def test_an_old_compaction_is_not_repeated(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "records")
+
+    def rows(user):
+        values = (user, "s", "", "", "", None, dt.datetime(2024, 1, 1), None, 1.0, "step_count", dt.datetime(2024, 6, 1), "f", dt.date(2024, 1, 1))
+        return spark.createDataFrame([values], RECORD_SCHEMA)
+
+    tables.merge_records(spark, rows("a"), path, buckets=1)
+    broken_swap(monkeypatch, lambda _: None)
+    with pytest.raises(RuntimeError):
+        tables.compact_records(spark, path)
+    tables.merge_records(spark, rows("b"), path)
+    with pytest.raises(ValueError, match="no swap"):
+        tables.finish_replacement(spark, path, tables.STORED_RECORDS, tables.RECORD_PARTITIONS, ("user_id", "start_date"))
+    assert sorted(r.user_id for r in tables.read_silver(spark, path).collect()) == ["a", "b"]
 
 
 # ------------------------------------------------------------ pipeline, streaming

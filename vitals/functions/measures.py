@@ -13,6 +13,12 @@ _NUMBER = (
     rf"(?i)^\s*[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
     r"|inf(?:inity)?|nan)\s*$"
 )
+# A whole ISO date or date-time, dashed or bare: date parts, clock parts; fraction and offset only have to be well-formed.
+_OFFSET = r"(?:Z|[+-][0-9]{2}(?::?[0-9]{2}(?::?[0-9]{2}(?:\.[0-9]+)?)?)?)?"
+_ISO = (
+    rf"^([0-9]{{4}})-([0-9]{{2}})-([0-9]{{2}})(?:T([0-9]{{2}})(?::([0-9]{{2}})(?::([0-9]{{2}})(?:[.,][0-9]+)?)?)?{_OFFSET})?$",
+    rf"^([0-9]{{4}})([0-9]{{2}})([0-9]{{2}})(?:T([0-9]{{2}})(?:([0-9]{{2}})(?:([0-9]{{2}})(?:[.,][0-9]+)?)?)?{_OFFSET})?$",
+)
 _WALL_CLOCK = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
 
 
@@ -35,15 +41,18 @@ def workout_number(text: Column) -> Column:
 def local_timestamp(text: Column) -> Column:
     """Wall-clock time of ``yyyy-MM-dd HH:mm:ss +hhmm``; the offset is dropped.
 
-    Text without a space is read as an ISO date or date-time, of which the
-    first 19 characters hold everything down to the second. Unreadable text
-    gives NULL, so times always stay on whole seconds.
+    Text without a space is read as a whole ISO date or date-time, dashed or
+    bare; a fraction of a second is cut off. Unreadable text, or text with
+    anything more in it, gives NULL, so times always stay on whole seconds.
     """
     clock = F.substring_index(text, " ", 2)
-    return (
-        F.when(clock.rlike(_WALL_CLOCK), clock.try_cast("timestamp_ntz"))
-        .when(~text.contains(" "), F.substring(text, 1, 19).try_cast("timestamp_ntz"))
-    )
+    found = F.when(clock.rlike(_WALL_CLOCK), clock.try_cast("timestamp_ntz"))
+    for pattern in _ISO:
+        year, month, day, hour, minute, second = (F.regexp_extract(text, pattern, i) for i in range(1, 7))
+        parts = [F.when(part == "", "00").otherwise(part) for part in (hour, minute, second)]
+        plain = F.concat_ws(" ", F.concat_ws("-", year, month, day), F.concat_ws(":", *parts))
+        found = found.when(text.rlike(pattern), plain.try_cast("timestamp_ntz"))
+    return found
 
 
 def map_record_type(identifier: Column, names: dict[str, str] = RECORD_TYPES) -> Column:

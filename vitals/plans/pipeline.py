@@ -9,7 +9,6 @@ from dataclasses import dataclass
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from ..operators import require_known_users
 from ..schema import GOLD_SCHEMAS
 from ..sources import archives, export_xml, tables
 from .gold import build_gold
@@ -70,7 +69,13 @@ def land(spark: SparkSession, lake: Lake, source: str, user_pattern: str = USER_
 
 
 def land_listed(spark: SparkSession, lake: Lake, listed: DataFrame, user_pattern: str = USER_FOLDER) -> DataFrame:
-    """Bronze for a given file listing (path, modificationTime, length)."""
+    """Bronze for a given file listing (path, modificationTime, length).
+
+    Archives without a safe user id are listed in quarantine and left out.
+    """
+    aside = archives.without_user(listed, user_pattern)
+    if not aside.isEmpty():
+        aside.write.mode("append").parquet(posixpath.join(lake.quarantine, "paths"))
     return archives.land_archives(spark, archives.with_user(listed, user_pattern), lake.bronze)
 
 
@@ -124,9 +129,31 @@ def load_silver(
     ]))
     counts["bad_archives"] = bad.count()
     done.select("user_id", "sha256").distinct().write.mode("append").parquet(lake.loaded)
+    for folder in (staged, *(posixpath.join(lake.staging, f"typed_{kind}", f"run={run}") for kind in ("records", "workouts"))):
+        tables.remove(spark, folder)  # all of it is in silver or quarantine now
     return counts
 
 
+def retry_quarantined(spark: SparkSession, lake: Lake) -> int:
+    """Have the next load try archives again that were set aside as bad; returns how many.
+
+    Their rows leave the list of loaded archives; what loads this time was only
+    held up by a passing fault.
+    """
+    aside = posixpath.join(lake.quarantine, "archives")
+    if not tables.exists(spark, aside) or not tables.exists(spark, lake.loaded):
+        return 0
+    schema = "user_id string, sha256 string"
+    bad = spark.read.schema(schema).parquet(aside).distinct()
+    loaded = spark.read.schema(schema).parquet(lake.loaded)
+    again = loaded.join(bad, ["user_id", "sha256"], "left_semi").distinct().count()
+    kept = posixpath.join(lake.staging, "loaded", f"run={uuid.uuid4().hex}")
+    loaded.join(bad, ["user_id", "sha256"], "left_anti").distinct().write.parquet(kept)
+    spark.read.schema(schema).parquet(kept).write.mode("overwrite").parquet(lake.loaded)
+    tables.remove(spark, kept)
+    return again
+
+
 def _together(spark: SparkSession, calls: list[Callable]) -> list:
     """Runs independent table loads side by side, so that the short last stages
     of one do not leave the cluster idle. The first failure is raised."""
@@ -158,18 +185,15 @@ def refresh_gold(
     """Gold: recompute the summaries of some users, or all, and upsert them.
 
     With a table of ``registered`` users (column ``username``) rows of anyone
-    else are not stored but put aside under ``lake.rejected``.
+    else are not stored but put aside under ``lake.rejected``, as are rows that
+    break a table's contract (see ``tables.upsert_gold``).
     """
     users = listed_users(spark, lake, users)
     records = tables.read_silver(spark, lake.records, users=users)
     workouts = tables.read_silver_workouts(spark, lake.workouts, users=users)
-    run = uuid.uuid4().hex
 
     def store(table, rows):
-        if registered is not None:
-            rows, unknown = require_known_users(rows, registered)
-            unknown.write.parquet(posixpath.join(lake.rejected, table, f"run={run}"))
-        tables.upsert_gold(spark, rows, lake.gold, table, now, lake.gold_buckets)
+        tables.upsert_gold(spark, rows, lake.gold, table, now, lake.gold_buckets, registered, lake.rejected)
 
     built = build_gold(records, workouts)
     _together(spark, [lambda table=table, rows=rows: store(table, rows) for table, rows in built.items()])

@@ -9,10 +9,10 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fixed1, grouped_int, or_na
-from ..operators import latest_per_user, top_n
+from ..operators import top_n
 
 # ---------------------------------------------------------------- KPIs
 
@@ -59,37 +59,39 @@ def latest_kpis(
     activity: DataFrame, sleep: DataFrame, cardio: DataFrame, goals: Goals = Goals()
 ) -> DataFrame:
     """Newest key figures of every user with activity data, against goals."""
-    latest_activity = latest_per_user(activity.select(
-        "user_id", "date",
-        F.col("step_count").cast("long").alias("steps"),
-        F.col("active_energy_kcal").alias("active_kcal"),
-        "distance_km",
-    ))
-    latest_sleep = latest_per_user(sleep.select(
-        "user_id", "date", F.col("total_sleep_minutes").alias("sleep_minutes")
-    )).drop("date")
-    latest_cardio = latest_per_user(cardio.select(
-        "user_id", "date", F.col("avg_resting_heart_rate").alias("resting_hr")
-    )).drop("date")
-    figures = (
-        latest_activity
-        .join(latest_sleep, "user_id", "left")
-        .join(latest_cardio, "user_id", "left")
-    )
-    return kpi_vs_goal(figures, goals)
+    def newest(gold: DataFrame, name: str, *figures: Column) -> DataFrame:
+        row = F.struct("date", *figures)
+        return gold.groupBy("user_id").agg(F.max_by(row, F.coalesce("date", F.lit("0001-01-01").cast("date"))).alias(name))
+
+    # Each table is reduced to a row per user within the tasks that make it,
+    # and the rows of a user meet in one grouping.
+    parts = [
+        newest(activity, "a", F.col("step_count").try_cast("long").alias("steps"),
+               F.col("active_energy_kcal").alias("active_kcal"), F.col("distance_km")),
+        newest(sleep, "s", F.col("total_sleep_minutes").alias("sleep_minutes")),
+        newest(cardio, "c", F.col("avg_resting_heart_rate").alias("resting_hr")),
+    ]
+    united = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    figures = united.groupBy("user_id").agg(*[F.any_value(n, ignoreNulls=True).alias(n) for n in "asc"]).where("a IS NOT NULL")
+    return kpi_vs_goal(figures.select("user_id", "a.*", "s.sleep_minutes", "c.resting_hr"), goals)
 
 
 # ---------------------------------------------------------------- trends
 
 
 def _newest(gold: DataFrame, n: int, columns: tuple[str, ...], date: str = "date") -> DataFrame:
-    """Newest ``n`` rows per user of some columns, oldest of them first."""
+    """Newest ``n`` rows per user of some columns, oldest of them first.
+
+    A user's rows stand together and in order; users are in no order, since
+    sorting all of them would shuffle everything for a reader of one.
+    """
     rows = top_n(gold.select("user_id", date, *columns), ("user_id",), n, [F.desc(date)])
-    return rows.orderBy("user_id", date)
+    return rows.sortWithinPartitions("user_id", date)
 
 
 def _history(gold: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    return gold.select("user_id", "date", *columns).orderBy("user_id", "date")
+    """All rows, sorted by user and date within each partition."""
+    return gold.select("user_id", "date", *columns).sortWithinPartitions("user_id", "date")
 
 
 def steps_trend(activity: DataFrame, days: int = 14) -> DataFrame:
@@ -147,7 +149,8 @@ def respiratory_trend(respiratory: DataFrame) -> DataFrame:
 
 def recent_respiratory(respiratory: DataFrame, rows: int = 15) -> DataFrame:
     """Newest nights per user, newest first."""
-    return top_n(respiratory, ("user_id",), rows, [F.desc("date")]).orderBy("user_id", F.desc("date"))
+    newest = top_n(respiratory, ("user_id",), rows, [F.desc("date")])
+    return newest.sortWithinPartitions("user_id", F.desc("date"))
 
 
 # ---------------------------------------------------------------- workouts
@@ -175,89 +178,74 @@ CARDIO_HEADING = "\n### CARDIOVASCULAR METRICS (Last 7 Days):\n"
 WORKOUT_HEADING = "\n### RECENT WORKOUTS:\n"
 
 
-def _measure(column: str, unit: str) -> Column:
-    return or_na(F.col(column), F.concat(fixed1(column), F.lit(unit)))
+# Per section, its heading, newest rows, and cells as (label, column, unit).
+SECTIONS = (
+    (ACTIVITY_HEADING, 7, (
+        ("Active Energy", "active_energy_kcal", " kcal"), ("Distance", "distance_km", " km"))),
+    (SLEEP_HEADING, 7, (
+        ("Deep", "deep_sleep_minutes", "m"), ("Light", "light_sleep_minutes", "m"),
+        ("REM", "rem_sleep_minutes", "m"), ("Awake", "awake_minutes", "m"))),
+    (CARDIO_HEADING, 7, (
+        ("Resting Heart Rate", "avg_resting_heart_rate", " bpm"), ("HRV (SDNN)", "avg_hrv_sdnn", " ms"),
+        ("Blood Oxygen Avg", "avg_blood_oxygen", "%"))),
+    (WORKOUT_HEADING, 5, (
+        ("Duration", "duration_minutes", "m"), ("Energy", "total_energy_kcal", " kcal"),
+        ("Distance", "total_distance_km", " km"))),
+)
 
 
-def _amount(column: str, unit: str) -> Column:
-    return F.coalesce(F.concat(fixed1(column), F.lit(unit)), F.lit("N/A"))
+def _rows_of(section: int, gold: DataFrame, at: str, steps: str | None = None, kind: str | None = None) -> DataFrame:
+    """Rows of a section in the form all share: when, workout type, steps and up to four figures."""
+    _, _, cells = SECTIONS[section]
+    figures = [F.col(column).cast("double") for _, column, _ in cells] + [F.lit(None).cast("double")] * (4 - len(cells))
+    return gold.select(
+        "user_id", F.lit(section).alias("section"), F.col(at).cast("timestamp_ntz").alias("at"),
+        (F.col(kind) if kind else F.lit(None).cast("string")).alias("kind"),
+        (F.col(steps).cast("double") if steps else F.lit(None).cast("double")).alias("steps"),
+        *[figure.alias(f"f{i}") for i, figure in enumerate(figures)],
+    )
 
 
-def _line(**parts: Column) -> Column:
-    """``- Label: text | Label: text`` and a line end."""
-    cells = [F.concat(F.lit(label.replace("_", " ") + ": "), text) for label, text in parts.items()]
+def _line_of(section: int) -> Column:
+    """``- Label: text | Label: text`` and a line end. Missing and NaN read N/A, zero only for cardio figures."""
+    _, _, cells = SECTIONS[section]
+    day = F.col("at").cast("date").cast("string")
+    if section == 3:
+        texts = [("Type", F.col("kind")), ("Date", F.substring(F.col("at").cast("string"), 1, 19))]
+    else:
+        texts = [("Date", day)] + ([("Steps", F.coalesce(grouped_int(F.col("steps")), F.lit("N/A")))] if section == 0 else [])
+    for i, (label, _, unit) in enumerate(cells):
+        text = F.concat(fixed1(f"f{i}"), F.lit(unit))
+        known = or_na(F.col(f"f{i}"), text) if section == 2 else F.when(F.isnan(f"f{i}"), F.lit("N/A")).otherwise(F.coalesce(text, F.lit("N/A")))
+        texts.append((label, known))
+    cells = [F.concat(F.lit(f"{label}: "), text) for label, text in texts]
     return F.concat(F.lit("- "), F.concat_ws(" | ", *cells), F.lit("\n"))
 
 
-def _section(
-    gold: DataFrame, order: int, heading: str, n: int, date: str, ties: tuple[str, ...], line: Column
-) -> DataFrame:
-    newest = top_n(gold, ("user_id",), n, [F.desc(date), *[F.col(c) for c in ties]])
-    return newest.select(
-        "user_id",
-        F.lit(order).alias("section"),
-        F.lit(heading).alias("heading"),
-        F.col(date).cast("timestamp_ntz").alias("at"),
-        (F.concat_ws("\u0001", *ties) if ties else F.lit("")).alias("tie"),
-        line.alias("line"),
-    )
-
-
 def coach_context(
     activity: DataFrame, sleep: DataFrame, cardio: DataFrame, workouts: DataFrame
 ) -> DataFrame:
     """One text per user: newest days and workouts as lines under headings.
 
-    Sections without rows are left out. At most 7 + 7 + 7 + 5 lines per user
-    reach the final grouping.
+    The sections are united as figures, cut to the newest rows of each user
+    and section in one step, and only what is left is made text: at most
+    7 + 7 + 7 + 5 lines per user. Sections without rows are left out.
     """
-    day = F.col("date").cast("string")
-    lines = [
-        _section(activity, 1, ACTIVITY_HEADING, 7, "date", (), _line(
-            Date=day,
-            Steps=grouped_int(F.col("step_count")),
-            Active_Energy=_amount("active_energy_kcal", " kcal"),
-            Distance=_amount("distance_km", " km"),
-        )),
-        _section(sleep, 2, SLEEP_HEADING, 7, "date", (), _line(
-            Date=day,
-            Deep=_amount("deep_sleep_minutes", "m"),
-            Light=_amount("light_sleep_minutes", "m"),
-            REM=_amount("rem_sleep_minutes", "m"),
-            Awake=_amount("awake_minutes", "m"),
-        )),
-        _section(cardio, 3, CARDIO_HEADING, 7, "date", (), _line(**{
-            "Date": day,
-            "Resting Heart Rate": _measure("avg_resting_heart_rate", " bpm"),
-            "HRV (SDNN)": _measure("avg_hrv_sdnn", " ms"),
-            "Blood Oxygen Avg": _measure("avg_blood_oxygen", "%"),
-        })),
-        _section(workouts, 4, WORKOUT_HEADING, 5, "start_date", ("workout_type",), _line(
-            Type=F.col("workout_type"),
-            Date=F.substring(F.col("start_date").cast("string"), 1, 19),
-            Duration=_amount("duration_minutes", "m"),
-            Energy=_amount("total_energy_kcal", " kcal"),
-            Distance=_amount("total_distance_km", " km"),
-        )),
-    ]
-    # Newest first within a section: order by the time left to a far day.
-    far = F.lit("9999-12-31").cast("timestamp_ntz")
-    gathered = (
-        reduce(DataFrame.unionByName, lines)
-        .withColumn("age", F.timestamp_diff("SECOND", F.col("at"), far))
-        .groupBy("user_id")
-        .agg(F.sort_array(F.collect_list(F.struct("section", "age", "tie", "heading", "line"))).alias("rows"))
-    )
+    rows = reduce(DataFrame.unionByName, [
+        _rows_of(0, activity, "date", steps="step_count"), _rows_of(1, sleep, "date"),
+        _rows_of(2, cardio, "date"), _rows_of(3, workouts, "start_date", kind="workout_type"),
+    ])
+    limit = F.element_at(F.array(*[F.lit(n) for _, n, _ in SECTIONS]), F.col("section") + 1)
+    newest = Window.partitionBy("user_id", "section").orderBy(F.desc("at"), F.col("kind"))
+    rows = rows.withColumn("n", F.row_number().over(newest)).where(F.col("n") <= max(n for _, n, _ in SECTIONS)).where(F.col("n") <= limit)
+    lines, headings = F, F
+    for section, (heading, _, _) in enumerate(SECTIONS):
+        lines = lines.when(F.col("section") == section, _line_of(section))
+        headings = headings.when(F.col("section") == section, F.lit(heading))
     # The first line of each section brings its heading along.
-    text = F.transform(
-        F.col("rows"),
-        lambda row, i: F.concat(
-            F.when((i == 0) | (F.get(F.col("rows"), i - 1).section != row.section), row.heading)
-            .otherwise(F.lit("")),
-            row.line,
-        ),
-    )
-    return gathered.select("user_id", F.array_join(text, "").alias("context"))
+    line = F.concat(F.when(F.col("n") == 1, headings).otherwise(F.lit("")), lines)
+    gathered = rows.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("section", "n", line.alias("line")))).alias("rows"))
+    return gathered.select("user_id", F.array_join(F.col("rows.line"), "").alias("context"))
 
 
 REPORT_TEMPLATE = (

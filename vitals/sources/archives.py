@@ -22,7 +22,7 @@ from xml.parsers import expat
 import pandas as pd
 from pyarrow import ArrowInvalid, fs as arrow_fs
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import keep_first
 from .tables import exists
@@ -59,21 +59,26 @@ def list_archives(spark: SparkSession, source: str) -> DataFrame:
     )
 
 
-def with_user(listed: DataFrame, user_pattern: str) -> DataFrame:
-    """Adds the user id: the first group of ``user_pattern`` in the path.
-
-    An id that is missing or could step out of its folder is an error.
-    """
+def _user(user_pattern: str) -> Column:
+    """The first group of the pattern in the path; NULL where it is missing or could step out of its folder."""
     user = F.regexp_extract("path", user_pattern, 1)
-    unsafe = (user == "") | user.isin(".", "..") | user.contains("/")
+    return F.when((user != "") & ~user.isin(".", "..") & ~user.contains("/"), user)
+
+
+def with_user(listed: DataFrame, user_pattern: str) -> DataFrame:
+    """Adds the user id found in the path; archives without a safe one are left out (see ``without_user``)."""
     return listed.select(
-        F.when(
-            unsafe, F.raise_error(F.concat(F.lit("no safe user id in archive path: "), F.col("path"))).cast("string")
-        ).otherwise(user).alias("user_id"),
+        _user(user_pattern).alias("user_id"),
         F.col("path").alias("source"),
         "length",
         F.unix_micros("modificationTime").alias("modified"),
-    )
+    ).where(F.col("user_id").isNotNull())
+
+
+def without_user(listed: DataFrame, user_pattern: str) -> DataFrame:
+    """Archives whose path yields no safe user id, with the reason."""
+    return listed.where(_user(user_pattern).isNull()).select(
+        F.col("path").alias("source"), "length", F.lit("no safe user id in the path").alias("error"))
 
 
 def _spread(archives: DataFrame, bytes_per_task: int = 256 << 20) -> DataFrame:

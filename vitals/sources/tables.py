@@ -7,9 +7,10 @@ and dates.
 """
 
 import posixpath
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..operators import keep_first, upsert_by_key
 from ..schema import (
@@ -36,6 +37,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder this library made, if it is there."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def user_bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
 
@@ -47,9 +54,9 @@ def bucket_count(spark: SparkSession, path: str, buckets: int = 64) -> int:
     table's life and kept beside it.
     """
     note = posixpath.join(path, "_layout")
-    if exists(spark, note):
+    if exists(spark, posixpath.join(note, "_SUCCESS")):
         return spark.read.schema("buckets int").json(note).first()["buckets"]
-    spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.json(note)
+    spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite").json(note)
     return buckets
 
 
@@ -126,11 +133,23 @@ def _merge(spark, new, path, schema, keys, partitions, buckets, written) -> None
     out first and copies within the batch looked for in what is left.
     """
     buckets = bucket_count(spark, path, buckets)
+    finish_pending(spark, path, schema, partitions, ("user_id", "start_date"))
     batch = new.withColumn("user_bucket", user_bucket(buckets)).to(schema)
     if not written:
-        staged = posixpath.join(path, "_batch")
-        batch.write.mode("overwrite").parquet(staged)
+        staged = _own_folder(path, "_batch")
+        batch.write.parquet(staged)
         batch = spark.read.schema(schema).parquet(staged)
+    _merge_batch(spark, batch, path, schema, keys, partitions)
+    if not written:
+        remove(spark, staged)
+
+
+def _own_folder(path: str, purpose: str) -> str:
+    """A folder of this run beside the table, so that two writers never share one."""
+    return posixpath.join(path, purpose, f"run={uuid.uuid4().hex}")
+
+
+def _merge_batch(spark, batch, path, schema, keys, partitions) -> None:
     # At most (number of metrics) x (number of buckets) rows.
     touched = batch.groupBy(*partitions).agg(F.min("ingested_at").alias("earliest")).collect()
     if not touched:
@@ -138,6 +157,8 @@ def _merge(spark, new, path, schema, keys, partitions, buckets, written) -> None
     earliest = min(row["earliest"] for row in touched)
     stored = spark.read.schema(schema).parquet(path).where(_in_partitions(touched, partitions))
     if stored.where(F.col("ingested_at") > F.lit(earliest)).isEmpty():
+        # Only stored rows of the batch's users can be the same.
+        stored = stored.join(batch.select("user_id").distinct(), "user_id", "left_semi")
         fresh = keep_first(_anti_null_safe(batch, stored, keys), keys, ("ingested_at",))
         _write_partitioned(fresh, path, partitions, ("user_id", "start_date"), "append")
     else:
@@ -168,17 +189,36 @@ def _anti_null_safe(left: DataFrame, right: DataFrame, keys) -> DataFrame:
 def replace_partitions(spark, df, path, schema, partitions, sort) -> None:
     """Replace whole partitions by new contents, safely.
 
-    The contents are first written beside the table; only then are partitions
-    swapped. If the swap breaks off, ``finish_replacement`` repeats it.
+    The contents are first written whole beside the table, then a mark naming
+    them, and only then are partitions swapped and the mark taken away. While a
+    mark is there every writer finishes that swap before anything else, so a
+    break at any point loses nothing and an old swap is never repeated.
     """
-    _write_partitioned(df, posixpath.join(path, "_replacement"), partitions, sort, "overwrite")
-    finish_replacement(spark, path, schema, partitions, sort)
+    finish_pending(spark, path, schema, partitions, sort)
+    contents = _own_folder(path, "_replacement")
+    _write_partitioned(df, contents, partitions, sort, "overwrite")
+    mark = spark.createDataFrame([(contents,)], "contents string").coalesce(1)
+    mark.write.mode("overwrite").json(posixpath.join(path, "_pending"))
+    finish_pending(spark, path, schema, partitions, sort)
+
+
+def finish_pending(spark, path, schema, partitions, sort) -> bool:
+    """Repeat the marked swap, if there is one; says whether there was."""
+    mark = posixpath.join(path, "_pending")
+    if not exists(spark, posixpath.join(mark, "_SUCCESS")):
+        return False
+    contents = spark.read.schema("contents string").json(mark).first()["contents"]
+    rows = spark.read.schema(schema).parquet(contents)
+    _write_partitioned(rows, path, partitions, sort, "overwrite", partitionOverwriteMode="dynamic")
+    remove(spark, mark)
+    remove(spark, contents)
+    return True
 
 
 def finish_replacement(spark, path, schema, partitions, sort) -> None:
-    """Swap in the partitions last written beside the table."""
-    contents = spark.read.schema(schema).parquet(posixpath.join(path, "_replacement"))
-    _write_partitioned(contents, path, partitions, sort, "overwrite", partitionOverwriteMode="dynamic")
+    """Finish a swap that broke off; without one it is an error, since repeating an old swap would lose newer rows."""
+    if not finish_pending(spark, path, schema, partitions, sort):
+        raise ValueError(f"no swap is pending at {path}")
 
 
 def compact_records(spark: SparkSession, path: str, types: list[str] | None = None) -> None:
@@ -202,34 +242,53 @@ def read_gold(
     return of_users(spark, path, _read(spark, path, _stored_gold(table)), users).drop("user_bucket")
 
 
-def checked_widths(df: DataFrame) -> DataFrame:
-    """Fail on text wider than the table declares."""
+def refusal(incoming: DataFrame, keys: tuple[str, ...]) -> Column:
+    """Why a gold row cannot be stored (NULL if it can): a missing key, text wider than the table declares, a repeated key."""
+    why = F
+    for key in keys:
+        why = why.when(F.col(key).isNull(), F.lit(f"{key} is missing"))
     for name, width in GOLD_TEXT_LIMITS.items():
-        if name in df.columns:
-            too_long = F.raise_error(F.lit(f"{name} is longer than {width} characters")).cast("string")
-            df = df.withColumn(name, F.when(F.length(name) > width, too_long).otherwise(F.col(name)))
-    return df
+        if name in incoming.columns:
+            why = why.when(F.length(name) > width, F.lit(f"{name} is longer than {width} characters"))
+    order = [F.col(c).asc_nulls_last() for c in incoming.columns if c not in keys] or [F.lit(0)]
+    return why.when(F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) > 1, F.lit("the key is there twice"))
 
 
 def upsert_gold(
-    spark: SparkSession, incoming: DataFrame, root: str, table: str, now: Column, buckets: int = 16
+    spark: SparkSession, incoming: DataFrame, root: str, table: str, now: Column, buckets: int = 16,
+    registered: DataFrame | None = None, rejected: str | None = None,
 ) -> None:
     """Insert or replace rows of a gold table by key.
 
     Only buckets with incoming rows are read and replaced. An empty input
-    changes nothing.
+    changes nothing. Rows that break the table's contract are put aside with
+    the reason under ``rejected`` (by default beside ``root``) and do not hold up the others:
+    a missing key, too wide a text, a key given twice (the first by its other
+    columns is stored) and, with a table of ``registered`` users (column
+    ``username``), a user not in it. Rows are computed once.
     """
     path = posixpath.join(root, table)
     schema, keys = _stored_gold(table), GOLD_KEYS[table]
     buckets = bucket_count(spark, path, buckets)
-    batch = checked_widths(incoming).withColumn("updated_at", now.cast("timestamp_ntz"))
-    batch = batch.withColumn("user_bucket", user_bucket(buckets)).to(schema)
-    staged = posixpath.join(path, "_batch")
-    batch.write.mode("overwrite").parquet(staged)
-    batch = spark.read.schema(schema).parquet(staged)
+    finish_pending(spark, path, schema, ("user_bucket",), keys)
+    marked = incoming.withColumn("refused", refusal(incoming, keys))
+    if registered is not None:
+        known = registered.select(F.col("username").alias("user_id")).distinct().withColumn("known", F.lit(True))
+        marked = marked.join(known, "user_id", "left")
+        marked = marked.withColumn("refused", F.coalesce("refused", F.when(F.col("known").isNull(), F.lit("the user is not known")))).drop("known")
+    batch = marked.withColumn("updated_at", now.cast("timestamp_ntz"))
+    batch = batch.withColumn("user_bucket", user_bucket(buckets)).to(T.StructType(schema.fields + [T.StructField("refused", T.StringType())]))
+    staged = _own_folder(path, "_batch")
+    batch.write.parquet(staged)
+    batch = spark.read.schema(batch.schema).parquet(staged)
+    refused = batch.where(F.col("refused").isNotNull())
+    if not refused.isEmpty():
+        aside = posixpath.join(rejected or f"{root.rstrip('/')}_rejected", table)
+        refused.drop("user_bucket").write.mode("append").parquet(aside)
+    batch = batch.where(F.col("refused").isNull()).drop("refused")
     touched = batch.select("user_bucket").distinct().collect()  # at most one row per bucket
-    if not touched:
-        return
-    stored = spark.read.schema(schema).parquet(path).where(_in_partitions(touched, ("user_bucket",)))
-    merged = upsert_by_key(stored, batch, keys, F.col("updated_at"))
-    replace_partitions(spark, merged, path, schema, ("user_bucket",), keys)
+    if touched:
+        stored = spark.read.schema(schema).parquet(path).where(_in_partitions(touched, ("user_bucket",)))
+        merged = upsert_by_key(stored, batch, keys, F.col("updated_at"))
+        replace_partitions(spark, merged, path, schema, ("user_bucket",), keys)
+    remove(spark, staged)

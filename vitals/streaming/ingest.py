@@ -16,13 +16,15 @@ def ingest_archives(
     now: Column | None = None,
     max_files_per_batch: int = 10_000,
     trigger: dict | None = None,
+    registered: DataFrame | None = None,
 ) -> StreamingQuery:
     """Stream archives through bronze, silver and gold, batch by batch.
 
     By default everything present is processed and the query ends. A batch that
     is replayed after a failure changes nothing: landing goes by content,
     merging by row key and gold by upsert. There is no watermark, since an
-    export always repeats a user's old rows and late rows must count.
+    export always repeats a user's old rows and late rows must count. With
+    ``registered`` users, gold takes rows of those only.
     """
     arrivals = (
         spark.readStream.format("binaryFile")
@@ -42,7 +44,7 @@ def ingest_archives(
         users = listed_users(session, lake, with_user(batch, user_pattern))
         land_listed(session, lake, batch, user_pattern)
         load_silver(session, lake, pending(session, lake, users), stamp)
-        refresh_gold(session, lake, stamp, users)
+        refresh_gold(session, lake, stamp, users, registered)
 
     return (
         arrivals.writeStream.foreachBatch(load)
