@@ -2,9 +2,11 @@ import random
 
 import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 
 from tests.llm.conftest import docs_of, prose
 from vitals.llm import minhash
+from vitals.llm.common import TextWords, word_hash, words_of
 from vitals.llm.components import components
 
 
@@ -63,8 +65,7 @@ def corpus():
 
 
 def brute_force(texts, idf, threshold):
-    vocabulary = minhash.Vocabulary()
-    vectors = [minhash.shingles(minhash.words_of(t), vocabulary, idf) for t in texts]
+    vectors = [minhash.shingles(np.array([word_hash(w) for w in words_of(t)], np.uint64), idf) for t in texts]
     root = list(range(len(texts)))
     for i in range(len(texts)):
         for j in range(i):
@@ -92,8 +93,16 @@ def test_odd_rows(spark, odd, odd_rows, none):
     ids = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
     wanted = {}  # equal words or, without any, equal texts: the first by id, null ids last
     for r in sorted(odd_rows, key=lambda r: (r[0] is None, r[0] or 0)):
-        words = minhash.words_of(r[1] or "")
+        words = words_of(r[1] or "")
         wanted.setdefault(" ".join(words) if words else "\0" + (r[1] or ""), r[0])
     assert sorted((i for i, _ in ids), key=str) == sorted(wanted.values(), key=str)
     assert minhash.classes(odd).count() == len(odd_rows)
     assert minhash.classes(none).count() == 0 and minhash.deduplicated(none).count() == 0
+
+
+@settings(max_examples=500, deadline=None)
+@given(texts=st.lists(st.text(alphabet=st.sampled_from("aΣς.' \n\x1c\x85_1İ@é"), max_size=25), max_size=4))
+def test_word_hashes_are_those_of_the_words(texts):
+    words = TextWords(limit=3)
+    for text in texts:
+        assert words(text).tolist() == [word_hash(w) for w in words_of(text)]

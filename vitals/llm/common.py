@@ -93,8 +93,41 @@ class Vocabulary:
         return self.table[:, 0][numbers]
 
 
-def word_hash(word: str, digest=xxhash.xxh64_intdigest) -> int:
-    return digest(word.encode("utf-8", "surrogatepass"))
+class TextWords:
+    """Word hashes of whole texts, the same as hashing ``words_of(text)`` one by one.
+
+    Texts are cut at white space, which no word contains, and what each piece
+    holds (a word with marks around it, mostly) is remembered.
+    """
+
+    def __init__(self, limit: int = 500_000):
+        self.pieces = Vocabulary(self._single, 2, limit)
+
+    @staticmethod
+    def _single(pieces: list[str]) -> list[list[int]]:
+        """The hash of a piece with one word; 0 and a mark for none or several."""
+        cores = [p.lower().strip(_MARKS) for p in pieces]
+        cores = [c if c.isalnum() else "".join(words_of(c)) if len(words_of(c)) == 1 else "" for c in cores]
+        return [list(map(word_hash, cores)), [not c for c in cores]]
+
+    def __call__(self, text: str) -> np.ndarray:
+        pieces = text.split()
+        if not pieces:
+            return np.empty(0, np.uint64)
+        numbers = self.pieces(pieces)
+        hashes, odd = self.pieces.table[:, 0][numbers], self.pieces.table[:, 1][numbers]
+        if not odd.any():
+            return hashes
+        out, last = [], 0
+        for i in np.flatnonzero(odd).tolist():
+            out.append(hashes[last:i])
+            out.append(np.array([word_hash(w) for w in words_of(pieces[i])], np.uint64))
+            last = i + 1
+        return np.concatenate(out + [hashes[last:]])
+
+
+word_hash = xxhash.xxh64_intdigest  # of the UTF-8 bytes
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"
 
 
 def mix64(values: np.ndarray) -> np.ndarray:

@@ -1,8 +1,9 @@
 """Near duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
 A shingle of five words weighs its count in the text times its inverse
-document frequency, the mean over its words of ``1 + ln((1+N)/(1+df)) /
-ln(1+N)``. Document frequencies are counted over all documents in ``2 ** BITS``
+document frequency, the mean over its words of ``1 + DAMP ln((1+N)/(1+df)) /
+ln(1+N)``: rare words count more, but so little more that a text with a few
+words exchanged stays as similar as its share of kept shingles says. Document frequencies are counted over all documents in ``2 ** BITS``
 buckets of words, a vector of fixed size. Consistent weighted sampling draws
 ``BANDS * ROWS`` shingles per text so that two texts draw the same with a
 chance equal to their weighted Jaccard similarity; texts that agree on a whole
@@ -20,13 +21,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from vitals.llm.common import Vocabulary, mix64, ngram_hashes, partitions, plain_text, stored, summed_counts, words_of
+from vitals.llm.common import TextWords, mix64, ngram_hashes, partitions, plain_text, stored, summed_counts
 from vitals.llm.components import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 3
 BITS = 18
+DAMP = 0.25
 BLOCK_NODES = 256
 LEADERS = 4
 
@@ -41,17 +43,16 @@ def _gamma_table() -> np.ndarray:
 
 
 _R = _gamma_table().astype(np.float32)
+_INVERSE_R = 1 / _R
 _LOG_C = np.log(_R)
-_BETA = ((np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.float32)
 
 
-def shingles(words: list[str], vocabulary: Vocabulary, idf: np.ndarray):
-    """Distinct shingle hashes, sorted, and their weights; a shorter text is one shingle."""
-    if not words:
+def shingles(hashes: np.ndarray, idf: np.ndarray):
+    """Distinct shingle hashes, sorted, and their weights, from word hashes; a shorter text is one shingle."""
+    if not len(hashes):
         return np.empty(0, np.uint64), np.empty(0)
-    hashes = vocabulary.hash(words)
     rare = idf[(hashes >> np.uint64(64 - BITS)).astype(np.int64)]
-    n = min(SHINGLE, len(words))
+    n = min(SHINGLE, len(hashes))
     grams = ngram_hashes(hashes, n)
     sums = np.concatenate([[0.0], np.cumsum(rare)])
     mean = np.round((sums[n:] - sums[:-n]) / n, 6)  # the same in every text
@@ -68,10 +69,20 @@ def signature(grams: np.ndarray, weights: np.ndarray) -> np.ndarray:
         mixed = part * _ODD[:, None]
         mixed ^= mixed >> np.uint64(32)
         mixed *= np.uint64(0x94D049BB133111EB)
-        r = _R[(mixed >> np.uint64(48)).astype(np.int64)]
-        beta = _BETA[((mixed >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.int64)]
-        level = np.floor(logs / r + beta)
-        value = _LOG_C[((mixed >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.int64)] - r * (level - beta + 1)
+        lanes = mixed.view(np.uint16).reshape(*mixed.shape, 4)  # four uniform numbers of 16 bits
+        which = lanes[..., 3].astype(np.int64)
+        beta = lanes[..., 2].astype(np.float32)
+        beta += np.float32(0.5)
+        beta *= np.float32(1 / 65536)
+        level = _INVERSE_R.take(which)
+        level *= logs
+        level += beta
+        np.floor(level, out=level)
+        np.subtract(level, beta, out=beta)
+        beta += np.float32(1)
+        beta *= _R.take(which)
+        value = _LOG_C.take(lanes[..., 1].astype(np.int64))
+        value -= beta
         at = value.argmin(1)
         rows = np.arange(len(_ODD))
         found = value[rows, at]
@@ -103,19 +114,17 @@ def inverse_frequencies(docs: DataFrame, text="text") -> np.ndarray:
     texts = docs.select(plain_text(text).alias("text"))
 
     def counter():
-        vocabulary = Vocabulary()
+        words = _words()
 
         def add(total, batch):
             for t in batch.column(0):
-                words = words_of(t.as_py())
-                if words:
-                    total[np.unique(vocabulary.hash(words) >> np.uint64(64 - BITS)).astype(np.int64)] += 1
+                total[np.unique(words(t.as_py()) >> np.uint64(64 - BITS)).astype(np.int64)] += 1
             total[-1] += batch.num_rows
         return add
 
     counts = summed_counts(texts, counter, (1 << BITS) + 1)
     n = max(int(counts[-1]), 1)
-    return 1 + np.log((1 + n) / (1 + np.minimum(counts[:-1], n))) / np.log(1 + n)
+    return 1 + DAMP * np.log((1 + n) / (1 + np.minimum(counts[:-1], n))) / np.log(1 + n)
 
 
 def signed(docs: DataFrame, idf: np.ndarray, text="text") -> DataFrame:
@@ -125,24 +134,25 @@ def signed(docs: DataFrame, idf: np.ndarray, text="text") -> DataFrame:
 
     @F.arrow_udf("struct<content:binary,bands:array<bigint>>")
     def sign(texts: pa.Array) -> pa.Array:
-        vocabulary, out = _vocabulary(), []
+        words, out = _words(), []
         for t in texts.to_pylist():
-            words = words_of(t)
-            content = xxhash.xxh3_128_digest((" ".join(words) if words else "\0" + t).encode("utf-8", "surrogatepass"))
-            out.append({"content": content, "bands": bands(*shingles(words, vocabulary, shared.value))})
+            hashes = words(t)
+            # of the word hashes (or, without words, the text), so equal for equal words
+            content = xxhash.xxh3_128_digest(hashes.tobytes() if len(hashes) else b"\0" + t.encode("utf-8", "surrogatepass"))
+            out.append({"content": content, "bands": bands(*shingles(hashes, shared.value))})
         return pa.array(out, kind)
 
     rows = docs.select(F.struct("*").alias("doc"), sign(plain_text(text)).alias("s"))
     return stored(rows.select(F.monotonically_increasing_id().alias("row"), "doc", "s.content", "s.bands"), "near-rows")
 
 
-_own: list[Vocabulary] = []
+_own: list[TextWords] = []
 
 
-def _vocabulary() -> Vocabulary:
-    """One vocabulary per Python worker."""
+def _words() -> TextWords:
+    """One memory of words per Python worker, kept between tasks."""
     if not _own:
-        _own.append(Vocabulary())
+        _own.append(TextWords())
     return _own[0]
 
 
@@ -165,7 +175,7 @@ def verified_in_blocks(rows: DataFrame, idf, threshold: float) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(idf)
 
     def block_links(members):
-        vectors = [shingles(words_of(t), _vocabulary(), shared.value) for _, _, t in members]
+        vectors = [shingles(_words()(t), shared.value) for _, _, t in members]
         root = list(range(len(members)))
 
         def find(i):
@@ -209,8 +219,8 @@ def verified_pairs(pairs: DataFrame, idf, threshold: float) -> DataFrame:
         last, vector, out = None, None, []
         for name, one, other in zip(a.to_pylist(), text_a, text_b):
             if name != last:
-                last, vector = name, shingles(words_of(one.as_py()), _vocabulary(), shared.value)
-            out.append(similarity(vector, shingles(words_of(other.as_py()), _vocabulary(), shared.value)))
+                last, vector = name, shingles(_words()(one.as_py()), shared.value)
+            out.append(similarity(vector, shingles(_words()(other.as_py()), shared.value)))
         return pa.array(out, pa.float64())
 
     return pairs.withColumn("similarity", compared("a", "text_a", "text_b")).filter(F.col("similarity") >= threshold).select("a", "b")
