@@ -232,7 +232,10 @@ def q_full_outer_by_key(spark, sf):
     def total(metric, name):
         return rows.where(F.col("type") == metric).groupBy("user_id", "date").agg(F.sum("value").alias(name))
 
-    frames = [total("step_count", "steps"), total("distance", "km"), total("flights_climbed", "flights")]
+    frames = [
+        total("step_count", "steps"), total("distance", "km"), total("flights_climbed", "flights"),
+        total("active_energy", "active_kcal"), total("basal_energy", "basal_kcal"),
+    ]
     return shown(full_outer_by_key(frames, ("user_id", "date")))
 
 
@@ -715,10 +718,12 @@ OPERATORS = {
     ),
     "full_outer_by_key": (
         q_full_outer_by_key,
-        with_records(fx.movement(), f"""SELECT {', '.join(typed_rows(['steps', 'km', 'flights']))}
+        with_records(fx.movement(), f"""SELECT {', '.join(typed_rows(['steps', 'km', 'flights', 'active_kcal', 'basal_kcal']))}
             FROM ({daily_figures('step_count', 'SUM(value) AS steps')}) s
             FULL OUTER JOIN ({daily_figures('distance', 'SUM(value) AS km')}) d USING (user_id, date)
-            FULL OUTER JOIN ({daily_figures('flights_climbed', 'SUM(value) AS flights')}) f USING (user_id, date)"""),
+            FULL OUTER JOIN ({daily_figures('flights_climbed', 'SUM(value) AS flights')}) f USING (user_id, date)
+            FULL OUTER JOIN ({daily_figures('active_energy', 'SUM(value) AS active_kcal')}) a USING (user_id, date)
+            FULL OUTER JOIN ({daily_figures('basal_energy', 'SUM(value) AS basal_kcal')}) b USING (user_id, date)"""),
     ),
     "dedup_keep_first": (q_dedup_keep_first, with_records(fx.movement(), DEDUP_BODY)),
     "merge_into_silver": (q_merge_into_silver, with_records(fx.movement(), DEDUP_BODY)),

@@ -96,7 +96,7 @@ def _reach_at_ends(points: DataFrame, keys, end, ranks: int) -> DataFrame:
     merged = points.groupBy(*keys, "_day", "_at", "_kind").agg(*_latest(ranks))
     earlier_days = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        points.groupBy(*keys, "_day").agg(*_latest(ranks))
+        merged.groupBy(*keys, "_day").agg(*_latest(ranks))  # the same shuffled points, read again
         .select(*keys, "_day", *[F.max(c).over(earlier_days).alias(c) for c in _reach_columns(ranks)])
         .where(_any_reach(ranks))
     )
