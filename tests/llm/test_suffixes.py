@@ -35,7 +35,7 @@ def planted():
     return texts
 
 
-@pytest.mark.parametrize("crowd, segment, bucket", [(512, 1 << 22, 8192), (3, 1 << 22, 8192), (512, 300, 1), (2, 701, 5)])
+@pytest.mark.parametrize("crowd, segment, bucket", [(16_384, 1 << 22, 8192), (3, 1 << 22, 8192), (16_384, 300, 1), (2, 701, 5)])
 def test_against_brute_force(spark, monkeypatch, crowd, segment, bucket):
     monkeypatch.setattr(suffixes, "CROWD", crowd)
     texts = planted()

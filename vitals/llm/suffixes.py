@@ -29,7 +29,8 @@ from vitals.llm.common import mix64, partitions, stored
 
 LENGTH = 200
 GRAM = 32
-CROWD = 512
+#: Distinct runs of one anchor that one task sorts: some 4 MB of bytes, a million strings, about 100 MB of sort keys.
+CROWD = 16_384
 SEGMENT = 1 << 22
 BUCKET_RUNS = 8_192
 
