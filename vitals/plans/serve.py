@@ -32,6 +32,7 @@ def kpi_vs_goal(figures: DataFrame, goals: Goals = Goals()) -> DataFrame:
 
     Expects ``steps, active_kcal, sleep_minutes, resting_hr``. Zero steps or
     energy have no distance to goal; without a resting rate there is no label.
+    The label and unit texts are fixed values.
     """
     steps, kcal, rate = F.col("steps"), F.col("active_kcal"), F.col("resting_hr")
     return (

@@ -124,6 +124,7 @@ DISTANCE_WORD = "Distance"
 
 # ---------------------------------------------------------------- gold
 
+# Columns of the gold tables, in order.
 GOLD_SCHEMAS = {
     "daily_heart_rate_summary": _struct(
         user_id=STRING, date=DATE,
@@ -174,4 +175,5 @@ GOLD_KEYS = {
 USERS_SCHEMA = _struct(username=STRING, created_at=TIMESTAMP)
 
 # Declared text widths; longer values break the table contract.
+# Declared text widths.
 GOLD_TEXT_LIMITS = {"user_id": 50, "workout_type": 100}
