@@ -11,9 +11,9 @@ band are candidates, and candidates are verified by that similarity itself.
 
 Equal texts count as one node. Candidates join into blocks (components of the
 unverified links). A block of up to ``BLOCK_NODES`` texts meets in one task and
-all its candidate pairs not yet connected are verified. In larger blocks each
-band's texts are compared with a few leaders per round, and those like none of
-them go on to the next round, until none is left.
+all its candidate pairs not yet connected are verified. In larger blocks the
+same is done per band; only where more texts share a band are they compared
+with a few leaders per round, and those like none of them go on.
 """
 
 import numpy as np
@@ -226,28 +226,40 @@ def verified_pairs(pairs: DataFrame, idf, threshold: float) -> DataFrame:
     return pairs.withColumn("similarity", compared("a", "text_a", "text_b")).filter(F.col("similarity") >= threshold).select("a", "b")
 
 
-def verified_in_rounds(rows: DataFrame, idf, threshold: float) -> DataFrame:
-    """Links in large blocks: per band, all against a few leaders; what is like none of them goes on."""
-    texts = rows.select("content", "text")
+def verified_in_rounds(rows: DataFrame, idf, threshold: float) -> DataFrame | None:
+    """Links in large blocks, band by band; None without such blocks.
+
+    A band's texts that fit a task are all verified there. Of more, all are
+    compared with a few leaders (more each round) and those like none of them
+    go on, until what is left of the band fits.
+    """
+    texts = rows.select("content", "bands", "text")
     left = stored(rows.select(F.explode("bands").alias("band"), "content"), "near-left")
     links, turn = None, 0
-    while True:
+    while not left.isEmpty():
+        sizes = left.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+        sized = stored(left.join(sizes, "band"), "near-sized")
+        few = sized.filter(F.col("n") <= BLOCK_NODES).select(F.col("band").alias("block"), "content").join(texts, "content")
+        found = stored(verified_in_blocks(few, idf, threshold), "near-links")
+        links = found if links is None else links.unionByName(found)
+        many = sized.filter(F.col("n") > BLOCK_NODES).drop("n")
+        if many.isEmpty():
+            break
         # leaders differ between bands and rounds
-        leaders = left.withColumn("turn", F.xxhash64("band", "content", F.lit(turn)))
-        slot = F.pmod("turn", F.lit(LEADERS))
+        leaders = many.withColumn("turn", F.xxhash64("band", "content", F.lit(turn)))
+        slot = F.pmod("turn", F.lit(LEADERS << turn))
         leaders = leaders.groupBy("band", slot.alias("slot")).agg(F.min_by("content", "turn").alias("leader"))
-        pairs = stored(left.join(leaders, "band").filter("content <> leader"), "near-pairs")
-        if pairs.isEmpty():
-            return links
+        pairs = stored(many.join(leaders, "band").filter("content <> leader"), "near-pairs")
         distinct = pairs.select(F.least("content", "leader").alias("a"), F.greatest("content", "leader").alias("b")).distinct()
         distinct = distinct.join(texts.select(F.col("content").alias("b"), F.col("text").alias("text_b")), "b")
         distinct = distinct.join(texts.select(F.col("content").alias("a"), F.col("text").alias("text_a")), "a")
         found = stored(verified_pairs(distinct, idf, threshold), "near-links")
-        links = found if links is None else links.unionByName(found)
+        links = links.unionByName(found)
         linked = pairs.join(found, (F.least("content", "leader") == F.col("a")) & (F.greatest("content", "leader") == F.col("b")), "left_semi")
         gone = linked.select("band", "content").unionByName(leaders.select("band", F.col("leader").alias("content"))).distinct()
-        left = stored(left.join(gone, ["band", "content"], "left_anti"), "near-left")
+        left = stored(many.join(gone, ["band", "content"], "left_anti"), "near-left")
         turn += 1
+    return links
 
 
 def near_classes(rows: DataFrame, idf: np.ndarray, text="text", threshold: float = SIMILARITY) -> DataFrame:
