@@ -87,6 +87,52 @@ def test_classes_against_brute_force(spark, monkeypatch, block):
     assert sorted(r.doc_id for r in minhash.deduplicated(docs).collect()) == sorted(set(wanted))
 
 
+def test_copies_that_resemble_only_their_base(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_NODES", 16)
+    rng, base = random.Random(6), prose(31, 400).split()
+    texts = [" ".join(base)]
+    for i in range(90):
+        copy = list(base)
+        for n, k in enumerate(sorted(rng.sample(range(0, 400, 8), 7))):
+            copy[k] = f"w{i}x{n}"
+        texts.append(" ".join(copy))
+    docs = docs_of(spark, texts[1:] + texts[:1])
+    idf = minhash.inverse_frequencies(docs)
+    vectors = [minhash.shingles(np.array([word_hash(w) for w in words_of(t)], np.uint64), idf) for t in texts]
+    assert all(minhash.similarity(vectors[0], v) >= minhash.SIMILARITY for v in vectors[1:])
+    assert sum(minhash.similarity(a, b) >= minhash.SIMILARITY for i, a in enumerate(vectors[1:]) for b in vectors[i + 2:]) < 10
+    # candidates of the base: the copies that share a band with it
+    own = [set(minhash.bands(*v)) for v in vectors]
+    wanted = {i for i in range(90) if own[0] & own[i + 1]} | {90}
+    rows = minhash.classes(docs).select("doc.doc_id", "class_id").collect()
+    assert {r.doc_id for r in rows if r.class_id == min(wanted)} >= wanted
+
+
+@pytest.mark.parametrize("hot", [2, 20])
+def test_tiles_have_every_pair(spark, monkeypatch, hot):
+    monkeypatch.setattr(minhash, "BLOCK_NODES", 8)
+    rng = random.Random(hot)
+    rows = [(1 + i % 2, b"%03d" % i, rng.uniform(50, 90), b"%03d" % (i if i > hot else 0)) for i in range(60)]
+    got = {}
+    for r in minhash.tiled(spark.createDataFrame(rows, "band long, content binary, weight double, root binary"), 0.8).collect():
+        got.setdefault(r.tile, {0: [], 1: []})[r.side].append(bytes(r.content))
+    met = {frozenset((a, b)) for t in got.values() for a in t[0] for b in t[1] or t[0] if a != b}
+    wanted = {frozenset((a[1], b[1])) for a in rows for b in rows if a[0] == b[0] and a[3] != b[3] and a[2] >= b[2] >= 0.8 * a[2]}
+    assert wanted <= met and max(len(t[0]) for t in got.values()) < 16
+
+
+def test_bound_misses_no_similar_pair():
+    rng = np.random.default_rng(5)
+    grams = np.sort(rng.integers(0, 2**63, 200).astype(np.uint64))
+    vectors = []
+    for _ in range(40):
+        kept = rng.random(200) < 0.93
+        vectors.append((grams[kept], (rng.integers(1, 3, 200) * 1.1)[kept] if len(vectors) % 2 else np.ones(kept.sum())))
+    for threshold in (0.5, 0.8, 0.9):
+        met = set(map(tuple, minhash.similar_pairs(vectors, threshold)))
+        assert {(i, j) for j in range(40) for i in range(j) if minhash.similarity(vectors[i], vectors[j]) >= threshold} <= met
+
+
 def test_odd_rows(spark, odd, odd_rows, none):
     kept = minhash.deduplicated(odd)
     assert kept.columns == odd.columns

@@ -12,8 +12,9 @@ band are candidates, and candidates are verified by that similarity itself.
 Equal texts count as one node. Candidates join into blocks (components of the
 unverified links). A block of up to ``BLOCK_NODES`` texts meets in one task and
 all its candidate pairs not yet connected are verified. In larger blocks the
-same is done per band; only where more texts share a band are they compared
-with a few leaders per round, and those like none of them go on.
+same is done per band, and where more texts share a band, in random parts of
+it; then the texts with most links there are compared with all others, and what
+is left unconnected is verified pair by pair in tiles of two bounded parts.
 """
 
 import numpy as np
@@ -128,22 +129,23 @@ def inverse_frequencies(docs: DataFrame, text="text") -> np.ndarray:
 
 
 def signed(docs: DataFrame, idf: np.ndarray, text="text") -> DataFrame:
-    """Stored rows: number ``row``, the whole row as ``doc``, ``content`` (hash of the words) and ``bands``."""
+    """Stored rows: number ``row``, the whole row as ``doc``, ``content`` (hash of the words), ``bands`` and ``weight`` of all shingles."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
-    kind = pa.struct([("content", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    kind = pa.struct([("content", pa.binary()), ("bands", pa.list_(pa.int64())), ("weight", pa.float64())])
 
-    @F.arrow_udf("struct<content:binary,bands:array<bigint>>")
+    @F.arrow_udf("struct<content:binary,bands:array<bigint>,weight:double>")
     def sign(texts: pa.Array) -> pa.Array:
         words, out = _words(), []
         for t in texts.to_pylist():
             hashes = words(t)
             # of the word hashes (or, without words, the text), so equal for equal words
             content = xxhash.xxh3_128_digest(hashes.tobytes() if len(hashes) else b"\0" + t.encode("utf-8", "surrogatepass"))
-            out.append({"content": content, "bands": bands(*shingles(hashes, shared.value))})
+            grams, weights = shingles(hashes, shared.value)
+            out.append({"content": content, "bands": bands(grams, weights), "weight": float(weights.sum())})
         return pa.array(out, kind)
 
     rows = docs.select(F.struct("*").alias("doc"), sign(plain_text(text)).alias("s"))
-    return stored(rows.select(F.monotonically_increasing_id().alias("row"), "doc", "s.content", "s.bands"), "near-rows")
+    return stored(rows.select(F.monotonically_increasing_id().alias("row"), "doc", "s.content", "s.bands", "s.weight"), "near-rows")
 
 
 _own: list[TextWords] = []
@@ -226,54 +228,156 @@ def verified_pairs(pairs: DataFrame, idf, threshold: float) -> DataFrame:
     return pairs.withColumn("similarity", compared("a", "text_a", "text_b")).filter(F.col("similarity") >= threshold).select("a", "b")
 
 
-def verified_in_rounds(rows: DataFrame, idf, threshold: float) -> DataFrame | None:
+def similar_pairs(vectors, threshold: float):
+    """Places ``i < j`` of all vectors that may be similar: none is missed, few are not.
+
+    The lesser of two weights is at most the root of their product, so products
+    of roots summed over shared shingles bound what two vectors share.
+    """
+    sums = np.array([v[1].sum() for v in vectors])
+    owner = np.repeat(np.arange(len(vectors)), [len(v[0]) for v in vectors])
+    _, place, count = np.unique(np.concatenate([v[0] for v in vectors]), return_inverse=True, return_counts=True)
+    column = np.cumsum(count > 1) - 1
+    kept = count[place] > 1
+    owner, column, roots = owner[kept], column[place[kept]], np.sqrt(np.concatenate([v[1] for v in vectors])[kept])
+    order = np.argsort(column, kind="stable")
+    owner, column, roots = owner[order], column[order], roots[order]
+    bound = np.zeros((len(vectors), len(vectors)))
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, _STEP):
+        part = slice(*np.searchsorted(column, [low, low + _STEP]))
+        dense = np.zeros((len(vectors), _STEP))
+        dense[owner[part], column[part] - low] = roots[part]
+        bound += dense @ dense.T
+    near = bound >= (threshold - 1e-9) * (sums[:, None] + sums - bound)
+    return np.argwhere(np.triu(near, 1)).tolist()
+
+
+def verified_in_tiles(rows: DataFrame, idf, threshold: float) -> DataFrame:
+    """Links among ``tile, side, content, root, text`` rows: of both sides of a tile, or within one that has a single side, but not within a root."""
+    shared = rows.sparkSession.sparkContext.broadcast(idf)
+
+    def tile_links(members):
+        if len({m[2] for m in members}) < 2:
+            return
+        vectors, above = [shingles(_words()(m[3]), shared.value) for m in members], {}
+        whole = len({m[0] for m in members}) == 1
+
+        def find(root):
+            while root in above:
+                root = above[root]
+            return root
+
+        for i, j in similar_pairs(vectors, threshold):
+            one, other = find(members[i][2]), find(members[j][2])
+            if one != other and (whole or members[i][0] != members[j][0]) and similarity(vectors[i], vectors[j]) >= threshold:
+                above[one] = other
+                yield members[i][1], members[j][1]
+
+    def verify(batches):
+        tile, members = None, []
+        for batch in batches:
+            found = []
+            for t, *member in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if t != tile:
+                    found += tile_links(members)
+                    tile, members = t, []
+                members.append(member)
+            yield _links(found)
+        yield _links(list(tile_links(members)))
+
+    dealt = rows.select("tile", "side", "content", "root", "text").repartition(partitions(rows.sparkSession), "tile")
+    return dealt.sortWithinPartitions("tile", "side", "content").mapInArrow(verify, "a binary, b binary")
+
+
+def _rooted(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of bands whose texts are not all connected by the links, with the ``root`` of each."""
+    roots = components(links).withColumnRenamed("node", "content")
+    rows = rows.join(roots, "content", "left").withColumn("root", F.coalesce("root", "content"))
+    rows = stored(rows, "near-rooted")
+    mixed = rows.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most")
+    return stored(rows.join(mixed.select("band"), "band"), "near-mixed")
+
+
+def tiled(rows: DataFrame, threshold: float) -> DataFrame:
+    """Tiles of ``band, content, weight, root`` rows, as ``tile, side, content, root``, that have every pair of a band with different roots and weights that allow the threshold.
+
+    Similar texts are in the same or in neighbouring weight classes. Parts have
+    half of ``BLOCK_NODES`` texts on average; a root with more has parts of its own.
+    """
+    half = max(1, BLOCK_NODES // 2)
+    width = max(1e-3, -np.log(threshold) * (1 + 1e-6)) if threshold > 0 else np.inf
+    rows = rows.withColumn("class", F.floor(F.log("weight") / F.lit(float(width))))
+    sizes = rows.groupBy("band", "class", "root").agg(F.count("*").alias("n")).withColumn("own", F.when(F.col("n") > half, F.col("root")))
+    parts = sizes.groupBy("band", "class", "own").agg(F.ceil(F.sum("n") / half).alias("parts"))
+    keyed = rows.join(sizes.drop("n"), ["band", "class", "root"]).withColumn("key", F.coalesce("own", F.lit(b"")))
+    keyed = keyed.join(parts.withColumn("key", F.coalesce("own", F.lit(b""))).drop("own"), ["band", "class", "key"])
+    number = F.pmod(F.xxhash64("band", "content", F.lit(1)), F.col("parts"))
+    keyed = stored(keyed.select("band", "class", "key", number.alias("part"), "content", "root"), "near-parts")
+    there = keyed.groupBy("band", "class", "key", "part").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    there = stored(there.select("band", "class", "least", "most", F.struct("class", "key", "part").alias("name")), "near-there")
+    other = there.select("band", *[F.col(c).alias(f"{c}_b") for c in ("class", "least", "most", "name")])
+    pairs = there.join(other, "band").filter("name <= name_b AND class_b - class <= 1")
+    pairs = pairs.filter("least <> most OR least_b <> most_b OR least <> least_b")  # not all of one root
+    pairs = pairs.select("band", "name", "name_b").withColumn("tile", F.struct("band", "name", "name_b"))
+    sides = pairs.select("band", "tile", F.lit(0).alias("side"), "name").unionByName(
+        pairs.filter("name <> name_b").select("band", "tile", F.lit(1).alias("side"), F.col("name_b").alias("name")))
+    members = keyed.withColumn("name", F.struct("class", "key", "part")).select("band", "name", "content", "root")
+    return members.join(sides, ["band", "name"]).select(F.sha2(F.to_json("tile"), 256).alias("tile"), "side", "content", "root")
+
+
+def verified_in_bands(rows: DataFrame, idf, threshold: float) -> DataFrame | None:
     """Links in large blocks, band by band; None without such blocks.
 
-    A band's texts that fit a task are all verified there. Of more, all are
-    compared with a few leaders (more each round) and those like none of them
-    go on, until what is left of the band fits.
+    A band's texts that fit a task are all verified there. More are verified
+    within random parts first; that and the comparison of all with the texts of
+    most links only serve to connect much early, as every pair of a band not
+    connected by then is verified in tiles.
     """
     texts = rows.select("content", "bands", "text")
-    left = stored(rows.select(F.explode("bands").alias("band"), "content"), "near-left")
-    links, turn = None, 0
-    while not left.isEmpty():
-        sizes = left.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
-        sized = stored(left.join(sizes, "band"), "near-sized")
-        few = sized.filter(F.col("n") <= BLOCK_NODES).select(F.col("band").alias("block"), "content").join(texts, "content")
-        found = stored(verified_in_blocks(few, idf, threshold), "near-links")
-        links = found if links is None else links.unionByName(found)
-        many = sized.filter(F.col("n") > BLOCK_NODES).drop("n")
-        if many.isEmpty():
-            break
-        # leaders differ between bands and rounds
-        leaders = many.withColumn("turn", F.xxhash64("band", "content", F.lit(turn)))
-        slot = F.pmod("turn", F.lit(LEADERS << turn))
-        leaders = leaders.groupBy("band", slot.alias("slot")).agg(F.min_by("content", "turn").alias("leader"))
-        pairs = stored(many.join(leaders, "band").filter("content <> leader"), "near-pairs")
-        distinct = pairs.select(F.least("content", "leader").alias("a"), F.greatest("content", "leader").alias("b")).distinct()
-        distinct = distinct.join(texts.select(F.col("content").alias("b"), F.col("text").alias("text_b")), "b")
-        distinct = distinct.join(texts.select(F.col("content").alias("a"), F.col("text").alias("text_a")), "a")
-        found = stored(verified_pairs(distinct, idf, threshold), "near-links")
+    every = stored(rows.select(F.explode("bands").alias("band"), "content", "weight"), "near-bands")
+    if every.isEmpty():
+        return None
+    sizes = every.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    sized = stored(every.join(sizes, "band"), "near-sized")
+    half = max(1, BLOCK_NODES // 2)
+    part = F.when(F.col("n") <= BLOCK_NODES, 0).otherwise(F.pmod(F.xxhash64("band", "content"), F.ceil(F.col("n") / half)))
+    first = sized.select(F.struct("band", part.alias("part")).alias("block"), "content").join(texts, "content")
+    links = stored(verified_in_blocks(first, idf, threshold), "near-links")
+    many = sized.filter(F.col("n") > BLOCK_NODES).drop("n")
+    if many.isEmpty():
+        return links
+    mixed = _rooted(many, links)
+    if mixed.isEmpty():
+        return links
+    degree = links.select(F.explode(F.array("a", "b")).alias("content")).groupBy("content").agg(F.count("*").alias("degree"))
+    hubs = mixed.join(degree, "content").groupBy("band", F.pmod(F.xxhash64("content"), F.lit(LEADERS)).alias("slot"))
+    hubs = hubs.agg(F.max_by(F.struct("content", "root"), F.struct("degree", "content")).alias("hub"))
+    pairs = mixed.join(hubs, "band").filter("root <> hub.root")
+    pairs = pairs.select(F.least("content", "hub.content").alias("a"), F.greatest("content", "hub.content").alias("b")).distinct()
+    pairs = pairs.join(texts.select(F.col("content").alias("b"), F.col("text").alias("text_b")), "b")
+    pairs = pairs.join(texts.select(F.col("content").alias("a"), F.col("text").alias("text_a")), "a")
+    found = stored(verified_pairs(pairs, idf, threshold), "near-links")
+    if not found.isEmpty():
         links = links.unionByName(found)
-        linked = pairs.join(found, (F.least("content", "leader") == F.col("a")) & (F.greatest("content", "leader") == F.col("b")), "left_semi")
-        gone = linked.select("band", "content").unionByName(leaders.select("band", F.col("leader").alias("content"))).distinct()
-        left = stored(many.join(gone, ["band", "content"], "left_anti"), "near-left")
-        turn += 1
-    return links
+        mixed = _rooted(mixed.drop("root"), links)
+        if mixed.isEmpty():
+            return links
+    tiles = tiled(mixed, threshold).join(texts.select("content", "text"), "content")
+    return links.unionByName(stored(verified_in_tiles(tiles, idf, threshold), "near-links"))
 
 
 def near_classes(rows: DataFrame, idf: np.ndarray, text="text", threshold: float = SIMILARITY) -> DataFrame:
     """``content, root`` of every text that is linked to a different one."""
-    nodes = rows.groupBy("content").agg(F.min("row").alias("row"), F.min_by("bands", "row").alias("bands")).filter(F.size("bands") > 0)
+    nodes = rows.groupBy("content").agg(F.min("row").alias("row"), F.min_by("bands", "row").alias("bands"), F.min_by("weight", "row").alias("weight")).filter(F.size("bands") > 0)
     nodes = stored(nodes, "near-nodes")
     blocks = components(candidate_links(nodes))
     blocks = blocks.withColumnRenamed("node", "content").withColumnRenamed("root", "block")
     sizes = blocks.groupBy("block").agg(F.count("*").alias("nodes"))
     members = nodes.join(blocks.join(sizes, "block"), "content")
     texts = rows.select("row", plain_text(F.col(f"doc.{text}")).alias("text"))
-    members = stored(members.join(texts, "row").select("block", "nodes", "content", "bands", "text"), "near-members")
+    members = stored(members.join(texts, "row").select("block", "nodes", "content", "bands", "weight", "text"), "near-members")
     links = verified_in_blocks(members.filter(F.col("nodes") <= BLOCK_NODES), idf, threshold)
-    more = verified_in_rounds(members.filter(F.col("nodes") > BLOCK_NODES), idf, threshold)
+    more = verified_in_bands(members.filter(F.col("nodes") > BLOCK_NODES), idf, threshold)
     links = links if more is None else links.unionByName(more)
     return components(links).withColumnRenamed("node", "content")
 
