@@ -16,6 +16,11 @@ def whole():
     return found
 
 
+@pytest.fixture(scope="module")
+def plain():
+    return Tokenizer.from_file(tokens.vocabulary_file())
+
+
 @pytest.fixture(scope="module")
 def encoder():
     return tokens.Encoder(tokens.vocabulary_file(), limit=50)
@@ -27,6 +32,15 @@ def test_pieces_give_the_ids_of_the_whole_text(whole, encoder, text):
     assert np.frombuffer(encoder(text), encoder.type).tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=400, deadline=None)
+@given(parts=st.lists(st.sampled_from(["<|endoftext|>", " ", "  ", "\n", "a", "It's", ".", "<|", "é", "7"]), max_size=9))
+def test_added_tokens_are_those_of_the_plain_encoding(plain, encoder, parts):
+    text = "".join(parts)
+    ids = np.frombuffer(encoder(text), encoder.type).tolist()
+    assert ids == plain.encode(text, add_special_tokens=False).ids
+    assert ids.count(plain.token_to_id("<|endoftext|>")) == text.count("<|endoftext|>")
+
+
 @pytest.mark.parametrize("size, top", [(0, 1), (1, 1), (7, 2), (5000, 3), (5000, 50_257), (600, 70_000)])
 def test_shard_round_trip_and_queries(size, top):
     rng = random.Random(size + top)

@@ -57,7 +57,6 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.type = np.dtype("<u4" if self.wide else "<u2")
         self.limit, self.pieces, self.older = limit, {}, {}
