@@ -7,7 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitals.llm import curriculum, decontaminate, hnsw, licenses, minhash, pii, quality, suffixes, tokens, toxicity
+from vitals.llm import (
+    collocations, curriculum, decontaminate, hnsw, jaccard_join, licenses, minhash, piece_table, pii, quality, suffixes, tokens, toxicity,
+)
 from vitals.llm.common import table
 
 
@@ -74,6 +76,19 @@ def op10_nearest(spark: SparkSession, sf: str) -> DataFrame:
     return hnsw.nearest(table(spark, sf, "embeddings"))
 
 
+def op11_fim(spark: SparkSession, sf: str) -> DataFrame:
+    rows = piece_table.transformed(table(spark, sf, "documents").select("doc_id", "text"))
+    return rows.select("doc.doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+def op12_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.joined(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
 def _bigrams(words: str) -> str:
     return f"list_distinct(list_transform(range(1, len({words})), lambda i: {words}[i] || ' ' || {words}[i + 1]))"
 
@@ -129,5 +144,94 @@ SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(
 FROM laid JOIN targets ON laid.source IS NOT DISTINCT FROM targets.source"""
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_tokens": op2_tokens, "op3_decontaminate": op3_decontaminate, "op4_resample": op4_resample, "op5_licenses": op5_licenses, "op6_suffixes": op6_suffixes, "op7_near_duplicates": op7_near_duplicates, "op8_pii": op8_pii, "op9_mix": op9_mix, "op10_nearest": op10_nearest}
-SQL = {"op5_licenses": OP5_SQL, "op9_mix": OP9_SQL}
+OP11_SQL = r"""WITH hashed AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key,
+        regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units FROM documents
+), numbers AS (
+    SELECT doc_id, text, units, len(units) AS n, CAST('0x' || key[1:8] AS BIGINT) AS h1, CAST('0x' || key[9:16] AS BIGINT) AS h2,
+        CAST('0x' || key[17:24] AS BIGINT) AS h3, CAST('0x' || key[25:32] AS BIGINT) AS h4 FROM hashed
+), cut AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+            WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM numbers
+), parts AS (
+    SELECT *, array_to_string(units[:low], '') AS prefix, array_to_string(units[low + 1:high], '') AS middle,
+        array_to_string(units[high + 1:], '') AS suffix FROM cut
+), made AS (
+    SELECT *, CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END AS output FROM parts
+), places AS (
+    SELECT *, strpos(output, '<P>') AS p, strpos(output, '<S>') AS s, strpos(output, '<M>') AS m FROM made
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+    CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+    sha256(output) AS output_sha256,
+    sha256(CASE form WHEN 'psm' THEN output[4:s - 1] || output[m + 3:] || output[s + 3:m - 1]
+        WHEN 'spm' THEN output[p + 3:m - 1] || output[m + 3:] || output[4:p - 1] ELSE output END) AS restored_sha256
+FROM places"""
+
+
+_CAPITALS = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP12_SQL = rf"""WITH RECURSIVE texts AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_CAPITALS}, '[^\x20\x09-\x0D]+') AS words FROM documents
+), sets AS (
+    SELECT r, doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingles FROM texts
+), sized AS (
+    SELECT r, doc_id, len(shingles) AS size, shingles FROM sets
+), exploded AS (
+    SELECT r, size, unnest(shingles) AS shingle FROM sized
+), shared AS (
+    SELECT a.r AS a, b.r AS b, count(*) AS shared, any_value(a.size) AS size_a, any_value(b.size) AS size_b
+    FROM exploded a JOIN exploded b ON a.shingle = b.shingle AND a.r <> b.r GROUP BY a.r, b.r
+), links AS (
+    SELECT a, b FROM shared WHERE 100 * shared >= {jaccard_join.PERCENT} * (size_a + size_b - shared)
+), reach AS (
+    SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), least AS (
+    SELECT a, min(doc_id) AS doc_id FROM reach JOIN sized ON reach.b = sized.r GROUP BY a
+)
+SELECT sized.doc_id, CAST(size AS BIGINT) AS n_shingles, least(sized.doc_id, least.doc_id) AS component_id
+FROM sized LEFT JOIN least ON sized.r = least.a"""
+
+
+OP13_SQL = rf"""WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_CAPITALS}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), words AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), sizes AS (SELECT unnest([1, 2, 3, 4]) AS k), grams AS (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+    FROM words, sizes WHERE len(w) >= k
+), f AS (
+    SELECT lang, k, phrase, count(*) AS f, string_split(phrase, ' ') AS w FROM grams GROUP BY lang, k, phrase
+), totals AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang
+), candidates AS (
+    SELECT lang, k, phrase, f AS a, w FROM f WHERE k > 1 AND f >= {collocations.LEAST}
+), cuts AS (
+    SELECT *, unnest(range(1, k)) AS c FROM candidates
+), scored AS (
+    SELECT cuts.lang, cuts.k, cuts.phrase, a, c, l.f AS l, r.f AS r,
+        CAST(CAST({collocations.SCALE} AS HUGEINT) * a // (l.f + r.f) AS BIGINT) AS score
+    FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = array_to_string(cuts.w[:c], ' ')
+        JOIN f r ON r.lang = cuts.lang AND r.phrase = array_to_string(cuts.w[c + 1:], ' ')
+    QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, c) = 1
+), kept AS (
+    SELECT * FROM scored s WHERE NOT EXISTS (
+        SELECT 1 FROM candidates o WHERE o.lang = s.lang AND o.k > s.k AND 100 * o.a >= {collocations.INSIDE_PERCENT} * s.a
+            AND contains(' ' || o.phrase || ' ', ' ' || s.phrase || ' '))
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= {collocations.TOP}"""
+
+
+QUERIES = {
+    "op1_toxicity": op1_toxicity, "op2_tokens": op2_tokens, "op3_decontaminate": op3_decontaminate, "op4_resample": op4_resample,
+    "op5_licenses": op5_licenses, "op6_suffixes": op6_suffixes, "op7_near_duplicates": op7_near_duplicates, "op8_pii": op8_pii,
+    "op9_mix": op9_mix, "op10_nearest": op10_nearest, "op11_fim": op11_fim, "op12_jaccard": op12_jaccard,
+    "op13_collocations": op13_collocations,
+}
+SQL = {"op5_licenses": OP5_SQL, "op9_mix": OP9_SQL, "op11_fim": OP11_SQL, "op12_jaccard": OP12_SQL, "op13_collocations": OP13_SQL}
