@@ -7,19 +7,19 @@ columns. Windows are counted once, and Spark's ROLLUP over the columns sums
 them for all shorter prefixes: the count of a phrase is the sum of the windows
 that begin with it, the sum of a language is its number of words.
 
-A phrase that occurs ``least`` times consists of neighbours that do so too. A
-first pass counts hashes of neighbouring words, and windows end where a pair
-is rarer, which makes few different windows of many. The frequent pairs reach
-the tasks as a bitmap of ``2 ** PAIR_BITS`` bits whatever their number. Pairs
-that share a bit with a frequent one only make a window longer than it had to
-be; counts are exact.
+A phrase that occurs ``least`` times consists of pairs and triples that do so
+too. Two passes before count hashes of pairs, and of triples of frequent pairs,
+and windows end before a rarer one, which makes few different windows of many.
+The frequent ones reach the tasks as bitmaps of ``2 ** GRAM_BITS`` bits whatever
+their number. What shares a bit with a frequent one only makes a window longer
+than it had to be; counts are exact.
 """
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vitals.llm.common import PLACES, Vocabulary, mix64, plain_text, stored, word_hash
+from vitals.llm.common import Vocabulary, mix64, plain_text, stored, word_hash
 
 LONGEST = 4
 LEAST = 30
@@ -28,10 +28,12 @@ INSIDE_PERCENT = 80
 SCALE = 2_000_000
 UNKNOWN = "und"
 
-PAIR_BITS = 23
+GRAM_BITS = 23
+GRAM_SIZES = (2, 3)
 _HASH_BITS = 40
-_WORDS_KEPT = 400_000
-_CHUNK = 2_000_000
+_ROOM = 64  # words a window may reach past the end of a chunk
+_WORDS_KEPT = 150_000
+_CHUNK = 500_000
 
 _PLAIN = bytes(
     ord("\n") if c in b".,;:!?\n\x0b\x0c\r" else ord(" ") if c == ord("\t") else c + 32 if ord("A") <= c <= ord("Z") else c for c in range(256))
@@ -59,29 +61,36 @@ class _Numbers:
         """Of the texts of a batch: word numbers and language numbers, and the languages, in bounded chunks."""
         langs = batch.column(1).dictionary_encode()
         names, codes = langs.dictionary.to_pylist(), langs.indices.to_numpy()
-        held, of, size = [], [], 0
-        for text, code in zip(batch.column(0), codes):
+        held, sizes, first = [], [], 0
+        for i, text in enumerate(batch.column(0)):
             words = words_and_marks(text.as_py())
-            words.append(_MARK)
-            held.append(self.known(words).astype(np.int32))
-            of.append(np.full(len(words), code, np.int32))
-            size += len(words)
-            if size >= _CHUNK:
-                yield np.concatenate(held), np.concatenate(of), names
-                held, of, size = [], [], 0
+            held += words
+            held.append(_MARK)
+            sizes.append(len(words) + 1)
+            if len(held) >= _CHUNK or i + 1 == batch.num_rows:
                 if len(self.known.numbers) > _WORDS_KEPT:
                     self._start()
-        if held:
-            yield np.concatenate(held), np.concatenate(of), names
-        if len(self.known.numbers) > _WORDS_KEPT:
-            self._start()
-
-    def pairs(self, numbers, of, names):
-        """Hash of each word with the next one, and where both are words of a piece."""
-        salts = np.array([word_hash(name) for name in names], np.uint64)
-        hashes = self.known.table[:, 0][numbers]
-        pairs = mix64(hashes[:-1] * PLACES[0] + hashes[1:] * PLACES[1] + salts[of[:-1]]) >> np.uint64(64 - _HASH_BITS)
-        return pairs, (numbers[:-1] > 0) & (numbers[1:] > 0)
+                yield self.known(held).astype(np.int32), np.repeat(codes[first:i + 1], sizes), names
+                held, sizes, first = [], [], i + 1
+
+    def grams(self, numbers, of, names, size):
+        """Hash of the words from each on, and where all ``size`` are words of a piece."""
+        salts, count = np.array([word_hash(name) for name in names], np.uint64), max(0, len(numbers) - size + 1)
+        hashes, total, inside = self.known.table[:, 0][numbers], salts[of[:count]], np.ones(count, bool)
+        for i in range(size):
+            total = mix64(total + hashes[i:i + count])
+            inside &= numbers[i:i + count] > 0
+        return total >> np.uint64(64 - _HASH_BITS), inside
+
+    def frequent(self, numbers, of, names, bitmaps):
+        """Per size of ``bitmaps`` where a frequent run of so many words starts."""
+        out = {}
+        for size, bitmap in bitmaps.items():
+            grams, inside = self.grams(numbers, of, names, size)
+            place = (grams & np.uint64(8 * len(bitmap) - 1)).astype(np.int64)
+            inside &= (bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+            out[size] = np.append(inside, np.zeros(len(numbers) - len(inside) + _ROOM, bool))
+        return out
 
     def strings(self):
         """The words in the order of their numbers; the mark is empty, as a pad is."""
@@ -104,44 +113,47 @@ def _texts(docs: DataFrame, text, lang) -> DataFrame:
     return docs.select(plain_text(F.col(text)).alias("text"), F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"))
 
 
-def frequent_pairs(texts: DataFrame, least: int) -> np.ndarray:
-    """Bitmap of the hashes of neighbours that occur ``least`` times in a language."""
+def frequent_grams(texts: DataFrame, least: int, size: int, bitmaps: dict[int, np.ndarray]) -> np.ndarray:
+    """Bitmap of the hashes of ``size`` neighbours that occur ``least`` times in a language; ``bitmaps`` are those of fewer neighbours."""
+    shared = texts.sparkSession.sparkContext.broadcast(bitmaps)
+
     def count(batches):
         memory = _numbers()
         for batch in batches:
             for numbers, of, names in memory.chunks(batch):
-                pairs, inside = memory.pairs(numbers, of, names)
-                values, counts = np.unique(pairs[inside], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(values.astype(np.int64)), pa.array(counts.astype(np.int64))], ["pair", "n"])
-
-    counted = texts.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    bit = F.col("pair").bitwiseAND(F.lit((1 << PAIR_BITS) - 1))
-    place = F.shiftright(bit, 6).cast("int").alias("place")
-    words = counted.select(place, F.expr(f"shiftleft(1L, int(pair & 63))").alias("bits")).groupBy("place").agg(F.bit_or("bits").alias("bits"))
-    bitmap = np.zeros(1 << (PAIR_BITS - 6), np.int64)
-    for row in words.toLocalIterator():  # at most 2 ** (PAIR_BITS - 6) rows
+                grams, inside = memory.grams(numbers, of, names, size)
+                for smaller, starts in memory.frequent(numbers, of, names, shared.value).items():
+                    for i in range(size - smaller + 1):
+                        inside &= starts[i:i + len(inside)]
+                values, counts = np.unique(grams[inside], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(values.astype(np.int64)), pa.array(counts.astype(np.int64))], ["gram", "n"])
+
+    counted = texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    bit = F.col("gram").bitwiseAND(F.lit((1 << GRAM_BITS) - 1))
+    words = counted.select(F.shiftright(bit, 6).cast("int").alias("place"), F.expr("shiftleft(1L, int(gram & 63))").alias("bits"))
+    bitmap = np.zeros(1 << (GRAM_BITS - 6), np.int64)
+    for row in words.groupBy("place").agg(F.bit_or("bits").alias("bits")).collect():  # at most 2 ** (GRAM_BITS - 6) rows
         bitmap[row["place"]] = row["bits"]
-    return np.unpackbits(bitmap.view(np.uint8), bitorder="little").view(bool)
+    return bitmap.view(np.uint8)
 
 
-def windows(texts: DataFrame, bitmap: np.ndarray, longest: int) -> DataFrame:
+def windows(texts: DataFrame, bitmaps: dict[int, np.ndarray], longest: int) -> DataFrame:
     """``lang, w1 .. w<longest>, n``: padded longest windows, counted per chunk."""
-    shared = texts.sparkSession.sparkContext.broadcast(np.packbits(bitmap, bitorder="little"))
+    shared = texts.sparkSession.sparkContext.broadcast(bitmaps)
     names = [f"w{i + 1}" for i in range(longest)]
 
     def count(batches):
-        memory, frequent = _numbers(), np.unpackbits(shared.value, bitorder="little").view(bool)
+        memory = _numbers()
         for batch in batches:
             for numbers, of, langs in memory.chunks(batch):
-                pairs, inside = memory.pairs(numbers, of, langs)
-                inside &= frequent[(pairs & np.uint64((1 << PAIR_BITS) - 1)).astype(np.int64)]
-                starts, going = np.flatnonzero(numbers), np.ones(len(numbers), bool)
-                inside = np.concatenate([inside, np.zeros(longest, bool)])
-                padded = np.concatenate([numbers, np.zeros(longest, np.int32)])
-                columns = [of[starts], numbers[starts]]
-                going = np.ones(len(starts), bool)
+                frequent = memory.frequent(numbers, of, langs, shared.value)
+                padded = np.append(numbers, np.zeros(longest, np.int32))
+                starts = np.flatnonzero(numbers)
+                columns, going = [of[starts], numbers[starts]], np.ones(len(starts), bool)
                 for i in range(1, longest):
-                    going &= inside[starts + i - 1]
+                    for size, begins in frequent.items():
+                        if size <= i + 1:
+                            going &= begins[starts + i + 1 - size]
                     columns.append(np.where(going, padded[starts + i], 0).astype(np.int32))
                 yield _counted(columns, langs, memory.strings(), names)
 
@@ -169,9 +181,14 @@ def _counted(columns, langs, words, names):
 
 def phrase_counts(docs: DataFrame, text="text", lang="lang", least: int = LEAST, longest: int = LONGEST) -> DataFrame:
     """``lang, words, f`` of all phrases with ``f >= least``; no words and ``f`` the number of all words per language."""
+    if not 2 <= longest < _ROOM:
+        raise ValueError(f"longest must be from 2 to {_ROOM - 1}")
     texts = _texts(docs, text, lang)
     names = [f"w{i + 1}" for i in range(longest)]
-    counted = windows(texts, frequent_pairs(texts, least), longest).groupBy("lang", *names).agg(F.sum("n").alias("n"))
+    bitmaps = {}
+    for size in GRAM_SIZES:
+        bitmaps[size] = frequent_grams(texts, least, size, bitmaps)
+    counted = windows(texts, bitmaps, longest).groupBy("lang", *names).agg(F.sum("n").alias("n"))
     summed = counted.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("left_out"))
     # left_out has a 1 bit for each column summed over: 2 ** k - 1 for the last k.
     size = F.lit(0)
