@@ -113,11 +113,15 @@ def test_signatures_bound_from_above():
         assert len(np.intersect1d(a, b)) <= (len(a) + len(b) - apart) // 2
 
 
-def test_near_by_signature_misses_nothing():
+@pytest.mark.parametrize("more", [1, 4])
+def test_near_by_signature_misses_nothing(more):
     rng = random.Random(7)
     texts = family(rng, 40)
     sets = [s for s in map(jj.shingle_set, texts) if len(s)]
-    near = {tuple(sorted(p)) for i, j, _ in jj.near_by_signature([len(s) for s in sets], [jj.signature(s) for s in sets], 80) for p in zip(i.tolist(), j.tolist())}
+    near = {tuple(sorted(p)) for i, j in jj.near_by_signature([len(s) for s in sets], [jj.signature(s, more) for s in sets], 80, more) for p in zip(i.tolist(), j.tolist())}
+    if more == 1:
+        few = jj.few_near_by_signature([len(s) for s in sets], [jj.signature(s) for s in sets], 80)
+        assert {tuple(sorted(p)) for p in few} == near
     pairs = 0
     for i in range(len(sets)):
         for j in range(i):

@@ -14,9 +14,12 @@ A text's set has its distinct shingles of five words; texts link when
   from above. Pairs within the bound go on to the exact intersection of sorted
   arrays.
 
-Equal sets are one node. Nodes known to be connected are not compared: first
-each meets the node of its shingles that has the most company, then its nearest
-by signature, and only what is not connected by then is compared in full.
+Equal sets are one node. Pairs within the bound only say which nodes belong
+together: each node of a shingle is held against the one with the most company
+there, shingles whose nodes are then together are done, and the others' tiles
+add what is missing. Each such group is cut into tiles in the same way, and
+there the pairs that no link connects yet meet exactly, once for all shingles
+they share.
 """
 
 from math import log
@@ -84,11 +87,12 @@ def prefix_size(size: int, percent: int) -> int:
 
 
 def signature_bits(size: int) -> int:
-    return min(MOST_BITS, max(LEAST_BITS, 1 << (2 * size - 1).bit_length()))
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (size - 1).bit_length()))
 
 
-def signature(hashes: np.ndarray) -> bytes:
-    width = signature_bits(len(hashes))
+def signature(hashes: np.ndarray, more: int = 1) -> bytes:
+    """A bit for each shingle among as many as the size asks for, or ``more`` times as many."""
+    width = signature_bits(len(hashes)) * more
     bits = np.zeros(width, bool)
     bits[(hashes & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -108,15 +112,15 @@ def _band_width(percent: int) -> float:
     return max(1e-3, -log(percent / 100) * (1 + 1e-6))
 
 
-def near_by_signature(sizes, signatures, percent: int):
-    """Places ``i, j`` (i < j, by size) of all sets that may link, and the bound on what they share; by bands."""
+def near_by_signature(sizes, signatures, percent: int, more: int = 1):
+    """Places ``i, j`` of all sets that may link; by bands of size."""
     sizes = np.asarray(sizes, np.int64)
     order = np.argsort(sizes, kind="stable")
     bands = size_band(sizes[order], percent)
     for band in np.unique(bands).tolist():
         low, middle, high = np.searchsorted(bands, [band, band + 1, band + 2])
         ours, all_of = order[low:middle], order[low:high]
-        width = signature_bits(int(sizes[ours[0]]))
+        width = signature_bits(int(sizes[ours[0]])) * more
         bits = np.stack([folded(signatures[i], width) for i in all_of.tolist()])
         apart = np.zeros((len(ours), len(all_of)), np.int64)
         for word in range(bits.shape[1]):
@@ -125,7 +129,27 @@ def near_by_signature(sizes, signatures, percent: int):
         bound = np.minimum((total - apart) // 2, sizes[ours][:, None])
         near = (bound >= least_shared(sizes[ours][:, None], sizes[all_of], percent)) & (np.arange(len(ours))[:, None] < np.arange(len(all_of)))
         i, j = np.nonzero(near)
-        yield ours[i], all_of[j], bound[i, j] / total[i, j]
+        yield ours[i], all_of[j]
+
+
+def few_near_by_signature(sizes, signatures, percent: int):
+    """The same for a few sets, with signatures as whole numbers."""
+    order = sorted(range(len(sizes)), key=sizes.__getitem__)
+    numbers = {}
+
+    def number(i, width):
+        if (i, width) not in numbers:
+            numbers[i, width] = int.from_bytes(folded(signatures[i], width).tobytes(), "little")
+        return numbers[i, width]
+
+    for at, i in enumerate(order):
+        width = signature_bits(sizes[i])
+        for j in order[at + 1:]:
+            if 100 * sizes[i] < percent * sizes[j]:
+                break
+            total = sizes[i] + sizes[j]
+            if (total - (number(i, width) ^ number(j, width)).bit_count()) // 2 >= least_shared(sizes[i], sizes[j], percent):
+                yield i, j
 
 
 def crowded(texts: DataFrame) -> np.ndarray:
@@ -164,33 +188,42 @@ def described(docs: DataFrame, doc_id, text, percent: int) -> DataFrame:
                               "s.content", "s.prefix", "s.bits"), "join-rows")
 
 
-def linked_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id, text, percent: int) -> DataFrame:
-    """Of stored pairs ``a, b`` of nodes those that link, by the exact intersection of their sets."""
+def texts_of(nodes: DataFrame, docs: DataFrame, doc_id, text) -> DataFrame:
+    """Stored ``node, text`` of ``node, doc_id, digest`` rows; a short list is small enough for Spark to broadcast."""
+    nodes = stored(nodes.select("node", "doc_id", "digest"), "join-needed")
+    texts = docs.select(F.col(doc_id).alias("id"), plain_text(F.col(text)).alias("text")).withColumn("d", F.unhex(F.md5("text")))
+    texts = texts.join(nodes, (F.col("d") == F.col("digest")) & F.col("id").eqNullSafe(F.col("doc_id"))).select("node", "text")
+    texts = stored(texts, "join-texts")
+    # Only rows that repeat both id and text are there twice.
+    if not texts.groupBy("node").count().filter("count > 1").isEmpty():
+        texts = stored(texts.dropDuplicates(["node"]), "join-texts")
+    return texts
+
+
+def _links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
+
+
+def linked_pairs(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Of pairs ``a, b`` of nodes those that link."""
     @F.arrow_udf("boolean")
     def links(a: pa.Array, text_a: pa.Array, text_b: pa.Array) -> pa.Array:
         last, own, out = None, None, []
         for name, one, other in zip(a.to_pylist(), text_a, text_b):
             if name != last:
                 last, own = name, shingle_set(one.as_py())
-            theirs = shingle_set(other.as_py())
-            shared = len(np.intersect1d(own, theirs, assume_unique=True))
-            out.append(100 * shared >= percent * (len(own) + len(theirs) - shared))
+            out.append(_links(own, shingle_set(other.as_py()), percent))
         return pa.array(out, pa.bool_())
 
-    # A list with few names is small enough for Spark to broadcast; with many, it is joined by shuffles.
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct().join(nodes.select("row", "doc_id", "digest"), "row")
-    needed = stored(needed, "join-needed")
-    texts = docs.select(F.col(doc_id).alias("id"), plain_text(F.col(text)).alias("text")).withColumn("d", F.unhex(F.md5("text")))
-    texts = texts.join(needed, (F.col("d") == F.col("digest")) & F.col("id").eqNullSafe(F.col("doc_id")))
-    texts = stored(texts.select("row", "text").dropDuplicates(["row"]), "join-texts")
-    rows = pairs.join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
-    rows = rows.join(texts.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a").sortWithinPartitions("a")
+    rows = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    rows = rows.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").sortWithinPartitions("a")
     return stored(rows.filter(links("a", "text_a", "text_b")).select("a", "b"), "join-links")
 
 
 def tiles(members: DataFrame, percent: int) -> DataFrame:
-    """``tile, side, node, size, root, bits`` of ``key, node, size, root, bits, n`` rows: every pair of a key with different roots and fitting sizes is in a tile."""
-    small = members.filter(F.col("n") <= TILE).select(F.col("key").cast("string").alias("tile"), F.lit(0).alias("side"), "node", "size", "root", "bits")
+    """``tile, side, node, size, root`` of ``key, node, size, root, n`` rows: every pair of a key with different roots and fitting sizes is in a tile."""
+    small = members.filter(F.col("n") <= TILE).select(F.col("key").cast("string").alias("tile"), F.lit(0).alias("side"), "node", "size", "root")
     many = members.filter(F.col("n") > TILE).withColumn("band", F.floor(F.log("size") / F.lit(_band_width(percent))))
     half = TILE // 2
     parts = many.groupBy("key", "band").agg(F.ceil(F.count("*") / half).alias("parts"))
@@ -205,88 +238,127 @@ def tiles(members: DataFrame, percent: int) -> DataFrame:
     sides = paired.select("key", "tile", F.lit(0).alias("side"), "name").unionByName(
         paired.filter("name <> name_b").select("key", "tile", F.lit(1).alias("side"), F.col("name_b").alias("name")))
     large = many.withColumn("name", F.struct("band", "part")).join(sides, ["key", "name"])
-    return small.unionByName(large.select("tile", "side", "node", "size", "root", "bits"))
+    return small.unionByName(large.select("tile", "side", "node", "size", "root"))
 
 
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def candidates(tiled: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Pairs of nodes with different roots that the signatures allow; with ``nearest`` only each node's best of a tile."""
-    def tile_pairs(members):
-        _, sides, nodes, sizes, roots, signatures = zip(*members)
-        sides, nodes, roots = np.array(sides), np.array(nodes, np.int64), np.array(roots, np.int64)
-        if roots.min() == roots.max():
-            return np.empty((0, 2), np.int64)
-        across = len(np.unique(sides)) > 1
-        found = []
-        for i, j, score in near_by_signature(sizes, signatures, percent):
-            keep = roots[i] != roots[j]
-            if across:  # pairs within a side are in the side's own tile
-                keep &= sides[i] != sides[j]
-            found.append(np.stack([i[keep], j[keep], (score[keep] * 1e9).astype(np.int64)], 1))
-        found = np.concatenate(found) if found else np.empty((0, 3), np.int64)
-        if nearest and len(found):
-            both = np.concatenate([found, found[:, [1, 0, 2]]])
-            both = both[np.lexsort([both[:, 1], -both[:, 2], both[:, 0]])]
-            found = both[np.append(True, both[1:, 0] != both[:-1, 0])]
-        return np.sort(nodes[found[:, :2]], axis=1)
-
-    def batches_of(batches):
+class _Together:
+    """Places of a tile that are connected."""
+
+    def __init__(self, roots):
+        first = {}
+        self.above = [first.setdefault(root, i) for i, root in enumerate(roots)]
+
+    def find(self, i):
+        while self.above[i] != i:
+            self.above[i] = i = self.above[self.above[i]]
+        return i
+
+    def join(self, i, j):
+        self.above[self.find(j)] = self.find(i)
+
+
+def _by_tile(rows: DataFrame, columns, pairs_of) -> DataFrame:
+    """Pairs ``a, b`` that ``pairs_of`` finds among the rows of each tile, a bounded number."""
+    def found(batches):
         tile, members = None, []
         for batch in batches:
             out = []
-            for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                if row[0] != tile:
+            for name, *row in zip(*(batch.column(i).to_pylist() for i in range(len(columns) + 1))):
+                if name != tile:
                     if len(members) > 1:
-                        out.append(tile_pairs(members))
-                    tile, members = row[0], []
+                        out += pairs_of(*zip(*members))
+                    tile, members = name, []
                 members.append(row)
-            yield _pairs(out)
-        yield _pairs([tile_pairs(members)] if len(members) > 1 else [])
+            yield _batch(out)
+        yield _batch(list(pairs_of(*zip(*members))) if len(members) > 1 else [])
+
+    def _batch(out):
+        return pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], schema=_PAIR)
+
+    dealt = rows.select("tile", *columns).repartition(partitions(rows.sparkSession), "tile")
+    return dealt.sortWithinPartitions("tile").mapInArrow(found, "a long, b long")
+
+
+def candidates(tiled: DataFrame, percent: int) -> DataFrame:
+    """Pairs that connect all nodes of a tile which the signatures allow to link; of each tile fewer than it has nodes."""
+    def pairs_of(sides, nodes, sizes, roots, signatures):
+        together, across = _Together(roots), len(set(sides)) > 1
+        if len(nodes) <= 24:
+            near = few_near_by_signature(sizes, signatures, percent)
+        else:
+            near = (p for i, j in near_by_signature(sizes, signatures, percent) for p in zip(i.tolist(), j.tolist()))
+        for i, j in near:
+            if not (across and sides[i] == sides[j]) and together.find(i) != together.find(j):
+                together.join(i, j)
+                yield nodes[i], nodes[j]
 
-    def _pairs(found):
-        rows = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], schema=_PAIR)
+    return stored(_by_tile(tiled, ["side", "node", "size", "root", "bits"], pairs_of).distinct(), "join-pairs")
 
-    dealt = tiled.select("tile", "side", "node", "size", "root", "bits").repartition(partitions(tiled.sparkSession), "tile")
-    return stored(dealt.sortWithinPartitions("tile").mapInArrow(batches_of, "a long, b long").distinct(), "join-pairs")
 
+def links_in_tiles(tiled: DataFrame, percent: int) -> DataFrame:
+    """Links of ``tile, side, node, root, text`` rows that connect what is linked and has different roots."""
+    more = 4
 
-def _unconnected(members: DataFrame, links: DataFrame) -> DataFrame:
-    """``key, node, size, root, n`` of the keys whose nodes the links do not all connect; of keys with the same nodes only one."""
-    roots = components(links).withColumnRenamed("node", "name")
-    rows = members.join(roots, F.col("node") == F.col("name"), "left").select("key", "node", "size", F.coalesce("root", "node").alias("root"))
-    rows = stored(rows, "join-rooted")
-    keys = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"),
-                                   F.bit_xor(F.xxhash64("node")).alias("one"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("other"))
+    def pairs_of(sides, nodes, roots, texts):
+        if len(set(roots)) == 1:
+            return
+        sets, together, across = [shingle_set(t) for t in texts], _Together(roots), len(set(sides)) > 1
+        signatures = [signature(s, more) for s in sets]
+        for i, j in near_by_signature([len(s) for s in sets], signatures, percent, more):
+            for i, j in zip(i.tolist(), j.tolist()):
+                if not (across and sides[i] == sides[j]) and together.find(i) != together.find(j) and _links(sets[i], sets[j], percent):
+                    together.join(i, j)
+                    yield nodes[i], nodes[j]
+
+    return stored(_by_tile(tiled, ["side", "node", "root", "text"], pairs_of), "join-links")
+
+
+def _grouped(members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``members`` with ``root``, the least node of the component of the pairs."""
+    roots = components(pairs).withColumnRenamed("node", "name")
+    rows = members.join(roots, F.col("node") == F.col("name"), "left")
+    return rows.withColumn("root", F.coalesce("root", "node")).drop("name")
+
+
+def _apart(members: DataFrame) -> DataFrame:
+    """``key, node, size, root, n`` of the keys with several roots; of keys with the same nodes only one."""
+    keys = members.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"),
+                                      F.bit_xor(F.xxhash64("node")).alias("one"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("other"))
     keys = keys.filter("least <> most").groupBy("n", "one", "other").agg(F.min("key").alias("key")).select("key", "n")
-    return stored(rows.join(keys, "key"), "join-mixed")
+    return stored(members.join(keys, "key"), "join-mixed")
 
 
 def node_links(nodes: DataFrame, docs: DataFrame, doc_id, text, percent: int) -> DataFrame:
     """Links ``a, b`` that connect every two nodes connected by any links."""
     keyed = nodes.select(F.explode("prefix").alias("key"), F.col("row").alias("node"), F.col("n_shingles").cast("int").alias("size"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    members = stored(keyed.join(shared, "key"), "join-members")
-    company = members.groupBy("node").agg((F.count("*") / F.first("size")).alias("company"))
+    members = stored(keyed.join(shared.select("key"), "key"), "join-members")
+    company = stored(members.groupBy("node").agg((F.count("*") / F.first("size")).alias("company")), "join-company")
     leader = F.max_by(F.struct("node", "size"), F.struct("company", "node")).alias("leader")
     led = members.join(company, "node").groupBy("key").agg(leader)
     pairs = members.join(led, "key").filter("node <> leader.node").filter(
         100 * F.least("size", "leader.size") >= percent * F.greatest("size", "leader.size"))
-    pairs = stored(pairs.select(F.col("leader.node").alias("a"), F.col("node").alias("b")).distinct(), "join-pairs")
-    pairs = stored(_within_bound(pairs, nodes, percent), "join-pairs")
-    links = linked_pairs(pairs, nodes, docs, doc_id, text, percent)
-    members = members.drop("n")
+    pairs = pairs.select(F.col("leader.node").alias("a"), F.col("node").alias("b")).distinct()
+    near = stored(_within_bound(pairs, nodes, percent), "join-pairs")
+
+    apart = _apart(stored(_grouped(members, near), "join-rooted"))
     bits = nodes.select(F.col("row").alias("node"), "bits")
-    for nearest in (True, False):
-        members = _unconnected(members, links)
-        if members.isEmpty():
-            break
-        pairs = candidates(tiles(members.join(bits, "node"), percent), percent, nearest)
-        links = links.unionByName(linked_pairs(pairs, nodes, docs, doc_id, text, percent))
-        members = members.drop("root", "n")
-    return links
+    near = near.unionByName(candidates(tiles(apart, percent).join(bits, "node"), percent))
+
+    groups = components(near).withColumnRenamed("root", "key")
+    sizes = groups.groupBy("key").agg(F.count("*").alias("n"))
+    named = nodes.select(F.col("row").alias("node"), F.col("n_shingles").cast("int").alias("size"), "doc_id", "digest")
+    groups = stored(groups.join(sizes, "key").join(named, "node"), "join-groups")
+    texts = texts_of(groups, docs, doc_id, text)
+    groups = groups.drop("doc_id", "digest")
+    large = groups.filter(F.col("n") > TILE)
+    hubs = large.join(company, "node").groupBy("key").agg(F.max_by("node", F.struct("company", "node")).alias("a"))
+    links = linked_pairs(large.join(hubs, "key").filter("a <> node").select("a", F.col("node").alias("b")), texts, percent)
+    tiled = tiles(stored(_grouped(groups, links), "join-rooted"), percent).join(texts, "node")
+    return links.unionByName(links_in_tiles(tiled, percent))
 
 
 def _within_bound(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
