@@ -113,9 +113,10 @@ def scan(docs: DataFrame, doc_id="doc_id", text="text", templates=None, threshol
     whole = plain_text(text)
     units = F.array_distinct(F.concat(F.split(whole, "\n"), F.split(whole, r"\n[ \t\r]*\n")))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.explode(units).alias("unit"))
-    rows = rows.select("doc_id", words_of_unit(F.col("unit")).alias("words")).filter(F.size("words") > least)
+    # A generator between keeps filters from repeating what they are over.
+    rows = rows.select("doc_id", F.inline(F.array(F.struct(words_of_unit(F.col("unit")).alias("words"))))).filter(F.size("words") > least)
     pairs = F.zip_with(F.slice("words", 1, F.size("words") - 1), F.slice("words", 2, F.size("words")), lambda a, b: F.concat(a, F.lit(" "), b))
-    rows = rows.select("doc_id", F.array_distinct(pairs).alias("bigrams"))
+    rows = rows.select("doc_id", F.inline(F.array(F.struct(F.array_distinct(pairs).alias("bigrams")))))
     rows = rows.filter(F.size("bigrams").between(least, most) & F.arrays_overlap("bigrams", F.array(*map(F.lit, tell))))
     candidates = F.array(*[
         F.struct(F.lit(name).alias("license"), F.lit(len(b)).alias("size"), F.array(*map(F.lit, b)).alias("template")) for name, b in known])
