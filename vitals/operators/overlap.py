@@ -13,6 +13,7 @@ def suppress_overlaps(
     end: str = "end_date",
     source: str = "source_name",
     ranking: tuple[str, ...] = SOURCE_RANKING,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Drop each row overlapped by a row of a better-ranked source.
 
@@ -35,11 +36,15 @@ def suppress_overlaps(
     plus one, whatever the number of rows, and the window over days one row per
     day. A hot key is thus cut into days, and the lookup join is one that
     adaptive execution can split.
+
+    Where ``df`` holds some days only, ``earlier`` tells how far the others
+    reach: the keys, ``_day`` (of the starts) and ``_reach_1`` to the last rank,
+    of days of which ``df`` has no row.
     """
     ranks = len(ranking)
     rank = source_priority(F.col(source), ranking)
     points = _points(df, keys, start, end, rank, ranks)
-    reach = _reach_at_ends(points, keys, end, ranks)
+    reach = _reach_at_ends(points, keys, end, ranks, earlier)
 
     best = df.where(rank == 1)
     others = df.where(rank > 1).join(reach, [*keys, end], "left")
@@ -91,13 +96,16 @@ def _points(df: DataFrame, keys, start, end, rank: Column, ranks: int) -> DataFr
     )
 
 
-def _reach_at_ends(points: DataFrame, keys, end, ranks: int) -> DataFrame:
+def _reach_at_ends(points: DataFrame, keys, end, ranks: int, earlier: DataFrame | None = None) -> DataFrame:
     """Reach of each rank at every end: latest end of rows started before it."""
     merged = points.groupBy(*keys, "_day", "_at", "_kind").agg(*_latest(ranks))
     earlier_days = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    days = merged.groupBy(*keys, "_day").agg(*_latest(ranks))  # the same shuffled points, read again
+    if earlier is not None:
+        days = days.unionByName(earlier.select(*keys, "_day", *_reach_columns(ranks)))
+        days = days.groupBy(*keys, "_day").agg(*_latest(ranks))  # an end may lie on a day that is not in df
     carried = (
-        merged.groupBy(*keys, "_day").agg(*_latest(ranks))  # the same shuffled points, read again
-        .select(*keys, "_day", *[F.max(c).over(earlier_days).alias(c) for c in _reach_columns(ranks)])
+        days.select(*keys, "_day", *[F.max(c).over(earlier_days).alias(c) for c in _reach_columns(ranks)])
         .where(_any_reach(ranks))
     )
     # The carried row has no time and sorts first. At equal times ends sort

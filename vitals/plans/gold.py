@@ -4,12 +4,43 @@ Builders take silver DataFrames and return one row per gold key, without
 ``updated_at``; the upsert stamps it.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import minutes_between
 from ..operators import Measure, daily_rollup, keep_first, suppress_overlaps
 from ..schema import SLEEP_ASLEEP, SLEEP_AWAKE, SLEEP_DEEP, SLEEP_LIGHT, SLEEP_REM
 
+#: Takes out rows overlapped by a better source.
+Suppress = Callable[[DataFrame], DataFrame]
+
+HEART_RATE = [
+    Measure("avg_heart_rate", "heart_rate", "avg"),
+    Measure("min_heart_rate", "heart_rate", "min"),
+    Measure("max_heart_rate", "heart_rate", "max"),
+    Measure("records_count", "heart_rate", "count", cast="int"),
+]
+CARDIOVASCULAR = [
+    Measure("avg_resting_heart_rate", "resting_heart_rate", "avg"),
+    Measure("avg_hrv_sdnn", "hrv", "avg"),
+    Measure("avg_vo2_max", "vo2_max", "avg"),
+    Measure("avg_blood_oxygen", "blood_oxygen", "avg"),
+    Measure("min_blood_oxygen", "blood_oxygen", "min"),
+]
+RESPIRATORY = [
+    Measure("avg_respiratory_rate", "respiratory_rate", "avg"),
+    Measure("min_respiratory_rate", "respiratory_rate", "min"),
+    Measure("max_respiratory_rate", "respiratory_rate", "max"),
+    Measure("avg_breathing_disturbances", "breathing_disturbances", "avg"),
+]
+MOVEMENT = ("step_count", "active_energy", "basal_energy", "distance")
+BODY = (
+    "body_mass", "time_in_daylight", "walking_speed", "wrist_temperature",
+    "exercise_time", "stand_hour", "physical_effort",
+)
+CLIMBED = "flights_climbed"
+
 _INTERVAL_COLUMNS = ("user_id", "type", "source_name", "start_date", "end_date", "value")
 
 
@@ -20,18 +51,12 @@ def _of_types(records: DataFrame, *metrics: str) -> DataFrame:
 
 
 def daily_heart_rate(records: DataFrame) -> DataFrame:
-    return daily_rollup(_of_types(records, "heart_rate"), [
-        Measure("avg_heart_rate", "heart_rate", "avg"),
-        Measure("min_heart_rate", "heart_rate", "min"),
-        Measure("max_heart_rate", "heart_rate", "max"),
-        Measure("records_count", "heart_rate", "count", cast="int"),
-    ])
+    return daily_rollup(_of_types(records, "heart_rate"), HEART_RATE)
 
 
-def daily_activity(records: DataFrame) -> DataFrame:
+def daily_activity(records: DataFrame, suppress: Suppress = suppress_overlaps) -> DataFrame:
     """Daily totals counting each moment once, from the best source present."""
-    metrics = ("step_count", "active_energy", "basal_energy", "distance")
-    return daily_rollup(suppress_overlaps(_of_types(records, *metrics)), [
+    return daily_rollup(suppress(_of_types(records, *MOVEMENT)), [
         Measure("step_count", "step_count", "sum", default=0.0),
         Measure("active_energy_kcal", "active_energy", "sum", default=0.0),
         Measure("basal_energy_kcal", "basal_energy", "sum", default=0.0),
@@ -74,38 +99,21 @@ def daily_sleep(records: DataFrame) -> DataFrame:
 
 
 def daily_cardiovascular(records: DataFrame) -> DataFrame:
-    metrics = ("resting_heart_rate", "hrv", "vo2_max", "blood_oxygen")
-    return daily_rollup(_of_types(records, *metrics), [
-        Measure("avg_resting_heart_rate", "resting_heart_rate", "avg"),
-        Measure("avg_hrv_sdnn", "hrv", "avg"),
-        Measure("avg_vo2_max", "vo2_max", "avg"),
-        Measure("avg_blood_oxygen", "blood_oxygen", "avg"),
-        Measure("min_blood_oxygen", "blood_oxygen", "min"),
-    ])
+    metrics = [m.metric for m in CARDIOVASCULAR]
+    return daily_rollup(_of_types(records, *metrics), CARDIOVASCULAR)
 
 
 def daily_respiratory(records: DataFrame) -> DataFrame:
-    return daily_rollup(_of_types(records, "respiratory_rate", "breathing_disturbances"), [
-        Measure("avg_respiratory_rate", "respiratory_rate", "avg"),
-        Measure("min_respiratory_rate", "respiratory_rate", "min"),
-        Measure("max_respiratory_rate", "respiratory_rate", "max"),
-        Measure("avg_breathing_disturbances", "breathing_disturbances", "avg"),
-    ])
+    return daily_rollup(_of_types(records, "respiratory_rate", "breathing_disturbances"), RESPIRATORY)
 
 
-def daily_metrics(records: DataFrame) -> DataFrame:
+def daily_metrics(records: DataFrame, suppress: Suppress = suppress_overlaps) -> DataFrame:
     """Body, movement and environment measures.
 
     Stand hours count distinct starts of rows with value 0.0, the code every
     stand-hour text gets; days without any show 0, other gaps stay NULL.
     """
-    plain = (
-        "body_mass", "time_in_daylight", "walking_speed", "wrist_temperature",
-        "exercise_time", "stand_hour", "physical_effort",
-    )
-    rows = _of_types(records, *plain).unionByName(
-        suppress_overlaps(_of_types(records, "flights_climbed"))
-    )
+    rows = _of_types(records, *BODY).unionByName(suppress(_of_types(records, CLIMBED)))
     return daily_rollup(rows, [
         Measure("body_mass_kg", "body_mass", "avg"),
         Measure("flights_climbed", "flights_climbed", "sum"),

@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from ..schema import GOLD_SCHEMAS
 from ..sources import archives, export_xml, tables
-from .gold import build_gold
+from ..sources.feed import Feed
+from .gold import build_gold, workouts_summary
+from .refresh import changed_gold
 
 STAGES = ("bronze", "silver", "gold", "all")
 
@@ -62,6 +64,12 @@ class Lake:
     def gold(self) -> str:
         return self._under("gold")
 
+    def record_feed(self, spark: SparkSession) -> Feed:
+        return Feed(spark, self._under("silver/feed/records"))
+
+    def workout_feed(self, spark: SparkSession) -> Feed:
+        return Feed(spark, self._under("silver/feed/workouts"), with_states=False)
+
 
 def land(spark: SparkSession, lake: Lake, source: str, user_pattern: str = USER_FOLDER) -> DataFrame:
     """Bronze: keep every archive below ``source`` that is not kept yet."""
@@ -109,7 +117,7 @@ def load_silver(
     bad = done.where(F.col("error").isNotNull())
     bad.write.parquet(posixpath.join(lake.quarantine, "archives", f"run={run}"))
 
-    def load(kind, read, conform, merge, path):
+    def load(kind, read, conform, merge, path, feed):
         counter = Observation(kind)
         file_source = F.concat(F.col("sha256"), F.lit(".zip"))
         typed = conform(read(spark, staged), now, file_source).observe(counter, F.count(F.lit(1)).alias("n"))
@@ -118,14 +126,14 @@ def load_silver(
         typed.write.mode("overwrite").parquet(parsed)
         good, bad = export_xml.readable(spark.read.schema(typed.schema).parquet(parsed))
         bad.write.mode("overwrite").parquet(posixpath.join(lake.quarantine, kind, f"run={run}"))
-        merge(spark, good, path, lake.record_buckets, written=True)
+        merge(spark, good, path, lake.record_buckets, written=True, feed=feed)
         return kind, counter.get["n"]
 
     counts = dict(_together(spark, [
         lambda: load("records", export_xml.read_record_elements, export_xml.conform_records,
-                     tables.merge_records, lake.records),
+                     tables.merge_records, lake.records, lake.record_feed(spark)),
         lambda: load("workouts", export_xml.read_workout_elements, export_xml.conform_workouts,
-                     tables.merge_workouts, lake.workouts),
+                     tables.merge_workouts, lake.workouts, lake.workout_feed(spark)),
     ]))
     counts["bad_archives"] = bad.count()
     done.select("user_id", "sha256").distinct().write.mode("append").parquet(lake.loaded)
@@ -197,6 +205,50 @@ def refresh_gold(
 
     built = build_gold(records, workouts)
     _together(spark, [lambda table=table, rows=rows: store(table, rows) for table, rows in built.items()])
+    compact_gold(spark, lake)
+
+
+def refresh_changed(
+    spark: SparkSession, lake: Lake, now: Column, registered: DataFrame | None = None
+) -> int:
+    """Gold: recompute the days that merges have changed since the last such refresh; returns of how many merges.
+
+    Costs by the changed days, not by the users' histories (see ``refresh``).
+    Merges are taken off the list only after all tables are stored, so a break
+    repeats them, to the same rows.
+    """
+    records_feed, workouts_feed = lake.record_feed(spark), lake.workout_feed(spark)
+    runs, workout_runs = records_feed.runs(), workouts_feed.runs()
+    kept = posixpath.join(lake.staging, "changes", f"run={uuid.uuid4().hex}")
+    records_feed.changes(runs).unionByName(workouts_feed.changes(workout_runs)).write.parquet(kept)
+    changes = spark.read.schema("user_id string, type string, date date").parquet(kept)
+    users = changes.select("user_id").distinct()
+    bounds = changes.agg(F.min("date").alias("low"), F.max("date").alias("high")).first()
+    if bounds["low"] is not None:
+        records = tables.read_silver(spark, lake.records, users=users)
+        built = changed_gold(records, records_feed.states(), changes.where("type <> 'workout'"))
+        days = changes.where("type = 'workout'").select("user_id", "date").distinct()
+        workouts = tables.read_silver_workouts(spark, lake.workouts, users=users).where(F.col("date").between(F.lit(bounds["low"]), F.lit(bounds["high"])))
+        built["workouts_summary"] = workouts_summary(workouts.join(days, ["user_id", "date"], "left_semi"))
+        _together(spark, [
+            lambda table=table, rows=rows: tables.upsert_gold(spark, rows, lake.gold, table, now, lake.gold_buckets, registered, lake.rejected)
+            for table, rows in built.items()])
+        compact_gold(spark, lake)
+        records_feed.compact(VERSIONS)
+    records_feed.clear(runs)
+    workouts_feed.clear(workout_runs)
+    tables.remove(spark, kept)
+    return len(runs) + len(workout_runs)
+
+
+#: Versions of a table that readers merge before they are compacted.
+VERSIONS = 16
+
+
+def compact_gold(spark: SparkSession, lake: Lake, least: int = VERSIONS) -> None:
+    """Merge the versions of each gold table that has ``least`` or more."""
+    for table in GOLD_SCHEMAS:
+        tables.compact_gold(spark, lake.gold, table, least)
 
 
 def run_pipeline(

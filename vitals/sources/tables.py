@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from ..operators import keep_first, upsert_by_key
+from ..operators import keep_first
 from ..schema import (
     GOLD_KEYS,
     GOLD_SCHEMAS,
@@ -22,6 +22,8 @@ from ..schema import (
     WORKOUT_KEYS,
     WORKOUT_SCHEMA,
 )
+from .feed import Feed
+from .versions import Conflict, VersionedTable
 
 BUCKET = T.StructField("user_bucket", T.IntegerType())
 RECORD_PARTITIONS = ("records_type", "user_bucket")
@@ -78,7 +80,9 @@ def read_silver_workouts(spark: SparkSession, path: str, users: DataFrame | None
     return of_users(spark, path, _read(spark, path, STORED_WORKOUTS), users)
 
 
-def of_users(spark: SparkSession, path: str, rows: DataFrame, users: DataFrame | None) -> DataFrame:
+def of_users(
+    spark: SparkSession, path: str, rows: DataFrame, users: DataFrame | None, buckets: int | None = None
+) -> DataFrame:
     """Stored rows of the users listed in ``users.user_id``.
 
     Only the users' buckets are read; at most one number per bucket is
@@ -88,8 +92,8 @@ def of_users(spark: SparkSession, path: str, rows: DataFrame, users: DataFrame |
     if users is None or not exists(spark, path):
         return rows
     users = users.select("user_id")
-    buckets = users.select(user_bucket(bucket_count(spark, path)).alias("bucket")).distinct().collect()
-    return rows.where(F.col("user_bucket").isin([r.bucket for r in buckets])).join(users, "user_id", "left_semi")
+    found = users.select(user_bucket(buckets or bucket_count(spark, path)).alias("bucket")).distinct().collect()
+    return rows.where(F.col("user_bucket").isin([r.bucket for r in found])).join(users, "user_id", "left_semi")
 
 
 def _write_partitioned(df: DataFrame, path: str, partitions, sort, mode: str, **options) -> None:
@@ -105,22 +109,23 @@ def _write_partitioned(df: DataFrame, path: str, partitions, sort, mode: str, **
 
 
 def merge_records(
-    spark: SparkSession, new: DataFrame, path: str, buckets: int = 64, written: bool = False
+    spark: SparkSession, new: DataFrame, path: str, buckets: int = 64, written: bool = False, feed: Feed | None = None
 ) -> None:
     """Add records that are not stored yet. ``written`` says that ``new`` is read
-    from a table, so that reading it several times is cheap."""
+    from a table, so that reading it several times is cheap. A ``feed`` learns
+    the days of the rows added and keeps their states."""
     placed = new.withColumn("records_type", F.col("type"))
-    _merge(spark, placed, path, STORED_RECORDS, RECORD_KEYS, RECORD_PARTITIONS, buckets, written)
+    _merge(spark, placed, path, STORED_RECORDS, RECORD_KEYS, RECORD_PARTITIONS, buckets, written, feed)
 
 
 def merge_workouts(
-    spark: SparkSession, new: DataFrame, path: str, buckets: int = 64, written: bool = False
+    spark: SparkSession, new: DataFrame, path: str, buckets: int = 64, written: bool = False, feed: Feed | None = None
 ) -> None:
-    """Add workouts that are not stored yet."""
-    _merge(spark, new, path, STORED_WORKOUTS, WORKOUT_KEYS, WORKOUT_PARTITIONS, buckets, written)
+    """Add workouts that are not stored yet; to a ``feed`` their metric is ``workout``."""
+    _merge(spark, new, path, STORED_WORKOUTS, WORKOUT_KEYS, WORKOUT_PARTITIONS, buckets, written, feed)
 
 
-def _merge(spark, new, path, schema, keys, partitions, buckets, written) -> None:
+def _merge(spark, new, path, schema, keys, partitions, buckets, written, feed=None) -> None:
     """Keep-first merge by key, earliest ``ingested_at`` wins.
 
     Stored rows are earlier than the batch, so the merge is an append of the
@@ -134,12 +139,14 @@ def _merge(spark, new, path, schema, keys, partitions, buckets, written) -> None
     """
     buckets = bucket_count(spark, path, buckets)
     finish_pending(spark, path, schema, partitions, ("user_id", "start_date"))
+    if feed:
+        feed.finish(schema, _adder(spark, path, schema, keys, partitions))
     batch = new.withColumn("user_bucket", user_bucket(buckets)).to(schema)
     if not written:
         staged = _own_folder(path, "_batch")
         batch.write.parquet(staged)
         batch = spark.read.schema(schema).parquet(staged)
-    _merge_batch(spark, batch, path, schema, keys, partitions)
+    _merge_batch(spark, batch, path, schema, keys, partitions, feed)
     if not written:
         remove(spark, staged)
 
@@ -149,7 +156,18 @@ def _own_folder(path: str, purpose: str) -> str:
     return posixpath.join(path, purpose, f"run={uuid.uuid4().hex}")
 
 
-def _merge_batch(spark, batch, path, schema, keys, partitions) -> None:
+def _adder(spark, path, schema, keys, partitions):
+    """Appends rows of a merge that broke off, unless it had come to that."""
+    def add(rows):
+        touched = rows.select(*partitions).distinct().collect()  # as in a merge
+        if touched:
+            stored = _read(spark, path, schema).where(_in_partitions(touched, partitions))
+            _write_partitioned(_anti_null_safe(rows, stored, keys), path, partitions, ("user_id", "start_date"), "append")
+
+    return add
+
+
+def _merge_batch(spark, batch, path, schema, keys, partitions, feed=None) -> None:
     # At most (number of metrics) x (number of buckets) rows.
     touched = batch.groupBy(*partitions).agg(F.min("ingested_at").alias("earliest")).collect()
     if not touched:
@@ -160,10 +178,19 @@ def _merge_batch(spark, batch, path, schema, keys, partitions) -> None:
         # Only stored rows of the batch's users can be the same.
         stored = stored.join(batch.select("user_id").distinct(), "user_id", "left_semi")
         fresh = keep_first(_anti_null_safe(batch, stored, keys), keys, ("ingested_at",))
-        _write_partitioned(fresh, path, partitions, ("user_id", "start_date"), "append")
+        if feed:
+            feed.apply(fresh, lambda rows: _write_partitioned(rows, path, partitions, ("user_id", "start_date"), "append"))
+        else:
+            _write_partitioned(fresh, path, partitions, ("user_id", "start_date"), "append")
     else:
         merged = keep_first(stored.unionByName(batch), keys, ("ingested_at",))
-        replace_partitions(spark, merged, path, schema, partitions, ("user_id", "start_date"))
+        if feed:
+            # Rows that replace others have the same keys, so records' days are
+            # changed by new keys only; other columns of workouts may change too.
+            fresh = keep_first(_anti_null_safe(batch, stored, keys) if feed.with_states else batch, keys, ("ingested_at",))
+            feed.apply(fresh, lambda _: replace_partitions(spark, merged, path, schema, partitions, ("user_id", "start_date")))
+        else:
+            replace_partitions(spark, merged, path, schema, partitions, ("user_id", "start_date"))
 
 
 def _in_partitions(rows, partitions) -> Column:
@@ -234,12 +261,28 @@ def _stored_gold(table: str) -> T.StructType:
     return T.StructType(GOLD_SCHEMAS[table].fields + [BUCKET])
 
 
+def gold_table(spark: SparkSession, root: str, table: str, buckets: int = 16) -> VersionedTable:
+    """A gold table's versions; ``buckets`` counts only where the table is new."""
+    return VersionedTable(
+        spark, posixpath.join(root, table), _stored_gold(table), GOLD_KEYS[table], ("user_bucket",), buckets=buckets)
+
+
 def read_gold(
     spark: SparkSession, root: str, table: str, users: DataFrame | None = None
 ) -> DataFrame:
     """One gold table; order is left to the reader."""
-    path = posixpath.join(root, table)
-    return of_users(spark, path, _read(spark, path, _stored_gold(table)), users).drop("user_bucket")
+    stored = gold_table(spark, root, table)
+    if not stored.exists():
+        return spark.createDataFrame([], GOLD_SCHEMAS[table])
+    return of_users(spark, stored.path, stored.read(), users, stored.state().options["buckets"]).drop("user_bucket")
+
+
+def compact_gold(spark: SparkSession, root: str, table: str, least: int = 2) -> bool:
+    """Merge a gold table's versions into one if there are ``least`` or more; False if not, or if another writer does it."""
+    try:
+        return gold_table(spark, root, table).compact(least=least) is not None
+    except Conflict:
+        return False
 
 
 def refusal(incoming: DataFrame, keys: tuple[str, ...]) -> Column:
@@ -251,7 +294,9 @@ def refusal(incoming: DataFrame, keys: tuple[str, ...]) -> Column:
         if name in incoming.columns:
             why = why.when(F.length(name) > width, F.lit(f"{name} is longer than {width} characters"))
     order = [F.col(c).asc_nulls_last() for c in incoming.columns if c not in keys] or [F.lit(0)]
-    return why.when(F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) > 1, F.lit("the key is there twice"))
+    # Rows without a key are refused anyway and must not meet in one task.
+    apart = F.when(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]), F.xxhash64(*incoming.columns))
+    return why.when(F.row_number().over(Window.partitionBy(*keys, apart).orderBy(*order)) > 1, F.lit("the key is there twice"))
 
 
 def upsert_gold(
@@ -260,35 +305,35 @@ def upsert_gold(
 ) -> None:
     """Insert or replace rows of a gold table by key.
 
-    Only buckets with incoming rows are read and replaced. An empty input
-    changes nothing. Rows that break the table's contract are put aside with
-    the reason under ``rejected`` (by default beside ``root``) and do not hold up the others:
+    The batch becomes a version of the table (see ``versions``): it is written in
+    bytes of its own size, nothing stored is read or rewritten, and writers
+    beside each other lose nothing; of two that give the same key the later
+    commit counts. An empty input changes nothing. Rows that break the table's
+    contract are put aside once with the reason under ``rejected`` (by default
+    beside ``root``) and do not hold up the others:
     a missing key, too wide a text, a key given twice (the first by its other
     columns is stored) and, with a table of ``registered`` users (column
     ``username``), a user not in it. Rows are computed once.
     """
-    path = posixpath.join(root, table)
-    schema, keys = _stored_gold(table), GOLD_KEYS[table]
-    buckets = bucket_count(spark, path, buckets)
-    finish_pending(spark, path, schema, ("user_bucket",), keys)
+    stored = gold_table(spark, root, table, buckets)
+    path, schema, keys = stored.path, stored.schema, stored.keys
     marked = incoming.withColumn("refused", refusal(incoming, keys))
     if registered is not None:
         known = registered.select(F.col("username").alias("user_id")).distinct().withColumn("known", F.lit(True))
         marked = marked.join(known, "user_id", "left")
         marked = marked.withColumn("refused", F.coalesce("refused", F.when(F.col("known").isNull(), F.lit("the user is not known")))).drop("known")
     batch = marked.withColumn("updated_at", now.cast("timestamp_ntz"))
-    batch = batch.withColumn("user_bucket", user_bucket(buckets)).to(T.StructType(schema.fields + [T.StructField("refused", T.StringType())]))
+    batch = batch.withColumn("user_bucket", user_bucket(stored.state().options["buckets"])).to(T.StructType(schema.fields + [T.StructField("refused", T.StringType())]))
     staged = _own_folder(path, "_batch")
     batch.write.parquet(staged)
     batch = spark.read.schema(batch.schema).parquet(staged)
-    refused = batch.where(F.col("refused").isNotNull())
+    refused = batch.where(F.col("refused").isNotNull()).drop("user_bucket")
     if not refused.isEmpty():
         aside = posixpath.join(rejected or f"{root.rstrip('/')}_rejected", table)
-        refused.drop("user_bucket").write.mode("append").parquet(aside)
-    batch = batch.where(F.col("refused").isNull()).drop("refused")
-    touched = batch.select("user_bucket").distinct().collect()  # at most one row per bucket
-    if touched:
-        stored = spark.read.schema(schema).parquet(path).where(_in_partitions(touched, ("user_bucket",)))
-        merged = upsert_by_key(stored, batch, keys, F.col("updated_at"))
-        replace_partitions(spark, merged, path, schema, ("user_bucket",), keys)
+        before = _read(spark, aside, refused.schema)
+        unseen = _anti_null_safe(refused, before, [c for c in refused.columns if c != "updated_at"])
+        unseen.write.mode("append").parquet(aside)
+    accepted = batch.where(F.col("refused").isNull()).drop("refused")
+    if not accepted.isEmpty():
+        stored.append(accepted)
     remove(spark, staged)

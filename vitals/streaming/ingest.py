@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.pipeline import USER_FOLDER, Lake, land_listed, listed_users, load_silver, pending, refresh_gold
+from ..plans.pipeline import USER_FOLDER, Lake, land_listed, listed_users, load_silver, pending, refresh_changed
 from ..sources.archives import with_user
 
 
@@ -22,7 +22,7 @@ def ingest_archives(
 
     By default everything present is processed and the query ends. A batch that
     is replayed after a failure changes nothing: landing goes by content,
-    merging by row key and gold by upsert. There is no watermark, since an
+    merging by row key and gold by upsert of the days that changed. There is no watermark, since an
     export always repeats a user's old rows and late rows must count. With
     ``registered`` users, gold takes rows of those only.
     """
@@ -40,11 +40,11 @@ def ingest_archives(
         session = batch.sparkSession
         stamp = F.current_timestamp() if now is None else now
         # What a failed attempt left undone is found again: silver by archives
-        # landed but not loaded, gold by the users of this batch.
+        # landed but not loaded, gold by the changes not taken in yet.
         users = listed_users(session, lake, with_user(batch, user_pattern))
         land_listed(session, lake, batch, user_pattern)
         load_silver(session, lake, pending(session, lake, users), stamp)
-        refresh_gold(session, lake, stamp, users, registered)
+        refresh_changed(session, lake, stamp, registered)
 
     return (
         arrivals.writeStream.foreachBatch(load)
