@@ -12,16 +12,18 @@ import sys
 import tempfile
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark import inheritable_thread_target  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
 from vitals import fixtures as fx  # noqa: E402
 from vitals.operators import (  # noqa: E402
-    full_outer_by_key, insert_if_absent, keep_first, latest_per_user, require_known_users,
-    suppress_overlaps, top_n, upsert_by_key,
+    Measure, daily_states, full_outer_by_key, insert_if_absent, keep_first, latest_per_user, merged_states, require_known_users,
+    state_rollup, suppress_overlaps, top_n, upsert_by_key,
 )
 from vitals.plans import explore, gold, pipeline, serve  # noqa: E402
 from vitals.schema import RECORD_KEYS  # noqa: E402
@@ -361,6 +363,105 @@ def q_store_all_gold(spark, sf):
     return united.groupBy("name").agg(F.count("*").alias("stored"), F.round(F.sum("figure"), 3).alias("total"))
 
 
+def q_gold_two_writers(spark, sf):
+    """Two writers beside each other, half the new figures each, and a compaction after."""
+    existing, incoming = upsert_inputs(spark, sf)
+    root, table = work_folder(spark), "daily_heart_rate_summary"
+    tables.upsert_gold(spark, existing, root, table, F.lit(fx.INGESTED), buckets=4)
+    half = F.pmod(F.xxhash64("user_id", "date"), F.lit(2))
+
+    def write(part):
+        tables.upsert_gold(spark, incoming.where(half == part), root, table, later())
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), (0, 1)))
+    tables.compact_gold(spark, root, table)
+    return stamped(tables.read_gold(spark, root, table))
+
+
+def q_empty_batch(spark, sf):
+    """A batch without rows changes nothing."""
+    existing, incoming = upsert_inputs(spark, sf)
+    root, table = work_folder(spark), "daily_heart_rate_summary"
+    tables.upsert_gold(spark, existing, root, table, F.lit(fx.INGESTED), buckets=4)
+    tables.upsert_gold(spark, incoming.where(F.lit(False)), root, table, later())
+    return stamped(tables.read_gold(spark, root, table))
+
+
+def q_gold_refusals(spark, sf):
+    """Rows of unknown users, without a date, of too long names, given twice: what is stored, and why the rest is not."""
+    rows, _ = upsert_inputs(spark, sf)
+    rows, place = rows.withColumn("place", F.col("user_id").cast("long") % 5), F.col("place")
+    rows = rows.withColumn("date", F.when(place != 1, F.col("date"))).withColumn(
+        "user_id", F.when(place == 2, F.rpad("user_id", 60, "x")).otherwise(F.col("user_id")))
+    rows = rows.unionByName(rows.where(place == 3).withColumn("records_count", F.col("records_count") + 1)).drop("place")
+    root, table = work_folder(spark), "daily_heart_rate_summary"
+    for _ in range(2):  # repeating the batch adds nothing, there as here
+        tables.upsert_gold(spark, rows, f"{root}/gold", table, later(), 4, fx.users(spark, sf), f"{root}/refused")
+    stored = tables.read_gold(spark, f"{root}/gold", table).withColumn("refused", F.lit(None).cast("string"))
+    refused = spark.read.parquet(f"{root}/refused/{table}")
+    return shown(stored.unionByName(refused.select(stored.columns)).drop("updated_at"))
+
+
+GOLD_REFUSALS_SQL = f"""WITH figures AS (SELECT *, CAST(user_id AS BIGINT) % 5 AS place
+        FROM {table_sql(fx.by_event_type(fx.PULSE), HEART_RATE_BODY)} f),
+    odd AS (SELECT * REPLACE (CASE WHEN place <> 1 THEN date END AS date,
+        CASE WHEN place = 2 THEN rpad(user_id, 60, 'x') ELSE user_id END AS user_id), false AS twice FROM figures
+        UNION ALL SELECT * REPLACE (records_count + 1 AS records_count), true FROM figures WHERE place = 3)
+    SELECT {', '.join(HEART_SHOWN)}, CASE WHEN date IS NULL THEN 'date is missing'
+        WHEN length(user_id) > 50 THEN 'user_id is longer than 50 characters'
+        WHEN twice THEN 'the key is there twice'
+        WHEN user_id NOT IN (SELECT username FROM ({fx.USERS_SQL})) THEN 'the user is not known' END AS refused FROM odd"""
+
+
+def in_two_merges(spark, sf, view, lake, refresh):
+    """Nine tenths of the view's rows merged first, all of them after; ``refresh`` runs after each."""
+    frame = view.frame(spark, sf)
+    for rows in (frame.where("row_id % 10 <> 0"), frame):
+        tables.merge_records(spark, fx.records(rows), lake.records, lake.record_buckets, feed=lake.record_feed(spark))
+        refresh()
+
+
+def q_changed_days(spark, sf):
+    """Activity kept current by the days that merges change."""
+    lake = pipeline.Lake(work_folder(spark), record_buckets=4, gold_buckets=2)
+    in_two_merges(spark, sf, fx.movement(whole=True), lake, lambda: pipeline.refresh_changed(spark, lake, later()))
+    return shown(tables.read_gold(spark, lake.gold, "daily_activity_summary").drop("updated_at"))
+
+
+ACTIVITY_SHOWN = typed_rows(["step_count", "active_energy_kcal", "basal_energy_kcal", "distance_km"])
+# An upsert keeps days that the newer build has no row for.
+CHANGED_DAYS_SQL = f"""WITH built AS (SELECT * FROM {ACTIVITY} a), before AS (
+        WITH records AS (SELECT * FROM ({fx.movement(whole=True).sql()}) r WHERE row_id % 10 <> 0) {ACTIVITY_BODY})
+    SELECT {', '.join(ACTIVITY_SHOWN)} FROM built UNION ALL SELECT {', '.join(ACTIVITY_SHOWN)} FROM before b
+    WHERE NOT EXISTS (SELECT 1 FROM built WHERE built.user_id = b.user_id AND built.date = b.date)"""
+
+
+def q_stored_states(spark, sf):
+    """Heart rates from the daily states that two merges left."""
+    lake = pipeline.Lake(work_folder(spark), record_buckets=4)
+    in_two_merges(spark, sf, fx.by_event_type(fx.PULSE), lake, lambda: None)
+    return shown(state_rollup(lake.record_feed(spark).states(), gold.HEART_RATE))
+
+
+def q_merged_states(spark, sf):
+    """States of the rows of each source, merged: averages, sums and distinct starts."""
+    rows = fx.body_view().frame(spark, sf)
+    states = merged_states(reduce(DataFrame.unionByName, [daily_states(rows.where(F.col("source_name") == s)) for s in fx.SOURCES]))
+    return shown(state_rollup(states, [
+        Measure("body_mass_kg", "body_mass", "avg"), Measure("time_in_daylight_minutes", "time_in_daylight", "sum"),
+        Measure("stand_hours", "stand_hour", "count_distinct", value="start_date", only=F.col("value") == 0.0, default=0, cast="int"),
+    ]))
+
+
+MERGED_STATES_SQL = select_sql(table_sql(fx.body_view(), f"""SELECT user_id, date, body_mass_kg, time_in_daylight_minutes,
+    coalesce(stand_hours, 0) AS stand_hours FROM ({daily_figures('body_mass', 'AVG(value) AS body_mass_kg')}) bm
+    FULL OUTER JOIN ({daily_figures('time_in_daylight', 'SUM(value) AS time_in_daylight_minutes')}) dl USING (user_id, date)
+    FULL OUTER JOIN (SELECT user_id, date, COUNT(DISTINCT start_date) AS stand_hours FROM records
+        WHERE type = 'stand_hour' AND value = 0.0 GROUP BY user_id, date) sh USING (user_id, date)"""),
+    *typed_rows(["body_mass_kg", "time_in_daylight_minutes"]), "stand_hours")
+
+
 def q_insert_if_absent(spark, sf):
     seen = movement(spark, sf).select(F.col("user_id").alias("username")).distinct()
     ordering = fx.workouts(spark, sf).select(F.col("user_id").alias("username")).distinct()
@@ -427,9 +528,71 @@ def q_parse_workouts_xml(spark, sf):
     return shown(export_xml.readable(rows)[0].select(*WORKOUT_SHOWN))
 
 
+def q_quarantined_workouts(spark, sf):
+    """Workouts of which every seventh has a duration that is no number."""
+    duration = F.when(F.col("o_orderkey") % 7 == 0, "half an hour").otherwise(F.floor(F.col("o_totalprice") / 1000).cast("string"))
+    elements = export_xml.parse_workout_elements(fx.workout_xml(spark, sf, duration), "xml")
+    good, bad = export_xml.readable(export_xml.conform_workouts(elements, later(), F.lit("upload.zip")))
+    columns = ("user_id", "workout_type", "start_date")
+    return shown(good.select(*columns, F.lit(True).alias("stored")).unionByName(bad.select(*columns, F.lit(False).alias("stored"))))
+
+
+QUARANTINED_WORKOUTS_SQL = f"""SELECT user_id, workout_type, {clock('start_date')}, NOT odd AS stored FROM (
+    SELECT *, o_orderkey % 7 = 0 AS odd FROM (SELECT CAST(o_custkey AS VARCHAR) AS user_id, o_orderpriority AS workout_type,
+        o_orderdate AS start_date, o_orderkey FROM orders))"""
+
+
+def q_odd_dates(spark, sf):
+    """Dates without an offset, without leading zeros, without meaning and left out."""
+    kind, start, end = F.col("row_id") % 6, F.col("start_date"), F.col("end_date")
+    plain = "yyyy-MM-dd HH:mm:ss"
+    starts = F.when(kind == 1, F.date_format(start, plain)).when(kind == 2, "2024-13-45 10:00:00 -0300").when(kind == 3, "").otherwise(
+        F.concat(F.date_format(start, plain), F.lit(" -0300")))
+    ends = F.when(kind == 4, "some time later").otherwise(F.date_format(end, plain))
+    elements = export_xml.parse_record_elements(fx.record_xml(spark, sf, start=starts, end=ends), "xml")
+    good, bad = export_xml.readable(export_xml.conform_records(elements, later(), F.lit("upload.zip")))
+    columns = ("user_id", "type", "start_date", "end_date", "value")
+    return shown(good.select(*columns, F.lit(True).alias("stored")).unionByName(bad.select(*columns, F.lit(False).alias("stored"))))
+
+
+ODD_DATES_SQL = with_records(fx.movement(), f"""SELECT user_id, type,
+    CASE WHEN row_id % 6 NOT IN (2, 3) THEN strftime(start_date, '%Y-%m-%d %H:%M:%S') || '.000000' END AS start_date,
+    CASE WHEN row_id % 6 <> 4 THEN strftime(end_date, '%Y-%m-%d %H:%M:%S') || '.000000' END AS end_date,
+    {rounded('value')}, row_id % 6 NOT IN (2, 3) AS stored FROM records""")
+
+ODD_TEXTS = {"click": "12.5", "view": "abc", "purchase": "", "signup": "1e3", "error": " 7 "}
+ODD_VALUES = {"click": 12.5, "view": 0.0, "purchase": 0.0, "signup": 1000.0, "error": 7.0}
+
+
+def q_odd_values(spark, sf):
+    """Values that are no numbers are 0.0."""
+    elements = export_xml.parse_record_elements(fx.record_xml(spark, sf, texts=ODD_TEXTS), "xml")
+    return shown(export_xml.conform_records(elements, later(), F.lit("upload.zip")).select("user_id", "type", "start_date", "value"))
+
+
+ODD_VALUES_SQL = f"""SELECT CAST(user_id AS VARCHAR) AS user_id, {fx.case_sql('event_type', fx.MOVEMENT)} AS type,
+    strftime(ts, '%Y-%m-%d %H:%M:%S') || '.000000' AS start_date, CAST({fx.case_sql('event_type', ODD_VALUES)} AS DOUBLE) AS value FROM events"""
+
+
 # ------------------------------------------------------------ whole pipeline
 
 
+def q_ingest_counters(spark, sf):
+    """Elements read by a load, and by the same load again."""
+    root = work_folder(spark)
+    fx.write_archives(spark, sf, f"{root}/uploads")
+    lake = pipeline.Lake(f"{root}/lake", record_buckets=2)
+    counts = []
+    for _ in range(2):
+        pipeline.land(spark, lake, f"{root}/uploads", fx.USER_IN_NAME)
+        counts.append(pipeline.load_silver(spark, lake, pipeline.pending(spark, lake), later()))
+    return spark.createDataFrame([(kind, counts[0][kind], counts[1][kind]) for kind in counts[0]], "kind string, first long, again long")
+
+
+INGEST_COUNTERS_SQL = """SELECT 'records' AS kind, COUNT(*) AS first, CAST(0 AS BIGINT) AS again FROM events
+    UNION ALL SELECT 'workouts', COUNT(*), 0 FROM orders UNION ALL SELECT 'bad_archives', 0, 0"""
+
+
 def q_land_and_unpack(spark, sf):
     """Archives per user, landed twice, unpacked in small parts, read back."""
     root = work_folder(spark)
@@ -737,6 +900,17 @@ OPERATORS = {
     "upsert_by_key": (q_upsert_by_key, UPSERT_SQL),
     "upsert_gold": (q_upsert_gold, UPSERT_SQL),
     "store_all_gold": (q_store_all_gold, STORED_GOLD_SQL),
+    "gold_two_writers": (q_gold_two_writers, UPSERT_SQL),
+    "empty_batch": (q_empty_batch, f"SELECT {', '.join(HEART_SHOWN)}, '{fx.INGESTED}' AS updated_at "
+                                   f"FROM {table_sql(fx.by_event_type(fx.PULSE), HEART_RATE_BODY)} g"),
+    "gold_refusals": (q_gold_refusals, GOLD_REFUSALS_SQL),
+    "changed_days": (q_changed_days, CHANGED_DAYS_SQL),
+    "stored_states": (q_stored_states, select_sql(table_sql(fx.by_event_type(fx.PULSE), HEART_RATE_BODY), *HEART_SHOWN)),
+    "merged_states": (q_merged_states, MERGED_STATES_SQL),
+    "quarantined_workouts": (q_quarantined_workouts, QUARANTINED_WORKOUTS_SQL),
+    "odd_dates": (q_odd_dates, ODD_DATES_SQL),
+    "odd_values": (q_odd_values, ODD_VALUES_SQL),
+    "ingest_counters": (q_ingest_counters, INGEST_COUNTERS_SQL),
     "insert_if_absent": (
         q_insert_if_absent,
         f"""WITH known AS ({fx.USERS_SQL}) SELECT username, {clock('created_at')} FROM (

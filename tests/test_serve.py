@@ -117,3 +117,13 @@ def test_odd_numbers_have_texts_and_stop_nobody(spark):
     texts = {r.user_id: r.context for r in serve.coach_context(activity, none, heart, sport).collect()}
     assert "Steps: 5,000 | Active Energy: 300.0 kcal" in texts["good"]
     assert "Steps: inf | Active Energy: N/A | Distance: 1000000000000000000000000000000.0 km" in texts["inf"]
+
+
+def test_histories_of_a_user_stand_together_and_in_order(spark):
+    rows = [(f"u{i % 7}", D(2024, 1, 1) + dt.timedelta(days=i * 37 % 200), *[float(i)] * 4) for i in range(600)]
+    history = serve.energy_trend(activity(spark, rows).repartition(16, "user_id", "date"))
+    placed = history.withColumn("part", F.spark_partition_id()).collect()
+    assert len(placed) == 600 and len({(r.user_id, r.part) for r in placed}) == 7
+    for user in {r.user_id for r in placed}:
+        dates = [r.date for r in placed if r.user_id == user]
+        assert dates == sorted(dates)

@@ -8,7 +8,7 @@ import xml.etree.ElementTree as ET
 import pytest
 from pyspark.sql import functions as F
 
-from vitals.plans.pipeline import Lake, land, load_silver, pending, run_pipeline
+from vitals.plans.pipeline import Lake, land, load_silver, pending, retry_quarantined, run_pipeline
 from vitals.schema import RECORD_KEYS, RECORD_SCHEMA
 from vitals.sources import archives, tables
 from vitals.streaming import ingest_archives
@@ -340,3 +340,32 @@ def test_streaming_ingest(spark, tmp_path):
     put(source, "ann", export(4), name="second.zip")
     assert run(2) == [("ann", "2024-01-05", 46.0), ("bob", "2024-01-07", 21.0)]
     assert run(3) == [("ann", "2024-01-05", 46.0), ("bob", "2024-01-07", 21.0)]
+
+
+def test_an_archive_that_loads_later_is_not_tried_again(spark, tmp_path):
+    source, lake = tmp_path / "in", Lake(str(tmp_path / "lake"), record_buckets=2)
+    put(source, "ann", export(3))
+    (source / "bob").mkdir(parents=True)
+    (source / "bob" / "export.zip").write_bytes(b"not an archive")
+    land(spark, lake, str(source))
+    land(spark, lake, str(source))
+    assert load_silver(spark, lake, pending(spark, lake), stamp(1))["bad_archives"] == 1
+    assert pending(spark, lake).count() == 0
+    assert retry_quarantined(spark, lake) == 1
+    assert [r.user_id for r in pending(spark, lake).collect()] == ["bob"]
+    # What held it up is over: it holds an export now.
+    put(source, "eve", export(2))
+    kept = next((tmp_path / "lake" / "bronze").glob("**/bob/*.zip"), None) or next((tmp_path / "lake" / "bronze").glob("**/*bob*/*.zip"))
+    kept.write_bytes((source / "eve" / "export.zip").read_bytes())
+    assert load_silver(spark, lake, pending(spark, lake), stamp(2))["bad_archives"] == 0
+    assert retry_quarantined(spark, lake) == 0 and pending(spark, lake).count() == 0
+    assert not list((tmp_path / "lake" / "staging").glob("users/*"))
+
+
+def test_paths_without_a_user_are_listed_once(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "export.zip").write_bytes(b"x")
+    lake = Lake(str(tmp_path / "lake"))
+    for _ in range(3):
+        land(spark, lake, str(tmp_path / "in"), user_pattern=r"/nobody/([^/]+)/[^/]+\.zip$")
+    assert spark.read.parquet(f"{lake.quarantine}/paths").count() == 1

@@ -188,10 +188,13 @@ def _element(tag: str, children: Column | None = None, **attributes: Column) ->
     return F.concat(*parts)
 
 
-def record_xml(spark: SparkSession, sf_dir: str, metrics: dict = MOVEMENT, texts: dict | None = None) -> DataFrame:
+def record_xml(
+    spark: SparkSession, sf_dir: str, metrics: dict = MOVEMENT, texts: dict | None = None, start: Column | None = None, end: Column | None = None,
+) -> DataFrame:
     """(user_id, event_id, xml): one ``Record`` element per event.
 
-    Values are the events' numbers, or ``texts`` by event type. The test table
+    Values are the events' numbers, or ``texts`` by event type; ``start`` and
+    ``end`` are other texts for the dates. The test table
     is one file, so its rows are spread for the parsing that follows.
     """
     view = by_event_type({event: _VENDOR[metric] for event, metric in metrics.items()})
@@ -200,14 +203,14 @@ def record_xml(spark: SparkSession, sf_dir: str, metrics: dict = MOVEMENT, texts
         "user_id", F.col("row_id").alias("event_id"),
         _element(
             "Record", type=F.col("type"), sourceName=F.col("source_name"), sourceVersion=F.lit("1"),
-            unit=F.col("unit"), creationDate=_clock("creation_date"), startDate=_clock("start_date"),
-            endDate=_clock("end_date"), value=value,
+            unit=F.col("unit"), creationDate=_clock("creation_date"), startDate=_clock("start_date") if start is None else start,
+            endDate=_clock("end_date") if end is None else end, value=value,
         ).alias("xml"),
     )
 
 
-def workout_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(user_id, workout_id, xml): one ``Workout`` with two statistics per order."""
+def workout_xml(spark: SparkSession, sf_dir: str, duration: Column | None = None) -> DataFrame:
+    """(user_id, workout_id, xml): one ``Workout`` with two statistics per order; ``duration`` is another text for it."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     minutes = F.floor(F.col("o_totalprice") / 1000)
     statistics = F.concat(
@@ -222,7 +225,7 @@ def workout_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("workout_id"),
         _element(
             "Workout", children=statistics, workoutActivityType=F.col("o_orderpriority"),
-            duration=minutes, durationUnit=F.lit("min"), totalDistance=F.lit("-1"),
+            duration=minutes if duration is None else duration, durationUnit=F.lit("min"), totalDistance=F.lit("-1"),
             sourceName=F.expr(pick_sql("o_orderkey", SOURCES)), sourceVersion=F.lit("1"),
             startDate=_clock("o_orderdate"), endDate=_clock("_end"),
         ).alias("xml"),

@@ -2,16 +2,18 @@
 
 import posixpath
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..schema import GOLD_SCHEMAS
 from ..sources import archives, export_xml, tables
 from ..sources.feed import Feed
+from ..sources.versions import VersionedTable
 from .gold import build_gold, workouts_summary
 from .refresh import changed_gold
 
@@ -83,7 +85,10 @@ def land_listed(spark: SparkSession, lake: Lake, listed: DataFrame, user_pattern
     """
     aside = archives.without_user(listed, user_pattern)
     if not aside.isEmpty():
-        aside.write.mode("append").parquet(posixpath.join(lake.quarantine, "paths"))
+        folder = posixpath.join(lake.quarantine, "paths")
+        if tables.exists(spark, folder):  # each is listed once
+            aside = aside.join(spark.read.schema(aside.schema).parquet(folder), aside.columns, "left_anti")
+        aside.write.mode("append").parquet(folder)
     return archives.land_archives(spark, archives.with_user(listed, user_pattern), lake.bronze)
 
 
@@ -92,10 +97,16 @@ def pending(spark: SparkSession, lake: Lake, users: DataFrame | None = None) ->
     landed = archives.read_catalog(spark, lake.bronze)
     if users is not None:
         landed = landed.join(users.select("user_id"), "user_id", "left_semi")
-    if not tables.exists(spark, lake.loaded):
+    loaded = _loaded(spark, lake)
+    if not loaded.exists():
         return landed
-    loaded = spark.read.schema("user_id string, sha256 string").parquet(lake.loaded)
-    return landed.join(loaded, ["user_id", "sha256"], "left_anti")
+    return landed.join(loaded.read().where("taken").select("user_id", "sha256"), ["user_id", "sha256"], "left_anti")
+
+
+def _loaded(spark: SparkSession, lake: Lake) -> VersionedTable:
+    """Archives by user and content, and whether silver has taken them in."""
+    schema = T.StructType([T.StructField("user_id", T.StringType()), T.StructField("sha256", T.StringType()), T.StructField("taken", T.BooleanType())])
+    return VersionedTable(spark, lake.loaded, schema, ("user_id", "sha256"))
 
 
 def load_silver(
@@ -113,6 +124,7 @@ def load_silver(
     archives.unpack_exports(landed, staged, set_aside=True).write.mode("overwrite").parquet(manifest)
     done = spark.read.schema(archives.UNPACKED).parquet(manifest)
     if done.isEmpty():
+        tables.remove(spark, staged)
         return {"records": 0, "workouts": 0, "bad_archives": 0}
     bad = done.where(F.col("error").isNotNull())
     bad.write.parquet(posixpath.join(lake.quarantine, "archives", f"run={run}"))
@@ -136,7 +148,7 @@ def load_silver(
                      tables.merge_workouts, lake.workouts, lake.workout_feed(spark)),
     ]))
     counts["bad_archives"] = bad.count()
-    done.select("user_id", "sha256").distinct().write.mode("append").parquet(lake.loaded)
+    _loaded(spark, lake).append(done.select("user_id", "sha256", F.lit(True).alias("taken")).distinct())
     for folder in (staged, *(posixpath.join(lake.staging, f"typed_{kind}", f"run={run}") for kind in ("records", "workouts"))):
         tables.remove(spark, folder)  # all of it is in silver or quarantine now
     return counts
@@ -145,21 +157,24 @@ def load_silver(
 def retry_quarantined(spark: SparkSession, lake: Lake) -> int:
     """Have the next load try archives again that were set aside as bad; returns how many.
 
-    Their rows leave the list of loaded archives; what loads this time was only
-    held up by a passing fault.
+    They count as not loaded from then on and leave the quarantine list, which
+    takes in again what is still bad. What loaded since was only held up by a
+    passing fault and is not tried again.
     """
     aside = posixpath.join(lake.quarantine, "archives")
-    if not tables.exists(spark, aside) or not tables.exists(spark, lake.loaded):
+    loaded = _loaded(spark, lake)
+    if not tables.exists(spark, aside) or not loaded.exists():
         return 0
-    schema = "user_id string, sha256 string"
-    bad = spark.read.schema(schema).parquet(aside).distinct()
-    loaded = spark.read.schema(schema).parquet(lake.loaded)
-    again = loaded.join(bad, ["user_id", "sha256"], "left_semi").distinct().count()
-    kept = posixpath.join(lake.staging, "loaded", f"run={uuid.uuid4().hex}")
-    loaded.join(bad, ["user_id", "sha256"], "left_anti").distinct().write.parquet(kept)
-    spark.read.schema(schema).parquet(kept).write.mode("overwrite").parquet(lake.loaded)
-    tables.remove(spark, kept)
-    return again
+    listed = spark.read.schema("user_id string, sha256 string, run string").option("basePath", aside).parquet(aside)
+    runs = [row["run"] for row in listed.select("run").distinct().collect()]  # one name per load with bad archives
+    bad = listed.select("user_id", "sha256").distinct()
+    again = loaded.read().where("taken").join(bad, ["user_id", "sha256"], "left_semi").withColumn("taken", F.lit(False))
+    count = again.count()
+    if count:
+        loaded.append(again)
+    for run in runs:
+        tables.remove(spark, posixpath.join(aside, f"run={run}"))
+    return count
 
 
 def _together(spark: SparkSession, calls: list[Callable]) -> list:
@@ -170,17 +185,20 @@ def _together(spark: SparkSession, calls: list[Callable]) -> list:
         return [each.result() for each in running]
 
 
-def listed_users(spark: SparkSession, lake: Lake, users: DataFrame | None) -> DataFrame | None:
-    """A list of users written as a table, so that its size is known to the planner.
+@contextmanager
+def listed_users(spark: SparkSession, lake: Lake, users: DataFrame | None) -> Iterator[DataFrame | None]:
+    """A list of users written as a table for the time being, so that its size is known to the planner.
 
     Otherwise Spark would guess the size from what the list was made of (whole
     archives, say) and shuffle every stored record to join it.
     """
     if users is None:
-        return None
+        yield None
+        return
     path = posixpath.join(lake.staging, "users", f"run={uuid.uuid4().hex}")
     users.select("user_id").distinct().write.parquet(path)
-    return spark.read.schema("user_id string").parquet(path)
+    yield spark.read.schema("user_id string").parquet(path)
+    tables.remove(spark, path)
 
 
 def refresh_gold(
@@ -196,15 +214,14 @@ def refresh_gold(
     else are not stored but put aside under ``lake.rejected``, as are rows that
     break a table's contract (see ``tables.upsert_gold``).
     """
-    users = listed_users(spark, lake, users)
-    records = tables.read_silver(spark, lake.records, users=users)
-    workouts = tables.read_silver_workouts(spark, lake.workouts, users=users)
-
     def store(table, rows):
         tables.upsert_gold(spark, rows, lake.gold, table, now, lake.gold_buckets, registered, lake.rejected)
 
-    built = build_gold(records, workouts)
-    _together(spark, [lambda table=table, rows=rows: store(table, rows) for table, rows in built.items()])
+    with listed_users(spark, lake, users) as listed:
+        records = tables.read_silver(spark, lake.records, users=listed)
+        workouts = tables.read_silver_workouts(spark, lake.workouts, users=listed)
+        built = build_gold(records, workouts)
+        _together(spark, [lambda table=table, rows=rows: store(table, rows) for table, rows in built.items()])
     compact_gold(spark, lake)
 
 

@@ -91,8 +91,8 @@ def _newest(gold: DataFrame, n: int, columns: tuple[str, ...], date: str = "date
 
 
 def _history(gold: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """All rows, sorted by user and date within each partition."""
-    return gold.select("user_id", "date", *columns).sortWithinPartitions("user_id", "date")
+    """All rows; a user's stand together, by date."""
+    return gold.select("user_id", "date", *columns).repartition("user_id").sortWithinPartitions("user_id", "date")
 
 
 def steps_trend(activity: DataFrame, days: int = 14) -> DataFrame:

@@ -41,9 +41,9 @@ def ingest_archives(
         stamp = F.current_timestamp() if now is None else now
         # What a failed attempt left undone is found again: silver by archives
         # landed but not loaded, gold by the changes not taken in yet.
-        users = listed_users(session, lake, with_user(batch, user_pattern))
         land_listed(session, lake, batch, user_pattern)
-        load_silver(session, lake, pending(session, lake, users), stamp)
+        with listed_users(session, lake, with_user(batch, user_pattern)) as users:
+            load_silver(session, lake, pending(session, lake, users), stamp)
         refresh_changed(session, lake, stamp, registered)
 
     return (
