@@ -87,3 +87,24 @@ def test_odd_rows(spark, odd, odd_rows, none):
     assert curriculum.mix(none).count() == 0
     blank = odd.filter("text is null or text = ''")
     assert [(r.taken, r.target) for r in curriculum.mix(blank).collect()] == [(0, 0.0)] * 3
+
+
+def test_positions_count_the_words_before(spark):
+    rows, docs = documents(spark)
+    mixed = curriculum.mix(docs).cache()
+    takes = [(time, r.doc_id, r["size"], n, min(r["size"], r.taken - n * r["size"])) for r in mixed.collect() for n, time in enumerate(r.times)]
+    want, done = {}, 0
+    for _, doc_id, _, repeat, words in sorted(takes):
+        if repeat == 0:
+            want[doc_id] = done
+        done += words
+    got = curriculum.positions(mixed).collect()
+    assert {r.doc_id: r.position for r in got if r.position is not None} == want
+    assert len(got) == 400 and all((r.position is None) == (r.taken == 0) for r in got)
+    placed = [r.position for r in got if r.position is not None]
+    assert placed == sorted(placed) and [r.position for r in got[len(placed):]] == [None] * (400 - len(placed))
+
+
+def test_positions_of_odd_rows(odd, none):
+    got = curriculum.positions(curriculum.mix(odd)).collect()
+    assert len(got) == odd.count() and curriculum.positions(curriculum.mix(none)).count() == 0

@@ -27,6 +27,7 @@ SCHEDULES = (
     ((0.0, 0.2), (0.3, 0.2), (1.0, 1.8)),
 )
 SLICE_DIGITS = 3
+TIME_RANGES = 4096
 
 
 def word_count(text: str | Column) -> Column:
@@ -129,3 +130,23 @@ def training_order(mixed: DataFrame) -> DataFrame:
     """One row per take, range-sorted by training time; rows of the same time by id."""
     taken = mixed.filter(F.size("times") > 0)
     return taken.select("*", F.posexplode("times").alias("repeat", "time")).orderBy("time", "doc_id", "repeat")
+
+
+def positions(mixed: DataFrame) -> DataFrame:
+    """``mixed``, range-sorted, with ``time`` and ``position`` of each document's first take; those never taken last, with nulls.
+
+    ``position`` counts the words of all takes before it in training order
+    (time, then id, size and repeat). Words are summed per range of time first,
+    then within a range, so that no task sees all takes.
+    """
+    taken = mixed.filter(F.size("times") > 0).select("*", F.posexplode("times").alias("repeat", "time"))
+    words = F.least(F.col("size"), F.col("taken") - F.col("size") * F.col("repeat"))
+    taken = taken.withColumn("words", words).withColumn("range", F.floor(F.col("time") * TIME_RANGES))
+    ahead = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)  # at most TIME_RANGES + 1 rows
+    ranges = taken.groupBy("range").agg(F.sum("words").alias("words"))
+    ranges = ranges.select("range", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("before"))
+    inside = W.partitionBy("range").orderBy("time", "doc_id", "size", "repeat").rowsBetween(W.unboundedPreceding, -1)
+    placed = taken.withColumn("inner", F.coalesce(F.sum("words").over(inside), F.lit(0))).join(ranges, "range")
+    first = placed.filter("repeat = 0").select(*mixed.columns, "time", (F.col("before") + F.col("inner")).alias("position"))
+    never = mixed.filter(F.size("times") == 0).select("*", F.lit(None).cast("double").alias("time"), F.lit(None).cast("long").alias("position"))
+    return first.unionByName(never).orderBy(F.col("position").asc_nulls_last(), "doc_id")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from vitals.llm import (
     collocations, curriculum, decontaminate, hnsw, jaccard_join, licenses, minhash, piece_table, pii, quality, suffixes, tokens, toxicity,
 )
-from vitals.llm.common import table
+from vitals.llm.common import stored, table
 
 
 def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
@@ -68,8 +68,9 @@ def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_mix(spark: SparkSession, sf: str) -> DataFrame:
-    mixed = curriculum.mix(table(spark, sf, "documents"))
-    return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+    mixed = curriculum.positions(stored(curriculum.mix(table(spark, sf, "documents")), "mixed"))
+    return mixed.select(
+        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", F.round("time", 9).alias("time"), "position")
 
 
 def op10_nearest(spark: SparkSession, sf: str) -> DataFrame:
@@ -118,7 +119,26 @@ SELECT doc_id, license, round(max(dice), 9) AS dice, count(DISTINCT bigrams) AS
 FROM scored WHERE dice >= {licenses.THRESHOLD}::DOUBLE GROUP BY doc_id, license"""
 
 
-OP9_SQL = """WITH docs AS (
+def _due_time(share: str, knots) -> str:
+    """The inverse of the integrated schedule, piece by piece."""
+    areas = [(t1 - t0) * (r0 + r1) / 2 for (t0, r0), (t1, r1) in zip(knots, knots[1:])]
+    total, done, arms = sum(areas), 0.0, []
+
+    def number(value: float) -> str:
+        return f"({float(value)!r}::DOUBLE)"
+
+    for ((t0, r0), (t1, r1)), area in zip(zip(knots, knots[1:]), areas):
+        rest = f"greatest({share} * {number(total)} - {number(done)}, 0::DOUBLE)"
+        root = f"sqrt(greatest({number(r0 * r0)} + {number(2 * (r1 - r0) / (t1 - t0))} * {rest}, 0::DOUBLE))"
+        x = f"CASE WHEN {rest} <= 0 THEN 0::DOUBLE ELSE 2::DOUBLE * {rest} / ({number(r0)} + {root}) END"
+        arms.append(f"WHEN {share} * {number(total)} <= {number(done + area)} THEN least({number(t0)} + {x}, {number(t1)})")
+        done += area
+    return f"CASE {' '.join(arms)} ELSE {number(knots[-1][0])} END"
+
+
+_TIMES = " ".join(f"WHEN {n} THEN {_due_time('share', knots)}" for n, knots in enumerate(curriculum.SCHEDULES))
+
+OP9_SQL = f"""WITH docs AS (
     SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), 'null')) AS turn,
         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents
 ), sources AS (
@@ -133,15 +153,27 @@ OP9_SQL = """WITH docs AS (
         / (sum(weight) OVER () - coalesce(sum(weight) OVER ahead, 0)) AS level
     FROM weighed WINDOW ahead AS (ORDER BY room / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), targets AS (
-    SELECT source, source_size, least(room, coalesce(weight * (
+    SELECT source, place, source_size, least(room, coalesce(weight * (
         SELECT level FROM levels WHERE ratio > level ORDER BY ratio, place LIMIT 1), room)) AS target FROM levels
 ), laid AS (
     SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY turn, doc_id, size
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM docs
+), mixed AS (
+    SELECT row_number() OVER () AS r, doc_id, size, source_size, target, start, place,
+        greatest(0, least(size, floor(target) - start)) AS once, greatest(0, least(size, floor(target) - start - source_size)) AS again
+    FROM laid JOIN targets ON laid.source IS NOT DISTINCT FROM targets.source
+), takes AS (
+    SELECT *, 0 AS repeat, once AS words, CAST(start AS DOUBLE) / target AS share FROM mixed WHERE once > 0
+    UNION ALL SELECT *, 1, again, CAST(start + source_size AS DOUBLE) / target FROM mixed WHERE again > 0
+), timed AS (
+    SELECT *, CASE place % {len(curriculum.SCHEDULES)} {_TIMES} END AS time FROM takes
+), placed AS (
+    SELECT *, coalesce(sum(words) OVER (ORDER BY time, doc_id, size, repeat ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS position
+    FROM timed
 )
-SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(
-    greatest(0, least(size, floor(target) - start)) + greatest(0, least(size, floor(target) - start - source_size)) AS BIGINT) AS taken
-FROM laid JOIN targets ON laid.source IS NOT DISTINCT FROM targets.source"""
+SELECT mixed.doc_id, mixed.size, mixed.source_size, round(mixed.target, 6) AS target, CAST(mixed.once + mixed.again AS BIGINT) AS taken,
+    round(time, 9) AS time, CAST(position AS BIGINT) AS position
+FROM mixed LEFT JOIN placed ON mixed.r = placed.r AND repeat = 0"""
 
 
 OP11_SQL = r"""WITH hashed AS (
