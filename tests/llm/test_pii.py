@@ -80,3 +80,11 @@ def test_odd_rows(spark, odd, odd_rows, none):
     assert len(rows) == len(odd_rows) and rows[0].doc.asDict().keys() == set(odd.columns)
     assert all(spans(r.base) == brute_force(r.doc.text or "") for r in rows)
     assert pii.find(none, pii.fit(none)[0]).count() == 0
+
+
+def test_votes_read_the_whole_span():
+    """The ending of a long address, not what stands at its 200th character, is looked up."""
+    for ending, vote in (("com", 1), ("zzz", -1)):
+        text = "a" * 150 + "@" + ".".join(["part"] * 40) + "." + ending
+        (is_base, kind, start, end, votes, _), = [c for c in pii.candidates(text) if c[1] == "email"]
+        assert is_base and (start, end) == (0, len(text)) and votes[2] == vote

@@ -159,7 +159,7 @@ def candidates(text: str):
     base = base_spans(text)
     for is_base, spans in ((True, base), (False, loose_spans(text, base))):
         for kind, s, e in spans:
-            value, before = text[s:e][:200], text[max(0, s - _BEFORE):s]
+            value, before = text[s:e], text[max(0, s - _BEFORE):s]
             yield is_base, kind, s, e, votes_of(kind, value, before, is_base), features_of(kind, value, before)
 
 
