@@ -1,3 +1,4 @@
+import hashlib
 import math
 
 import numpy as np
@@ -59,3 +60,31 @@ def test_few_and_odd_vectors(spark):
     assert {(r.query_id, r.vec_id): r.score for r in got.collect()}[0, 1] == 4.0
     assert hnsw.nearest(frame.limit(0)).count() == 0
     assert hnsw.nearest(frame.filter("vec_id = 20")).count() == 0
+
+
+def test_several_vectors_under_one_id(spark):
+    """Each is a candidate and, where its id asks, a query; copies of both count once."""
+    rng = np.random.default_rng(11)
+    rows = [(int(i) % 25, tuple(float(x) for x in rng.integers(-9, 10, 3))) for i in range(120)]
+    rows += rows[:30] + [(7, (50.0, 50.0, 50.0)), (20, (-50.0, 2.0, 1.0)), (20, (1.0, 1.0, 1.0))]
+    want, distinct = {}, sorted(set(rows))
+    for own in distinct:
+        if own[0] % 20 == 0 and any(own[1]):
+            others = [r for r in distinct if r != own and any(r[1])]
+            best = sorted((-float(np.dot(r[1], own[1])), r[0]) for r in others)[:20]
+            want[own[0], hashlib.sha256(np.array(own[1], "<f8").tobytes()).hexdigest()] = [(i, -s) for s, i in best]
+    got = {}
+    frame = spark.createDataFrame([(i, list(v)) for i, v in rows], "vec_id long, embedding array<double>").repartition(5)
+    for r in sorted(hnsw.nearest(frame, shard_rows=40).collect(), key=lambda r: r["rank"]):
+        got.setdefault((r.query_id, r.query_sha256), []).append((r.vec_id, r.score))
+    assert len([k for k in want if k[0] == 20]) > 2
+    assert got == want
+    assert got[20, hashlib.sha256(np.ones(3).astype("<f8").tobytes()).hexdigest()][0] == (7, 150.0)
+
+
+def test_huge_and_tiny_components(spark):
+    rows = [(i, [1e200 * (1 + i % 7), -1e200 * (i % 5)]) for i in range(41)]
+    got = found(hnsw.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")))
+    assert {q: len(v) for q, v in got.items()} == {0: 20, 20: 20, 40: 20}
+    rows = [(i, [1e-200 * (1 + i % 7), -1e-200 * (i % 5)]) for i in range(41)]
+    assert all(len(v) == 20 for v in found(hnsw.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))).values())

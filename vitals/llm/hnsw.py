@@ -1,6 +1,6 @@
 """Approximate nearest neighbours: one hierarchical navigable small-world graph per shard.
 
-Rows are dealt to shards by a hash of their id. A shard keeps each distinct
+Rows are dealt to shards by a hash of id and vector. A shard keeps each distinct
 vector once, with the ids that carry it, so copies cannot crowd a graph. Its
 graph is a stack of layers of flat neighbour arrays; a vector reaches a layer
 by a hash, each layer having about one in ``DEGREE`` of the one below. Points
@@ -12,10 +12,12 @@ the shard equal; a query has 0 there, so the order of inner products stays
 and the graph is built on distances that obey the triangle inequality.
 
 Queries come in blocks, each block is searched in every shard, and the best of
-all shards are merged. Results are scored again on the original vectors.
+all shards are merged. Results are scored again on the original vectors. A
+query's own row is known by its id and its very vector, so other vectors under
+its id are candidates like any others.
 """
 
-from collections.abc import Iterator
+import hashlib
 
 import numpy as np
 import pandas as pd
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from vitals.llm.common import mix64, stored
 
 SHARD_ROWS = 8_192
-BLOCK_ROWS = 1_024
+BLOCK_ROWS = 8_192
 DEGREE = 16
 BUILD_WIDTH = 48
 SEARCH_WIDTH = 128
@@ -148,7 +150,7 @@ def build(ids: np.ndarray, vectors: np.ndarray) -> dict:
     distinct, inverse = distinct[turn], place[inverse]
     order = np.lexsort((ids, inverse))
     starts = np.searchsorted(inverse[order], np.arange(len(distinct) + 1))
-    wide = distinct.astype(np.float64)
+    wide = distinct / np.abs(distinct).max()  # no square of a large component overflows
     norms = (wide ** 2).sum(1)
     points = np.hstack([wide, np.sqrt(np.maximum(norms.max() - norms, 0))[:, None]])
     points = (points / np.sqrt(norms.max())).astype(np.float32)
@@ -156,14 +158,15 @@ def build(ids: np.ndarray, vectors: np.ndarray) -> dict:
     while sizes[-1] > 4 * DEGREE:
         sizes.append(sizes[-1] // DEGREE)
     layers = [_layer(points[:n], 2 * DEGREE if i == 0 else DEGREE) for i, n in enumerate(sizes)]
-    return {"points": points, "ids": ids[order], "starts": starts, "layers": layers}
+    return {"points": points, "ids": ids[order], "originals": vectors[order], "starts": starts, "layers": layers}
 
 
 def search(index: dict, queries: np.ndarray, own_ids: np.ndarray, top: int, width: int):
-    """Up to ``top`` ids per query, best first by score then id; returns (query row, id, approximate score)."""
+    """What the graph finds for each query but its own row: (query row, id, place among the index's ids)."""
     points, layers = index["points"], index["layers"]
     wide = np.zeros((len(queries), points.shape[1]), np.float32)
-    wide[:, :-1] = queries / np.linalg.norm(queries, axis=1, keepdims=True)
+    level = queries / np.abs(queries).max(1, keepdims=True)
+    wide[:, :-1] = level / np.linalg.norm(level, axis=1, keepdims=True)
     entry = _entries(len(layers[-1]), len(queries))
     for links in layers[:0:-1]:
         entry = np.maximum(_beam(points[:len(links)], links, wide, entry, 8)[0], entry[:, :1])
@@ -175,7 +178,10 @@ def search(index: dict, queries: np.ndarray, own_ids: np.ndarray, top: int, widt
     rows, at = np.repeat(rows, count), np.repeat(index["starts"][members], count)
     at = at + np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
     ids = index["ids"][at]
-    other = ids != own_ids[rows]
+    own = np.flatnonzero(ids == own_ids[rows])
+    own = own[(index["originals"][at[own]] == queries[rows[own]]).all(1)]
+    other = np.ones(len(ids), bool)
+    other[own] = False
     return rows[other], ids[other], at[other]
 
 
@@ -189,42 +195,44 @@ def nearest(
     vectors: DataFrame, every: int = 20, top: int = TOP, vec_id="vec_id", vector="embedding",
     shard_rows: int = SHARD_ROWS, width: int = SEARCH_WIDTH,
 ) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``top`` nearest others of each row whose id is divisible by ``every``.
+    """``query_id, rank, vec_id, score, query_sha256``: the ``top`` nearest others of each row whose id is divisible by ``every``.
 
     Null ids and unusable vectors take no part. Vectors are compared with
-    those of the same length only. Rows that repeat an id and vector count
-    once, of several vectors under one id the least in order counts. With
-    fewer candidates than ``top`` all found are given; without any, none.
+    those of the same length only. Rows that repeat both id and vector count
+    once. Several vectors under one id are rows of their own: each is a
+    candidate for all others, and where the id is a query's, each has its own
+    ranks, told apart by ``query_sha256`` (of the vector as little-endian
+    doubles). An infinite inner product is first or last by its sign, one that
+    is no number last. With fewer candidates than ``top`` all found are given;
+    without any, none.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
-    rows = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("vector"))).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    rows = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("vector"))).dropDuplicates()
     rows = stored(rows.withColumn("dim", F.size("vector")), "hnsw-rows")
     counts = rows.count()
     shards = max(1, -(-counts // shard_rows))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).cast("int"))
 
     def indexed(pdf: pd.DataFrame) -> pd.DataFrame:
         matrix = np.stack(pdf["vector"].to_numpy()).astype(np.float64)
         index = build(pdf["vec_id"].to_numpy(np.int64), matrix)
-        order = {v: i for i, v in enumerate(pdf["vec_id"])}
-        originals = matrix[[order[v] for v in index["ids"]]]
         return pd.DataFrame({
             "shard": [int(pdf["shard"].iloc[0])], "dim": [matrix.shape[1]], "points": [index["points"].tobytes()],
             "ids": [index["ids"].astype(np.int64).tobytes()], "starts": [index["starts"].astype(np.int64).tobytes()],
-            "originals": [originals.tobytes()], "layers": [[l.tobytes() for l in index["layers"]]],
+            "originals": [index["originals"].tobytes()], "layers": [[l.tobytes() for l in index["layers"]]],
         })
 
     index = stored(rows.groupBy("shard", "dim").applyInPandas(
         indexed, "shard int, dim int, points binary, ids binary, starts binary, originals binary, layers array<binary>"), "hnsw-index")
     queries = rows.filter(F.pmod("vec_id", F.lit(every)) == 0)
     blocks = max(1, -(-counts // (every * BLOCK_ROWS)))
-    queries = queries.select("vec_id", "vector", "dim", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"))
+    queries = queries.select("vec_id", "vector", "dim", F.pmod(F.xxhash64("vec_id", "vector", F.lit(1)), F.lit(blocks)).cast("int").alias("block"))
     left = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
 
     def searched(shard: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
+        empty = pd.DataFrame({"query_id": np.empty(0, np.int64), "query_sha256": np.empty(0, object), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
         if not len(shard) or not len(block):
             return empty
         row = shard.iloc[0]
@@ -232,21 +240,25 @@ def nearest(
         points = np.frombuffer(row["points"], np.float32).reshape(-1, dim + 1)
         layers = [np.frombuffer(l, np.int32).reshape(-1, 2 * DEGREE if i == 0 else DEGREE) for i, l in enumerate(row["layers"])]
         found = {"points": points, "ids": np.frombuffer(row["ids"], np.int64), "starts": np.frombuffer(row["starts"], np.int64), "layers": layers}
-        originals = np.frombuffer(row["originals"], np.float64).reshape(-1, dim)
+        originals = found["originals"] = np.frombuffer(row["originals"], np.float64).reshape(-1, dim)
         matrix = np.stack(block["vector"].to_numpy()).astype(np.float64)
         own = block["vec_id"].to_numpy(np.int64)
+        marks = np.array([hashlib.sha256(v.astype("<f8").tobytes()).hexdigest() for v in matrix], object)
         out = []
         for low in range(0, len(matrix), 256):
             q, ids, at = search(found, matrix[low:low + 256], own[low:low + 256], top, width)
-            scores = np.einsum("rd,rd->r", originals[at], matrix[low:low + 256][q])
+            with np.errstate(over="ignore", invalid="ignore"):
+                scores = np.einsum("rd,rd->r", originals[at], matrix[low:low + 256][q])
             order = np.lexsort((ids, -scores, q))
             q, ids, scores = q[order], ids[order], scores[order]
             first = np.searchsorted(q, np.arange(len(matrix[low:low + 256])))
             best = np.arange(len(q)) - first[q] < top
-            out.append(pd.DataFrame({"query_id": own[low:low + 256][q[best]], "vec_id": ids[best], "score": scores[best]}))
+            out.append(pd.DataFrame({
+                "query_id": own[low:low + 256][q[best]], "query_sha256": marks[low:low + 256][q[best]], "vec_id": ids[best], "score": scores[best]}))
         return pd.concat(out)
 
     hits = left.groupBy("shard", "dim", "block").cogroup(right.groupBy("shard", "dim", "block")).applyInPandas(
-        searched, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return hits.withColumn("rank", rank).filter(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
+        searched, "query_id long, query_sha256 string, vec_id long, score double")
+    best = W.partitionBy("query_id", "query_sha256").orderBy(F.isnan("score"), F.desc("score"), "vec_id")
+    ranked = hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+    return ranked.select("query_id", "rank", "vec_id", "score", "query_sha256")
