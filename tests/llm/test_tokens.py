@@ -41,6 +41,15 @@ def test_added_tokens_are_those_of_the_plain_encoding(plain, encoder, parts):
     assert ids.count(plain.token_to_id("<|endoftext|>")) == text.count("<|endoftext|>")
 
 
+def test_words_learnt_together_keep_their_ids(plain):
+    rng = random.Random(4)
+    words = ["it's", "don't.", "a\nb", "x,%%%", "<|endoftext|>", "<|endoftext|>,", "naïve!?", "12.5", "&&&", "日本'", "end>", "\n", "", "\xa0y"]
+    texts = [" ".join(rng.choice(words) + rng.choice("abc.,") * rng.randrange(3) for _ in range(rng.randrange(40))) for _ in range(300)]
+    encode = tokens.Encoder(tokens.vocabulary_file(), limit=70)
+    for text in texts:
+        assert np.frombuffer(encode(text), encode.type).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("size, top", [(0, 1), (1, 1), (7, 2), (5000, 3), (5000, 50_257), (600, 70_000)])
 def test_shard_round_trip_and_queries(size, top):
     rng = random.Random(size + top)

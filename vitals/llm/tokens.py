@@ -16,6 +16,7 @@ live on whatever storage Spark writes to.
 
 import os
 import re
+import string
 import struct
 import zlib
 from array import array
@@ -43,7 +44,10 @@ def vocabulary_file() -> str:
 #: A space after anything but white space always starts a new piece of the tokenizer, so texts may be cut there.
 _CUT = re.compile(r"(?<=\S) ")
 _SPACES = re.compile(r"\s ")
-_MARKS = ".,;:!?"
+#: Marks that start a new piece after a letter; without those of which added tokens like `<|endoftext|>` are made.
+_MARKS = "".join(set(string.punctuation) - set("<|>"))
+_SPACE_BYTE = "\u0120"
+_WORDS_AT_ONCE = 4_096
 
 
 class Encoder:
@@ -60,6 +64,10 @@ class Encoder:
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.type = np.dtype("<u4" if self.wide else "<u2")
         self.limit, self.pieces, self.older = limit, {}, {}
+        # in this vocabulary a space, and nothing else, is written as the letter of byte 32
+        self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.spaced[number] = token[0] == _SPACE_BYTE
 
     def __call__(self, text: str) -> bytes:
         if not text:
@@ -75,13 +83,37 @@ class Encoder:
         try:
             return head + b"".join(map(self.pieces.__getitem__, pieces))
         except KeyError:
-            self._learn({c for c in pieces if c not in self.pieces})
+            self._learn(set(pieces).difference(self.pieces))
         return head + b"".join(map(self.pieces.__getitem__, pieces))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         code = "I" if self.wide else "H"
         return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _spaced_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word with a space before it.
+
+        Words without spaces that end in no white space are read as one text:
+        the space before each starts a new piece there, so a word's ids go from
+        one spaced token to the next.
+        """
+        plain = [c for c in words if c and " " not in c and not c[-1].isspace()]
+        if len(plain) < len(words):
+            single = set(words).difference(plain)
+            other = dict(zip(single, self._ids([" " + c for c in single])))
+        else:
+            other = {}
+        found = {}
+        for low in range(0, len(plain), _WORDS_AT_ONCE):
+            part = plain[low:low + _WORDS_AT_ONCE]
+            ids = np.frombuffer(self._ids([" " + " ".join(part)])[0], self.type)
+            at = np.flatnonzero(self.spaced[ids]) * ids.itemsize
+            if len(at) != len(part):
+                raise ValueError("the vocabulary does not mark every space before a word")
+            packed, ends = ids.tobytes(), at[1:].tolist() + [ids.nbytes]
+            found.update(zip(part, [packed[a:b] for a, b in zip(at.tolist(), ends)]))
+        return [found[c] if c in found else other[c] for c in words] if other else list(map(found.__getitem__, words))
+
     def _learn(self, new: set[str]):
         pieces, older = self.pieces, self.older
         cores, ends, unknown = {}, {}, set()
@@ -103,7 +135,7 @@ class Encoder:
             else:
                 unknown.add(c)
         unknown = list(unknown)
-        pieces.update(zip(unknown, self._ids([" " + c for c in unknown])))
+        pieces.update(zip(unknown, self._spaced_ids(unknown)))
         for c, core in ends.items():
             pieces[c] = pieces[core] + cores[c[len(core):]]
 
