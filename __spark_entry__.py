@@ -274,6 +274,17 @@ def q_merge_into_silver(spark, sf):
     return shown(tables.read_silver(spark, path).select(*DEDUP_COLUMNS))
 
 
+def q_merge_new_keys(spark, sf):
+    """With filters of stored keys: the watch's readings, the other devices', then the whole export of a day later."""
+    rows = fx.records(movement(spark, sf))
+    path = f"{work_folder(spark)}/records"
+    watch = F.col("source_name").like("%Watch%")
+    tables.merge_records(spark, rows.where(watch), path, buckets=8, filtered=True)
+    tables.merge_records(spark, rows.where(~watch | watch.isNull()), path, buckets=8)
+    tables.merge_records(spark, later_records(rows), path, buckets=8)
+    return shown(tables.read_silver(spark, path).select(*DEDUP_COLUMNS))
+
+
 def q_merge_backdated(spark, sf):
     """The older export arrives second: touched partitions are replaced."""
     rows = fx.records(movement(spark, sf))
@@ -890,6 +901,7 @@ OPERATORS = {
     ),
     "dedup_keep_first": (q_dedup_keep_first, with_records(fx.movement(), DEDUP_BODY)),
     "merge_into_silver": (q_merge_into_silver, with_records(fx.movement(), DEDUP_BODY)),
+    "merge_new_keys": (q_merge_new_keys, with_records(fx.movement(), DEDUP_BODY)),
     "merge_backdated": (q_merge_backdated, with_records(fx.movement(), DEDUP_BODY)),
     "read_silver": (
         q_read_silver,

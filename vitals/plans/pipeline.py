@@ -25,11 +25,16 @@ USER_FOLDER = r"([^/]+)/[^/]+\.zip$"
 
 @dataclass(frozen=True)
 class Lake:
-    """Folders of one installation, on storage all executors reach."""
+    """Folders of one installation, on storage all executors reach.
+
+    ``key_filters`` has silver keep filters of its keys, so that new readings
+    are added without reading stored ones; once kept they stay.
+    """
 
     root: str
     record_buckets: int = 64
     gold_buckets: int = 16
+    key_filters: bool = False
 
     def _under(self, name: str) -> str:
         return posixpath.join(self.root, name)
@@ -138,7 +143,7 @@ def load_silver(
         typed.write.mode("overwrite").parquet(parsed)
         good, bad = export_xml.readable(spark.read.schema(typed.schema).parquet(parsed))
         bad.write.mode("overwrite").parquet(posixpath.join(lake.quarantine, kind, f"run={run}"))
-        merge(spark, good, path, lake.record_buckets, written=True, feed=feed)
+        merge(spark, good, path, lake.record_buckets, written=True, feed=feed, filtered=lake.key_filters)
         return kind, counter.get["n"]
 
     counts = dict(_together(spark, [

@@ -23,6 +23,7 @@ from ..schema import (
     WORKOUT_SCHEMA,
 )
 from .feed import Feed
+from .keyfilter import KeyFilter, in_partitions
 from .versions import Conflict, VersionedTable
 
 BUCKET = T.StructField("user_bucket", T.IntegerType())
@@ -109,23 +110,27 @@ def _write_partitioned(df: DataFrame, path: str, partitions, sort, mode: str, **
 
 
 def merge_records(
-    spark: SparkSession, new: DataFrame, path: str, buckets: int = 64, written: bool = False, feed: Feed | None = None
+    spark: SparkSession, new: DataFrame, path: str, buckets: int = 64, written: bool = False, feed: Feed | None = None,
+    filtered: bool = False,
 ) -> None:
     """Add records that are not stored yet. ``written`` says that ``new`` is read
     from a table, so that reading it several times is cheap. A ``feed`` learns
-    the days of the rows added and keeps their states."""
+    the days of the rows added and keeps their states. A table once merged into
+    ``filtered`` keeps filters of its keys (see ``keyfilter``): new keys are then
+    added without reading stored rows."""
     placed = new.withColumn("records_type", F.col("type"))
-    _merge(spark, placed, path, STORED_RECORDS, RECORD_KEYS, RECORD_PARTITIONS, buckets, written, feed)
+    _merge(spark, placed, path, STORED_RECORDS, RECORD_KEYS, RECORD_PARTITIONS, buckets, written, feed, filtered)
 
 
 def merge_workouts(
-    spark: SparkSession, new: DataFrame, path: str, buckets: int = 64, written: bool = False, feed: Feed | None = None
+    spark: SparkSession, new: DataFrame, path: str, buckets: int = 64, written: bool = False, feed: Feed | None = None,
+    filtered: bool = False,
 ) -> None:
-    """Add workouts that are not stored yet; to a ``feed`` their metric is ``workout``."""
-    _merge(spark, new, path, STORED_WORKOUTS, WORKOUT_KEYS, WORKOUT_PARTITIONS, buckets, written, feed)
+    """Add workouts that are not stored yet; to a ``feed`` their metric is ``workout``; ``filtered`` as for records."""
+    _merge(spark, new, path, STORED_WORKOUTS, WORKOUT_KEYS, WORKOUT_PARTITIONS, buckets, written, feed, filtered)
 
 
-def _merge(spark, new, path, schema, keys, partitions, buckets, written, feed=None) -> None:
+def _merge(spark, new, path, schema, keys, partitions, buckets, written, feed=None, filtered=False) -> None:
     """Keep-first merge by key, earliest ``ingested_at`` wins.
 
     Stored rows are earlier than the batch, so the merge is an append of the
@@ -146,7 +151,11 @@ def _merge(spark, new, path, schema, keys, partitions, buckets, written, feed=No
         staged = _own_folder(path, "_batch")
         batch.write.parquet(staged)
         batch = spark.read.schema(schema).parquet(staged)
-    _merge_batch(spark, batch, path, schema, keys, partitions, feed)
+    filters = KeyFilter(spark, path, schema, keys, partitions)
+    if filtered or filters.exists():  # a table that has filters keeps them
+        _merge_filtered(spark, batch, path, schema, keys, partitions, feed, filters)
+    else:
+        _merge_batch(spark, batch, path, schema, keys, partitions, feed)
     if not written:
         remove(spark, staged)
 
@@ -161,28 +170,60 @@ def _adder(spark, path, schema, keys, partitions):
     def add(rows):
         touched = rows.select(*partitions).distinct().collect()  # as in a merge
         if touched:
-            stored = _read(spark, path, schema).where(_in_partitions(touched, partitions))
+            stored = _read(spark, path, schema).where(in_partitions(touched, partitions))
             _write_partitioned(_anti_null_safe(rows, stored, keys), path, partitions, ("user_id", "start_date"), "append")
 
     return add
 
 
-def _merge_batch(spark, batch, path, schema, keys, partitions, feed=None) -> None:
+def _merge_filtered(spark, batch, path, schema, keys, partitions, feed, filters) -> None:
+    """As ``_merge_batch``, but only rows whose key may be stored are compared with the stored ones.
+
+    Filters learn the batch's keys before anything is stored. If none of its
+    keys is known, which is so for a batch of new readings but for some false
+    alarms, no stored row is read: neither for keys, nor for who came earlier,
+    which matters only to equal keys.
+    """
+    touched = batch.select(*partitions).distinct().collect()  # as in a merge
+    if not touched:
+        return
+    filters.prepare(batch, _read(spark, path, schema), touched)
+    staged = _own_folder(path, "_batch")
+    filters.marked(batch, touched).write.partitionBy("known").parquet(staged)
+    marked = spark.read.schema(T.StructType([*schema.fields, T.StructField("known", T.BooleanType())])).parquet(staged)
+    filters.add(batch, touched)
+    new, known = marked.where("NOT known").drop("known"), marked.where("known").drop("known")
+    if known.isEmpty():
+        fresh = keep_first(new, keys, ("ingested_at",))
+        append = lambda rows: _write_partitioned(rows, path, partitions, ("user_id", "start_date"), "append")
+        feed.apply(fresh, append) if feed else append(fresh)
+    else:
+        _merge_batch(spark, known, path, schema, keys, partitions, feed, new)
+    remove(spark, staged)
+
+
+def _merge_batch(spark, batch, path, schema, keys, partitions, feed=None, new=None) -> None:
+    """``new`` are further rows that are not stored for certain."""
     # At most (number of metrics) x (number of buckets) rows.
     touched = batch.groupBy(*partitions).agg(F.min("ingested_at").alias("earliest")).collect()
     if not touched:
         return
     earliest = min(row["earliest"] for row in touched)
-    stored = spark.read.schema(schema).parquet(path).where(_in_partitions(touched, partitions))
+    stored = spark.read.schema(schema).parquet(path).where(in_partitions(touched, partitions))
     if stored.where(F.col("ingested_at") > F.lit(earliest)).isEmpty():
         # Only stored rows of the batch's users can be the same.
         stored = stored.join(batch.select("user_id").distinct(), "user_id", "left_semi")
-        fresh = keep_first(_anti_null_safe(batch, stored, keys), keys, ("ingested_at",))
+        fresh = _anti_null_safe(batch, stored, keys)
+        fresh = keep_first(fresh if new is None else fresh.unionByName(new), keys, ("ingested_at",))
         if feed:
             feed.apply(fresh, lambda rows: _write_partitioned(rows, path, partitions, ("user_id", "start_date"), "append"))
         else:
             _write_partitioned(fresh, path, partitions, ("user_id", "start_date"), "append")
     else:
+        if new is not None:
+            batch = batch.unionByName(new)
+            touched = batch.select(*partitions).distinct().collect()
+            stored = spark.read.schema(schema).parquet(path).where(in_partitions(touched, partitions))
         merged = keep_first(stored.unionByName(batch), keys, ("ingested_at",))
         if feed:
             # Rows that replace others have the same keys, so records' days are
@@ -193,19 +234,6 @@ def _merge_batch(spark, batch, path, schema, keys, partitions, feed=None) -> Non
             replace_partitions(spark, merged, path, schema, partitions, ("user_id", "start_date"))
 
 
-def _in_partitions(rows, partitions) -> Column:
-    """Static partition filter: buckets by metric, or just buckets."""
-    if len(partitions) == 1:
-        return F.col(partitions[0]).isin([r[0] for r in rows])
-    by_first = {}
-    for row in rows:
-        by_first.setdefault(row[0], []).append(row[1])
-    return reduce(
-        lambda a, b: a | b,
-        [(F.col(partitions[0]) == first) & F.col(partitions[1]).isin(seconds) for first, seconds in by_first.items()],
-    )
-
-
 def _anti_null_safe(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     """Rows of ``left`` whose key is not in ``right``; NULL equals NULL."""
     other = right.select(*[F.col(k).alias(f"_{k}") for k in keys])
