@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from vitals.llm.common import mix64, stored
 
-SHARD_ROWS = 8_192
+SHARD_ROWS = 16_384
 BLOCK_ROWS = 8_192
 DEGREE = 16
 BUILD_WIDTH = 48
