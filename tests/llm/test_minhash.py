@@ -5,8 +5,8 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from tests.llm.conftest import docs_of, prose
-from vitals.llm import minhash
-from vitals.llm.common import TextWords, word_hash, words_of
+from vitals.llm import common, minhash
+from vitals.llm.common import text_hashes, words_of
 from vitals.llm.components import components
 
 
@@ -64,8 +64,12 @@ def corpus():
     return texts + [texts[0].upper(), texts[0] + "!", "a b", "A, b", ""]
 
 
+def word_by_word(text):
+    return np.array([text_hashes(w)[0] for w in words_of(text)], np.uint64)
+
+
 def brute_force(texts, idf, threshold):
-    vectors = [minhash.shingles(np.array([word_hash(w) for w in words_of(t)], np.uint64), idf) for t in texts]
+    vectors = [minhash.shingles(word_by_word(t), idf) for t in texts]
     root = list(range(len(texts)))
     for i in range(len(texts)):
         for j in range(i):
@@ -98,7 +102,7 @@ def test_copies_that_resemble_only_their_base(spark, monkeypatch):
         texts.append(" ".join(copy))
     docs = docs_of(spark, texts[1:] + texts[:1])
     idf = minhash.inverse_frequencies(docs)
-    vectors = [minhash.shingles(np.array([word_hash(w) for w in words_of(t)], np.uint64), idf) for t in texts]
+    vectors = [minhash.shingles(word_by_word(t), idf) for t in texts]
     assert all(minhash.similarity(vectors[0], v) >= minhash.SIMILARITY for v in vectors[1:])
     assert sum(minhash.similarity(a, b) >= minhash.SIMILARITY for i, a in enumerate(vectors[1:]) for b in vectors[i + 2:]) < 10
     # candidates of the base: the copies that share a band with it
@@ -149,6 +153,16 @@ def test_odd_rows(spark, odd, odd_rows, none):
 @settings(max_examples=500, deadline=None)
 @given(texts=st.lists(st.text(alphabet=st.sampled_from("aΣς.' \n\x1c\x85_1İ@é"), max_size=25), max_size=4))
 def test_word_hashes_are_those_of_the_words(texts):
-    words = TextWords(limit=3)
-    for text in texts:
-        assert words(text).tolist() == [word_hash(w) for w in words_of(text)]
+    whole, common._STRETCH = common._STRETCH, 3
+    try:
+        cut = [text_hashes(t).tolist() for t in texts]
+    finally:
+        common._STRETCH = whole
+    assert cut == [text_hashes(t).tolist() for t in texts] == [word_by_word(t).tolist() for t in texts]
+
+
+def test_word_hashes_tell_words_apart():
+    words = sorted({w for i in range(400) for w in prose(i, 200).split()} | {"ab", "ba", "é", "\U00020000", "a" * 63, "a" * 64, "a" * 1000, "a" * 1001})
+    hashes = text_hashes(" ".join(words))
+    assert len(set(hashes.tolist())) == len(words) == len(hashes)
+    assert (hashes == word_by_word(" ".join(words))).all() and (text_hashes(" ".join(words).upper())[0] == hashes[0])

@@ -93,41 +93,63 @@ class Vocabulary:
         return self.table[:, 0][numbers]
 
 
-class TextWords:
-    """Word hashes of whole texts, the same as hashing ``words_of(text)`` one by one.
+_STRETCH = 1 << 20
+_PRIME = np.uint64(0xD1342543DE82EF95)
 
-    Texts are cut at white space, which no word contains, and what each piece
-    holds (a word with marks around it, mostly) is remembered.
-    """
 
-    def __init__(self, limit: int = 500_000):
-        self.pieces = Vocabulary(self._single, 2, limit)
-
-    @staticmethod
-    def _single(pieces: list[str]) -> list[list[int]]:
-        """The hash of a piece with one word; 0 and a mark for none or several."""
-        cores = [p.lower().strip(_MARKS) for p in pieces]
-        cores = [c if c.isalnum() else "".join(words_of(c)) if len(words_of(c)) == 1 else "" for c in cores]
-        return [list(map(word_hash, cores)), [not c for c in cores]]
-
-    def __call__(self, text: str) -> np.ndarray:
-        pieces = text.split()
-        if not pieces:
-            return np.empty(0, np.uint64)
-        numbers = self.pieces(pieces)
-        hashes, odd = self.pieces.table[:, 0][numbers], self.pieces.table[:, 1][numbers]
-        if not odd.any():
-            return hashes
-        out, last = [], 0
-        for i in np.flatnonzero(odd).tolist():
-            out.append(hashes[last:i])
-            out.append(np.array([word_hash(w) for w in words_of(pieces[i])], np.uint64))
-            last = i + 1
-        return np.concatenate(out + [hashes[last:]])
+class _Letters:
+    """For each code point whether it belongs to words, and a number; made once per Python worker."""
+
+    def __init__(self):
+        count = 0x110000
+        self.of_words = np.fromiter((chr(i).isalnum() or i == 95 for i in range(count)), bool, count)
+        self.numbers = mix64(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        self.powers = np.cumprod(np.full(64, _PRIME))
+
+
+_letters: list[_Letters] = []
+
+
+def text_hashes(text: str) -> np.ndarray:
+    """A hash of each word of ``words_of(text)``, computed for all words of a stretch at a time.
+
+    A word's hash adds up a number per letter times a power for its place, then
+    scrambles the sum, so it depends on nothing but the word. Stretches end
+    between words, which bounds memory for texts of any length.
+    """
+    if not _letters:
+        _letters.append(_Letters())
+    known, text, out, low = _letters[0], text.lower(), [], 0
+    while low < len(text):
+        high = low + _STRETCH
+        while high < len(text) and known.of_words[ord(text[high])]:
+            high += 1
+        out.append(_stretch_hashes(text[low:high], known))
+        low = high
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
+def _stretch_hashes(text: str, known: _Letters) -> np.ndarray:
+    try:
+        points = np.frombuffer(text.encode("latin-1"), np.uint8)
+    except UnicodeEncodeError:
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = np.zeros(len(points) + 2, bool)
+    inside[1:-1] = known.of_words[points]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    if not len(edges):
+        return np.empty(0, np.uint64)
+    sizes = edges[1::2] - edges[::2]
+    if sizes.max() > len(known.powers):
+        known.powers = np.cumprod(np.full(2 * int(sizes.max()), _PRIME))
+    starts = np.cumsum(sizes) - sizes
+    letters = points[inside[1:-1]]
+    values = known.numbers.take(letters)
+    values *= known.powers.take(np.arange(len(letters)) - np.repeat(starts, sizes))
+    return mix64(np.add.reduceat(values, starts))
 
 
 word_hash = xxhash.xxh64_intdigest  # of the UTF-8 bytes
-_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"
 
 
 def mix64(values: np.ndarray) -> np.ndarray:

@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from vitals.llm.common import TextWords, mix64, ngram_hashes, partitions, plain_text, stored, summed_counts
+from vitals.llm.common import mix64, ngram_hashes, partitions, plain_text, stored, summed_counts, text_hashes
 from vitals.llm.components import components
 
 SHINGLE = 5
@@ -115,11 +115,9 @@ def inverse_frequencies(docs: DataFrame, text="text") -> np.ndarray:
     texts = docs.select(plain_text(text).alias("text"))
 
     def counter():
-        words = _words()
-
         def add(total, batch):
             for t in batch.column(0):
-                total[np.unique(words(t.as_py()) >> np.uint64(64 - BITS)).astype(np.int64)] += 1
+                total[(text_hashes(t.as_py()) >> np.uint64(64 - BITS)).astype(np.int64)] += 1  # once per bucket
             total[-1] += batch.num_rows
         return add
 
@@ -135,9 +133,9 @@ def signed(docs: DataFrame, idf: np.ndarray, text="text") -> DataFrame:
 
     @F.arrow_udf("struct<content:binary,bands:array<bigint>,weight:double>")
     def sign(texts: pa.Array) -> pa.Array:
-        words, out = _words(), []
-        for t in texts.to_pylist():
-            hashes = words(t)
+        out = []
+        for t in (one.as_py() for one in texts):
+            hashes = text_hashes(t)
             # of the word hashes (or, without words, the text), so equal for equal words
             content = xxhash.xxh3_128_digest(hashes.tobytes() if len(hashes) else b"\0" + t.encode("utf-8", "surrogatepass"))
             grams, weights = shingles(hashes, shared.value)
@@ -148,16 +146,6 @@ def signed(docs: DataFrame, idf: np.ndarray, text="text") -> DataFrame:
     return stored(rows.select(F.monotonically_increasing_id().alias("row"), "doc", "s.content", "s.bands", "s.weight"), "near-rows")
 
 
-_own: list[TextWords] = []
-
-
-def _words() -> TextWords:
-    """One memory of words per Python worker, kept between tasks."""
-    if not _own:
-        _own.append(TextWords())
-    return _own[0]
-
-
 def candidate_links(nodes: DataFrame) -> DataFrame:
     """Links ``a``-``b`` from each band's least text to its others."""
     rows = nodes.select("content", F.explode("bands").alias("band"))
@@ -177,7 +165,7 @@ def verified_in_blocks(rows: DataFrame, idf, threshold: float) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(idf)
 
     def block_links(members):
-        vectors = [shingles(_words()(t), shared.value) for _, _, t in members]
+        vectors = [shingles(text_hashes(t), shared.value) for _, _, t in members]
         root = list(range(len(members)))
 
         def find(i):
@@ -221,8 +209,8 @@ def verified_pairs(pairs: DataFrame, idf, threshold: float) -> DataFrame:
         last, vector, out = None, None, []
         for name, one, other in zip(a.to_pylist(), text_a, text_b):
             if name != last:
-                last, vector = name, shingles(_words()(one.as_py()), shared.value)
-            out.append(similarity(vector, shingles(_words()(other.as_py()), shared.value)))
+                last, vector = name, shingles(text_hashes(one.as_py()), shared.value)
+            out.append(similarity(vector, shingles(text_hashes(other.as_py()), shared.value)))
         return pa.array(out, pa.float64())
 
     return pairs.withColumn("similarity", compared("a", "text_a", "text_b")).filter(F.col("similarity") >= threshold).select("a", "b")
@@ -259,7 +247,7 @@ def verified_in_tiles(rows: DataFrame, idf, threshold: float) -> DataFrame:
     def tile_links(members):
         if len({m[2] for m in members}) < 2:
             return
-        vectors, above = [shingles(_words()(m[3]), shared.value) for m in members], {}
+        vectors, above = [shingles(text_hashes(m[3]), shared.value) for m in members], {}
         whole = len({m[0] for m in members}) == 1
 
         def find(root):
