@@ -8,6 +8,7 @@ source names over the rows.
 import posixpath
 import sys
 import zipfile
+import zlib
 from contextlib import ExitStack
 from dataclasses import dataclass
 
@@ -197,38 +198,52 @@ def record_xml(
     ``end`` are other texts for the dates. The test table
     is one file, so its rows are spread for the parsing that follows.
     """
-    view = by_event_type({event: _VENDOR[metric] for event, metric in metrics.items()})
     value = F.col("value") if texts is None else F.expr(case_sql("event_type", texts))
-    return view.frame(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism).select(
-        "user_id", F.col("row_id").alias("event_id"),
-        _element(
-            "Record", type=F.col("type"), sourceName=F.col("source_name"), sourceVersion=F.lit("1"),
-            unit=F.col("unit"), creationDate=_clock("creation_date"), startDate=_clock("start_date") if start is None else start,
-            endDate=_clock("end_date") if end is None else end, value=value,
-        ).alias("xml"),
+    return _vendor_view(metrics).frame(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism).select(
+        "user_id", F.col("row_id").alias("event_id"), _record_element(value, start, end).alias("xml"))
+
+
+def _vendor_view(metrics: dict) -> RecordView:
+    return by_event_type({event: _VENDOR[metric] for event, metric in metrics.items()})
+
+
+def _record_element(value: Column, start: Column | None = None, end: Column | None = None) -> Column:
+    return _element(
+        "Record", type=F.col("type"), sourceName=F.col("source_name"), sourceVersion=F.lit("1"),
+        unit=F.col("unit"), creationDate=_clock("creation_date"), startDate=_clock("start_date") if start is None else start,
+        endDate=_clock("end_date") if end is None else end, value=value,
     )
 
 
 def workout_xml(spark: SparkSession, sf_dir: str, duration: Column | None = None) -> DataFrame:
     """(user_id, workout_id, xml): one ``Workout`` with two statistics per order; ``duration`` is another text for it."""
+    orders = _orders(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
+    return orders.select("user_id", F.col("o_orderkey").alias("workout_id"), _workout_element(duration).alias("xml"))
+
+
+def _minutes() -> Column:
+    return F.floor(F.col("o_totalprice") / 1000)
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    minutes = F.floor(F.col("o_totalprice") / 1000)
+    ends = F.col("o_orderdate") + F.make_dt_interval(mins=_minutes().cast("int"))
+    return orders.select(
+        F.col("o_custkey").cast("string").alias("user_id"), "o_orderkey", "o_orderpriority", "o_totalprice", "o_orderdate", ends.alias("_end"))
+
+
+def _workout_element(duration: Column | None = None) -> Column:
     statistics = F.concat(
         _element("WorkoutStatistics", type=F.lit("HKQuantityTypeIdentifierActiveEnergyBurned"),
                  sum=F.col("o_totalprice"), unit=F.lit("kcal")),
         _element("WorkoutStatistics", type=F.lit("HKQuantityTypeIdentifierDistanceWalkingRunning"),
                  sum=F.col("o_orderkey") % 20, unit=F.lit("km")),
     )
-    ends = F.col("o_orderdate") + F.make_dt_interval(mins=minutes.cast("int"))
-    return orders.withColumn("_end", ends).repartition(spark.sparkContext.defaultParallelism).select(
-        F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("o_orderkey").alias("workout_id"),
-        _element(
-            "Workout", children=statistics, workoutActivityType=F.col("o_orderpriority"),
-            duration=minutes if duration is None else duration, durationUnit=F.lit("min"), totalDistance=F.lit("-1"),
-            sourceName=F.expr(pick_sql("o_orderkey", SOURCES)), sourceVersion=F.lit("1"),
-            startDate=_clock("o_orderdate"), endDate=_clock("_end"),
-        ).alias("xml"),
+    return _element(
+        "Workout", children=statistics, workoutActivityType=F.col("o_orderpriority"),
+        duration=_minutes() if duration is None else duration, durationUnit=F.lit("min"), totalDistance=F.lit("-1"),
+        sourceName=F.expr(pick_sql("o_orderkey", SOURCES)), sourceVersion=F.lit("1"),
+        startDate=_clock("o_orderdate"), endDate=_clock("_end"),
     )
 
 
@@ -236,14 +251,19 @@ USER_IN_NAME = r"([^/]+)\.zip$"
 
 
 def write_archives(spark: SparkSession, sf_dir: str, folder: str, metrics: dict = MOVEMENT) -> None:
-    """One export archive per user, ``folder/<user>.zip``, streamed row by row."""
-    elements = record_xml(spark, sf_dir, metrics).select("user_id", F.lit(0).alias("kind"), F.col("event_id").alias("id"), "xml")
-    elements = elements.unionByName(
-        workout_xml(spark, sf_dir).select("user_id", F.lit(1).alias("kind"), F.col("workout_id").alias("id"), "xml")
-    )
+    """One export archive per user, ``<user>.zip`` in one of 256 folders below ``folder``, streamed row by row.
+
+    The tables' columns are shuffled, not the longer elements made of them.
+    """
+    records = _vendor_view(metrics).frame(spark, sf_dir).select(
+        "user_id", F.lit(0).alias("kind"), F.col("row_id").alias("id"),
+        "type", "source_name", "unit", "creation_date", "start_date", "end_date", "value")
+    workouts = _orders(spark, sf_dir).withColumns({"kind": F.lit(1), "id": F.col("o_orderkey")})
+    rows = records.unionByName(workouts, allowMissingColumns=True)
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     (
-        elements.repartition("user_id").sortWithinPartitions("user_id", "kind", "id")
-        .select("user_id", "xml")
+        rows.repartition(tasks, "user_id").sortWithinPartitions("user_id", "kind", "id")
+        .select("user_id", F.when(F.col("kind") == 0, _record_element(F.col("value"))).otherwise(_workout_element()).alias("xml"))
         .mapInPandas(_archive_writer(folder), "user_id string")
         .write.format("noop").mode("overwrite").save()
     )
@@ -258,7 +278,8 @@ def _archive_writer(folder: str):
                     if row.user_id != user:
                         open_files.close()
                         user = row.user_id
-                        member = _open_export(open_files, posixpath.join(folder, f"{user}.zip"))
+                        below = f"{zlib.crc32(user.encode()) % 256:02x}"
+                        member = _open_export(open_files, posixpath.join(folder, below, f"{user}.zip"))
                     member.write(row.xml.encode() + b"\n")
                 yield batch[["user_id"]].drop_duplicates()
 
@@ -271,7 +292,9 @@ def _open_export(open_files: ExitStack, path: str):
     fs.create_dir(posixpath.dirname(target), recursive=True)
     stream = open_files.enter_context(fs.open_output_stream(target))
     archive = open_files.enter_context(zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED))
-    member = open_files.enter_context(archive.open(zipfile.ZipInfo("data/export.xml"), "w"))
+    export = zipfile.ZipInfo("data/export.xml")
+    export.compress_type = zipfile.ZIP_DEFLATED  # an entry of its own does not take the archive's
+    member = open_files.enter_context(archive.open(export, "w"))
     member.write(b'<?xml version="1.0" encoding="UTF-8"?>\n<HealthData>\n')
     open_files.callback(member.write, b"</HealthData>")
     return member
