@@ -1,0 +1,86 @@
+"""Many small exports: few staged files, one listing."""
+
+import os
+import zipfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from vitals.plans import pipeline
+from vitals.plans.pipeline import Lake, land, pending
+from vitals.sources import archives, export_xml
+
+RECORD = '<Record type="HKQuantityTypeIdentifierStepCount" startDate="2024-01-05 07:03:02" sourceName="{}" value="{}"/>'
+EXPORT = """<?xml version="1.0"?>
+<!DOCTYPE HealthData [<!ELEMENT HealthData ANY>]>
+<HealthData><!-- <Record value="comment"/> --><Me name="ü"/>
+{records}<Correlation><Record type="x" value=">"><MetadataEntry key="/Record>&quot;" value="&lt;"/></Record ></Correlation>
+<Workout workoutActivityType="Run" duration="1"><WorkoutStatistics type="t" sum="2"/></Workout>
+</HealthData>
+"""
+
+
+def put(folder, user, records, name="export.zip"):
+    os.makedirs(folder / user, exist_ok=True)
+    text = EXPORT.format(records="\n".join(RECORD.format("ü" * 9, i) for i in range(records)))
+    with zipfile.ZipFile(folder / user / name, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("some/dir/export.xml", text)
+
+
+@pytest.fixture(scope="module")
+def landed(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("packs")
+    for user in range(40):
+        put(folder / "in", f"user{user}", user)
+    put(folder / "in", "large", 4_000)
+    (folder / "in" / "large" / "broken.zip").write_bytes(b"no archive at all" * 9)
+    lake = Lake(str(folder / "lake"), record_buckets=2)
+    land(spark, lake, str(folder / "in"))
+    return lake
+
+
+def test_element_spans():
+    document = EXPORT.format(records=RECORD.format("ü", 1)).encode()
+    spans = archives.element_spans(document)
+    texts = {tag: [document[s["start"]:s["start"] + s["length"]].decode() for s in spans[tag]] for tag in spans}
+    assert texts["Record"][0] == RECORD.format("ü", 1) and len(texts["Record"]) == 2
+    assert texts["Record"][1].startswith('<Record type="x"') and texts["Record"][1].endswith("</Record >")
+    assert len(texts["Workout"]) == 1 and texts["Workout"][0].endswith("</Workout>")
+
+
+@pytest.mark.parametrize("part_bytes", [300, 64 << 20])
+def test_small_exports_make_few_files_and_the_same_elements(spark, tmp_path, landed, part_bytes):
+    staging = str(tmp_path / "staging")
+    parts = archives.unpack_exports(pending(spark, landed), staging, part_bytes, set_aside=True)
+    assert {r.user_id for r in parts.where("error IS NOT NULL").collect()} == {"large"}
+    files = [name for _, _, names in os.walk(staging) for name in names if name.endswith((".xml", ".parquet"))]
+    assert len(files) <= 24  # not one per export or part
+    records, workouts = export_xml.read_record_elements(spark, staging), export_xml.read_workout_elements(spark, staging)
+    got = {r.user_id: r["n"] for r in records.groupBy("user_id").agg(F.count("*").alias("n")).collect()}
+    assert got == {f"user{u}": u + 1 for u in range(40)} | {"large": 4_001}
+    assert records.where("_type = 'x'").select("_value").distinct().collect() == [(">",)]
+    assert {r._sourceName for r in records.where("_sourceName IS NOT NULL").collect()} == {"ü" * 9}
+    assert workouts.count() == 41 and workouts.select("WorkoutStatistics").first()[0][0]["_sum"] == "2"
+
+
+def test_listing_finds_what_the_binary_reader_finds(spark, tmp_path):
+    for name in ("a b/x.zip", "u/ü%20.zip", "deep/er/y.zip", "top.zip", "_hidden/z.zip", "u/.h.zip", "u/_h.zip", "u/other.txt", "k=v/w.zip", "_k=v/w.zip"):
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_bytes(name.encode())
+    binary = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", "true")
+    for source in (str(tmp_path / "in"), f"file://{tmp_path}/in", str(tmp_path / "in" / "*e*"), str(tmp_path / "in" / "top.zip")):
+        want = binary.load(source).select("path", "modificationTime", "length").collect()
+        got = archives.list_archives(spark, source).collect()
+        assert sorted(got) == sorted(want) and got
+    with pytest.raises(FileNotFoundError):
+        archives.list_archives(spark, str(tmp_path / "missing"))
+
+
+def test_a_listing_is_made_once_and_taken_away(spark, tmp_path, landed):
+    put(tmp_path / "in", "ann", 3)
+    lake = Lake(str(tmp_path / "lake"))
+    listed = archives.list_archives(spark, str(tmp_path / "in"))
+    with pipeline.kept_listing(spark, lake, listed) as kept:
+        put(tmp_path / "in", "bob", 3)
+        assert kept.count() == 1 and listed.count() == 2
+    assert not os.listdir(f"{lake.staging}/listed")

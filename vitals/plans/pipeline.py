@@ -80,7 +80,20 @@ class Lake:
 
 def land(spark: SparkSession, lake: Lake, source: str, user_pattern: str = USER_FOLDER) -> DataFrame:
     """Bronze: keep every archive below ``source`` that is not kept yet."""
-    return land_listed(spark, lake, archives.list_archives(spark, source), user_pattern)
+    with kept_listing(spark, lake, archives.list_archives(spark, source)) as listed:
+        return land_listed(spark, lake, listed, user_pattern)
+
+
+@contextmanager
+def kept_listing(spark: SparkSession, lake: Lake, listed: DataFrame) -> Iterator[DataFrame]:
+    """A file listing written as a table for the time being, so that files are listed once, not by every step.
+
+    Spark gives a handful of small files a task; the listing is made in a few.
+    """
+    path = posixpath.join(lake.staging, "listed", f"run={uuid.uuid4().hex}")
+    listed.coalesce(2 * spark.sparkContext.defaultParallelism).write.parquet(path)
+    yield spark.read.schema(listed.schema).parquet(path)
+    tables.remove(spark, path)
 
 
 def land_listed(spark: SparkSession, lake: Lake, listed: DataFrame, user_pattern: str = USER_FOLDER) -> DataFrame:
@@ -125,9 +138,7 @@ def load_silver(
     """
     run = uuid.uuid4().hex
     staged = posixpath.join(lake.staging, f"run={run}")
-    manifest = posixpath.join(staged, "_parts")
-    archives.unpack_exports(landed, staged, set_aside=True).write.mode("overwrite").parquet(manifest)
-    done = spark.read.schema(archives.UNPACKED).parquet(manifest)
+    done = archives.unpack_exports(landed, staged, set_aside=True)
     if done.isEmpty():
         tables.remove(spark, staged)
         return {"records": 0, "workouts": 0, "bad_archives": 0}

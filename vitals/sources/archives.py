@@ -1,9 +1,9 @@
 """Raw export archives: landing them and unpacking their XML.
 
 Both steps are Python tasks over a list of archives, one archive at a time and
-a block of bytes at a time; file contents never become column values, so the
-2 GB limit of a binary column does not apply. File access goes through
-``pyarrow.fs``, which takes local paths and object-store URIs alike.
+a block of bytes at a time; only parts of exports up to ``PACKED_BYTES`` become
+column values, so the 2 GB limit of a binary column does not apply. File access
+goes through ``pyarrow.fs``, which takes local paths and object-store URIs alike.
 
 Tasks may run twice (lost executors, speculation). Each writes under a name of
 its own attempt and moves the finished file into place, so a rerun replaces a
@@ -20,6 +20,7 @@ from urllib.parse import quote
 from xml.parsers import expat
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import ArrowInvalid, fs as arrow_fs
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -33,6 +34,17 @@ EXPORT_NAME = "export.xml"
 _LANDED = "user_id string, source string, length long, modified long, sha256 string, archive string"
 UNPACKED = "user_id string, sha256 string, part string, bytes long, error string"
 
+#: Parts up to this size are rows of a table, larger ones files; of one archive at most ``ARCHIVE_BYTES`` are.
+PACKED_BYTES = 256 << 10
+ARCHIVE_BYTES = 16 << 20
+PACKS = "packs"
+#: Where in a part the elements of a tag stand, in bytes.
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())]))
+TAGS = ("Record", "Workout")
+_PACKED = pa.schema([("user_id", pa.string()), ("sha256", pa.string()), ("part", pa.string()), ("bytes", pa.int64()),
+                     ("error", pa.string()), ("document", pa.binary()), *((tag, _SPANS) for tag in TAGS)])
+PACKED = UNPACKED + ", document binary" + "".join(f", {tag} array<struct<start: int, length: int>>" for tag in TAGS)
+
 
 # Tasks carry this module's functions, so executors need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -48,15 +60,62 @@ def open_fs(uri: str):
     return arrow_fs.FileSystem.from_uri(uri)
 
 
+_FOUND = "path string, modified long, length long, folder boolean"
+
+
 def list_archives(spark: SparkSession, source: str) -> DataFrame:
-    """Archives at any depth below ``source``; their contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.zip")
-        .option("recursiveFileLookup", "true")
-        .load(source)
-        .select("path", "modificationTime", "length")
-    )
+    """Archives at any depth below ``source``; their contents are not read.
+
+    A task lists the folder itself and others the folders in it, so neither the
+    driver nor a plan holds the names. Hidden names count as Spark counts them.
+    """
+    location = spark._jvm.org.apache.hadoop.fs.Path(source)
+    files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    roots = [(status.getPath().toString(),) for status in files.globStatus(location) or []]
+    if not roots:
+        raise FileNotFoundError(source)
+    top = spark.createDataFrame(roots, "path string").mapInPandas(_list_task(deep=False), _FOUND)
+    folders = top.where("folder").select("path").repartition(2 * spark.sparkContext.defaultParallelism, "path")
+    found = top.where("NOT folder").unionByName(folders.mapInPandas(_list_task(deep=True), _FOUND))
+    return found.select("path", F.timestamp_millis("modified").alias("modificationTime"), "length")
+
+
+def _list_task(deep: bool):
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                for row in _listed(path, deep):
+                    rows.append(row)
+                    if len(rows) >= 10_000:
+                        yield pd.DataFrame(rows, columns=["path", "modified", "length", "folder"])
+                        rows = []
+            yield pd.DataFrame(rows, columns=["path", "modified", "length", "folder"])
+
+    return run
+
+
+def _listed(path: str, deep: bool):
+    """Archives in a folder, and its folders or what they hold; a path that is a file gives itself."""
+    files, root = open_fs(path)
+    prefix = path.removesuffix(root.lstrip("/").rstrip("/")) if "://" in path else "file:"
+    waiting = [files.get_file_info(root)]
+    for info in waiting:
+        inner = [info]
+        if info.type == arrow_fs.FileType.Directory:
+            inner = [i for i in files.get_file_info(arrow_fs.FileSelector(info.path)) if not _hidden(i.base_name)]
+        for each in inner:
+            if each.type != arrow_fs.FileType.Directory:
+                if each.base_name.endswith(".zip"):
+                    yield prefix + each.path, (each.mtime_ns or 0) // 1_000_000, each.size, False
+            elif deep:
+                waiting.append(each)
+            else:
+                yield prefix + each.path, 0, 0, True
+
+
+def _hidden(name: str) -> bool:
+    return name.startswith(".") or (name.startswith("_") and "=" not in name)
 
 
 def _user(user_pattern: str) -> Column:
@@ -166,25 +225,31 @@ def unpack_exports(
 
     Every part is a whole document of its own (prolog, root element, some of
     the children), so one user's export is read by many tasks however large it
-    is. Parts carry user and digest in their names and lie in 256 folders,
-    which list fast however many users there are.
+    is. Small parts are rows of a table under ``staging/packs``, beside where
+    their elements stand, so many small exports make few files. Larger ones are
+    files that carry user and digest in their names and lie in 256 folders.
 
     An archive that cannot be read, has unsafe member names, no export or XML
     that is not well-formed is an error. With ``set_aside`` it leaves no parts
     and gives one row with the reason, and the other archives go on. Returns
-    one row per part; running it is up to the caller.
+    one row per part.
     """
+    spark = landed.sparkSession
+    packs = posixpath.join(staging, PACKS, f"run={uuid.uuid4().hex}")
     archives = landed.select("user_id", "sha256", "length", F.col("archive").alias("source"))
-    return _spread(archives).mapInPandas(_unpack_task(staging, part_bytes, set_aside), UNPACKED)
+    parts = _spread(archives).mapInArrow(_unpack_task(staging, part_bytes, set_aside), PACKED)
+    # A reader holds a row group's documents at a time.
+    parts.write.option("parquet.block.size", ARCHIVE_BYTES).option("compression", "zstd").parquet(packs)
+    return spark.read.schema(PACKED).parquet(packs).select(*[name.split()[0] for name in UNPACKED.split(", ")])
 
 
 def _unpack_task(staging: str, part_bytes: int, set_aside: bool):
     def run(batches):
+        rows, size = [], 0
         for batch in batches:
-            for row in batch.itertuples(index=False):
+            for row in batch.to_pandas().itertuples(index=False):
                 target_fs, root = open_fs(staging)
                 folder = posixpath.join(root, row.sha256[:2])
-                target_fs.create_dir(folder, recursive=True)
                 parts = []
                 try:
                     for part in _unpack(row, target_fs, folder, part_bytes):
@@ -193,26 +258,80 @@ def _unpack_task(staging: str, part_bytes: int, set_aside: bool):
                     if not set_aside:
                         raise
                     for written in parts:
-                        target_fs.delete_file(written[2])
-                    parts = [(row.user_id, row.sha256, None, None, f"{type(error).__name__}: {error}")]
-                yield pd.DataFrame(parts, columns=["user_id", "sha256", "part", "bytes", "error"])
+                        if written["document"] is None:
+                            target_fs.delete_file(written["part"])
+                    parts = [{"user_id": row.user_id, "sha256": row.sha256, "error": f"{type(error).__name__}: {error}"}]
+                rows += parts
+                size += sum(len(part.get("document") or b"") for part in parts)
+                if size >= ARCHIVE_BYTES or len(rows) >= 4_096:
+                    yield pa.RecordBatch.from_pylist(rows, _PACKED)
+                    rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, _PACKED)
 
     return run
 
 
 def _unpack(row, target_fs, folder: str, part_bytes: int):
     source_fs, source_path = open_fs(row.source)
+    kept = 0
     with source_fs.open_input_file(source_path) as raw, zipfile.ZipFile(raw) as archive:
         with archive.open(export_member(archive.namelist())) as xml:
-            for number, part in enumerate(split_document(xml, part_bytes)):
-                path = posixpath.join(folder, part_name(row.user_id, row.sha256, number))
+            for number, blocks in enumerate(split_document(xml, part_bytes)):
+                name = part_name(row.user_id, row.sha256, number)
+                part = {"user_id": row.user_id, "sha256": row.sha256, "part": name, "error": None, "document": None}
+                head = _up_to(blocks, PACKED_BYTES)
+                # Two-byte characters are left to the reader of files.
+                if len(head) <= PACKED_BYTES and kept + len(head) <= ARCHIVE_BYTES and not head.startswith((b"\xff\xfe", b"\xfe\xff")):
+                    kept += len(head)
+                    yield part | {"bytes": len(head), "document": head} | element_spans(head)
+                    continue
+                path = posixpath.join(folder, name)
                 attempt = posixpath.join(folder, f".{uuid.uuid4().hex}.part")
+                target_fs.create_dir(folder, recursive=True)
                 with target_fs.open_output_stream(attempt) as out:
-                    for block in part:
+                    out.write(head)
+                    for block in blocks:
                         out.write(block)
                     size = out.tell()
                 target_fs.move(attempt, path)
-                yield row.user_id, row.sha256, path, size, None
+                yield part | {"part": path, "bytes": size}
+
+
+def _up_to(blocks, size: int) -> bytes:
+    """The first blocks, until they are longer than ``size`` or used up."""
+    head = bytearray()
+    for block in blocks:
+        head += block
+        if len(head) > size:
+            break
+    return bytes(head)
+
+
+def element_spans(document: bytes) -> dict[str, list[dict]]:
+    """Per tag, start and length of its elements at any depth; of nested ones with the same tag the outermost."""
+    spans, begun, open_now = {tag: [] for tag in TAGS}, {}, dict.fromkeys(TAGS, 0)
+    parser = expat.ParserCreate()
+
+    def start(name, attributes):
+        if name in open_now:
+            if not open_now[name]:
+                begun[name] = parser.CurrentByteIndex
+            open_now[name] += 1
+
+    def end(name):
+        if name in open_now:
+            open_now[name] -= 1
+            if not open_now[name]:
+                # At an end tag the parser stands before it, at an empty element behind it.
+                stop = parser.CurrentByteIndex
+                if document.startswith(b"</" + name.encode(), stop):
+                    stop = document.index(b">", stop) + 1
+                spans[name].append({"start": begun[name], "length": stop - begun[name]})
+
+    parser.StartElementHandler, parser.EndElementHandler = start, end
+    parser.Parse(document, True)
+    return spans
 
 
 def part_name(user_id: str, sha256: str, number: int) -> str:

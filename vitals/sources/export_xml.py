@@ -1,11 +1,14 @@
 """Export XML to typed silver rows.
 
 Spark's XML source finds ``Record`` and ``Workout`` elements at any depth and
-reads one document per task; ``archives.unpack_exports`` keeps documents small.
+reads one document per task; ``archives.unpack_exports`` keeps documents small,
+and packs the smallest into tables that say where their elements stand.
 Attributes arrive as text and are typed by the functions below, which also work
 on elements held as strings in a column.
 """
 
+import posixpath
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import classify_sleep, local_timestamp, map_record_type, measure_value, workout_number
@@ -18,6 +21,8 @@ from ..schema import (
     WORKOUT_SCHEMA,
     WORKOUT_XML_SCHEMA,
 )
+from .archives import PACKED, PACKS
+from .tables import exists
 
 # Attribute text is kept as written: no trimming, and the word "null" is a word.
 _VERBATIM = {"ignoreSurroundingSpaces": "false", "nullValue": "\u0000"}
@@ -31,11 +36,18 @@ def _read(spark: SparkSession, path: str, row_tag: str, schema: T.StructType) ->
         .load(path)
     )
     name = F.split(F.col("_metadata.file_name"), "-")
-    return elements.select(
+    elements = elements.select(
         "*",
         F.decode(F.unhex(name[0]), "UTF-8").alias("user_id"),
         name[1].alias("sha256"),
     )
+    packs = posixpath.join(path, PACKS)
+    if not exists(spark, packs):
+        return elements
+    parts = spark.read.schema(PACKED).option("recursiveFileLookup", "true").parquet(packs).where(F.size(row_tag) > 0)
+    texts = F.transform(row_tag, lambda at: F.substring("document", at["start"] + 1, at["length"]).cast("string"))
+    packed = parts.select("user_id", "sha256", F.explode(texts).alias("xml"))
+    return elements.unionByName(_parse(packed, "xml", schema, row_tag))
 
 
 def read_record_elements(spark: SparkSession, path: str) -> DataFrame:
