@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from vitals.plans import pipeline
 from vitals.plans.pipeline import Lake, land, pending
-from vitals.sources import archives, export_xml
+from vitals.sources import archives, export_xml, tables
+from vitals.streaming import ingest_archives
 
 RECORD = '<Record type="HKQuantityTypeIdentifierStepCount" startDate="2024-01-05 07:03:02" sourceName="{}" value="{}"/>'
 EXPORT = """<?xml version="1.0"?>
@@ -84,3 +85,17 @@ def test_a_listing_is_made_once_and_taken_away(spark, tmp_path, landed):
         put(tmp_path / "in", "bob", 3)
         assert kept.count() == 1 and listed.count() == 2
     assert not os.listdir(f"{lake.staging}/listed")
+
+
+def test_a_stream_lists_its_files_in_few_tasks(spark, tmp_path):
+    listing = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    for user in range(3):
+        put(tmp_path / "in", f"user{user}", 2)
+    lake = Lake(str(tmp_path / "lake"), record_buckets=2, gold_buckets=2)
+    before = spark.conf.get(listing)
+    try:
+        ingest_archives(spark, lake, str(tmp_path / "in"), str(tmp_path / "checkpoint")).awaitTermination()
+        assert int(spark.conf.get(listing)) <= 4 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set(listing, before)
+    assert tables.read_gold(spark, lake.gold, "daily_activity_summary").count() == 3

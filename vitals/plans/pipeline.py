@@ -258,11 +258,14 @@ def refresh_changed(
     users = changes.select("user_id").distinct()
     bounds = changes.agg(F.min("date").alias("low"), F.max("date").alias("high")).first()
     if bounds["low"] is not None:
+        kinds = {row["type"] for row in changes.select("type").distinct().collect()}  # at most one per metric
         records = tables.read_silver(spark, lake.records, users=users)
-        built = changed_gold(records, records_feed.states(), changes.where("type <> 'workout'"))
-        days = changes.where("type = 'workout'").select("user_id", "date").distinct()
-        workouts = tables.read_silver_workouts(spark, lake.workouts, users=users).where(F.col("date").between(F.lit(bounds["low"]), F.lit(bounds["high"])))
-        built["workouts_summary"] = workouts_summary(workouts.join(days, ["user_id", "date"], "left_semi"))
+        built = changed_gold(records, records_feed.states(), changes.where("type <> 'workout'"), kinds)
+        if "workout" in kinds:
+            days = changes.where("type = 'workout'").select("user_id", "date").distinct()
+            workouts = tables.read_silver_workouts(spark, lake.workouts, users=users).where(
+                F.col("date").between(F.lit(bounds["low"]), F.lit(bounds["high"])))
+            built["workouts_summary"] = workouts_summary(workouts.join(days, ["user_id", "date"], "left_semi"))
         _together(spark, [
             lambda table=table, rows=rows: tables.upsert_gold(spark, rows, lake.gold, table, now, lake.gold_buckets, registered, lake.rejected)
             for table, rows in built.items()])

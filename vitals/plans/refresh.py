@@ -59,15 +59,20 @@ def read_and_carried(states: DataFrame, days: DataFrame) -> tuple[DataFrame, Dat
     return rows.where("_read").select(*_KEYS), rows.where(~F.col("_read")).select("user_id", "type", F.col("date").alias("_day"), *reach)
 
 
-def changed_gold(records: DataFrame, states: DataFrame, changes: DataFrame) -> dict[str, DataFrame]:
+def changed_gold(
+    records: DataFrame, states: DataFrame, changes: DataFrame, metrics: set[str] | None = None
+) -> dict[str, DataFrame]:
     """Rows of the daily tables that the changes (user, metric, day) can have changed.
 
     ``states`` are those of all records, the changed ones included. Equal to the
     same rows of a full build. A day whose rows are all suppressed has no row.
+    ``metrics`` are those that the changes name; tables of others are left out.
     """
     metric = "records_type" if "records_type" in records.columns else "type"
     built = {}
     for table, (plain, suppressed, build) in DAILY.items():
+        if metrics is not None and metrics.isdisjoint((*plain, *suppressed)):
+            continue
         own = changes.where(F.col("type").isin(*plain, *suppressed))
         if suppressed:
             held = states.where(F.col("type").isin(*suppressed))
