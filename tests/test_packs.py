@@ -1,5 +1,6 @@
 """Many small exports: few staged files, one listing."""
 
+import io
 import os
 import zipfile
 
@@ -99,3 +100,30 @@ def test_a_stream_lists_its_files_in_few_tasks(spark, tmp_path):
     finally:
         spark.conf.set(listing, before)
     assert tables.read_gold(spark, lake.gold, "daily_activity_summary").count() == 3
+
+
+def test_users_are_found_once_per_listing(spark, tmp_path, monkeypatch):
+    """Land reads them from the kept listing instead of trying the pattern in every step."""
+    put(tmp_path / "in", "ann", 1)
+    os.makedirs(tmp_path / "in" / "..x")
+    (tmp_path / "in" / "top.zip").write_bytes(b"x")
+    seen, land_listed = [], pipeline.land_listed
+    monkeypatch.setattr(pipeline, "land_listed", lambda spark, lake, listed, pattern: seen.append(listed) or land_listed(spark, lake, listed, pattern))
+    lake = Lake(str(tmp_path / "lake"))
+    landed = land(spark, lake, str(tmp_path / "in"), r"/in/(\w+)/")
+    assert "regexp" not in seen[0]._jdf.queryExecution().toString() and "user_id" in seen[0].columns
+    assert [r.user_id for r in landed.collect()] == ["ann"]
+    assert spark.read.parquet(f"{lake.quarantine}/paths").count() == 1
+
+
+def test_a_small_export_is_read_once(monkeypatch):
+    document = EXPORT.format(records=RECORD.format("a", 1)).encode()
+    parsed, create = [], archives.expat.ParserCreate
+    monkeypatch.setattr(archives.expat, "ParserCreate", lambda: parsed.append(1) or create())
+    parts = [b"".join(part) for part in archives._parts(io.BytesIO(document), len(document), 1 << 20)]
+    assert parts == [document] and not parsed
+    two_bytes = document.decode().replace('<?xml version="1.0"?>', "").encode("utf-16")
+    for text, size in ((document, 200), (two_bytes, 1 << 20)):  # cut, or left whole but read for being well-formed
+        parts = [b"".join(part) for part in archives._parts(io.BytesIO(text), len(text), size)]
+        assert parts == [b"".join(part) for part in archives.split_document(io.BytesIO(text), size)]
+    assert len(parsed) == 4

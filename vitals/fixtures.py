@@ -12,6 +12,8 @@ import zlib
 from contextlib import ExitStack
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -251,7 +253,7 @@ USER_IN_NAME = r"([^/]+)\.zip$"
 
 
 def write_archives(spark: SparkSession, sf_dir: str, folder: str, metrics: dict = MOVEMENT) -> None:
-    """One export archive per user, ``<user>.zip`` in one of 256 folders below ``folder``, streamed row by row.
+    """One export archive per user, ``<user>.zip`` in one of 256 folders below ``folder``, streamed batch by batch.
 
     The tables' columns are shuffled, not the longer elements made of them.
     """
@@ -264,7 +266,7 @@ def write_archives(spark: SparkSession, sf_dir: str, folder: str, metrics: dict
     (
         rows.repartition(tasks, "user_id").sortWithinPartitions("user_id", "kind", "id")
         .select("user_id", F.when(F.col("kind") == 0, _record_element(F.col("value"))).otherwise(_workout_element()).alias("xml"))
-        .mapInPandas(_archive_writer(folder), "user_id string")
+        .mapInArrow(_archive_writer(folder), "user_id string")
         .write.format("noop").mode("overwrite").save()
     )
 
@@ -274,14 +276,16 @@ def _archive_writer(folder: str):
         user = None
         with ExitStack() as open_files:
             for batch in batches:
-                for row in batch.itertuples(index=False):
-                    if row.user_id != user:
+                runs, elements, begin = pc.run_end_encode(batch.column(0)), batch.column(1).to_pylist(), 0
+                for end, name in zip(runs.run_ends.to_pylist(), runs.values.to_pylist()):
+                    if name != user:
                         open_files.close()
-                        user = row.user_id
+                        user = name
                         below = f"{zlib.crc32(user.encode()) % 256:02x}"
                         member = _open_export(open_files, posixpath.join(folder, below, f"{user}.zip"))
-                    member.write(row.xml.encode() + b"\n")
-                yield batch[["user_id"]].drop_duplicates()
+                    member.write("\n".join([*elements[begin:end], ""]).encode())
+                    begin = end
+                yield pa.RecordBatch.from_arrays([runs.values], ["user_id"])
 
     return run
 

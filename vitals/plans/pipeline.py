@@ -80,7 +80,8 @@ class Lake:
 
 def land(spark: SparkSession, lake: Lake, source: str, user_pattern: str = USER_FOLDER) -> DataFrame:
     """Bronze: keep every archive below ``source`` that is not kept yet."""
-    with kept_listing(spark, lake, archives.list_archives(spark, source)) as listed:
+    found = archives.with_path_user(archives.list_archives(spark, source), user_pattern)
+    with kept_listing(spark, lake, found) as listed:
         return land_listed(spark, lake, listed, user_pattern)
 
 

@@ -11,6 +11,7 @@ file by the same bytes.
 """
 
 import hashlib
+import io
 import posixpath
 import sys
 import uuid
@@ -41,6 +42,7 @@ PACKS = "packs"
 #: Where in a part the elements of a tag stand, in bytes.
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())]))
 TAGS = ("Record", "Workout")
+_TWO_BYTES = (b"\xff\xfe", b"\xfe\xff")  # what a text of two-byte characters starts with
 _PACKED = pa.schema([("user_id", pa.string()), ("sha256", pa.string()), ("part", pa.string()), ("bytes", pa.int64()),
                      ("error", pa.string()), ("document", pa.binary()), *((tag, _SPANS) for tag in TAGS)])
 PACKED = UNPACKED + ", document binary" + "".join(f", {tag} array<struct<start: int, length: int>>" for tag in TAGS)
@@ -118,16 +120,28 @@ def _hidden(name: str) -> bool:
     return name.startswith(".") or (name.startswith("_") and "=" not in name)
 
 
-def _user(user_pattern: str) -> Column:
-    """The first group of the pattern in the path; NULL where it is missing or could step out of its folder."""
-    user = F.regexp_extract("path", user_pattern, 1)
-    return F.when((user != "") & ~user.isin(".", "..") & ~user.contains("/"), user)
+def with_path_user(listed: DataFrame, user_pattern: str) -> DataFrame:
+    """Adds ``user_id``, the first group of the pattern in the path; NULL where it is missing or could step out of its folder.
+
+    The pattern is tried once a path: as plain expressions, the tests and each
+    filter on them would try it again.
+    """
+    found = F.array(F.regexp_extract("path", user_pattern, 1))
+    safe = F.filter(found, lambda user: (user != "") & ~user.isin(".", "..") & ~user.contains("/"))
+    return listed.withColumn("user_id", F.get(safe, F.lit(0)))
+
+
+def _with_path_user(listed: DataFrame, user_pattern: str) -> DataFrame:
+    return listed if "user_id" in listed.columns else with_path_user(listed, user_pattern)
 
 
 def with_user(listed: DataFrame, user_pattern: str) -> DataFrame:
-    """Adds the user id found in the path; archives without a safe one are left out (see ``without_user``)."""
-    return listed.select(
-        _user(user_pattern).alias("user_id"),
+    """Adds the user id found in the path; archives without a safe one are left out (see ``without_user``).
+
+    A listing that has the column ``user_id`` already is taken as it is.
+    """
+    return _with_path_user(listed, user_pattern).select(
+        "user_id",
         F.col("path").alias("source"),
         "length",
         F.unix_micros("modificationTime").alias("modified"),
@@ -136,7 +150,7 @@ def with_user(listed: DataFrame, user_pattern: str) -> DataFrame:
 
 def without_user(listed: DataFrame, user_pattern: str) -> DataFrame:
     """Archives whose path yields no safe user id, with the reason."""
-    return listed.where(_user(user_pattern).isNull()).select(
+    return _with_path_user(listed, user_pattern).where("user_id IS NULL").select(
         F.col("path").alias("source"), "length", F.lit("no safe user id in the path").alias("error"))
 
 
@@ -183,16 +197,16 @@ def read_catalog(spark: SparkSession, bronze: str) -> DataFrame:
 
 def _copy_task(bronze: str):
     def run(batches):
+        target_fs, root = open_fs(bronze)
         for batch in batches:
-            rows = [_copy(row, bronze) for row in batch.itertuples(index=False)]
+            rows = [_copy(row, bronze, target_fs, root) for row in batch.itertuples(index=False)]
             yield pd.DataFrame(rows, columns=["user_id", "source", "length", "modified", "sha256", "archive"])
 
     return run
 
 
-def _copy(row, bronze: str):
+def _copy(row, bronze: str, target_fs, root: str):
     source_fs, source_path = open_fs(row.source)
-    target_fs, root = open_fs(bronze)
     folder = posixpath.join(root, quote(row.user_id, safe=""))
     target_fs.create_dir(folder, recursive=True)
     attempt = posixpath.join(folder, f".{uuid.uuid4().hex}.part")
@@ -246,9 +260,9 @@ def unpack_exports(
 def _unpack_task(staging: str, part_bytes: int, set_aside: bool):
     def run(batches):
         rows, size = [], 0
+        target_fs, root = open_fs(staging)
         for batch in batches:
             for row in batch.to_pandas().itertuples(index=False):
-                target_fs, root = open_fs(staging)
                 folder = posixpath.join(root, row.sha256[:2])
                 parts = []
                 try:
@@ -276,13 +290,14 @@ def _unpack(row, target_fs, folder: str, part_bytes: int):
     source_fs, source_path = open_fs(row.source)
     kept = 0
     with source_fs.open_input_file(source_path) as raw, zipfile.ZipFile(raw) as archive:
-        with archive.open(export_member(archive.namelist())) as xml:
-            for number, blocks in enumerate(split_document(xml, part_bytes)):
+        member = archive.getinfo(export_member(archive.namelist()))
+        with archive.open(member) as xml:
+            for number, blocks in enumerate(_parts(xml, member.file_size, part_bytes)):
                 name = part_name(row.user_id, row.sha256, number)
                 part = {"user_id": row.user_id, "sha256": row.sha256, "part": name, "error": None, "document": None}
                 head = _up_to(blocks, PACKED_BYTES)
                 # Two-byte characters are left to the reader of files.
-                if len(head) <= PACKED_BYTES and kept + len(head) <= ARCHIVE_BYTES and not head.startswith((b"\xff\xfe", b"\xfe\xff")):
+                if len(head) <= PACKED_BYTES and kept + len(head) <= ARCHIVE_BYTES and not head.startswith(_TWO_BYTES):
                     kept += len(head)
                     yield part | {"bytes": len(head), "document": head} | element_spans(head)
                     continue
@@ -298,6 +313,16 @@ def _unpack(row, target_fs, folder: str, part_bytes: int):
                 yield part | {"part": path, "bytes": size}
 
 
+def _parts(xml, size: int, part_bytes: int):
+    """As ``split_document``; a small document is one part, which ``element_spans`` checks and need not be read for cuts."""
+    if size > min(part_bytes, PACKED_BYTES):
+        return split_document(xml, part_bytes)
+    document = xml.read()
+    if document.startswith(_TWO_BYTES):
+        return split_document(io.BytesIO(document), part_bytes)
+    return iter([iter([document])])
+
+
 def _up_to(blocks, size: int) -> bytes:
     """The first blocks, until they are longer than ``size`` or used up."""
     head = bytearray()
@@ -393,7 +418,7 @@ class _Cutter:
 
     def _read(self):
         block = self.stream.read(BLOCK)
-        if block.startswith((b"\xff\xfe", b"\xfe\xff")) and not self.offset and not self.pending:
+        if block.startswith(_TWO_BYTES) and not self.offset and not self.pending:
             self.part_bytes = float("inf")  # two-byte characters: leave whole
         self.ended = not block
         self.parser.Parse(block, self.ended)
