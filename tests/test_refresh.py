@@ -1,13 +1,14 @@
 """Daily states, the feed of changed days and gold refreshed by it."""
 
 import datetime as dt
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from vitals.operators import daily_rollup, daily_states, merged_states, state_rollup, suppress_overlaps
-from vitals.plans import gold, refresh
+from vitals.plans import gold, pipeline, refresh
 from vitals.plans.pipeline import Lake, refresh_changed
 from vitals.schema import GOLD_SCHEMAS, RECORD_SCHEMA, WORKOUT_SCHEMA
 from vitals.sources import feed as feeds, tables
@@ -164,3 +165,31 @@ def test_a_broken_merge_is_finished_by_the_next(spark, tmp_path, monkeypatch, st
     tidy = lambda s: shown(s.withColumn("zero_starts", F.array_sort("zero_starts")))
     assert tidy(lake.record_feed(spark).states()) == tidy(daily_states(stored))
     assert len(lake.record_feed(spark).runs()) == 3
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_days_to_read_are_those_of_both_steps_in_one_shuffle(spark, seed):
+    rows = made(40 + seed, 500)
+    one, two = frame(spark, rows[::2]), frame(spark, rows[1::2])
+    parts = daily_states(one).unionByName(daily_states(two)).where(F.col("type").isin(*gold.MOVEMENT)).localCheckpoint()
+    changes = frame(spark, made(50 + seed, 6, users=2)).select("user_id", "type", "date").distinct().localCheckpoint()
+    moved = changes.where(F.col("type").isin(*gold.MOVEMENT))
+    got = refresh.days_to_read(parts, changes)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    states = merged_states(parts)
+    days = refresh.touched_days(states, moved).select("user_id", "date").unionByName(changes.select("user_id", "date")).distinct()
+    read, others = refresh.read_and_carried(states, days)
+    assert shown(got.where("_read").select(read.columns)) == shown(read) and read.count()
+    assert shown(got.where("NOT _read").select("user_id", "type", "date")) == shown(others.select("user_id", "type", "_day"))
+    assert shown(got.where("_wanted").select("user_id", "date").distinct()) == shown(days.join(states, ["user_id", "date"], "left_semi"))
+
+
+def test_a_refresh_does_not_join_stored_records_with_users(spark, tmp_path, monkeypatch):
+    lake = Lake(str(tmp_path / "lake"), record_buckets=2, gold_buckets=2)
+    merge(spark, lake, made(60, 200))
+    seen, build = [], pipeline.changed_gold
+    monkeypatch.setattr(pipeline, "changed_gold", lambda records, *more: seen.append(records) or build(records, *more))
+    refresh_changed(spark, lake, now())
+    assert "Join" not in seen[0]._jdf.queryExecution().analyzed().toString()
+    assert not [name for _, _, names in os.walk(lake.staging) for name in names]

@@ -41,13 +41,13 @@ BODY = (
 )
 CLIMBED = "flights_climbed"
 
-_INTERVAL_COLUMNS = ("user_id", "type", "source_name", "start_date", "end_date", "value")
+INTERVAL_COLUMNS = ("user_id", "type", "source_name", "start_date", "end_date", "value")
 
 
 def _of_types(records: DataFrame, *metrics: str) -> DataFrame:
     """Rows of some metrics. On the stored table this prunes partitions."""
     partition = "records_type" if "records_type" in records.columns else "type"
-    return records.where(F.col(partition).isin(*metrics)).select(*_INTERVAL_COLUMNS)
+    return records.where(F.col(partition).isin(*metrics)).select(*INTERVAL_COLUMNS)
 
 
 def daily_heart_rate(records: DataFrame) -> DataFrame:

@@ -254,17 +254,21 @@ def refresh_changed(
     records_feed, workouts_feed = lake.record_feed(spark), lake.workout_feed(spark)
     runs, workout_runs = records_feed.runs(), workouts_feed.runs()
     kept = posixpath.join(lake.staging, "changes", f"run={uuid.uuid4().hex}")
-    records_feed.changes(runs).unionByName(workouts_feed.changes(workout_runs)).write.parquet(kept)
-    changes = spark.read.schema("user_id string, type string, date date").parquet(kept)
-    users = changes.select("user_id").distinct()
+
+    def keep(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(posixpath.join(kept, name))
+        return spark.read.schema(rows.schema).parquet(posixpath.join(kept, name))
+
+    changes = keep(records_feed.changes(runs).unionByName(workouts_feed.changes(workout_runs)), "changes")
+    users = changes.select("user_id")
     bounds = changes.agg(F.min("date").alias("low"), F.max("date").alias("high")).first()
     if bounds["low"] is not None:
         kinds = {row["type"] for row in changes.select("type").distinct().collect()}  # at most one per metric
-        records = tables.read_silver(spark, lake.records, users=users)
-        built = changed_gold(records, records_feed.states(), changes.where("type <> 'workout'"), kinds)
+        records = tables.read_silver(spark, lake.records, users=users, exact=False)
+        built = changed_gold(records, records_feed.state_parts(), changes.where("type <> 'workout'"), kinds, keep)
         if "workout" in kinds:
             days = changes.where("type = 'workout'").select("user_id", "date").distinct()
-            workouts = tables.read_silver_workouts(spark, lake.workouts, users=users).where(
+            workouts = tables.read_silver_workouts(spark, lake.workouts, users=users, exact=False).where(
                 F.col("date").between(F.lit(bounds["low"]), F.lit(bounds["high"])))
             built["workouts_summary"] = workouts_summary(workouts.join(days, ["user_id", "date"], "left_semi"))
         _together(spark, [

@@ -83,7 +83,11 @@ class Feed:
 
     def states(self) -> DataFrame:
         """One state per user, metric and day of all recorded rows."""
-        return merged_states(self._states.parts().drop("_version"))
+        return merged_states(self.state_parts())
+
+    def state_parts(self) -> DataFrame:
+        """The states as merges left them, several to a user, metric and day."""
+        return self._states.parts().drop("_version")
 
     def compact(self, least: int = 2) -> None:
         self._states.compact(merged_states, least)

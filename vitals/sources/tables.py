@@ -70,31 +70,34 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def read_silver(
-    spark: SparkSession, path: str, types: list[str] | None = None, users: DataFrame | None = None
+    spark: SparkSession, path: str, types: list[str] | None = None, users: DataFrame | None = None, exact: bool = True
 ) -> DataFrame:
-    """Records of some metrics and users, all by default; both prune partitions."""
-    records = of_users(spark, path, _read(spark, path, STORED_RECORDS), users)
+    """Records of some metrics and users, all by default; both prune partitions (``exact`` as in ``of_users``)."""
+    records = of_users(spark, path, _read(spark, path, STORED_RECORDS), users, exact=exact)
     return records if types is None else records.where(F.col("records_type").isin(*types))
 
 
-def read_silver_workouts(spark: SparkSession, path: str, users: DataFrame | None = None) -> DataFrame:
-    return of_users(spark, path, _read(spark, path, STORED_WORKOUTS), users)
+def read_silver_workouts(spark: SparkSession, path: str, users: DataFrame | None = None, exact: bool = True) -> DataFrame:
+    return of_users(spark, path, _read(spark, path, STORED_WORKOUTS), users, exact=exact)
 
 
 def of_users(
-    spark: SparkSession, path: str, rows: DataFrame, users: DataFrame | None, buckets: int | None = None
+    spark: SparkSession, path: str, rows: DataFrame, users: DataFrame | None, buckets: int | None = None, exact: bool = True
 ) -> DataFrame:
     """Stored rows of the users listed in ``users.user_id``.
 
     Only the users' buckets are read; at most one number per bucket is
     collected for that. A list kept as a table has a known size, by which Spark
-    decides whether to broadcast it (see ``pipeline.listed_users``).
+    decides whether to broadcast it (see ``pipeline.listed_users``). Without
+    ``exact`` other users of the same buckets come along, for callers that join
+    the rows with narrower keys anyway and need not shuffle them for this, too.
     """
     if users is None or not exists(spark, path):
         return rows
     users = users.select("user_id")
     found = users.select(user_bucket(buckets or bucket_count(spark, path)).alias("bucket")).distinct().collect()
-    return rows.where(F.col("user_bucket").isin([r.bucket for r in found])).join(users, "user_id", "left_semi")
+    rows = rows.where(F.col("user_bucket").isin([r.bucket for r in found]))
+    return rows.join(users, "user_id", "left_semi") if exact else rows
 
 
 def _write_partitioned(df: DataFrame, path: str, partitions, sort, mode: str, **options) -> None:
