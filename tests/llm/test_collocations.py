@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 from vitals.llm import collocations as co
+from vitals.llm.common import Vocabulary
 
 
 def brute(rows, least=30, top=2000):
@@ -104,3 +105,20 @@ def test_odd_rows(odd, odd_rows):
 
 def test_empty_table(none):
     assert result(none) == []
+
+
+def test_words_are_looked_up_once():
+    class Counted(list):
+        passes = 0
+
+        def __iter__(self):
+            self.passes += 1
+            return super().__iter__()
+
+    known = Vocabulary(width=2, hashes=lambda words: [[len(w) for w in words], [ord(w[0]) for w in words]])
+    for words, numbers in ((["b", "a", "b"], [0, 1, 0]), (["a", "cc", "dd", "cc"], [1, 2, 3, 2]), ([], []), (["b"], [0])):
+        counted = Counted(words)
+        assert known(counted).tolist() == numbers and counted.passes == 1
+    assert known.rows(["dd", "a"]).tolist() == [[2, ord("d")], [1, ord("a")]] and list(known.numbers) == ["b", "a", "cc", "dd"]
+    many = [f"w{i}" for i in range(10_000)]
+    assert known.hash(many).tolist() == [len(w) for w in many]
