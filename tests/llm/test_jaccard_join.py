@@ -130,3 +130,19 @@ def test_near_by_signature_misses_nothing(more):
                 pairs += 1
                 assert (j, i) in near
     assert pairs > 20
+
+
+def test_listed_rows_stay_and_few_others(spark):
+    listed = spark.range(0, 40_000, 2)
+    bits = jj.listed_bits(listed.select(jj.F.xxhash64("id").alias("hash")))
+    found = jj.may_be_listed(spark.range(40_000), jj.F.xxhash64("id"), bits).groupBy((jj.F.col("id") % 2).alias("odd")).agg(jj.F.count_if("listed").alias("n"))
+    n = {r.odd: r.n for r in found.collect()}
+    assert n[0] == 20_000 and n[1] < 200
+    nothing = jj.listed_bits(spark.range(0).select(jj.F.xxhash64("id").alias("hash")))
+    assert jj.may_be_listed(spark.range(10), jj.F.xxhash64("id"), nothing).filter("listed").isEmpty()
+
+
+def test_one_row_stands_for_a_set(spark):
+    rows = spark.createDataFrame([(i, bytes([i % 7]) if i % 10 else None, 1, [i]) for i in range(100)], "row long, content binary, n_shingles long, prefix array<long>")
+    sets = rows.filter("content IS NOT NULL").groupBy("content").agg(jj.F.min("row").alias("node"))
+    assert {r.row for r in jj.first_rows(rows, sets).collect()} == {r.node for r in sets.collect()}

@@ -27,7 +27,7 @@ from math import log
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from vitals.llm.common import mix64, partitions, plain_text, stored, summed_counts
 from vitals.llm.components import components
@@ -37,6 +37,8 @@ PERCENT = 80
 LEVEL_BITS = 18
 TILE = 256
 LEAST_BITS, MOST_BITS = 64, 16_384
+#: Bits that say which hashes are on a list, in rows of so many.
+LIST_BITS, ROW_BITS = 1 << 24, 1 << 15
 
 _LONG_WORD = 64
 _BYTES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -188,10 +190,28 @@ def described(docs: DataFrame, doc_id, text, percent: int) -> DataFrame:
                               "s.content", "s.prefix", "s.bits"), "join-rows")
 
 
+def listed_bits(hashes: DataFrame) -> DataFrame:
+    """Stored ``bits_row, bits_set``: a bit for each ``hash`` of a list, at most ``LIST_BITS`` of them however long the list."""
+    place = F.pmod(F.col("hash"), F.lit(LIST_BITS))
+    placed = hashes.select(F.floor(place / ROW_BITS).alias("bits_row"), (place % ROW_BITS).alias("at"))
+    placed = placed.repartition(partitions(hashes.sparkSession), "bits_row")  # else every task would send a row of bits per row
+    return stored(placed.groupBy("bits_row").agg(F.bitmap_construct_agg("at").alias("bits_set")), "join-listed")
+
+
+def may_be_listed(rows: DataFrame, hash: Column, bits: DataFrame) -> DataFrame:
+    """``rows`` with ``listed``: true wherever the list has the hash, false for nearly all others while it has fewer hashes than bits."""
+    place = F.pmod(hash, F.lit(LIST_BITS))
+    rows = rows.join(F.broadcast(bits), F.floor(place / ROW_BITS) == F.col("bits_row"), "left")
+    at = place % ROW_BITS
+    byte = F.conv(F.hex(F.substring("bits_set", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    return rows.withColumn("listed", F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("bits_row", "bits_set")
+
+
 def texts_of(nodes: DataFrame, docs: DataFrame, doc_id, text) -> DataFrame:
-    """Stored ``node, text`` of ``node, doc_id, digest`` rows; a short list is small enough for Spark to broadcast."""
+    """Stored ``node, text`` of ``node, doc_id, digest`` rows; of the texts that are not needed few are moved."""
     nodes = stored(nodes.select("node", "doc_id", "digest"), "join-needed")
     texts = docs.select(F.col(doc_id).alias("id"), plain_text(F.col(text)).alias("text")).withColumn("d", F.unhex(F.md5("text")))
+    texts = may_be_listed(texts, F.xxhash64("d"), listed_bits(nodes.select(F.xxhash64("digest").alias("hash")))).filter("listed")
     texts = texts.join(nodes, (F.col("d") == F.col("digest")) & F.col("id").eqNullSafe(F.col("doc_id"))).select("node", "text")
     texts = stored(texts, "join-texts")
     # Only rows that repeat both id and text are there twice.
@@ -331,8 +351,8 @@ def _apart(members: DataFrame) -> DataFrame:
     return stored(members.join(keys, "key"), "join-mixed")
 
 
-def node_links(nodes: DataFrame, docs: DataFrame, doc_id, text, percent: int) -> DataFrame:
-    """Links ``a, b`` that connect every two nodes connected by any links."""
+def node_links(nodes: DataFrame, rows: DataFrame, docs: DataFrame, doc_id, text, percent: int) -> DataFrame:
+    """Links ``a, b`` that connect every two nodes connected by any links; ``rows`` has the nodes and may have more."""
     keyed = nodes.select(F.explode("prefix").alias("key"), F.col("row").alias("node"), F.col("n_shingles").cast("int").alias("size"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     members = stored(keyed.join(shared.select("key"), "key"), "join-members")
@@ -342,15 +362,15 @@ def node_links(nodes: DataFrame, docs: DataFrame, doc_id, text, percent: int) ->
     pairs = members.join(led, "key").filter("node <> leader.node").filter(
         100 * F.least("size", "leader.size") >= percent * F.greatest("size", "leader.size"))
     pairs = pairs.select(F.col("leader.node").alias("a"), F.col("node").alias("b")).distinct()
-    near = stored(_within_bound(pairs, nodes, percent), "join-pairs")
+    near = stored(_within_bound(pairs, rows, percent), "join-pairs")
 
     apart = _apart(stored(_grouped(members, near), "join-rooted"))
-    bits = nodes.select(F.col("row").alias("node"), "bits")
+    bits = rows.select(F.col("row").alias("node"), "bits")
     near = near.unionByName(candidates(tiles(apart, percent).join(bits, "node"), percent))
 
     groups = components(near).withColumnRenamed("root", "key")
     sizes = groups.groupBy("key").agg(F.count("*").alias("n"))
-    named = nodes.select(F.col("row").alias("node"), F.col("n_shingles").cast("int").alias("size"), "doc_id", "digest")
+    named = rows.select(F.col("row").alias("node"), F.col("n_shingles").cast("int").alias("size"), "doc_id", "digest")
     groups = stored(groups.join(sizes, "key").join(named, "node"), "join-groups")
     texts = texts_of(groups, docs, doc_id, text)
     groups = groups.drop("doc_id", "digest")
@@ -361,6 +381,14 @@ def node_links(nodes: DataFrame, docs: DataFrame, doc_id, text, percent: int) ->
     return links.unionByName(links_in_tiles(tiled, percent))
 
 
+def first_rows(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``row, n_shingles, prefix`` of the rows that stand for their set; only those that may be copies of others are moved."""
+    copies = rows.filter("content IS NOT NULL").select("row", "content").join(sets.select("content", "node"), "content").filter("row <> node")
+    copies = stored(copies.select("row"), "join-copies")
+    found = may_be_listed(rows.filter("content IS NOT NULL").select("row", "n_shingles", "prefix"), F.xxhash64("row"), listed_bits(copies.select(F.xxhash64("row").alias("hash"))))
+    return found.filter("NOT listed").unionByName(found.filter("listed").join(copies, "row", "left_anti")).drop("listed")
+
+
 def _within_bound(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs that their signatures allow."""
     @F.arrow_udf("boolean")
@@ -394,8 +422,8 @@ def joined(docs: DataFrame, doc_id="doc_id", text="text", percent: int = PERCENT
     rows = described(docs, doc_id, text, percent)
     sets = rows.filter("content IS NOT NULL").groupBy("content").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"))
     sets = stored(sets, "join-sets")
-    nodes = rows.join(sets.select(F.col("node").alias("row")), "row", "left_semi")
-    roots = components(node_links(nodes, docs, doc_id, text, percent))
+    nodes = first_rows(rows, sets)
+    roots = components(node_links(nodes, rows, docs, doc_id, text, percent))
     sets = sets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = sets.groupBy("root").agg(F.min("least").alias("component_id"))
     named = stored(sets.join(ids, "root").select("content", "component_id"), "join-components")
