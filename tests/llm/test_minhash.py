@@ -166,3 +166,23 @@ def test_word_hashes_tell_words_apart():
     hashes = text_hashes(" ".join(words))
     assert len(set(hashes.tolist())) == len(words) == len(hashes)
     assert (hashes == word_by_word(" ".join(words))).all() and (text_hashes(" ".join(words).upper())[0] == hashes[0])
+
+
+def test_components_move_links_in_few_shuffles(spark, monkeypatch):
+    from vitals.llm import components as module
+    steps = []
+
+    def watched(df, purpose):
+        steps.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return stored(df, purpose)
+
+    stored = module.stored
+    monkeypatch.setattr(module, "stored", watched)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = {r.node: r.root for r in components(spark.createDataFrame([(i, i + 1) for i in range(40)] * 2 + [(50, 60), (60, 50), (7, 7)], "a long, b long")).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert got == {i: 0 for i in range(41)} | {50: 50, 60: 50}
+    assert len(steps) > 5 and steps[1] <= 2 and max(steps[3:]) <= 2

@@ -14,19 +14,21 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps: links are moved to the least
     neighbour until every component is a star. Minima are aggregated before
-    they meet the links, so a node with many links gathers nothing.
+    they meet the links, so a node with many links gathers nothing. A step
+    makes one link of each, so copies of links are only removed in the first
+    round, which makes most of them; a step is then a shuffle of the links and
+    one of the minima.
     """
     edges = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    before = _state(edges)
+    before, first = _state(edges), True
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        large = stored(large, "links")
+        turned = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+        least = edges.unionByName(turned).groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+        large = stored(turned.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")), "links")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").filter("b <> m").select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b"))
-        small = small.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
-        edges = stored(small, "links")
+        # a node's link to its least neighbour stays, those to others become theirs
+        small = large.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+        edges, first = stored(small.distinct() if first else small, "links"), False
         after = _state(edges)
         if after == before:
             break
