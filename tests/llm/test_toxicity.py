@@ -1,3 +1,6 @@
+import random
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -65,3 +68,33 @@ def test_odd_rows(spark, odd, odd_rows, none):
     assert len(blank) == 1  # null, empty and wordless texts score alike
     assert toxicity.fit(odd, labels.limit(0))[0] == 0.0
     assert toxicity.score(none, toxicity.fit(none, labels)).count() == 0
+
+
+def test_training_memory_does_not_follow_the_texts():
+    def peak(n):
+        rng = random.Random(7)
+        words = [f"w{i}" for i in range(2_000)]
+        texts = [" ".join(rng.choices(words, k=400)) for _ in range(n)]
+        tracemalloc.start()
+        found = toxicity.train((t for t in texts), [i % 2 for i in range(n)], epochs=1)
+        _, most = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert len(found[1]) == len(found[2])
+        return most
+
+    peak(10)
+    # a text has some 2 800 features; kept in memory, those of 1 200 more texts would take 13 MB and more
+    assert peak(1_500) - peak(300) < 6_000_000
+
+
+def test_model_does_not_depend_on_what_is_remembered(monkeypatch):
+    rng = random.Random(8)
+    words = [f"word{i}" for i in range(3_000)]
+    texts = [" ".join(rng.choices(words, k=60)) for _ in range(300)]
+    labels = ["word7 " in t for t in texts]
+    wanted = toxicity.train(texts, labels, epochs=3, l1=0.1)
+    monkeypatch.setattr(toxicity, "MOST_WORDS", 100)
+    monkeypatch.setattr(toxicity, "MOST_STEMS", 50)
+    got = toxicity.train(texts, labels, epochs=3, l1=0.1)
+    assert got[0] == wanted[0] and len(wanted[1])
+    assert got[1].tolist() == wanted[1].tolist() and got[2].tolist() == wanted[2].tolist()

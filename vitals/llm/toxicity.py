@@ -7,10 +7,12 @@ coordinate its own rate and an L1 penalty, so few weights are not zero; those
 few are what is sent to the executors, at most ``2 ** BITS`` of them.
 
 Training reads a bounded sample: the ``max_rows`` labelled documents with the
-lowest hash of their id (all, if there are fewer). Scoring reads everything.
+lowest hash of their id (all, if there are fewer), one at a time; their features
+wait for the passes over them in a temporary file. Scoring reads everything.
 """
 
-from collections.abc import Iterator
+import tempfile
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,6 +30,9 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 4.0, 1.0
 LEAST_DOCS = 4
 SKIPS = (1, 2, 3)
 FOLDS = 5
+#: Words and stems remembered at a time; a Python worker keeps the memory they took.
+MOST_WORDS, MOST_STEMS = 150_000, 100_000
+_STRETCH = 1 << 16
 
 
 def feature_vocabulary() -> Vocabulary:
@@ -36,13 +41,13 @@ def feature_vocabulary() -> Vocabulary:
 
     def stem(word):
         if word not in stems:
-            if len(stems) > 200_000:
+            if len(stems) > MOST_STEMS:
                 stems.clear()
             stems[word] = word_hash(word + "~")
         return stems[word]
 
     return Vocabulary(lambda words: [
-        list(map(word_hash, words)), [stem(w[:4]) for w in words], [stem(w[:5]) for w in words]], 3)
+        list(map(word_hash, words)), [stem(w[:4]) for w in words], [stem(w[:5]) for w in words]], 3, MOST_WORDS)
 
 
 def coordinates(text: str, vocabulary) -> np.ndarray:
@@ -63,19 +68,31 @@ def sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35.0, 35.0)))
 
 
-def train(texts: list[str], labels: list[int], epochs=None, alpha=ALPHA, beta=BETA, l1=L1, l2=L2, least_docs=LEAST_DOCS):
-    """FTRL-proximal over the texts in the given order; returns (bias, coordinates, weights)."""
-    size = 1 << BITS
-    epochs = epochs or min(MOST_EPOCHS, max(LEAST_EPOCHS, -(-STEPS // max(len(texts), 1))))
-    vocabulary = feature_vocabulary()
-    features = [np.unique(coordinates(t, vocabulary)).astype(np.int32) for t in texts]
+def train(texts: Iterable[str], labels: list[int], epochs=None, alpha=ALPHA, beta=BETA, l1=L1, l2=L2, least_docs=LEAST_DOCS):
+    """FTRL-proximal over the texts in the given order; returns (bias, coordinates, weights).
 
-    docs = np.zeros(size, np.int32)
-    for at in features:
+    Texts are read once, before the labels; no two of them are held at a time.
+    """
+    with tempfile.TemporaryFile() as features:
+        docs, sizes = count_features(texts, features)
+        return learn_weights(features, docs, sizes, labels, epochs, alpha, beta, l1, l2, least_docs)
+
+
+def count_features(texts: Iterable[str], features) -> tuple[np.ndarray, list[int]]:
+    """Writes each text's coordinates to the file; texts per coordinate, and how many coordinates each text has."""
+    docs, sizes, vocabulary = np.zeros(1 << BITS, np.int32), [], feature_vocabulary()
+    for text in texts:
+        at = np.unique(coordinates(text, vocabulary)).astype(np.int32)
         docs[at] += 1
+        features.write(at.tobytes())
+        sizes.append(len(at))
+    return docs, sizes
+
+
+def learn_weights(features, docs, sizes, labels, epochs, alpha, beta, l1, l2, least_docs):
+    epochs = epochs or min(MOST_EPOCHS, max(LEAST_EPOCHS, -(-STEPS // max(len(sizes), 1))))
     included = np.flatnonzero(docs >= least_docs)
-    number = np.cumsum(docs >= least_docs) - 1
-    features = [number[at[docs[at] >= least_docs]] for at in features]
+    number = np.cumsum(docs >= least_docs, dtype=np.int32) - 1
     size = len(included)
     z, n = np.zeros(size + 1), np.zeros(size + 1)  # the last coordinate is the bias, which L1 spares
 
@@ -88,7 +105,10 @@ def train(texts: list[str], labels: list[int], epochs=None, alpha=ALPHA, beta=BE
         return -z[size] / ((beta + np.sqrt(n[size])) / alpha)
 
     for _ in range(epochs):
-        for at, label in zip(features, labels):
+        features.seek(0)
+        for found, label in zip(sizes, labels):
+            at = np.frombuffer(features.read(4 * found), np.int32)
+            at = number[at[docs[at] >= least_docs]]
             w = weights(at)
             b = bias()
             g = sigmoid(w.sum() + b) - label
@@ -97,7 +117,10 @@ def train(texts: list[str], labels: list[int], epochs=None, alpha=ALPHA, beta=BE
             n[at] += g * g
             z[size] += g - (np.sqrt(n[size] + g * g) - np.sqrt(n[size])) / alpha * b
             n[size] += g * g
-    every = weights(np.arange(size))
+    every = np.zeros(size)
+    for low in range(0, size, _STRETCH):
+        part = slice(low, min(low + _STRETCH, size))
+        every[part] = weights(part)
     used = np.flatnonzero(every)
     return float(bias()), included[used].astype(np.int32), every[used].astype(np.float32)
 
@@ -123,11 +146,15 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text", label=
     rows = rows.orderBy(F.xxhash64("id"), "id", F.xxhash64("text")).limit(max_rows)
 
     def learn(batches):
-        texts, marks = [], []
-        for batch in batches:
-            texts += batch.column(0).to_pylist()
-            marks += batch.column(1).to_pylist()
-        bias, at, weight = train(texts, marks, epochs)
+        marks = []
+
+        def texts():
+            for batch in batches:
+                marks.extend(batch.column(1).to_pylist())
+                for text in batch.column(0):
+                    yield text.as_py()
+
+        bias, at, weight = train(texts(), marks, epochs)
         yield pa.RecordBatch.from_pydict({"bias": [bias], "at": [at.tobytes()], "weight": [weight.tobytes()]})
 
     learned = rows.select("text", "label").coalesce(1).mapInArrow(learn, "bias double, at binary, weight binary").collect()
