@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -86,3 +87,29 @@ def test_documents_read_back(spark, odd, odd_rows, none, whole):
     known = [r.doc_id for r in sorted(got, key=lambda r: r.start)]
     assert known == sorted(known, key=lambda i: (i is not None, i or 0))
     assert tokens.read_documents(spark, tokens.write(none)).count() == 0
+
+
+def test_planes_are_made_and_read_in_little_memory():
+    rng = np.random.default_rng(3)
+    ids = rng.integers(0, 50_257, 1_000_003).astype(np.uint16)
+
+    def peak(work):
+        tracemalloc.start()
+        result = work()
+        _, most = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        return result, most / len(ids)
+
+    content, most = peak(lambda: tokens.pack(ids, [1], np.array([len(ids)])))
+    assert most < 16  # bytes a token; with the places of a whole plane's tokens it was 17.7, and 11.2 to read it
+    shard = tokens.Shard(content)
+    got, most = peak(shard.tokens)
+    assert np.array_equal(got, ids) and most < 8
+
+
+def test_ends_in_white_space_are_not_taken_for_words(plain):
+    encode = tokens.Encoder(tokens.vocabulary_file())
+    ends = ["", " ", "\n", " \n", "a\n", "a\t", "b \n"]
+    texts = [f"{x}{a} {b}{y}" for a in ends for b in ends for x in ("", "the ") for y in ("", " the", "\nthe")]
+    for text in texts + texts[::-1]:
+        assert np.frombuffer(encode(text), encode.type).tolist() == plain.encode(text, add_special_tokens=False).ids, text

@@ -31,6 +31,8 @@ from vitals.llm.common import partitions, plain_text, work_folder
 END = 0
 SHARD_TOKENS = 1 << 22
 BLOCK = 512
+#: Tokens moved at a time while planes are made and read, so that their places stay in the processor's cache; divisible by 8.
+_STRETCH = 1 << 16
 MAGIC = b"VWM1"
 
 
@@ -43,7 +45,6 @@ def vocabulary_file() -> str:
 
 #: A space after anything but white space always starts a new piece of the tokenizer, so texts may be cut there.
 _CUT = re.compile(r"(?<=\S) ")
-_SPACES = re.compile(r"\s ")
 #: Marks that start a new piece after a letter; without those of which added tokens like `<|endoftext|>` are made.
 _MARKS = "".join(set(string.punctuation) - set("<|>"))
 _SPACE_BYTE = "\u0120"
@@ -72,19 +73,35 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
-        pieces = _CUT.split(text) if _SPACES.search(text) else text.split(" ")
-        if text[0] == " " and not pieces[0]:  # a space at the start stays with what follows
-            first, pieces = " " + pieces[1], pieces[2:]
-        else:
-            first, pieces = pieces[0], pieces[1:]
-        head = self._ids([first])[0] if first else b""
+        found = self._read(text.split(" "))
+        return b"".join(self._read(_CUT.split(text), cut=True) if found is None else found)
+
+    def _read(self, pieces: list[str], cut: bool = False) -> list[bytes] | None:
+        """Ids of a text's pieces, all but the first with a space before them.
+
+        None unless they are ``cut`` as `_CUT` does: where a piece that others
+        follow is empty or ends in white space. Such pieces are never remembered,
+        so only those that are not known have to be looked at.
+        """
+        first = pieces.pop(0)
+        if pieces and first and first[-1].isspace() and not cut:
+            return None
+        last = pieces.pop() if pieces and (not pieces[-1] or pieces[-1][-1].isspace()) else None
         if len(self.pieces) > self.limit:
             self.pieces, self.older = {}, self.pieces
-        try:
-            return head + b"".join(map(self.pieces.__getitem__, pieces))
-        except KeyError:
-            self._learn(set(pieces).difference(self.pieces))
-        return head + b"".join(map(self.pieces.__getitem__, pieces))
+        known = self.pieces
+        found = list(map(known.get, pieces))
+        new = {c for c, ids in zip(pieces, found) if ids is None}
+        if new:
+            if not cut and any(not c or c[-1].isspace() for c in new):
+                return None
+            self._learn(new)
+            found = [known[c] if ids is None else ids for c, ids in zip(pieces, found)]
+        if first:
+            found.insert(0, self._ids([first])[0])
+        if last is not None:
+            found += self._ids([" " + last])
+        return found
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         code = "I" if self.wide else "H"
@@ -98,21 +115,21 @@ class Encoder:
         one spaced token to the next.
         """
         plain = [c for c in words if c and " " not in c and not c[-1].isspace()]
-        if len(plain) < len(words):
-            single = set(words).difference(plain)
-            other = dict(zip(single, self._ids([" " + c for c in single])))
-        else:
-            other = {}
-        found = {}
+        found = []
         for low in range(0, len(plain), _WORDS_AT_ONCE):
             part = plain[low:low + _WORDS_AT_ONCE]
             ids = np.frombuffer(self._ids([" " + " ".join(part)])[0], self.type)
             at = np.flatnonzero(self.spaced[ids]) * ids.itemsize
             if len(at) != len(part):
                 raise ValueError("the vocabulary does not mark every space before a word")
-            packed, ends = ids.tobytes(), at[1:].tolist() + [ids.nbytes]
-            found.update(zip(part, [packed[a:b] for a, b in zip(at.tolist(), ends)]))
-        return [found[c] if c in found else other[c] for c in words] if other else list(map(found.__getitem__, words))
+            packed, starts = ids.tobytes(), at.tolist()
+            found += [packed[a:b] for a, b in zip(starts, [*starts[1:], len(packed)])]
+        if len(plain) == len(words):
+            return found
+        known = dict(zip(plain, found))
+        other = [c for c in words if c not in known]
+        known.update(zip(other, self._ids([" " + c for c in other])))
+        return list(map(known.__getitem__, words))
 
     def _learn(self, new: set[str]):
         pieces, older = self.pieces, self.older
@@ -167,12 +184,21 @@ def pack(ids: np.ndarray, doc_ids: list, lengths: np.ndarray) -> bytes:
     levels = max(1, int(ids.max()).bit_length()) if len(ids) else 1
     planes, zeros, current = [], [], ids
     for level in range(levels - 1, -1, -1):
-        bits = (current & current.dtype.type(1 << level)) != 0
-        planes.append(np.packbits(bits, bitorder="little"))
-        order = np.flatnonzero(~bits)
-        zeros.append(len(order))
-        if level:
-            current = np.concatenate([current.take(order), current.take(np.flatnonzero(bits))])
+        plane, after, ones, z, o = np.empty(-(-len(ids) // 8), np.uint8), np.empty_like(ids), np.empty_like(ids), 0, 0
+        for low in range(0, len(ids), _STRETCH):
+            part = current[low:low + _STRETCH]
+            bits = (part & ids.dtype.type(1 << level)) != 0
+            plane[low // 8:(low + len(part) + 7) // 8] = np.packbits(bits, bitorder="little")
+            order = np.flatnonzero(~bits)
+            after[z:z + len(order)] = part.take(order)
+            z += len(order)
+            order = np.flatnonzero(bits)
+            ones[o:o + len(order)] = part.take(order)
+            o += len(order)
+        after[z:] = ones[:o]
+        planes.append(plane)
+        zeros.append(z)
+        current = after
     offsets = np.zeros(len(lengths) + 1, np.int64)
     np.cumsum(lengths, out=offsets[1:])
     known = np.array([i is not None for i in doc_ids], np.uint8)
@@ -259,15 +285,17 @@ class Shard:
         kind = np.uint16 if self.levels <= 16 else np.uint32
         current = np.zeros(self.n, kind)
         for level in range(self.levels - 1, -1, -1):
-            bits = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             # the order below this plane: zeros first, then ones
-            before = np.empty(self.n, kind)
-            if level < self.levels - 1:
-                before[np.flatnonzero(~bits)] = current[:self.zeros[level]]
-                before[np.flatnonzero(bits)] = current[self.zeros[level]:]
-            else:
-                before[:] = 0
-            before |= bits.astype(kind) << kind(self.levels - 1 - level)
+            before, z, o = np.empty(self.n, kind), 0, self.zeros[level]
+            for low in range(0, self.n, _STRETCH):
+                part = before[low:low + _STRETCH]
+                bits = np.unpackbits(self.planes[level][low // 8:(low + _STRETCH) // 8], count=len(part), bitorder="little").view(bool)
+                order = np.flatnonzero(~bits)
+                part[order] = current[z:z + len(order)]
+                z += len(order)
+                order = np.flatnonzero(bits)
+                part[order] = current[o:o + len(order)] | kind(1 << self.levels - 1 - level)
+                o += len(order)
             current = before
         return current
 
