@@ -183,22 +183,26 @@ def pack(ids: np.ndarray, doc_ids: list, lengths: np.ndarray) -> bytes:
     squeeze = zstandard.ZstdCompressor(level=1).compress
     levels = max(1, int(ids.max()).bit_length()) if len(ids) else 1
     planes, zeros, current = [], [], ids
+    after, spare, ones = np.empty_like(ids), np.empty_like(ids), np.empty_like(ids)
     for level in range(levels - 1, -1, -1):
-        plane, after, ones, z, o = np.empty(-(-len(ids) // 8), np.uint8), np.empty_like(ids), np.empty_like(ids), 0, 0
+        plane, z, o = np.empty(-(-len(ids) // 8), np.uint8), 0, 0
         for low in range(0, len(ids), _STRETCH):
             part = current[low:low + _STRETCH]
             bits = (part & ids.dtype.type(1 << level)) != 0
             plane[low // 8:(low + len(part) + 7) // 8] = np.packbits(bits, bitorder="little")
+            if not level:
+                z += len(part) - int(np.count_nonzero(bits))
+                continue
             order = np.flatnonzero(~bits)
             after[z:z + len(order)] = part.take(order)
             z += len(order)
             order = np.flatnonzero(bits)
             ones[o:o + len(order)] = part.take(order)
             o += len(order)
-        after[z:] = ones[:o]
+        after[z:z + o] = ones[:o]
         planes.append(plane)
         zeros.append(z)
-        current = after
+        current, after = after, spare if current is ids else current
     offsets = np.zeros(len(lengths) + 1, np.int64)
     np.cumsum(lengths, out=offsets[1:])
     known = np.array([i is not None for i in doc_ids], np.uint8)
@@ -283,20 +287,23 @@ class Shard:
     def tokens(self) -> np.ndarray:
         """All ids in order, by undoing the partitions from the lowest plane up."""
         kind = np.uint16 if self.levels <= 16 else np.uint32
-        current = np.zeros(self.n, kind)
+        current, before = np.zeros(self.n, kind), np.empty(self.n, kind)
         for level in range(self.levels - 1, -1, -1):
             # the order below this plane: zeros first, then ones
-            before, z, o = np.empty(self.n, kind), 0, self.zeros[level]
+            z, o = 0, self.zeros[level]
             for low in range(0, self.n, _STRETCH):
                 part = before[low:low + _STRETCH]
                 bits = np.unpackbits(self.planes[level][low // 8:(low + _STRETCH) // 8], count=len(part), bitorder="little").view(bool)
+                if level == self.levels - 1:
+                    part[:] = bits
+                    continue
                 order = np.flatnonzero(~bits)
                 part[order] = current[z:z + len(order)]
                 z += len(order)
                 order = np.flatnonzero(bits)
                 part[order] = current[o:o + len(order)] | kind(1 << self.levels - 1 - level)
                 o += len(order)
-            current = before
+            current, before = before, current
         return current
 
 
