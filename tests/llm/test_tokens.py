@@ -3,6 +3,7 @@ import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -113,3 +114,31 @@ def test_ends_in_white_space_are_not_taken_for_words(plain):
     texts = [f"{x}{a} {b}{y}" for a in ends for b in ends for x in ("", "the ") for y in ("", " the", "\nthe")]
     for text in texts + texts[::-1]:
         assert np.frombuffer(encode(text), encode.type).tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_texts_read_together_keep_their_ids(plain, monkeypatch):
+    rng = random.Random(6)
+    parts = ["the", "it's", "a,", "x\ny", "é", "日本", "<|endoftext|>", "", "\n", "\t", "a\n", "\xa0", "7"]
+    texts = [" ".join(rng.choices(parts[:7] if i % 2 else parts, k=rng.randrange(12))) + rng.choice(["", "\n", " "]) for i in range(600)] + ["", " ", "\n"]
+    wanted = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    for size in (1, 40, 1 << 20):
+        monkeypatch.setattr(tokens, "_BYTES_AT_ONCE", size)
+        encode = tokens.Encoder(tokens.vocabulary_file(), limit=20)
+        got = list(encode.many(pa.array(texts, pa.string()).slice(0)))
+        assert [np.frombuffer(g, encode.type).tolist() for g in got] == wanted
+        assert list(encode.many(pa.array(texts, pa.string()).slice(7, 100))) == got[7:107]
+    assert list(encode.many(pa.array([], pa.string()))) == []
+
+
+def test_repeated_pieces_are_looked_up_once():
+    class Counted(dict):
+        looked_up = 0
+
+        def get(self, key):
+            Counted.looked_up += 1
+            return dict.get(self, key)
+
+    encode = tokens.Encoder(tokens.vocabulary_file())
+    encode.pieces = Counted()
+    list(encode.many(pa.array(["the cat and the dog " * 100] * 50)))
+    assert Counted.looked_up < 100

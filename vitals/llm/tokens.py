@@ -20,9 +20,11 @@ import string
 import struct
 import zlib
 from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
@@ -48,7 +50,9 @@ _CUT = re.compile(r"(?<=\S) ")
 #: Marks that start a new piece after a letter; without those of which added tokens like `<|endoftext|>` are made.
 _MARKS = "".join(set(string.punctuation) - set("<|>"))
 _SPACE_BYTE = "\u0120"
-_WORDS_AT_ONCE = 4_096
+#: Words that the tokenizer reads as one text (it is slower a word on long texts), and bytes of texts read together.
+_WORDS_AT_ONCE = 64
+_BYTES_AT_ONCE = 1 << 23
 
 
 class Encoder:
@@ -76,6 +80,43 @@ class Encoder:
         found = self._read(text.split(" "))
         return b"".join(self._read(_CUT.split(text), cut=True) if found is None else found)
 
+    def many(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text (no nulls), of which stretches are read together."""
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+        starts = np.flatnonzero(np.diff(sizes // _BYTES_AT_ONCE, prepend=-1)).tolist()
+        for low, high in zip(starts, [*starts[1:], len(texts)]):
+            yield from self._together(texts.slice(low, high - low))
+
+    def _together(self, texts: pa.Array) -> list[bytes]:
+        """Looks up each distinct piece once; a text that a space does not cut everywhere is read alone."""
+        if len(self.pieces) > self.limit:
+            self.pieces, self.older = {}, self.pieces
+        known = self.pieces
+        cut = pc.split_pattern(texts, " ")
+        numbered = cut.flatten().dictionary_encode()
+        pieces, numbers = numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
+        found = list(map(known.get, pieces))
+        self._learn([c for c, ids in zip(pieces, found) if ids is None and c and not c[-1].isspace()])
+        found = [known.get(c) if ids is None else ids for c, ids in zip(pieces, found)]
+        every = np.empty(len(found), object)
+        every[:] = found
+        every = every.take(numbers).tolist()
+        ends = cut.offsets.to_pylist()
+        firsts = [pieces[i] for i in numbers[ends[:-1]].tolist()]
+        out = []
+        for row, (head, first, low, high) in enumerate(zip(self._ids(firsts), firsts, ends, ends[1:])):
+            own, tail = every[low + 1:high], b""
+            if own and own[-1] is None:  # the end of a text may be white space
+                own.pop()
+                tail = self._ids([" " + pieces[numbers[high - 1]]])[0]
+            try:
+                if high - low > 1 and first and first[-1].isspace():
+                    raise TypeError
+                out.append(b"".join([head, *own, tail]))
+            except TypeError:  # a piece without ids: empty or with white space at its end
+                out.append(self(texts[row].as_py()))
+        return out
+
     def _read(self, pieces: list[str], cut: bool = False) -> list[bytes] | None:
         """Ids of a text's pieces, all but the first with a space before them.
 
@@ -131,7 +172,7 @@ class Encoder:
         known.update(zip(other, self._ids([" " + c for c in other])))
         return list(map(known.__getitem__, words))
 
-    def _learn(self, new: set[str]):
+    def _learn(self, new: Iterable[str]):
         pieces, older = self.pieces, self.older
         cores, ends, unknown = {}, {}, set()
         for c in new:
@@ -336,8 +377,8 @@ def write(docs: DataFrame, folder: str | None = None, doc_id="doc_id", text="tex
                 "n_docs": [len(ids)], "content": pa.array([pack(tokens, ids, np.array(lengths, np.int64))], pa.binary())})
 
         for batch in batches:
-            for doc, words in zip(batch.column(0).to_pylist(), batch.column(1)):
-                packed = encode(words.as_py()) + end
+            for doc, words in zip(batch.column(0).to_pylist(), encode.many(batch.column(1))):
+                packed = words + end
                 ids.append(doc)
                 pieces.append(packed)
                 lengths.append(len(packed) // encode.type.itemsize)
