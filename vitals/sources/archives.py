@@ -7,16 +7,19 @@ goes through ``pyarrow.fs``, which takes local paths and object-store URIs alike
 
 Tasks may run twice (lost executors, speculation). Each writes under a name of
 its own attempt and moves the finished file into place, so a rerun replaces a
-file by the same bytes.
+file by the same bytes; files that several archives share have a new name in
+each attempt, and those of a lost one are taken away.
 """
 
 import hashlib
 import io
 import posixpath
+import re
 import sys
 import uuid
 import zipfile
 import zlib
+from contextlib import contextmanager
 from urllib.parse import quote
 from xml.parsers import expat
 
@@ -27,12 +30,17 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import keep_first
-from .tables import exists
+from .tables import exists, remove
 
 BLOCK = 1 << 20
 EXPORT_NAME = "export.xml"
 
 _LANDED = "user_id string, source string, length long, modified long, sha256 string, archive string"
+#: Sound archives up to this size are kept one after another in files of about ``PACK_BYTES``.
+SMALL_BYTES = 256 << 10
+PACK_BYTES = 256 << 20
+_PLACE = re.compile(r"(.*\.pack)#(\d+)\+(\d+)/[0-9a-f]{64}\.zip", re.DOTALL)
+
 UNPACKED = "user_id string, sha256 string, part string, bytes long, error string"
 
 #: Parts up to this size are rows of a table, larger ones files; of one archive at most ``ARCHIVE_BYTES`` are.
@@ -167,24 +175,42 @@ def _spread(archives: DataFrame, bytes_per_task: int = 256 << 20) -> DataFrame:
 
 
 def land_archives(spark: SparkSession, listed: DataFrame, bronze: str) -> DataFrame:
-    """Copy archives not seen before to ``bronze/<user>/<sha256>.zip``.
-
-    What is there stays untouched; the catalog in ``bronze/_catalog`` gets one
-    row per new archive. Returns the rows added.
+    """Copy archives not seen before to bronze.
+
+    Small ones are put one after another into few files below ``bronze/_packs``,
+    as a folder and a file of its own would cost each two blocks of the disk.
+    Large ones, and what does not look like an archive and may be put right
+    there, are files ``bronze/<user>/<sha256>.zip``. What is there stays
+    untouched; the catalog in ``bronze/_catalog`` gets one row per new archive,
+    which says where it is. Returns the rows added.
     """
     catalog_path = posixpath.join(bronze, "_catalog")
     known = read_catalog(spark, bronze)
     unseen = listed.join(known, ["user_id", "source", "length", "modified"], "left_anti")
-    copied = _spread(unseen).mapInPandas(_copy_task(bronze), _LANDED)
-    # Same bytes under a new name are the same archive.
     run = uuid.uuid4().hex
+    packs = posixpath.join(bronze, "_packs", f"run={run}")
+    copied = _spread(unseen).mapInPandas(_copy_task(bronze, packs), _LANDED)
+    # Same bytes under a new name are the same archive.
     fresh = (
         keep_first(copied, ("user_id", "sha256"), ("source",))
         .join(known, ["user_id", "sha256"], "left_anti")
         .withColumn("run", F.lit(run))
     )
-    fresh.write.mode("append").partitionBy("run").parquet(catalog_path)
-    return spark.read.schema(_LANDED + ", run string").parquet(catalog_path).where(F.col("run") == run).drop("run")
+    fresh.write.mode("append").option("compression", "zstd").partitionBy("run").parquet(catalog_path)
+    added = spark.read.schema(_LANDED + ", run string").parquet(catalog_path).where(F.col("run") == run).drop("run")
+    _remove_unused(spark, packs, added)
+    return added
+
+
+def _remove_unused(spark: SparkSession, packs: str, added: DataFrame) -> None:
+    """Take away packs of which no archive is new, as well as those that broken tasks left."""
+    if exists(spark, packs):
+        pack = F.regexp_extract("archive", r"([^/]*\.pack)#[^/]*/[^/]*$", 1)
+        used = {row["pack"] for row in added.select(pack.alias("pack")).distinct().collect()}  # a few per task
+        location = spark._jvm.org.apache.hadoop.fs.Path(packs)
+        for status in location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(location):
+            if status.getPath().getName() not in used:
+                remove(spark, status.getPath().toString())
 
 
 def read_catalog(spark: SparkSession, bronze: str) -> DataFrame:
@@ -195,32 +221,84 @@ def read_catalog(spark: SparkSession, bronze: str) -> DataFrame:
     return spark.read.schema(_LANDED).parquet(path)
 
 
-def _copy_task(bronze: str):
+def _copy_task(bronze: str, packs: str):
     def run(batches):
         target_fs, root = open_fs(bronze)
+        pack = _Pack(packs)
         for batch in batches:
-            rows = [_copy(row, bronze, target_fs, root) for row in batch.itertuples(index=False)]
+            rows = [_copy(row, bronze, target_fs, root, pack) for row in batch.itertuples(index=False)]
             yield pd.DataFrame(rows, columns=["user_id", "source", "length", "modified", "sha256", "archive"])
+        pack.close()
 
     return run
 
 
-def _copy(row, bronze: str, target_fs, root: str):
+def _copy(row, bronze: str, target_fs, root: str, pack: "_Pack"):
     source_fs, source_path = open_fs(row.source)
-    folder = posixpath.join(root, quote(row.user_id, safe=""))
-    target_fs.create_dir(folder, recursive=True)
-    attempt = posixpath.join(folder, f".{uuid.uuid4().hex}.part")
-    digest = hashlib.sha256()
-    with source_fs.open_input_stream(source_path) as src, target_fs.open_output_stream(attempt) as out:
-        while block := src.read(BLOCK):
-            digest.update(block)
-            out.write(block)
+    with source_fs.open_input_stream(source_path) as src:
+        blocks = iter(lambda: src.read(BLOCK), b"")
+        head = _up_to(blocks, SMALL_BYTES)
+        digest = hashlib.sha256(head)
+        if len(head) <= SMALL_BYTES and zipfile.is_zipfile(io.BytesIO(head)):
+            archive = pack.add(head, digest.hexdigest())
+            return row.user_id, row.source, row.length, row.modified, digest.hexdigest(), archive
+        folder = posixpath.join(root, quote(row.user_id, safe=""))
+        target_fs.create_dir(folder, recursive=True)
+        attempt = posixpath.join(folder, f".{uuid.uuid4().hex}.part")
+        with target_fs.open_output_stream(attempt) as out:
+            out.write(head)
+            for block in blocks:
+                digest.update(block)
+                out.write(block)
     name = f"{digest.hexdigest()}.zip"
     target_fs.move(attempt, posixpath.join(folder, name))
     archive = posixpath.join(bronze, quote(row.user_id, safe=""), name)
     return row.user_id, row.source, row.length, row.modified, digest.hexdigest(), archive
 
 
+class _Pack:
+    """Archives one after another in a file, or several of about ``PACK_BYTES``; a file gets its name when it is whole."""
+
+    def __init__(self, folder: str):
+        self.folder, self.out = folder, None
+
+    def add(self, content: bytes, digest: str) -> str:
+        """Where the archive is: file, first byte, bytes and digest."""
+        if self.out is None:
+            self.files, root = open_fs(self.folder)
+            self.files.create_dir(root, recursive=True)
+            self.name = f"{uuid.uuid4().hex}.pack"
+            self.path, self.attempt = posixpath.join(root, self.name), posixpath.join(root, f".{self.name}.part")
+            self.out = self.files.open_output_stream(self.attempt, buffer_size=BLOCK)
+        start = self.out.tell()
+        self.out.write(content)
+        place = f"{posixpath.join(self.folder, self.name)}#{start}+{len(content)}/{digest}.zip"
+        if start + len(content) >= PACK_BYTES:
+            self.close()
+        return place
+
+    def close(self) -> None:
+        if self.out is not None:
+            self.out.close()
+            self.files.move(self.attempt, self.path)
+            self.out = None
+
+
+@contextmanager
+def open_archive(place: str):
+    """A landed archive as a file that can be read at any place."""
+    packed = _PLACE.fullmatch(place)
+    files, path = open_fs(packed[1] if packed else place)
+    with files.open_input_file(path) as raw:
+        if not packed:
+            yield raw
+            return
+        content = raw.read_at(int(packed[3]), int(packed[2]))
+    if len(content) < int(packed[3]):
+        raise OSError(f"{place} is cut short")
+    yield io.BytesIO(content)
+
+
 class ExportError(ValueError):
     """An archive that is not a usable export."""
 
@@ -287,9 +365,8 @@ def _unpack_task(staging: str, part_bytes: int, set_aside: bool):
 
 
 def _unpack(row, target_fs, folder: str, part_bytes: int):
-    source_fs, source_path = open_fs(row.source)
     kept = 0
-    with source_fs.open_input_file(source_path) as raw, zipfile.ZipFile(raw) as archive:
+    with open_archive(row.source) as raw, zipfile.ZipFile(raw) as archive:
         member = archive.getinfo(export_member(archive.namelist()))
         with archive.open(member) as xml:
             for number, blocks in enumerate(_parts(xml, member.file_size, part_bytes)):
