@@ -10,7 +10,8 @@ from dataclasses import dataclass
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from ..schema import GOLD_SCHEMAS
+from ..schema import GOLD_SCHEMAS, RECORD_SCHEMA, WORKOUT_SCHEMA
+from ..session import drop_shuffles
 from ..sources import archives, export_xml, tables
 from ..sources.feed import Feed
 from ..sources.versions import VersionedTable
@@ -139,35 +140,47 @@ def load_silver(
     """
     run = uuid.uuid4().hex
     staged = posixpath.join(lake.staging, f"run={run}")
-    done = archives.unpack_exports(landed, staged, set_aside=True)
-    if done.isEmpty():
+    unpacked = archives.unpack_exports(landed, staged, set_aside=True)
+    if unpacked.isEmpty():
         tables.remove(spark, staged)
         return {"records": 0, "workouts": 0, "bad_archives": 0}
-    bad = done.where(F.col("error").isNotNull())
-    bad.write.parquet(posixpath.join(lake.quarantine, "archives", f"run={run}"))
+    # What the merges leave to be done does not need the documents.
+    listed = posixpath.join(lake.staging, "unpacked", f"run={run}")
+    named = unpacked.select("user_id", "sha256", F.col("error").isNotNull().alias("bad")).distinct()
+    named.coalesce(2 * spark.sparkContext.defaultParallelism).write.option("compression", "zstd").parquet(listed)
+    done = spark.read.schema(named.schema).parquet(listed)
+    unpacked.where(F.col("error").isNotNull()).write.parquet(posixpath.join(lake.quarantine, "archives", f"run={run}"))
 
-    def load(kind, read, conform, merge, path, feed):
+    def typed_at(kind):
+        return posixpath.join(lake.staging, f"typed_{kind}", f"run={run}")
+
+    def parse(kind, read, conform):
         counter = Observation(kind)
         file_source = F.concat(F.col("sha256"), F.lit(".zip"))
         typed = conform(read(spark, staged), now, file_source).observe(counter, F.count(F.lit(1)).alias("n"))
         # Parse once, then split the stored rows.
-        parsed = posixpath.join(lake.staging, f"typed_{kind}", f"run={run}")
-        typed.write.mode("overwrite").parquet(parsed)
-        good, bad = export_xml.readable(spark.read.schema(typed.schema).parquet(parsed))
+        typed.write.mode("overwrite").option("compression", "zstd").parquet(typed_at(kind))
+        return kind, counter.get["n"]
+
+    def load(kind, schema, merge, path, feed):
+        good, bad = export_xml.readable(spark.read.schema(schema).parquet(typed_at(kind)))
         bad.write.mode("overwrite").parquet(posixpath.join(lake.quarantine, kind, f"run={run}"))
         merge(spark, good, path, lake.record_buckets, written=True, feed=feed, filtered=lake.key_filters)
-        return kind, counter.get["n"]
+        tables.remove(spark, typed_at(kind))  # all of it is in silver or quarantine now
 
     counts = dict(_together(spark, [
-        lambda: load("records", export_xml.read_record_elements, export_xml.conform_records,
-                     tables.merge_records, lake.records, lake.record_feed(spark)),
-        lambda: load("workouts", export_xml.read_workout_elements, export_xml.conform_workouts,
-                     tables.merge_workouts, lake.workouts, lake.workout_feed(spark)),
+        lambda: parse("records", export_xml.read_record_elements, export_xml.conform_records),
+        lambda: parse("workouts", export_xml.read_workout_elements, export_xml.conform_workouts),
     ]))
-    counts["bad_archives"] = bad.count()
-    _loaded(spark, lake).append(done.select("user_id", "sha256", F.lit(True).alias("taken")).distinct())
-    for folder in (staged, *(posixpath.join(lake.staging, f"typed_{kind}", f"run={run}") for kind in ("records", "workouts"))):
-        tables.remove(spark, folder)  # all of it is in silver or quarantine now
+    tables.remove(spark, staged)  # every element is typed
+    drop_shuffles(spark)
+    _together(spark, [
+        lambda: load("records", RECORD_SCHEMA, tables.merge_records, lake.records, lake.record_feed(spark)),
+        lambda: load("workouts", WORKOUT_SCHEMA, tables.merge_workouts, lake.workouts, lake.workout_feed(spark)),
+    ])
+    counts["bad_archives"] = done.where("bad").count()
+    _loaded(spark, lake).append(done.select("user_id", "sha256", F.lit(True).alias("taken")))
+    tables.remove(spark, listed)
     return counts
 
 

@@ -20,6 +20,15 @@ def local_session(cores: str | int = "*", app: str = "vitals", **conf) -> SparkS
     return builder.getOrCreate()
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Has the driver's collector run: Spark deletes the files of a shuffle once the collector finds that nothing refers to it.
+
+    For the beginning of steps that need room on disk; a job that has just
+    ended is still referred to for a moment.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def shared_folder(spark: SparkSession) -> str | None:
     """Folder all executors reach, as the cluster names it; None when unset."""
     return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -30,6 +30,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import keep_first
+from ..session import drop_shuffles
 from .tables import exists, remove
 
 BLOCK = 1 << 20
@@ -184,6 +185,7 @@ def land_archives(spark: SparkSession, listed: DataFrame, bronze: str) -> DataFr
     untouched; the catalog in ``bronze/_catalog`` gets one row per new archive,
     which says where it is. Returns the rows added.
     """
+    drop_shuffles(spark)
     catalog_path = posixpath.join(bronze, "_catalog")
     known = read_catalog(spark, bronze)
     unseen = listed.join(known, ["user_id", "source", "length", "modified"], "left_anti")
@@ -327,6 +329,7 @@ def unpack_exports(
     one row per part.
     """
     spark = landed.sparkSession
+    drop_shuffles(spark)
     packs = posixpath.join(staging, PACKS, f"run={uuid.uuid4().hex}")
     archives = landed.select("user_id", "sha256", "length", F.col("archive").alias("source"))
     parts = _spread(archives).mapInArrow(_unpack_task(staging, part_bytes, set_aside), PACKED)

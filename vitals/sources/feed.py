@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import daily_states, merged_states, state_schema
+from ..session import drop_shuffles
 from .versions import VersionedTable, _hadoop, create_if_absent
 
 CHANGES = "user_id string, type string, date date"
@@ -35,7 +36,7 @@ class Feed:
     def apply(self, fresh: DataFrame, add: Callable[[DataFrame], None]) -> None:
         """Add ``fresh`` rows by ``add``, which must leave out what is there already, and record them."""
         run = uuid.uuid4().hex
-        fresh.write.parquet(self._under("_fresh", f"run={run}"))
+        fresh.write.option("compression", "zstd").parquet(self._under("_fresh", f"run={run}"))
         if not create_if_absent(self.spark, self._under("mark.json"), json.dumps({"run": run})):
             raise RuntimeError(f"another merge is under way at {self.path}")
         self._finish(run, fresh.schema, add)
@@ -55,6 +56,7 @@ class Feed:
         metric = F.col("type") if "type" in rows.columns else F.lit("workout").alias("type")
         changed = rows.select("user_id", metric, "date").where("date IS NOT NULL").distinct()
         changed.write.mode("overwrite").parquet(self._under("changes", f"run={run}"))
+        drop_shuffles(self.spark)  # what found the rows; adding them shuffles all of them again
         add(rows)
         if self.with_states:
             self._states.append(daily_states(rows), run)

@@ -106,7 +106,7 @@ def _write_partitioned(df: DataFrame, path: str, partitions, sort, mode: str, **
     (
         df.hint("rebalance", *[F.col(p) for p in partitions])
         .sortWithinPartitions(*partitions, *sort)
-        .write.mode(mode).options(**options)
+        .write.mode(mode).options(compression="zstd", **options)
         .partitionBy(*partitions)
         .parquet(path)
     )
@@ -152,7 +152,7 @@ def _merge(spark, new, path, schema, keys, partitions, buckets, written, feed=No
     batch = new.withColumn("user_bucket", user_bucket(buckets)).to(schema)
     if not written:
         staged = _own_folder(path, "_batch")
-        batch.write.parquet(staged)
+        batch.write.option("compression", "zstd").parquet(staged)
         batch = spark.read.schema(schema).parquet(staged)
     filters = KeyFilter(spark, path, schema, keys, partitions)
     if filtered or filters.exists():  # a table that has filters keeps them

@@ -155,7 +155,7 @@ class VersionedTable:
         folder = f"run={run}"
         by = [*self.partitions, *(c for c in self.keys if c not in self.partitions)]
         laid = rows.hint("rebalance", *[F.col(p) for p in self.partitions]) if self.partitions else rows.hint("rebalance")
-        laid.sortWithinPartitions(*by).write.mode("overwrite").partitionBy(*self.partitions).parquet(posixpath.join(self._data, folder))
+        laid.sortWithinPartitions(*by).write.mode("overwrite").option("compression", "zstd").partitionBy(*self.partitions).parquet(posixpath.join(self._data, folder))
         return folder
 
     def append(self, rows: DataFrame, run: str | None = None) -> int | None:
