@@ -247,6 +247,7 @@ def refresh_gold(
     def store(table, rows):
         tables.upsert_gold(spark, rows, lake.gold, table, now, lake.gold_buckets, registered, lake.rejected)
 
+    drop_shuffles(spark)
     with listed_users(spark, lake, users) as listed:
         records = tables.read_silver(spark, lake.records, users=listed)
         workouts = tables.read_silver_workouts(spark, lake.workouts, users=listed)
@@ -269,7 +270,7 @@ def refresh_changed(
     kept = posixpath.join(lake.staging, "changes", f"run={uuid.uuid4().hex}")
 
     def keep(rows: DataFrame, name: str) -> DataFrame:
-        rows.write.parquet(posixpath.join(kept, name))
+        rows.write.option("compression", "zstd").parquet(posixpath.join(kept, name))
         return spark.read.schema(rows.schema).parquet(posixpath.join(kept, name))
 
     changes = keep(records_feed.changes(runs).unionByName(workouts_feed.changes(workout_runs)), "changes")

@@ -22,6 +22,7 @@ from ..schema import (
     WORKOUT_KEYS,
     WORKOUT_SCHEMA,
 )
+from ..session import drop_shuffles
 from .feed import Feed
 from .keyfilter import KeyFilter, in_partitions
 from .versions import Conflict, VersionedTable
@@ -356,7 +357,7 @@ def upsert_gold(
     batch = marked.withColumn("updated_at", now.cast("timestamp_ntz"))
     batch = batch.withColumn("user_bucket", user_bucket(stored.state().options["buckets"])).to(T.StructType(schema.fields + [T.StructField("refused", T.StringType())]))
     staged = _own_folder(path, "_batch")
-    batch.write.parquet(staged)
+    batch.write.option("compression", "zstd").parquet(staged)
     batch = spark.read.schema(batch.schema).parquet(staged)
     refused = batch.where(F.col("refused").isNotNull()).drop("user_bucket")
     if not refused.isEmpty():
@@ -366,5 +367,6 @@ def upsert_gold(
         unseen.write.mode("append").parquet(aside)
     accepted = batch.where(F.col("refused").isNull()).drop("refused")
     if not accepted.isEmpty():
+        drop_shuffles(spark)  # what computed the rows; storing them shuffles them again
         stored.append(accepted)
     remove(spark, staged)
