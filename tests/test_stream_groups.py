@@ -1,4 +1,4 @@
-"""Full batches of a stream are noted and worked off together."""
+"""Batches of a stream are noted and worked off together, their archives listed by tasks."""
 
 import zipfile
 
@@ -38,11 +38,19 @@ def steps(n):
     return {f"user{i}": float(i) for i in range(1, n + 1)}
 
 
-def test_full_batches_are_worked_off_together(stream):
+def test_batches_are_worked_off_together(spark, tmp_path, stream):
     assert stream(range(1, 7)) == steps(6) and stream.loads == 1  # three batches, all of them full
+    listed = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "checkpoint" / "listing"))
+    assert sorted(r["count"] for r in listed.groupBy("_metadata.file_path").count().collect()) == [2, 2, 2]
     assert not list(stream.notes.iterdir())
     assert stream([]) == steps(6) and stream.loads == 1
     assert stream(range(7, 10)) == steps(9) and stream.loads == 2  # the last one is not full
+    assert listed.count() == 6 and spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "checkpoint" / "listing")).count() == 9
+
+
+def test_nothing_to_list(stream, tmp_path):
+    (tmp_path / "in").mkdir()
+    assert stream([]) == {} and stream.loads == 0
 
 
 def test_a_group_ends_at_its_size(stream, monkeypatch):
